@@ -1,0 +1,20 @@
+"""Broadcast only what has a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave it
+    to a shuffle join (AQE may still convert it from runtime statistics).
+
+    The check runs ``limit(max_rows + 1).count()``; it is meant for small
+    derived tables (banks, vocabularies, lexicons), whose size does not grow
+    with the corpus.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
