@@ -242,6 +242,168 @@ def q_response_info(spark, d):
     return _round(V.response_info(_events_log(spark, d), "user_id", "event_id"), ["last_seconds"])
 
 
+# --- sources and sinks (written below the scratch root, read back) -------------------------------
+
+
+def q_csv_roundtrip(spark, d):
+    from ..sources import files as IO
+    from ..session import scratch_path
+    path = scratch_path(spark, "pairs-csv")
+    IO.write_pairs_csv(C.split(spark, d), path)
+    return IO.read_pairs_csv(spark, path)
+
+
+def q_scan_csv_dir(spark, d):
+    from ..sources import files as IO
+    from ..session import scratch_path
+    path = scratch_path(spark, "pairs-csv")
+    IO.write_pairs_csv(C.split(spark, d), path)
+    return IO.scan_csv_dir(spark, path)
+
+
+def q_prepared_roundtrip(spark, d):
+    from ..sources import files as IO
+    from ..session import scratch_path
+    path = scratch_path(spark, "prepared")
+    sp = C.split(spark, d)
+    vocab = E.build_vocabulary(sp.where(F.col("split") == "train"), ["input_text", "target_text"])
+    enc = E.encode_pairs(sp, vocab, ["id"], carry=["split"])
+    IO.write_splits(P.select_features(enc, keys=["id", "split"]), path)
+    val = IO.scan_split(spark, path, "val")
+    return E.arrays_as_text(val.select("id", "input_ids", "attention_mask", "labels"),
+                            ["input_ids", "attention_mask", "labels"])
+
+
+def q_numbered_questions(spark, d):
+    from ..sources import files as IO
+    from ..session import scratch_path
+    path = scratch_path(spark, "questions-txt")
+    sample = P.sample_n(C.cleaned(spark, d), 10, SEED, ["id"], pos_col="pos")
+    IO.write_numbered_text(IO.numbered_lines(sample, "instruction", "pos"), path)
+    return IO.read_numbered_questions(spark, path).select("value", "question")
+
+
+def q_source_or_default(spark, d):
+    from ..sources import files as IO
+    sample = P.sample_n(C.cleaned(spark, d), 10, SEED, ["id"], pos_col="pos").select(
+        "pos", F.col("instruction").alias("question"))
+    return IO.source_or_default(sample, IO.default_questions(spark))
+
+
+def _response_log(spark, d):
+    from ..functions.hashing import order_hash
+    ev = table(spark, d, "events")
+    return ev.select(F.col("event_type").alias("run"),
+                     F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("query"),
+                     F.col("props").alias("response"), F.col("value").alias("response_time"),
+                     order_hash(SEED, ["event_id"]).alias("_h"), "event_id")
+
+
+def q_response_log_roundtrip(spark, d):
+    from ..sources import files as IO
+    from ..session import scratch_path
+    path = scratch_path(spark, "results-json")
+    docs = IO.result_documents(_response_log(spark, d), "run", battery=10, order_col="_h")
+    IO.write_result_documents(docs, path)
+    flat = IO.read_response_log(spark, path)
+    sums = spark.read.schema(IO.RESULT_DOC_SCHEMA).json(path).select("run", "avg_response_time", "responses_total")
+    return _round(flat.join(sums, "run").drop("source_file"), ["avg_response_time", "response_time"])
+
+
+def q_metadata_json(spark, d):
+    from ..sources import files as IO
+    from ..session import scratch_path
+    path = scratch_path(spark, "metadata-json")
+    meta = q_split_metadata(spark, d)
+    IO.write_json_rows(meta, path)
+    return spark.read.schema(meta.schema).json(path)
+
+
+def q_profile_report_text(spark, d):
+    from ..sources import files as IO
+    from ..session import scratch_path
+    path = scratch_path(spark, "profile-txt")
+    IO.write_report(R.profile_report(_profiled(spark, d)), path)
+    return spark.read.text(path)
+
+
+def q_validation_battery(spark, d):
+    from ..functions.constants import BATTERY_MODEL_PREFIX
+    battery = P.sample_n(C.questions(spark, d), 19, SEED, ["conv_id", "turn"], pos_col="pos")
+    sbs = A.side_by_side(battery, C.bank(spark, d), PROBE_LEXICON)
+    in_prefix = P.battery_prefix(sbs.withColumn("_p0", F.col("pos") - 1), "_p0", BATTERY_MODEL_PREFIX)
+    rest = sbs.join(in_prefix.select("pos"), "pos", "left_anti").withColumn("model_prompt", F.lit(None).cast("string"))
+    out = in_prefix.drop("_p0").unionByName(rest)
+    return out.select("pos", "query", "intent", "template_route", "template_response", "model_prompt")
+
+
+# --- streaming ---------------------------------------------------------------------------------------
+
+
+def q_answer_stream(spark, d):
+    from ..streaming import chat as S
+    turns = S.conversation_stream(spark, d)
+    ans = S.answer_stream(turns, C.bank(spark, d), PROBE_LEXICON)
+    out = S.run_available(ans.where(F.col("role") == "user"), spark, "answers")
+    return out.select("conv_id", "turn", F.col("text").alias("query"), "intent", "route", "response", "prompt")
+
+
+def q_chat_history_stream(spark, d):
+    from ..streaming import chat as S
+    turns = S.conversation_stream(spark, d)
+    hist = S.chat_history(S.answer_stream(turns, C.bank(spark, d), PROBE_LEXICON))
+    return S.run_available(hist, spark, "history")
+
+
+def q_chat_history(spark, d):
+    from ..streaming import chat as S
+    ans = S.answer_stream(table(spark, d, "conversations"), C.bank(spark, d), PROBE_LEXICON)
+    return S.chat_history_batch(ans)
+
+
+# --- classification -----------------------------------------------------------------------------------
+
+
+def q_prepare_labelled(spark, d):
+    from ..operators import classify as K
+    out = K.prepare_labelled(C.labelled(spark, d))
+    return E.arrays_as_text(out, ["input_ids", "attention_mask"])
+
+
+def _cls_parts(spark, d):
+    from ..operators import classify as K
+    sp = K.labelled_splits(C.labelled(spark, d))
+    train = P.shuffle_take(sp.where(F.col("split") == "train"), 1000, SEED, ["idx"])
+    valid = P.shuffle_take(sp.where(F.col("split") == "val"), 200, SEED, ["idx"])
+    return train, valid
+
+
+def q_train_text_classifier(spark, d):
+    from ..operators import classify as K
+    train, valid = _cls_parts(spark, d)
+    return K.predict(K.train_text_classifier(train), valid).select("idx", "label", "prediction")
+
+
+def q_select_best_by_accuracy(spark, d):
+    from ..operators import classify as K
+    train, _ = _cls_parts(spark, d)
+    return K.select_best_by_accuracy(train)[1]
+
+
+def q_evaluate_classifier(spark, d):
+    from ..operators import classify as K
+    train, valid = _cls_parts(spark, d)
+    return K.evaluate_classifier(K.train_text_classifier(train), valid)
+
+
+def q_save_model(spark, d):
+    from ..operators import classify as K
+    from ..session import scratch_path
+    train, valid = _cls_parts(spark, d)
+    path = K.save_model(K.train_text_classifier(train), scratch_path(spark, "model"))
+    return K.predict(K.load_model(path), valid).select("idx", "label", "prediction")
+
+
 QUERIES: dict[str, Query] = {
     "format_pairs": q_format_pairs,
     "drop_missing": q_drop_missing,
@@ -282,4 +444,21 @@ QUERIES: dict[str, Query] = {
     "run_speedup": q_run_speedup,
     "accuracy": q_accuracy,
     "response_info": q_response_info,
+    "csv_roundtrip": q_csv_roundtrip,
+    "scan_csv_dir": q_scan_csv_dir,
+    "prepared_roundtrip": q_prepared_roundtrip,
+    "numbered_questions": q_numbered_questions,
+    "source_or_default": q_source_or_default,
+    "response_log_roundtrip": q_response_log_roundtrip,
+    "metadata_json": q_metadata_json,
+    "profile_report_text": q_profile_report_text,
+    "validation_battery": q_validation_battery,
+    "answer_stream": q_answer_stream,
+    "chat_history_stream": q_chat_history_stream,
+    "chat_history": q_chat_history,
+    "prepare_labelled": q_prepare_labelled,
+    "train_text_classifier": q_train_text_classifier,
+    "select_best_by_accuracy": q_select_best_by_accuracy,
+    "evaluate_classifier": q_evaluate_classifier,
+    "save_model": q_save_model,
 }

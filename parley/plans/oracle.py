@@ -70,12 +70,13 @@ def intent_sql(lexicon, x: str = "query") -> tuple[str, str]:
     return f"CASE WHEN coalesce({m}, 0) = 0 THEN {lit(FALLBACK_INTENT)} {whens} END", f"coalesce({m}, 0)"
 
 
-def answers_sql(lexicon, bank_cte: str, use_templates: bool = True) -> str:
+def answer_ctes(lexicon, use_templates: bool = True, src: str = "q", extra: str = "") -> str:
+    """CTEs ``cls, look, ans, answered`` answering ``query`` of CTE ``src``
+    against CTE ``bank``; ``extra`` lists pass-through columns."""
     intent, _ = intent_sql(lexicon)
     pick = "tpl[(('0x' || substr(md5(concat_ws('|', '42', query)), 1, 8))::BIGINT % len(tpl)) + 1]"
     use = "TRUE" if use_templates else "FALSE"
-    return f"""WITH {bank_cte}, {QUESTIONS},
-cls AS (SELECT *, {intent} AS _intent FROM q),
+    return f"""cls AS (SELECT *, {intent} AS _intent FROM {src}),
 look AS (
   SELECT cls.*, coalesce(b.templates,
          (SELECT templates FROM bank WHERE intent = {lit(FALLBACK_INTENT)} LIMIT 1)) AS tpl
@@ -84,15 +85,36 @@ ans AS (
   SELECT *, CASE WHEN query IS NULL OR query = '' THEN 'guard'
                  WHEN {use} AND coalesce(len(tpl), 0) > 0 THEN 'template' ELSE 'model' END AS route,
          CASE WHEN coalesce(len(tpl), 0) > 0 THEN {pick} END AS t
-  FROM look)
-SELECT conv_id, turn, query, CASE WHEN route <> 'guard' THEN _intent END AS intent, route,
+  FROM look),
+answered AS (
+SELECT conv_id, turn, {extra} query, CASE WHEN route <> 'guard' THEN _intent END AS intent, route,
   CASE WHEN route = 'guard' THEN {lit(EMPTY_MESSAGE_NOTICE)}
        WHEN route = 'template' THEN
          CASE WHEN contains(t, '{{query}}') THEN replace(t, '{{query}}', query)
               ELSE {lit(NO_PLACEHOLDER_PREFIX)} || query || {lit(NO_PLACEHOLDER_SEPARATOR)} || t END
   END AS response,
   CASE WHEN route = 'model' THEN {lit(MODEL_PROMPT_PREFIX)} || query END AS prompt
-FROM ans"""
+FROM ans)"""
+
+
+def answers_sql(lexicon, bank_cte: str, use_templates: bool = True) -> str:
+    return (f"WITH {bank_cte}, {QUESTIONS},\n{answer_ctes(lexicon, use_templates)}\n"
+            "SELECT conv_id, turn, query, intent, route, response, prompt FROM answered")
+
+
+def history_sql(lexicon) -> str:
+    """Rows of the per-conversation history: recorded user turns with their
+    1-based position since the last clear (system turn)."""
+    src = "qh AS (SELECT conv_id, turn, role, text AS query FROM conversations WHERE role IN ('user', 'system'))"
+    return f"""WITH {BANK}, {src},
+{answer_ctes(lexicon, True, "qh", "role,")},
+seg AS (SELECT *, sum(CASE WHEN role = 'system' THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS s FROM answered),
+pos AS (SELECT *, sum(CASE WHEN role = 'user' AND route <> 'guard' THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY conv_id, s ORDER BY turn ROWS UNBOUNDED PRECEDING) AS history_pos FROM seg)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, CAST(history_pos AS BIGINT) AS history_pos,
+       query AS message, response
+FROM pos WHERE role = 'user' AND route <> 'guard'"""
 
 
 DEFAULT_BANK = ("bank AS (SELECT 'general' AS intent, ["
@@ -121,16 +143,16 @@ vocab AS (
     SELECT token, count(*) AS n FROM toks GROUP BY token ORDER BY n DESC, token LIMIT 50261))"""
 
 
-def encoded_sql() -> str:
+def encoded_sql(src: str = "train", prefix: str = "") -> str:
     def ids(col: str, length: int, name: str) -> str:
-        return f"""{name}_t AS (SELECT id, list_slice({TOKENS.format(x=col)}, 1, {length - 2}) AS tl FROM train),
+        return f"""{name}_t AS (SELECT id, list_slice({TOKENS.format(x=col)}, 1, {length - 2}) AS tl FROM {src}),
 {name}_u AS (SELECT id, unnest(tl) AS w, unnest(range(1, len(tl) + 1)) AS p FROM {name}_t),
 {name}_g AS (SELECT u.id, list(coalesce(v.id, 3) ORDER BY u.p) AS body
              FROM {name}_u u LEFT JOIN vocab v ON v.token = u.w GROUP BY u.id),
 {name} AS (SELECT t.id, list_concat([0], coalesce(g.body, []), [2]) AS core
            FROM {name}_t t LEFT JOIN {name}_g g ON g.id = t.id)"""
 
-    return f"""WITH {VOCAB},
+    return f"""WITH {VOCAB},{prefix}
 {ids('input_text', 128, 'ei')},
 {ids('target_text', 512, 'et')}
 SELECT ei.id,
@@ -274,3 +296,88 @@ FROM events WHERE event_type IN ('purchase', 'signup')""",
     "response_info": """SELECT user_id, round(arg_max(value, event_id), 6) AS last_seconds,
   printf('Response time: %.2f seconds', arg_max(value, event_id)) AS info FROM events GROUP BY user_id""",
 }
+
+
+def _labelled_sql() -> str:
+    enc_cols = "idx"
+    return f"""WITH l AS (SELECT d.doc_id AS idx, d.text AS sentence, lb.quality AS label
+           FROM documents d JOIN labels lb ON lb.doc_id = d.doc_id),
+ranked AS (SELECT *, row_number() OVER (ORDER BY {h('idx')}, idx) AS r, count(*) OVER () AS n FROM l),
+sp AS (SELECT idx, sentence, label,
+    CASE WHEN r <= ceil(n * 0.1::DOUBLE) THEN 'test'
+         WHEN r <= ceil(n * 0.1::DOUBLE)
+                   + ceil((0.1::DOUBLE / (1 - 0.1::DOUBLE)) * (n - ceil(n * 0.1::DOUBLE))) THEN 'val'
+         ELSE 'train' END AS split FROM ranked),
+tr AS (SELECT *, row_number() OVER (ORDER BY {h('idx')}, idx) AS shuffle_pos FROM sp WHERE split = 'train'
+       ORDER BY {h('idx')}, idx LIMIT 1000),
+va AS (SELECT *, row_number() OVER (ORDER BY {h('idx')}, idx) AS shuffle_pos FROM sp WHERE split = 'val'
+       ORDER BY {h('idx')}, idx LIMIT 200),
+sub AS (SELECT * FROM tr UNION ALL SELECT * FROM va),
+toks AS (SELECT unnest({TOKENS.format(x='sentence')}) AS token FROM tr),
+vocab AS (
+  SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 3 AS INTEGER) AS id, n FROM (
+    SELECT token, count(*) AS n FROM toks GROUP BY token ORDER BY n DESC, token LIMIT 50261)),
+e_t AS (SELECT {enc_cols}, list_slice({TOKENS.format(x='sentence')}, 1, 126) AS tl FROM sub),
+e_u AS (SELECT idx, unnest(tl) AS w, unnest(range(1, len(tl) + 1)) AS p FROM e_t),
+e_g AS (SELECT u.idx, list(coalesce(v.id, 3) ORDER BY u.p) AS body
+        FROM e_u u LEFT JOIN vocab v ON v.token = u.w GROUP BY u.idx),
+e AS (SELECT t.idx, list_concat([0], coalesce(g.body, []), [2]) AS core FROM e_t t LEFT JOIN e_g g ON g.idx = t.idx)
+SELECT sub.split, CAST(sub.shuffle_pos AS INTEGER) AS shuffle_pos,
+  array_to_string(list_concat(e.core, list_transform(range(128 - len(e.core)), lambda x: 1)), ',') AS input_ids,
+  array_to_string(list_concat(list_transform(e.core, lambda x: 1),
+                              list_transform(range(128 - len(e.core)), lambda x: 0)), ',') AS attention_mask,
+  sub.label AS labels
+FROM sub JOIN e ON e.idx = sub.idx"""
+
+
+def _battery_sql() -> str:
+    hq = "md5(concat_ws('|', '42', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR)))"
+    src = f"""qb AS (SELECT conv_id, turn, query, CAST(row_number() OVER (ORDER BY {hq}, conv_id, turn) AS INTEGER) AS pos
+       FROM (SELECT conv_id, turn, text AS query FROM conversations WHERE role = 'user'
+             ORDER BY {hq}, conv_id, turn LIMIT 19))"""
+    return f"""WITH {BANK}, {src},
+{answer_ctes(PROBE_LEXICON, True, "qb", "pos,")}
+SELECT pos, query, intent, route AS template_route, response AS template_response,
+  CASE WHEN pos <= 5 AND NOT (query IS NULL OR query = '') THEN {lit(MODEL_PROMPT_PREFIX)} || query END AS model_prompt
+FROM answered"""
+
+
+def _numbered_sql() -> str:
+    return f"""WITH {CLEAN},
+s AS (SELECT id, instruction, row_number() OVER (ORDER BY {h('id')}, id) AS pos FROM clean
+      ORDER BY {h('id')}, id LIMIT 10),
+l AS (SELECT CAST(pos AS VARCHAR) || '. ' || instruction AS value FROM s),
+st AS (SELECT value, regexp_replace(value, '^[ \t\n\r\f]+|[ \t\n\r\f]+$', '', 'g') AS v FROM l)
+SELECT value, CASE WHEN strpos(v, '. ') > 0 THEN substr(v, strpos(v, '. ') + 2) ELSE v END AS question FROM st"""
+
+
+def _response_log_sql() -> str:
+    return f"""WITH e AS (
+  SELECT event_type AS run, 'event ' || CAST(event_id AS VARCHAR) AS query, props AS response, value AS response_time,
+         row_number() OVER (PARTITION BY event_type ORDER BY {h('event_id')}, event_id) AS pos,
+         avg(value) OVER (PARTITION BY event_type) AS avg_response_time,
+         count(*) OVER (PARTITION BY event_type) AS responses_total
+  FROM events)
+SELECT run, CAST(pos AS INTEGER) AS pos, query, response, round(response_time, 6) AS response_time,
+       round(avg_response_time, 6) AS avg_response_time, responses_total
+FROM e WHERE pos <= 10"""
+
+
+ORACLES.update({
+    "csv_roundtrip": f"WITH {SPLIT} SELECT id, input_text, target_text, category, intent, split FROM split",
+    "scan_csv_dir": f"WITH {SPLIT} SELECT id, input_text, target_text, category, intent FROM split",
+    "prepared_roundtrip": encoded_sql("val", "\nval AS (SELECT * FROM split WHERE split = 'val'),"),
+    "numbered_questions": _numbered_sql(),
+    "source_or_default": f"""WITH {CLEAN}
+SELECT CAST(row_number() OVER (ORDER BY {h('id')}, id) AS INTEGER) AS pos, instruction AS question
+FROM (SELECT * FROM clean ORDER BY {h('id')}, id LIMIT 10)""",
+    "response_log_roundtrip": _response_log_sql(),
+    "metadata_json": ORACLES["split_metadata"],
+    "profile_report_text": ("SELECT section || ': ' || name || ': ' || value AS value FROM ("
+                            + ORACLES["profile_report"] + ")"),
+    "validation_battery": _battery_sql(),
+    "answer_stream": answers_sql(PROBE_LEXICON, BANK),
+    "chat_history_stream": history_sql(PROBE_LEXICON),
+    "chat_history": history_sql(PROBE_LEXICON),
+    "prepare_labelled": _labelled_sql(),
+})
