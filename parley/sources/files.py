@@ -25,7 +25,8 @@ PAIRS_SCHEMA = T.StructType([
     T.StructField("intent", T.StringType(), True),
 ])
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 # --- SRC-1 / SRC-3 / SNK-1: CSV ---------------------------------------------------------
