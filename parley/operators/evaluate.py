@@ -70,3 +70,15 @@ def response_info(log: DataFrame, key_col: str, order_col: str, seconds_col: str
     its last response in ``order_col`` order."""
     last = log.groupBy(key_col).agg(F.max_by(F.col(seconds_col), F.col(order_col)).alias("last_seconds"))
     return last.withColumn("info", F.format_string(RESPONSE_INFO_FORMAT, F.col("last_seconds")))
+
+
+def metric_callback(df: DataFrame, metric, prediction_col: str = "prediction", label_col: str = "label",
+                    name: str = "metric") -> DataFrame:
+    """UDF-3: a user metric over (predictions, references).
+
+    ``metric(prediction, label)`` returns an aggregate Column, so the metric
+    runs as a native aggregation (map-side partial) instead of a Python
+    function over all rows gathered in one task.
+    """
+    return df.agg(metric(F.col(prediction_col), F.col(label_col)).alias(name),
+                  F.count(F.lit(1)).cast("bigint").alias("rows"))

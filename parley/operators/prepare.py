@@ -77,9 +77,11 @@ def dedup_pairs(df: DataFrame, subset: Sequence[str] = ("instruction", "response
 
     ``row_number() ... = 1`` is planned as WindowGroupLimit: each input
     partition keeps its first row per pair *before* the shuffle, so a pair
-    repeated a billion times moves one row per map task.
+    repeated a billion times moves one row per map task.  A 64-bit hash of
+    the pair leads the partition key so the sorts compare long texts only
+    when the hashes are equal (prefix sort on the hash).
     """
-    w = Window.partitionBy(*subset).orderBy(*keys)
+    w = Window.partitionBy(F.xxhash64(*subset), *subset).orderBy(*keys)
     return (df.withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") == 1).drop("_rn"))
 

@@ -404,6 +404,27 @@ def q_save_model(spark, d):
     return K.predict(K.load_model(path), valid).select("idx", "label", "prediction")
 
 
+def q_train_or_sample(spark, d):
+    train = C.train(spark, d)
+    sample = P.sample_n(train, 100, SEED, ["id"])
+    return P.train_or_sample(train, sample, use_sample=True).select("id", "intent")
+
+
+def q_metric_callback(spark, d):
+    emb = table(spark, d, "embeddings").select(F.col("embedding").alias("logits"), "label")
+    pred = V.predictions(emb)
+    err = V.metric_callback(pred, lambda p, l: F.avg((p != l).cast("double")), name="error_rate")
+    return _round(err, ["error_rate"])
+
+
+def q_response_info_stream(spark, d):
+    from ..streaming import chat as S
+    ev = S.file_stream(spark, d, "events.parquet").select(
+        "event_id", "user_id", F.col("value").alias("seconds"))
+    out = S.run_available_complete(S.response_info_stream(ev, "user_id", "event_id", "seconds"), spark, "info")
+    return _round(out, ["last_seconds"])
+
+
 QUERIES: dict[str, Query] = {
     "format_pairs": q_format_pairs,
     "drop_missing": q_drop_missing,
@@ -461,4 +482,7 @@ QUERIES: dict[str, Query] = {
     "select_best_by_accuracy": q_select_best_by_accuracy,
     "evaluate_classifier": q_evaluate_classifier,
     "save_model": q_save_model,
+    "train_or_sample": q_train_or_sample,
+    "metric_callback": q_metric_callback,
+    "response_info_stream": q_response_info_stream,
 }

@@ -380,4 +380,8 @@ FROM (SELECT * FROM clean ORDER BY {h('id')}, id LIMIT 10)""",
     "chat_history_stream": history_sql(PROBE_LEXICON),
     "chat_history": history_sql(PROBE_LEXICON),
     "prepare_labelled": _labelled_sql(),
+    "train_or_sample": ORACLES["sample_train_rows"],
+    "metric_callback": """SELECT round(avg(CASE WHEN list_position(embedding, list_max(embedding)) - 1 <> label
+                          THEN 1.0 ELSE 0.0 END), 6) AS error_rate, count(*) AS rows FROM embeddings""",
+    "response_info_stream": ORACLES["response_info"],
 })

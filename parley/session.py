@@ -73,3 +73,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def local_scratch_dir(prefix: str = "run-") -> str:
     """A new local scratch folder for tests (never on a cluster)."""
     return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet below the shared scratch root and read it back.
+
+    Cuts the lineage of an expensive intermediate (the cleaned, split corpus;
+    a bank) that several plans consume: a lost executor then recomputes from
+    the written files, not from the raw scan, dedup and ranking again.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

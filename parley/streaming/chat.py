@@ -47,9 +47,9 @@ HISTORY_STATE = T.StructType([
 ])
 
 
-def conversation_stream(spark: SparkSession, folder: str, glob: str = "conversations.parquet",
-                        schema: T.StructType | None = None, files_per_trigger: int | None = None) -> DataFrame:
-    """Turns arriving as Parquet files in ``folder`` (files matching ``glob``)."""
+def file_stream(spark: SparkSession, folder: str, glob: str, schema: T.StructType | None = None,
+                files_per_trigger: int | None = None) -> DataFrame:
+    """Rows arriving as Parquet files in ``folder`` (files matching ``glob``)."""
     if schema is None:
         schema = spark.read.parquet(f"{folder.rstrip('/')}/{glob}").schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
@@ -58,6 +58,12 @@ def conversation_stream(spark: SparkSession, folder: str, glob: str = "conversat
     return reader.parquet(folder)
 
 
+def conversation_stream(spark: SparkSession, folder: str, glob: str = "conversations.parquet",
+                        schema: T.StructType | None = None, files_per_trigger: int | None = None) -> DataFrame:
+    """Chat turns arriving as Parquet files."""
+    return file_stream(spark, folder, glob, schema, files_per_trigger)
+
+
 def answer_stream(turns: DataFrame, bank: DataFrame, lexicon: Lexicon = STOCK_LEXICON,
                   text_col: str = "text", role_col: str = "role") -> DataFrame:
     """STR-1: answer user messages; system messages pass through as clear
@@ -130,13 +136,31 @@ def run_available(stream: DataFrame, spark: SparkSession, name: str, fmt: str =
     return spark.read.format(fmt).load(out)
 
 
-def last_response_info(log: DataFrame, key: str, order: str, seconds: str) -> DataFrame:
-    """STR-4 over a stream or table: latest seconds per key as text."""
+def run_available_complete(stream: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+    """Run a streaming aggregation in complete mode over everything available
+    now; every micro-batch overwrites one Parquet table (idempotent on replay)."""
+    out = scratch_path(spark, f"{name}-out")
+    chk = scratch_path(spark, f"{name}-chk")
+
+    def write(batch: DataFrame, _epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    q = (stream.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", chk)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(out)
+
+
+def response_info_stream(log: DataFrame, key: str, order: str, seconds: str) -> DataFrame:
+    """STR-4 on a stream: latest seconds per key as text (stateful aggregation,
+    partial-aggregated per micro-batch)."""
     from ..operators.evaluate import response_info
     return response_info(log, key, order, seconds)
 
 
 __all__: Sequence[str] = [
-    "conversation_stream", "answer_stream", "chat_history", "chat_history_batch", "run_available",
-    "last_response_info",
+    "file_stream", "conversation_stream", "answer_stream", "chat_history", "chat_history_batch",
+    "run_available", "run_available_complete", "response_info_stream",
 ]
