@@ -8,13 +8,26 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
+def proven_max_rows(df: DataFrame) -> int | None:
+    """Row bound Catalyst proves for the optimized plan (a LIMIT, a global
+    aggregate, a local relation ...), or None when the plan has none."""
+    try:
+        opt = df._jdf.queryExecution().optimizedPlan().maxRows()
+    except Exception:  # pragma: no cover - non-classic sessions
+        return None
+    return int(opt.get()) if opt.isDefined() else None
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave it
     to a shuffle join (AQE may still convert it from runtime statistics).
 
-    The check runs ``limit(max_rows + 1).count()``; it is meant for small
-    derived tables (banks, vocabularies, lexicons), whose size does not grow
-    with the corpus.
+    The bound comes from the plan when Catalyst can prove one (no job runs);
+    otherwise from ``limit(max_rows + 1).count()``, meant for small derived
+    tables whose size does not grow with the corpus (banks, lexicons).
     """
+    bound = proven_max_rows(df)
+    if bound is not None and bound <= max_rows:
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import (
     BOS_ID, EOS_ID, LABEL_IGNORE_ID, MAX_INPUT_LENGTH, MAX_TARGET_LENGTH, PAD_ID, UNK_ID, VOCAB_SIZE,
 )
+from ..functions.broadcast import checked_broadcast
 from ..functions.text import word_tokens
 
 N_SPECIAL = 4
@@ -60,7 +61,8 @@ def mask_labels(ids: F.Column) -> F.Column:
 
 
 def encode_columns(df: DataFrame, vocab: DataFrame, specs: Sequence[tuple[str, str, int]],
-                   keys: Sequence[str] = ("id",), carry: Sequence[str] = ()) -> DataFrame:
+                   keys: Sequence[str] = ("id",), carry: Sequence[str] = (),
+                   max_vocab_rows: int = 4 * VOCAB_SIZE) -> DataFrame:
     """ENC-2 for several text columns at once.
 
     ``specs`` = ``[(text_col, out_ids_col, length), ...]``.  Every text gives
@@ -74,8 +76,10 @@ def encode_columns(df: DataFrame, vocab: DataFrame, specs: Sequence[tuple[str, s
     exploded = (df.select(*keys, *carry, F.explode(F.array(*parts)).alias("_c"))
                 .select(*keys, *carry, F.col("_c.tag").alias("_tag"),
                         F.posexplode_outer("_c.toks").alias("_p", "_w")))
-    # vocabulary is capped at VOCAB_SIZE rows: a proven bound for the broadcast
-    v = F.broadcast(vocab.select(F.col("token").alias("_w"), F.col("id").alias("_id")))
+    # a vocabulary from build_vocabulary is capped at its size; any other
+    # vocabulary table is counted before it is broadcast
+    v = checked_broadcast(vocab.select(F.col("token").alias("_w"), F.col("id").alias("_id")),
+                          max_vocab_rows)
     looked = exploded.join(v, "_w", "left")
     pair = F.struct(F.col("_p").alias("p"), F.coalesce(F.col("_id"), F.lit(UNK_ID)).alias("id"))
     aggs = [F.array_sort(F.collect_list(F.when((F.col("_tag") == tag) & F.col("_p").isNotNull(), pair)))

@@ -45,21 +45,38 @@ def column_types(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, field string, type string")
 
 
-def value_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``(field, value, n)``: count per distinct value of every column (values as text, nulls kept)."""
+def stacked_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``(field, value)``: every cell as text, one row per (row, column)."""
     cols = list(columns or df.columns)
-    stacked = df.select(F.explode(F.array(*[
+    return df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in cols
     ])).alias("s")).select("s.*")
-    return stacked.groupBy("field", "value").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+def value_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``(field, value, n)``: count per distinct value of every column (values as text, nulls kept)."""
+    return stacked_values(df, columns).groupBy("field", "value").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
 def distinct_counts(values: DataFrame, approx: bool = False) -> DataFrame:
-    """AGG-3: distinct non-null values per column, from ``value_table``."""
+    """AGG-3: distinct non-null values per column, from ``value_table``.
+
+    ``approx=True`` on a value table is only a cheaper final step; for the
+    scalable approximate path use ``distinct_counts_approx`` on the data.
+    """
     agg = (F.approx_count_distinct("value") if approx else F.count("value")).cast("bigint")
     return values.groupBy("field").agg(agg.alias("distinct"))
 
 
+def distinct_counts_approx(df: DataFrame, columns: Sequence[str] | None = None, rsd: float = 0.01) -> DataFrame:
+    """AGG-3, approximate: HyperLogLog++ per column straight over the stacked
+    cells.  Each task ships one sketch per column, so long text columns are
+    never shuffled; relative standard deviation ``rsd``."""
+    return stacked_values(df, columns).groupBy("field").agg(
+        F.approx_count_distinct("value", rsd).cast("bigint").alias("distinct"))
+
+
 def top_values(values: DataFrame, k: int = TOP_VALUES, low_cardinality: int = LOW_CARDINALITY,
                always: Sequence[str] = ("category", "intent")) -> DataFrame:
     """AGG-4: top ``k`` non-null values of each column that is in ``always`` or has
@@ -175,7 +192,8 @@ def profile_report(df: DataFrame, approx: bool = False) -> DataFrame:
     types = column_types(df).select(F.lit("type").alias("section"), F.col("field").alias("name"),
                                     F.col("type").alias("value"), F.col("position").alias("ord"))
     order_map = F.create_map(*[x for name, i in pos.items() for x in (F.lit(name), F.lit(i))])
-    dcs = distinct_counts(value_table(df), approx).select(
+    counts = distinct_counts_approx(df) if approx else distinct_counts(value_table(df))
+    dcs = counts.select(
         F.lit("distinct").alias("section"), F.col("field").alias("name"),
         F.col("distinct").cast("string").alias("value"), order_map[F.col("field")].alias("ord"))
     return rows.unionByName(cols).unionByName(types).unionByName(dcs)

@@ -69,3 +69,12 @@ def test_value_counts_sorted(spark, corpus_fixture):
     rows = R.value_counts(corpus_fixture, "category").collect()
     assert [r["n"] for r in rows] == sorted([r["n"] for r in rows], reverse=True)
     assert rows[0]["category"] == "ORDER"
+
+
+def test_distinct_counts_approx_close(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(20000).select(F.col("id").cast("string").alias("a"), (F.col("id") % 37).alias("b"))
+    got = {r["field"]: r["distinct"] for r in R.distinct_counts_approx(df).collect()}
+    assert got["b"] == 37 and abs(got["a"] - 20000) / 20000 < 0.05
+    plan = R.distinct_counts_approx(df)._jdf.queryExecution().executedPlan().toString()
+    assert "approx_count_distinct" in plan or "HyperLogLogPlusPlus" in plan
