@@ -37,6 +37,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+# Settings a cluster job of this library is meant to run with (applied by the
+# job's submitter, not by the library).  Shuffle partitions are sized by AQE
+# from ~128 MB advisory partitions; skewed partitions are split.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints, stream state and written tables.
 
@@ -44,22 +59,24 @@ def scratch_root(spark: SparkSession) -> str:
     conf, then the context's registered checkpoint dir).  Only when none is set
     does it create a local folder and register it.
     """
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir", None)
-    if not found:
-        try:
-            found = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # pragma: no cover - conf lookup on remote sessions
-            found = None
-    if not found:
-        opt = sc._jsc.sc().getCheckpointDir()
-        if opt.isDefined():
-            found = opt.get()
+    found = None
+    try:
+        found = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # pragma: no cover - conf lookup on remote sessions
+        found = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # pragma: no cover - Spark Connect: no context on the client
+        sc = None
+    if sc is not None:
+        found = found or sc.getConf().get("spark.checkpoint.dir", None)
+        if not found:
+            opt = sc._jsc.sc().getCheckpointDir()
+            if opt.isDefined():
+                found = opt.get()
     if not found:
         found = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        sc.setCheckpointDir(found)
-        return found
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
+    if sc is not None and sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(found)
     return found
 

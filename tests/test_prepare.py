@@ -119,3 +119,23 @@ def test_train_or_sample_and_prefix(spark):
     assert P.train_or_sample(a, b, False).count() == 3
     pos = spark.range(19).withColumnRenamed("id", "pos")
     assert P.battery_prefix(pos).count() == 5
+
+
+def test_checked_broadcast_uses_plan_bound_or_count(spark):
+    from parley.functions.broadcast import checked_broadcast, proven_max_rows
+    from tests.conftest import SF_SMALL
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert proven_max_rows(docs.limit(10)) == 10
+    assert proven_max_rows(docs.groupBy("source").count()) is None
+    probe = spark.range(10).withColumnRenamed("id", "doc_id")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our hint may broadcast
+    try:
+        # no proven bound and more rows than allowed: stays a shuffle join
+        j1 = probe.join(checked_broadcast(docs, max_rows=100), "doc_id")
+        assert "BroadcastHashJoin" not in j1._jdf.queryExecution().sparkPlan().toString()
+        # counted and small enough: broadcast
+        j2 = probe.join(checked_broadcast(docs.where(F.col("doc_id") < 50), max_rows=100), "doc_id")
+        assert "BroadcastHashJoin" in j2._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
