@@ -79,6 +79,15 @@ def load_bank(spark: SparkSession, train_path: str, on_missing: str = "empty", *
     return template_bank(train, **kw)
 
 
+def save_bank(bank: DataFrame, path: str) -> None:
+    """SNK-6 (bank part): the bank as JSON lines ``{"intent":..., "templates":[...]}``."""
+    bank.write.mode("overwrite").json(path)
+
+
+def read_bank(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(BANK_SCHEMA).json(path)
+
+
 def bank_as_text(bank: DataFrame, sep: str = " || ") -> DataFrame:
     """Flat form for comparison and JSON: ``(intent, n_templates, templates_text)``."""
     return bank.select("intent", F.size("templates").cast("bigint").alias("n_templates"),

@@ -182,3 +182,20 @@ def report_lines(report: DataFrame) -> DataFrame:
 
 def write_report(report: DataFrame, path: str) -> None:
     report_lines(report).orderBy("section", "ord").select("value").coalesce(1).write.mode("overwrite").text(path)
+
+
+# --- SRC-5: configuration documents ----------------------------------------------------------------
+
+
+def config_document(spark: SparkSession, settings: dict) -> DataFrame:
+    """A flat configuration as a one-row DataFrame (values keep their types)."""
+    return spark.createDataFrame([tuple(settings.values())], list(settings.keys()))
+
+
+def write_config(doc: DataFrame, path: str) -> None:
+    doc.coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_config(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Read configuration document(s); indented single documents need ``multi_line``."""
+    return spark.read.option("multiLine", str(multi_line).lower()).json(path)

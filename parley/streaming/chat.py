@@ -77,8 +77,13 @@ def answer_stream(turns: DataFrame, bank: DataFrame, lexicon: Lexicon = STOCK_LE
             .withColumn("message", F.col(text_col)))
 
 
-def _history_fn(max_turns: int | None):
+def _history_fn(max_turns: int | None, idle_timeout_ms: int | None):
     def fn(key, batches, state):
+        if state.hasTimedOut:
+            # conversation idle for longer than the timeout: forget its history
+            state.remove()
+            yield pd.DataFrame([], columns=[f.name for f in HISTORY_OUT.fields])
+            return
         if state.exists:
             since, turns, msgs, resps = state.get
             turns, msgs, resps = list(turns), list(msgs), list(resps)
@@ -99,18 +104,29 @@ def _history_fn(max_turns: int | None):
                     turns, msgs, resps = turns[-max_turns:], msgs[-max_turns:], resps[-max_turns:]
                 out.append((int(key[0]), int(turn), since, message, response))
         state.update((since, turns, msgs, resps))
+        if idle_timeout_ms:
+            state.setTimeoutDuration(int(idle_timeout_ms))
         yield pd.DataFrame(out, columns=[f.name for f in HISTORY_OUT.fields])
 
     return fn
 
 
-def chat_history(answered: DataFrame, key: str = "conv_id", max_turns: int | None = None) -> DataFrame:
+def chat_history(answered: DataFrame, key: str = "conv_id", max_turns: int | None = None,
+                 idle_timeout_ms: int | None = None) -> DataFrame:
     """STR-2 + STR-3 on a stream: per-conversation ordered history, reset by
-    clear events; one output row per recorded message."""
+    clear events; one output row per recorded message.
+
+    ``max_turns`` keeps only the last entries in state (positions still count
+    all turns since the clear); ``idle_timeout_ms`` drops the state of a
+    conversation that received nothing for that long (processing time; for
+    continuously running queries -- a run-once ``availableNow`` query keeps
+    scheduling timeout batches and never finishes).
+    """
     cols = answered.select(F.col(key).cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                            "is_clear", "recorded", "message", "response")
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_timeout_ms else GroupStateTimeout.NoTimeout
     return cols.groupBy("conv_id").applyInPandasWithState(
-        _history_fn(max_turns), HISTORY_OUT, HISTORY_STATE, "append", GroupStateTimeout.NoTimeout)
+        _history_fn(max_turns, idle_timeout_ms), HISTORY_OUT, HISTORY_STATE, "append", timeout)
 
 
 def chat_history_batch(answered: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:

@@ -198,3 +198,54 @@ def test_classifier_train_select_evaluate_save(spark):
     prep = K.prepare_labelled(lab).collect()
     assert all(len(r["input_ids"]) == 128 for r in prep)
     assert {r["split"] for r in prep} == {"train", "val"}
+
+
+def test_history_cap_and_bank_config_json(spark, chat_folder):
+    from parley.operators import bank as B
+    folder, _ = chat_folder
+    bank = spark.createDataFrame([("general", ["G {query}"])], BANK_SCHEMA)
+    stream = S.conversation_stream(spark, folder, glob="conv-*.parquet", files_per_trigger=1)
+    capped = S.run_available(S.chat_history(S.answer_stream(stream, bank), max_turns=1), spark, "t-cap")
+    pos = {(r["conv_id"], r["turn"]): r["history_pos"] for r in capped.collect()}
+    assert pos[(2, 1)] == 2  # positions still count every turn since the last clear
+    path = os.path.join(_scratch(), "bank")
+    B.save_bank(bank, path)
+    assert B.read_bank(spark, path).collect()[0]["templates"] == ["G {query}"]
+    cpath = os.path.join(_scratch(), "cfg")
+    IO.write_config(IO.config_document(spark, {"max_input_length": 128, "template_based_generation": True}), cpath)
+    cfg = IO.read_config(spark, cpath, multi_line=False).collect()[0]
+    assert cfg["max_input_length"] == 128 and cfg["template_based_generation"] is True
+
+
+class _FakeState:
+    def __init__(self, value=None, timed_out=False):
+        self.value, self.hasTimedOut, self.removed, self.timeout = value, timed_out, False, None
+
+    @property
+    def exists(self):
+        return self.value is not None
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, v):
+        self.value = v
+
+    def remove(self):
+        self.removed, self.value = True, None
+
+    def setTimeoutDuration(self, ms):
+        self.timeout = ms
+
+
+def test_history_state_function_cap_and_timeout():
+    fn = S._history_fn(max_turns=2, idle_timeout_ms=1000)
+    batch = pd.DataFrame({"turn": [2, 1, 3], "is_clear": [False, False, False], "recorded": [True, True, True],
+                          "message": ["b", "a", "c"], "response": ["B", "A", "C"]})
+    st = _FakeState()
+    out = pd.concat(list(fn((7,), iter([batch]), st)))
+    assert list(out["turn"]) == [1, 2, 3] and list(out["history_pos"]) == [1, 2, 3]
+    assert st.value[1] == [2, 3] and st.timeout == 1000  # only the last two entries kept
+    idle = _FakeState(value=st.value, timed_out=True)
+    assert len(pd.concat(list(fn((7,), iter([]), idle)))) == 0 and idle.removed
