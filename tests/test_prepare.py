@@ -94,12 +94,36 @@ def test_split_exact_disjoint_covering_and_equal_to_global_rank(spark):
         assert got == _global_rank_split(df)
 
 
+def single_partition_outside_broadcast(plan: str) -> list[str]:
+    """Lines of ``Exchange SinglePartition`` not nested under a BroadcastExchange."""
+    lines = plan.splitlines()
+    bad = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" not in line:
+            continue
+        depth = len(line) - len(line.lstrip(" :+-"))
+        under_broadcast = False
+        for prev in reversed(lines[:i]):
+            d = len(prev) - len(prev.lstrip(" :+-"))
+            if d < depth:
+                depth = d
+                if "BroadcastExchange" in prev:
+                    under_broadcast = True
+                    break
+        if not under_broadcast:
+            bad.append(line.strip())
+    return bad
+
+
 def test_split_plan_has_no_single_partition_over_data(spark):
-    sp = P.split_train_val_test(spark.range(100), ["id"])
+    sp = P.split_train_val_test(spark.range(100).repartition(4), ["id"])
+    sp.collect()
     plan = sp._jdf.queryExecution().executedPlan().toString()
-    # the only single-partition exchange is over the bucket-count table,
-    # which sits under a broadcast
-    assert "BroadcastExchange" in plan
+    assert "Exchange SinglePartition" in plan  # the bucket-count table ...
+    assert single_partition_outside_broadcast(plan) == []  # ... and only under a broadcast
+    naive = spark.range(100).withColumn("r", F.row_number().over(Window.orderBy("id")))
+    naive.collect()
+    assert single_partition_outside_broadcast(naive._jdf.queryExecution().executedPlan().toString())
 
 
 def test_running_count_matches_window_on_hot_key(spark):
