@@ -108,6 +108,10 @@ def q_distinct_counts(spark, d):
     return R.distinct_counts(R.value_table(_profiled(spark, d)))
 
 
+def q_distinct_counts_hashed(spark, d):
+    return R.distinct_counts_hashed(_profiled(spark, d))
+
+
 def q_top_values(spark, d):
     return R.top_values(R.value_table(_profiled(spark, d)))
 
@@ -441,6 +445,7 @@ QUERIES: dict[str, Query] = {
     "shape": q_shape,
     "column_types": q_column_types,
     "distinct_counts": q_distinct_counts,
+    "distinct_counts_hashed": q_distinct_counts_hashed,
     "top_values": q_top_values,
     "category_counts": q_category_counts,
     "intent_counts": q_intent_counts,

@@ -78,3 +78,10 @@ def test_distinct_counts_approx_close(spark):
     assert got["b"] == 37 and abs(got["a"] - 20000) / 20000 < 0.05
     plan = R.distinct_counts_approx(df)._jdf.queryExecution().executedPlan().toString()
     assert "approx_count_distinct" in plan or "HyperLogLogPlusPlus" in plan
+
+
+def test_distinct_counts_hashed_equals_exact(spark, corpus_fixture):
+    prof = R.with_lengths(corpus_fixture)
+    exact = {r["field"]: r["distinct"] for r in R.distinct_counts(R.value_table(prof)).collect()}
+    hashed = {r["field"]: r["distinct"] for r in R.distinct_counts_hashed(prof).collect()}
+    assert exact == hashed
