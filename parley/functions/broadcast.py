@@ -22,12 +22,19 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave it
     to a shuffle join (AQE may still convert it from runtime statistics).
 
-    The bound comes from the plan when Catalyst can prove one (no job runs);
-    otherwise from ``limit(max_rows + 1).count()``, meant for small derived
-    tables whose size does not grow with the corpus (banks, lexicons).
+    The bound comes from the plan when Catalyst can prove one (no job runs).
+    Otherwise at most ``max_rows + 1`` rows of ``df`` are checkpointed into the
+    shared checkpoint folder and counted: when they are all of ``df``, the
+    checkpointed copy is what gets broadcast, so an expensive small side (a
+    bank built from the whole corpus) is computed once, not once for the
+    check and again for the join.
     """
     bound = proven_max_rows(df)
     if bound is not None and bound <= max_rows:
         return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    from ..session import scratch_root
+
+    scratch_root(df.sparkSession)  # reads spark.checkpoint.dir; sets one only when unset
+    capped = df.limit(max_rows + 1).checkpoint(eager=True)
+    n = capped.count()
+    return F.broadcast(capped) if n <= max_rows else df
