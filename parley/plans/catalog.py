@@ -215,6 +215,12 @@ def q_encode_pairs(spark, d):
                             ["input_ids", "attention_mask", "labels"])
 
 
+def q_encode_pairs_lookup(spark, d):
+    enc = E.encode_pairs(C.train(spark, d), _vocab(spark, d), ["id"], method="lookup")
+    return E.arrays_as_text(enc.select("id", "input_ids", "attention_mask", "labels"),
+                            ["input_ids", "attention_mask", "labels"])
+
+
 # --- evaluation ------------------------------------------------------------------------------
 
 
@@ -465,6 +471,7 @@ QUERIES: dict[str, Query] = {
     "inference_table": q_inference_table,
     "build_vocabulary": q_build_vocabulary,
     "encode_pairs": q_encode_pairs,
+    "encode_pairs_lookup": q_encode_pairs_lookup,
     "latency_summary": q_latency_summary,
     "latency_by_path": q_latency_by_path,
     "run_speedup": q_run_speedup,

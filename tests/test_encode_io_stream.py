@@ -249,3 +249,14 @@ def test_history_state_function_cap_and_timeout():
     assert st.value[1] == [2, 3] and st.timeout == 1000  # only the last two entries kept
     idle = _FakeState(value=st.value, timed_out=True)
     assert len(pd.concat(list(fn((7,), iter([]), idle)))) == 0 and idle.removed
+
+
+def test_encode_lookup_equals_join(spark):
+    long = " ".join(f"w{i}" for i in range(300))
+    df = spark.createDataFrame([(1, "Hello hello world", "the answer world"), (2, "", "  "), (3, None, long),
+                                (4, "unseen zzz", "x")], "id bigint, input_text string, target_text string")
+    vocab = E.build_vocabulary(df.where(F.col("id") != 4), ["input_text", "target_text"], size=20)
+    a = E.encode_pairs(df, vocab, ["id"], input_length=8, target_length=12).orderBy("id").collect()
+    b = E.encode_pairs(df, vocab, ["id"], input_length=8, target_length=12, method="lookup").orderBy("id").collect()
+    cols = ["id", "input_ids", "attention_mask", "labels"]
+    assert [[r[c] for c in cols] for r in a] == [[r[c] for c in cols] for r in b]
