@@ -59,14 +59,24 @@ def value_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
         F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def distinct_counts(values: DataFrame, approx: bool = False) -> DataFrame:
+def distinct_counts(values: DataFrame, approx: bool = False, columns: Sequence[str] | None = None) -> DataFrame:
     """AGG-3: distinct non-null values per column, from ``value_table``.
 
+    With ``columns`` every listed column gets a row (0 for an empty table).
     ``approx=True`` on a value table is only a cheaper final step; for the
     scalable approximate path use ``distinct_counts_approx`` on the data.
     """
     agg = (F.approx_count_distinct("value") if approx else F.count("value")).cast("bigint")
-    return values.groupBy("field").agg(agg.alias("distinct"))
+    counted = values.groupBy("field").agg(agg.alias("distinct"))
+    if columns is None:
+        return counted
+    return _all_fields(values.sparkSession, columns, counted)
+
+
+def _all_fields(spark, columns: Sequence[str], counted: DataFrame) -> DataFrame:
+    fields = spark.createDataFrame([(c,) for c in columns], "field string")
+    return fields.join(counted, "field", "left").select(
+        "field", F.coalesce(F.col("distinct"), F.lit(0)).cast("bigint").alias("distinct"))
 
 
 def distinct_counts_hashed(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -76,9 +86,7 @@ def distinct_counts_hashed(df: DataFrame, columns: Sequence[str] | None = None)
     st = stacked_values(df, columns).where(F.col("value").isNotNull())
     per_value = st.groupBy("field", F.unhex(F.md5("value")).alias("h")).agg(F.count(F.lit(1)).alias("_n"))
     counted = per_value.groupBy("field").agg(F.count(F.lit(1)).cast("bigint").alias("distinct"))
-    fields = df.sparkSession.createDataFrame([(c,) for c in (columns or df.columns)], "field string")
-    return fields.join(counted, "field", "left").select(
-        "field", F.coalesce(F.col("distinct"), F.lit(0)).cast("bigint").alias("distinct"))
+    return _all_fields(df.sparkSession, list(columns or df.columns), counted)
 
 
 def distinct_counts_approx(df: DataFrame, columns: Sequence[str] | None = None, rsd: float = 0.01) -> DataFrame:
@@ -204,7 +212,7 @@ def profile_report(df: DataFrame, approx: bool = False) -> DataFrame:
     types = column_types(df).select(F.lit("type").alias("section"), F.col("field").alias("name"),
                                     F.col("type").alias("value"), F.col("position").alias("ord"))
     order_map = F.create_map(*[x for name, i in pos.items() for x in (F.lit(name), F.lit(i))])
-    counts = distinct_counts_approx(df) if approx else distinct_counts(value_table(df))
+    counts = distinct_counts_approx(df) if approx else distinct_counts(value_table(df), columns=df.columns)
     dcs = counts.select(
         F.lit("distinct").alias("section"), F.col("field").alias("name"),
         F.col("distinct").cast("string").alias("value"), order_map[F.col("field")].alias("ord"))

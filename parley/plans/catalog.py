@@ -105,7 +105,8 @@ def q_column_types(spark, d):
 
 
 def q_distinct_counts(spark, d):
-    return R.distinct_counts(R.value_table(_profiled(spark, d)))
+    prof = _profiled(spark, d)
+    return R.distinct_counts(R.value_table(prof), columns=prof.columns)
 
 
 def q_distinct_counts_hashed(spark, d):
