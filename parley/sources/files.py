@@ -25,8 +25,12 @@ PAIRS_SCHEMA = T.StructType([
     T.StructField("intent", T.StringType(), True),
 ])
 
+# Nulls are written as the marker \N (Hive convention) so that empty strings
+# ("" in the file) and nulls survive a round trip; a text that is exactly \N
+# reads back as null.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true",
-               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+               "nullValue": "\\N"}
 
 
 # --- SRC-1 / SRC-3 / SNK-1: CSV ---------------------------------------------------------

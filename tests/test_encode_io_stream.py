@@ -260,3 +260,12 @@ def test_encode_lookup_equals_join(spark):
     b = E.encode_pairs(df, vocab, ["id"], input_length=8, target_length=12, method="lookup").orderBy("id").collect()
     cols = ["id", "input_ids", "attention_mask", "labels"]
     assert [[r[c] for c in cols] for r in a] == [[r[c] for c in cols] for r in b]
+
+
+def test_csv_empty_strings_and_nulls_survive(spark):
+    df = spark.createDataFrame([(1, "", None, "A", "i"), (2, None, "", "B", "j"), (3, "N/A", "null", "", None),
+                                (4, " x ", '"q"', "C", "k")],
+                               "id bigint, input_text string, target_text string, category string, intent string")
+    path = os.path.join(_scratch(), "csv-empty")
+    IO.write_pairs_csv(df, path)
+    assert sorted(map(tuple, IO.read_pairs_csv(spark, path).collect())) == sorted(map(tuple, df.collect()))
