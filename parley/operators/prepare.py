@@ -63,9 +63,14 @@ def preview(df: DataFrame, keys: Sequence[str] = ("id",), n: int = PREVIEW_ROWS)
     return df.orderBy(*keys).limit(n)
 
 
+def in_prefix(pos: F.Column, n: int = BATTERY_MODEL_PREFIX) -> F.Column:
+    """LIM-2 predicate: 0-based position below ``n``."""
+    return pos < n
+
+
 def battery_prefix(df: DataFrame, pos_col: str = "pos", n: int = BATTERY_MODEL_PREFIX) -> DataFrame:
     """LIM-2: rows whose 0-based position is below ``n``."""
-    return df.where(F.col(pos_col) < n)
+    return df.where(in_prefix(F.col(pos_col), n))
 
 
 # --- distinct --------------------------------------------------------------------

@@ -339,12 +339,8 @@ def q_profile_report_text(spark, d):
 
 
 def q_validation_battery(spark, d):
-    from ..functions.constants import BATTERY_MODEL_PREFIX
-    battery = P.sample_n(C.questions(spark, d), 19, SEED, ["conv_id", "turn"], pos_col="pos")
-    sbs = A.side_by_side(battery, C.bank(spark, d), PROBE_LEXICON)
-    in_prefix = P.battery_prefix(sbs.withColumn("_p0", F.col("pos") - 1), "_p0", BATTERY_MODEL_PREFIX)
-    rest = sbs.join(in_prefix.select("pos"), "pos", "left_anti").withColumn("model_prompt", F.lit(None).cast("string"))
-    out = in_prefix.drop("_p0").unionByName(rest)
+    from .flows import evaluate_battery
+    out = evaluate_battery(C.questions(spark, d), C.bank(spark, d), 19, PROBE_LEXICON, ("conv_id", "turn"))
     return out.select("pos", "query", "intent", "template_route", "template_response", "model_prompt")
 
 

@@ -100,8 +100,10 @@ def encode_corpus(spark: SparkSession, processed: str, out: str, use_sample: str
 
 def evaluate_battery(questions: DataFrame, bank: DataFrame, n: int = 19, lexicon: Lexicon = STOCK_LEXICON,
                      keys: tuple[str, ...] = ("id",), seed: int = SEED, text_col: str = "query") -> DataFrame:
-    """The validation battery: ``n`` sampled questions, template path for all,
-    model prompt for the first ``BATTERY_MODEL_PREFIX`` (LIM-2)."""
+    """The validation battery: ``n`` sampled questions (1-based ``pos``),
+    template path for all, model prompt for the first ``BATTERY_MODEL_PREFIX``
+    (LIM-2)."""
     battery = P.sample_n(questions, n, seed, list(keys), pos_col="pos")
     sbs = A.side_by_side(battery, bank, lexicon, text_col)
-    return sbs.withColumn("model_prompt", F.when(F.col("pos") <= BATTERY_MODEL_PREFIX, F.col("model_prompt")))
+    return sbs.withColumn("model_prompt", F.when(P.in_prefix(F.col("pos") - 1, BATTERY_MODEL_PREFIX),
+                                                 F.col("model_prompt")))
