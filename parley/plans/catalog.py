@@ -13,16 +13,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.constants import SEED
+from ..functions.constants import SEED, STOCK_LEXICON
+from ..functions.hashing import order_hash
 from ..functions.lexicon import PROBE_LEXICON, lexicon_frame
 from ..operators import bank as B
+from ..operators import classify as K
 from ..operators import encode as E
 from ..operators import evaluate as V
 from ..operators import prepare as P
 from ..operators import profile as R
 from ..operators import respond as A
+from ..session import scratch_path
+from ..sources import files as IO
 from ..sources.tables import table
+from ..streaming import chat as S
 from . import corpus as C
+from .flows import evaluate_battery
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -172,7 +178,6 @@ def _answers(spark, d, lexicon, bank=None, use_templates=True):
 
 
 def q_answer_questions(spark, d):
-    from ..functions.constants import STOCK_LEXICON
     return _answers(spark, d, STOCK_LEXICON)
 
 
@@ -181,7 +186,6 @@ def q_answer_questions_probe(spark, d):
 
 
 def q_answer_default_bank(spark, d):
-    from ..functions.constants import STOCK_LEXICON
     return _answers(spark, d, STOCK_LEXICON, bank=B.default_bank(spark))
 
 
@@ -257,24 +261,18 @@ def q_response_info(spark, d):
 
 
 def q_csv_roundtrip(spark, d):
-    from ..sources import files as IO
-    from ..session import scratch_path
     path = scratch_path(spark, "pairs-csv")
     IO.write_pairs_csv(C.split(spark, d), path)
     return IO.read_pairs_csv(spark, path)
 
 
 def q_scan_csv_dir(spark, d):
-    from ..sources import files as IO
-    from ..session import scratch_path
     path = scratch_path(spark, "pairs-csv")
     IO.write_pairs_csv(C.split(spark, d), path)
     return IO.scan_csv_dir(spark, path)
 
 
 def q_prepared_roundtrip(spark, d):
-    from ..sources import files as IO
-    from ..session import scratch_path
     path = scratch_path(spark, "prepared")
     sp = C.split(spark, d)
     vocab = E.build_vocabulary(sp.where(F.col("split") == "train"), ["input_text", "target_text"])
@@ -286,8 +284,6 @@ def q_prepared_roundtrip(spark, d):
 
 
 def q_numbered_questions(spark, d):
-    from ..sources import files as IO
-    from ..session import scratch_path
     path = scratch_path(spark, "questions-txt")
     sample = P.sample_n(C.cleaned(spark, d), 10, SEED, ["id"], pos_col="pos")
     IO.write_numbered_text(IO.numbered_lines(sample, "instruction", "pos"), path)
@@ -295,14 +291,12 @@ def q_numbered_questions(spark, d):
 
 
 def q_source_or_default(spark, d):
-    from ..sources import files as IO
     sample = P.sample_n(C.cleaned(spark, d), 10, SEED, ["id"], pos_col="pos").select(
         "pos", F.col("instruction").alias("question"))
     return IO.source_or_default(sample, IO.default_questions(spark))
 
 
 def _response_log(spark, d):
-    from ..functions.hashing import order_hash
     ev = table(spark, d, "events")
     return ev.select(F.col("event_type").alias("run"),
                      F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("query"),
@@ -311,8 +305,6 @@ def _response_log(spark, d):
 
 
 def q_response_log_roundtrip(spark, d):
-    from ..sources import files as IO
-    from ..session import scratch_path
     path = scratch_path(spark, "results-json")
     docs = IO.result_documents(_response_log(spark, d), "run", battery=10, order_col="_h")
     IO.write_result_documents(docs, path)
@@ -322,8 +314,6 @@ def q_response_log_roundtrip(spark, d):
 
 
 def q_metadata_json(spark, d):
-    from ..sources import files as IO
-    from ..session import scratch_path
     path = scratch_path(spark, "metadata-json")
     meta = q_split_metadata(spark, d)
     IO.write_json_rows(meta, path)
@@ -331,15 +321,12 @@ def q_metadata_json(spark, d):
 
 
 def q_profile_report_text(spark, d):
-    from ..sources import files as IO
-    from ..session import scratch_path
     path = scratch_path(spark, "profile-txt")
     IO.write_report(R.profile_report(_profiled(spark, d)), path)
     return spark.read.text(path)
 
 
 def q_validation_battery(spark, d):
-    from .flows import evaluate_battery
     out = evaluate_battery(C.questions(spark, d), C.bank(spark, d), 19, PROBE_LEXICON, ("conv_id", "turn"))
     return out.select("pos", "query", "intent", "template_route", "template_response", "model_prompt")
 
@@ -348,7 +335,6 @@ def q_validation_battery(spark, d):
 
 
 def q_answer_stream(spark, d):
-    from ..streaming import chat as S
     turns = S.conversation_stream(spark, d)
     ans = S.answer_stream(turns, C.bank(spark, d), PROBE_LEXICON)
     out = S.run_available(ans.where(F.col("role") == "user"), spark, "answers")
@@ -356,14 +342,12 @@ def q_answer_stream(spark, d):
 
 
 def q_chat_history_stream(spark, d):
-    from ..streaming import chat as S
     turns = S.conversation_stream(spark, d)
     hist = S.chat_history(S.answer_stream(turns, C.bank(spark, d), PROBE_LEXICON))
     return S.run_available(hist, spark, "history")
 
 
 def q_chat_history(spark, d):
-    from ..streaming import chat as S
     ans = S.answer_stream(table(spark, d, "conversations"), C.bank(spark, d), PROBE_LEXICON)
     return S.chat_history_batch(ans)
 
@@ -372,13 +356,11 @@ def q_chat_history(spark, d):
 
 
 def q_prepare_labelled(spark, d):
-    from ..operators import classify as K
     out = K.prepare_labelled(C.labelled(spark, d))
     return E.arrays_as_text(out, ["input_ids", "attention_mask"])
 
 
 def _cls_parts(spark, d):
-    from ..operators import classify as K
     sp = K.labelled_splits(C.labelled(spark, d))
     train = P.shuffle_take(sp.where(F.col("split") == "train"), 1000, SEED, ["idx"])
     valid = P.shuffle_take(sp.where(F.col("split") == "val"), 200, SEED, ["idx"])
@@ -386,26 +368,21 @@ def _cls_parts(spark, d):
 
 
 def q_train_text_classifier(spark, d):
-    from ..operators import classify as K
     train, valid = _cls_parts(spark, d)
     return K.predict(K.train_text_classifier(train), valid).select("idx", "label", "prediction")
 
 
 def q_select_best_by_accuracy(spark, d):
-    from ..operators import classify as K
     train, _ = _cls_parts(spark, d)
     return K.select_best_by_accuracy(train)[1]
 
 
 def q_evaluate_classifier(spark, d):
-    from ..operators import classify as K
     train, valid = _cls_parts(spark, d)
     return K.evaluate_classifier(K.train_text_classifier(train), valid)
 
 
 def q_save_model(spark, d):
-    from ..operators import classify as K
-    from ..session import scratch_path
     train, valid = _cls_parts(spark, d)
     path = K.save_model(K.train_text_classifier(train), scratch_path(spark, "model"))
     return K.predict(K.load_model(path), valid).select("idx", "label", "prediction")
@@ -425,7 +402,6 @@ def q_metric_callback(spark, d):
 
 
 def q_response_info_stream(spark, d):
-    from ..streaming import chat as S
     ev = S.file_stream(spark, d, "events.parquet").select(
         "event_id", "user_id", F.col("value").alias("seconds"))
     out = S.run_available_complete(S.response_info_stream(ev, "user_id", "event_id", "seconds"), spark, "info")
