@@ -151,6 +151,12 @@ def q_template_bank(spark, d):
     return B.bank_as_text(C.bank(spark, d))
 
 
+def q_bank_json_roundtrip(spark, d):
+    path = scratch_path(spark, "bank-json")
+    B.save_bank(C.bank(spark, d), path)
+    return B.bank_as_text(B.read_bank(spark, path))
+
+
 def q_general_bank(spark, d):
     return B.bank_as_text(B.general_bank(C.train(spark, d)))
 
@@ -433,6 +439,7 @@ QUERIES: dict[str, Query] = {
     "profile_report": q_profile_report,
     "template_bank": q_template_bank,
     "general_bank": q_general_bank,
+    "bank_json_roundtrip": q_bank_json_roundtrip,
     "classify_intent": q_classify_intent,
     "classify_intent_probe": q_classify_intent_probe,
     "classify_intent_join": q_classify_intent_join,

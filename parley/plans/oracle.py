@@ -382,6 +382,7 @@ FROM (SELECT * FROM clean ORDER BY {h('id')}, id LIMIT 10)""",
     "prepare_labelled": _labelled_sql(),
     "train_or_sample": ORACLES["sample_train_rows"],
     "distinct_counts_hashed": ORACLES["distinct_counts"],
+    "bank_json_roundtrip": ORACLES["template_bank"],
     "encode_pairs_lookup": ORACLES["encode_pairs"],
     "metric_callback": """SELECT round(avg(CASE WHEN list_position(embedding, list_max(embedding)) - 1 <> label
                           THEN 1.0 ELSE 0.0 END), 6) AS error_rate, count(*) AS rows FROM embeddings""",
