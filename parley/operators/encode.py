@@ -109,9 +109,10 @@ def _encode_lookup(df: DataFrame, vocab: DataFrame, specs, keys, carry, max_voca
     from ..functions.broadcast import proven_max_rows
 
     bound = proven_max_rows(vocab)
-    rows = vocab.select("token", "id").limit(max_vocab_rows + 1).collect() if bound is None or \
-        bound <= max_vocab_rows else []
-    if len(rows) > max_vocab_rows or (bound is not None and bound > max_vocab_rows):
+    if bound is not None and bound > max_vocab_rows:
+        raise ValueError(f"vocabulary may exceed {max_vocab_rows} rows; use method='join'")
+    rows = vocab.select("token", "id").limit(max_vocab_rows + 1).collect()
+    if len(rows) > max_vocab_rows:
         raise ValueError(f"vocabulary larger than {max_vocab_rows} rows; use method='join'")
     table = df.sparkSession.sparkContext.broadcast({r["token"]: int(r["id"]) for r in rows})
     toks = [F.slice(F.coalesce(word_tokens(col), F.array().cast("array<string>")), 1, length - 2)
