@@ -74,3 +74,15 @@ def test_split_sizes_exact(spark, n, digits, seed):
     got = {r["split"]: r["c"] for r in sp.groupBy("split").agg(F.count(F.lit(1)).alias("c")).collect()}
     train, val, test = P.split_counts(n)
     assert (got.get("train", 0), got.get("val", 0), got.get("test", 0)) == (train, val, test)
+
+
+@settings(**SETTINGS)
+@given(lens=st.lists(st.integers(0, 80), min_size=2, max_size=60))
+def test_length_stats_equal_pandas(spark, lens):
+    df = spark.createDataFrame(pd.DataFrame({"instruction": ["y" * n for n in lens]}))
+    r = R.length_stats(df, ["instruction"]).collect()[0]
+    d = pd.Series(lens).describe()
+    for k, name in [("mean", "mean"), ("std", "std"), ("min", "min"), ("p25", "25%"),
+                    ("p50", "50%"), ("p75", "75%"), ("max", "max")]:
+        assert abs(r[k] - d[name]) < 1e-9, (k, r[k], d[name])
+    assert r["count"] == len(lens)
