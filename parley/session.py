@@ -49,6 +49,9 @@ CLUSTER_SETTINGS = {
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
+    # keyed chat history state lives in RocksDB on local disk, checkpointed to the shared folder
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
