@@ -18,6 +18,19 @@ def proven_max_rows(df: DataFrame) -> int | None:
     return int(opt.get()) if opt.isDefined() else None
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame | None:
+    """Like ``checked_broadcast`` but returns None when ``df`` is too large,
+    so the caller can choose a different plan."""
+    bound = proven_max_rows(df)
+    if bound is not None and bound <= max_rows:
+        return F.broadcast(df)
+    from ..session import scratch_root
+
+    scratch_root(df.sparkSession)
+    capped = df.limit(max_rows + 1).checkpoint(eager=True)
+    return F.broadcast(capped) if capped.count() <= max_rows else None
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave it
     to a shuffle join (AQE may still convert it from runtime statistics).
@@ -29,12 +42,5 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     bank built from the whole corpus) is computed once, not once for the
     check and again for the join.
     """
-    bound = proven_max_rows(df)
-    if bound is not None and bound <= max_rows:
-        return F.broadcast(df)
-    from ..session import scratch_root
-
-    scratch_root(df.sparkSession)  # reads spark.checkpoint.dir; sets one only when unset
-    capped = df.limit(max_rows + 1).checkpoint(eager=True)
-    n = capped.count()
-    return F.broadcast(capped) if n <= max_rows else df
+    small = broadcast_if_small(df, max_rows)  # reads spark.checkpoint.dir; sets one only when unset
+    return df if small is None else small

@@ -77,7 +77,8 @@ def battery_prefix(df: DataFrame, pos_col: str = "pos", n: int = BATTERY_MODEL_P
 
 
 def dedup_pairs(df: DataFrame, subset: Sequence[str] = ("instruction", "response"),
-                keys: Sequence[str] = ("id",)) -> DataFrame:
+                keys: Sequence[str] = ("id",), method: str = "window",
+                max_dup_hashes: int = 2_000_000) -> DataFrame:
     """DST-1: one row per exact ``subset`` value, the first in key order.
 
     ``row_number() ... = 1`` is planned as WindowGroupLimit: each input
@@ -85,7 +86,33 @@ def dedup_pairs(df: DataFrame, subset: Sequence[str] = ("instruction", "response
     repeated a billion times moves one row per map task.  A 64-bit hash of
     the pair leads the partition key so the sorts compare long texts only
     when the hashes are equal (prefix sort on the hash).
+
+    ``method="hash_first"`` avoids shuffling the texts of unique pairs: rows
+    are counted per 64-bit pair hash (an 8-byte shuffle), the hashes seen
+    more than once are broadcast (size-checked, at most ``max_dup_hashes``),
+    rows with a unique hash pass through untouched -- they cannot have a
+    duplicate -- and only the colliding rows go through the window.  When
+    there are too many duplicated hashes it falls back to the window over all
+    rows.  Results are identical.
     """
+    if method not in ("window", "hash_first"):
+        raise ValueError("method must be 'window' or 'hash_first'")
+    if method == "window":
+        return _dedup_window(df, subset, keys)
+    from ..functions.broadcast import broadcast_if_small
+
+    hashed = df.withColumn("_ph", F.xxhash64(*subset))
+    dup = (hashed.groupBy("_ph").agg(F.count(F.lit(1)).alias("_c"))
+           .where(F.col("_c") > 1).select("_ph"))
+    dup_b = broadcast_if_small(dup, max_dup_hashes)
+    if dup_b is None:
+        return _dedup_window(df, subset, keys)
+    unique = hashed.join(dup_b, "_ph", "left_anti")
+    candidates = _dedup_window(hashed.join(dup_b, "_ph", "left_semi"), subset, keys)
+    return unique.unionByName(candidates).drop("_ph")
+
+
+def _dedup_window(df: DataFrame, subset: Sequence[str], keys: Sequence[str]) -> DataFrame:
     w = Window.partitionBy(F.xxhash64(*subset), *subset).orderBy(*keys)
     return (df.withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") == 1).drop("_rn"))

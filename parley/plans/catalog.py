@@ -54,6 +54,10 @@ def q_dedup_pairs(spark, d):
     return C.cleaned(spark, d)
 
 
+def q_dedup_pairs_hash_first(spark, d):
+    return P.dedup_pairs(P.drop_missing(C.corpus(spark, d)), method="hash_first")
+
+
 def q_label_vocabulary(spark, d):
     return P.label_vocabulary(C.split(spark, d).where(F.col("split") == "train"))
 
@@ -418,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "format_pairs": q_format_pairs,
     "drop_missing": q_drop_missing,
     "dedup_pairs": q_dedup_pairs,
+    "dedup_pairs_hash_first": q_dedup_pairs_hash_first,
     "label_vocabulary": q_label_vocabulary,
     "preview": q_preview,
     "split_train_val_test": q_split,

@@ -52,7 +52,8 @@ def prepare_corpus(raw: DataFrame, out_dir: str, keys: tuple[str, ...] = ("id",)
         sample = P.sample_n(raw, SAMPLE_QUESTIONS, seed, list(keys), pos_col="pos")
         IO.write_numbered_text(IO.numbered_lines(sample, "instruction", "pos"), paths["sample_questions"])
 
-    cleaned = P.dedup_pairs(P.drop_missing(raw), keys=list(keys))
+    # hash-first: texts of unique pairs are never shuffled
+    cleaned = P.dedup_pairs(P.drop_missing(raw), keys=list(keys), method="hash_first")
     split = P.split_train_val_test(P.format_pairs(cleaned, list(keys)), list(keys), seed, test_size, val_size)
     IO.write_splits(split, paths["processed"])
     saved = spark.read.parquet(paths["processed"])

@@ -163,3 +163,15 @@ def test_checked_broadcast_uses_plan_bound_or_count(spark):
         assert "BroadcastHashJoin" in j2._jdf.queryExecution().sparkPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_dedup_hash_first_equals_window(spark, corpus_fixture):
+    a = sorted(map(tuple, P.dedup_pairs(corpus_fixture).collect()))
+    b = sorted(map(tuple, P.dedup_pairs(corpus_fixture, method="hash_first").collect()))
+    c = sorted(map(tuple, P.dedup_pairs(corpus_fixture, method="hash_first", max_dup_hashes=0).collect()))
+    assert a == b == c
+    hot = spark.range(5000).select("id", F.lit("same q").alias("instruction"),
+                                   F.when(F.col("id") % 3 == 0, "same a").otherwise(
+                                       F.col("id").cast("string")).alias("response"))
+    got = P.dedup_pairs(hot, method="hash_first")
+    assert got.count() == 1 + 5000 - 1667 and got.where("response = 'same a'").collect()[0]["id"] == 0
