@@ -19,7 +19,11 @@ def _as_cols(keys: Sequence[str | Column]) -> list[Column]:
 
 
 def order_hash(seed: int | str, keys: Sequence[str | Column]) -> Column:
-    """``md5(concat_ws('|', seed, key1, key2, ...))`` as lower-case hex."""
+    """``md5(concat_ws('|', seed, key1, key2, ...))`` as lower-case hex.
+
+    Keys must be non-null and unique per row (``concat_ws`` skips nulls, so
+    a null key would merge two positions).
+    """
     parts = [F.lit(str(seed))] + [c.cast("string") for c in _as_cols(keys)]
     return F.md5(F.concat_ws("|", *parts))
 

@@ -90,11 +90,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_scratch_dir(prefix: str = "run-") -> str:
-    """A new local scratch folder for tests (never on a cluster)."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
-
-
 def materialize(df, name: str):
     """Write ``df`` as Parquet below the shared scratch root and read it back.
 
