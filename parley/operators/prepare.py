@@ -193,6 +193,11 @@ def split_train_val_test(df: DataFrame, keys: Sequence[str] = ("id",), seed: int
     Rank order is ``md5(seed|key)`` then key.  The first ``ceil(t*n)`` ranks are
     test, the next ``ceil(v/(1-t)*(n-n_test))`` are val, the rest train.  No
     global sort: see ``label_by_cut_points``.
+
+    The input is read twice (bucket counts, then labels) and the two reads
+    prune columns differently, so Spark cannot share an upstream shuffle
+    between them: at scale pass a written (or otherwise cheap to scan) input,
+    as ``plans.flows.prepare_corpus`` does.
     """
     adjusted = val_size / (1 - test_size)
     n_test = F.ceil(F.col("_total") * F.lit(test_size))

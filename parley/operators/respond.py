@@ -98,9 +98,12 @@ def bank_lookup(df: DataFrame, bank: DataFrame, intent_col: str = "intent",
     within ``max_bank_rows``.  The ``general`` entry is an uncorrelated scalar
     subquery (evaluated once, never joined).
     """
-    entries = bank.select(F.col("intent").alias("_bi"), F.col("templates").alias("_bt"))
-    general = bank.where(F.col("intent") == FALLBACK_INTENT).select("templates").limit(1).scalar()
-    joined = df.join(checked_broadcast(entries, max_bank_rows), F.col(intent_col) == F.col("_bi"), "left")
+    entries = checked_broadcast(bank.select(F.col("intent").alias("_bi"), F.col("templates").alias("_bt")),
+                                max_bank_rows)
+    # the scalar subquery reads the same (checked, possibly checkpointed) bank,
+    # so the bank is not rebuilt for it
+    general = entries.where(F.col("_bi") == FALLBACK_INTENT).select("_bt").limit(1).scalar()
+    joined = df.join(entries, F.col(intent_col) == F.col("_bi"), "left")
     return joined.withColumn(out, F.coalesce(F.col("_bt"), general)).drop("_bi", "_bt")
 
 
