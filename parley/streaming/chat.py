@@ -3,8 +3,10 @@ history, clear it on request, and report the last response time.
 
 * ``answer_stream``: the batch answering plan applied to a streaming frame; the
   bank is static, so this is a stream-static broadcast join and every
-  micro-batch is answered in one narrow stage.  Template choice is a hash of
-  the question, so a replayed micro-batch gives the same answers.
+  micro-batch is answered in one narrow stage.  The bank is size-checked and
+  checkpointed once when the query is built, so a running stream answers from
+  that snapshot (restart the query to pick up a new bank).  Template choice is
+  a hash of the question, so a replayed micro-batch gives the same answers.
 * ``chat_history``: ``groupBy(conv_id).applyInPandasWithState``; state is the
   ordered history of one conversation (optionally only its last
   ``max_turns`` entries); emits one row per recorded turn with its 1-based
