@@ -18,6 +18,16 @@ def proven_max_rows(df: DataFrame) -> int | None:
     return int(opt.get()) if opt.isDefined() else None
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan (file sizes scaled by
+    the columns read), or None when unavailable."""
+    try:
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(v) if isinstance(v, int) else int(v.toString())
+    except Exception:  # pragma: no cover - non-classic sessions
+        return None
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame | None:
     """Like ``checked_broadcast`` but returns None when ``df`` is too large,
     so the caller can choose a different plan."""

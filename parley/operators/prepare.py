@@ -78,7 +78,7 @@ def battery_prefix(df: DataFrame, pos_col: str = "pos", n: int = BATTERY_MODEL_P
 
 def dedup_pairs(df: DataFrame, subset: Sequence[str] = ("instruction", "response"),
                 keys: Sequence[str] = ("id",), method: str = "window",
-                max_dup_hashes: int = 2_000_000) -> DataFrame:
+                max_dup_hashes: int = 2_000_000, auto_threshold_bytes: int = 1 << 30) -> DataFrame:
     """DST-1: one row per exact ``subset`` value, the first in key order.
 
     ``row_number() ... = 1`` is planned as WindowGroupLimit: each input
@@ -94,9 +94,18 @@ def dedup_pairs(df: DataFrame, subset: Sequence[str] = ("instruction", "response
     duplicate -- and only the colliding rows go through the window.  When
     there are too many duplicated hashes it falls back to the window over all
     rows.  Results are identical.
+
+    ``method="auto"`` picks ``hash_first`` when Catalyst estimates the input
+    above ``auto_threshold_bytes`` (its extra jobs cost more than they save on
+    small inputs) and ``window`` otherwise.
     """
-    if method not in ("window", "hash_first"):
-        raise ValueError("method must be 'window' or 'hash_first'")
+    if method not in ("window", "hash_first", "auto"):
+        raise ValueError("method must be 'window', 'hash_first' or 'auto'")
+    if method == "auto":
+        from ..functions.broadcast import estimated_bytes
+
+        size = estimated_bytes(df)
+        method = "hash_first" if size is not None and size > auto_threshold_bytes else "window"
     if method == "window":
         return _dedup_window(df, subset, keys)
     from ..functions.broadcast import broadcast_if_small

@@ -22,7 +22,11 @@ def corpus(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, d: str) -> DataFrame:
-    return P.dedup_pairs(P.drop_missing(corpus(spark, d)))
+    """Null-free, de-duplicated pairs.  ``auto``: hash-first de-duplication
+    on large inputs (each of the split's two reads is then a scan plus a
+    broadcast anti-join instead of a full shuffle of the texts), the plain
+    window on small ones."""
+    return P.dedup_pairs(P.drop_missing(corpus(spark, d)), method="auto")
 
 
 def split(spark: SparkSession, d: str) -> DataFrame:

@@ -52,10 +52,10 @@ def prepare_corpus(raw: DataFrame, out_dir: str, keys: tuple[str, ...] = ("id",)
         sample = P.sample_n(raw, SAMPLE_QUESTIONS, seed, list(keys), pos_col="pos")
         IO.write_numbered_text(IO.numbered_lines(sample, "instruction", "pos"), paths["sample_questions"])
 
-    # hash-first: texts of unique pairs are never shuffled.  The split reads
+    # auto = hash-first on large inputs: texts of unique pairs are never shuffled.  The split reads
     # its input twice (bucket counts, then labels), so the cleaned pairs are
     # written once and the split scans the files instead of de-duplicating twice.
-    cleaned = P.dedup_pairs(P.drop_missing(raw), keys=list(keys), method="hash_first")
+    cleaned = P.dedup_pairs(P.drop_missing(raw), keys=list(keys), method="auto")
     P.format_pairs(cleaned, list(keys)).write.mode("overwrite").parquet(f"{out}/cleaned")
     formatted = spark.read.parquet(f"{out}/cleaned")
     split = P.split_train_val_test(formatted, list(keys), seed, test_size, val_size)

@@ -175,3 +175,16 @@ def test_dedup_hash_first_equals_window(spark, corpus_fixture):
                                        F.col("id").cast("string")).alias("response"))
     got = P.dedup_pairs(hot, method="hash_first")
     assert got.count() == 1 + 5000 - 1667 and got.where("response = 'same a'").collect()[0]["id"] == 0
+
+
+def test_dedup_auto_picks_by_estimated_size(spark):
+    from parley.functions.broadcast import estimated_bytes
+    from parley.plans.corpus import corpus
+    from tests.conftest import SF_SMALL
+    raw = P.drop_missing(corpus(spark, SF_SMALL))  # parquet scan: size estimate from the file
+    assert 0 < estimated_bytes(raw) < 1 << 30
+    small = P.dedup_pairs(raw, method="auto")  # small input: plain window
+    assert "LeftAnti" not in small._jdf.queryExecution().executedPlan().toString()
+    big = P.dedup_pairs(raw, method="auto", auto_threshold_bytes=0)  # forced: hash-first
+    assert "LeftAnti" in big._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
