@@ -200,9 +200,30 @@ def length_histogram(df: DataFrame, columns: Sequence[str] = ("instruction", "re
                     F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
-def profile_report(df: DataFrame, approx: bool = False) -> DataFrame:
+def profile_report(df: DataFrame, approx: bool = False, distinct: str = "exact",
+                   auto_threshold_bytes: int = 1 << 30) -> DataFrame:
     """SNK-5 content: ``(section, name, value, ord)`` rows: shape, column
-    types and distinct counts (``ord`` = schema position)."""
+    types and distinct counts (``ord`` = schema position).
+
+    ``distinct`` is ``exact`` (group by value), ``hashed`` (group by md5 of
+    the value), ``approx`` (HyperLogLog) or ``auto`` (``hashed`` when Catalyst
+    estimates the input above ``auto_threshold_bytes``, else ``exact``).
+    ``approx=True`` is shorthand for ``distinct="approx"``.
+    """
+    mode = "approx" if approx else distinct
+    if mode == "auto":
+        from ..functions.broadcast import estimated_bytes
+
+        size = estimated_bytes(df)
+        mode = "hashed" if size is not None and size > auto_threshold_bytes else "exact"
+    if mode == "approx":
+        counts = distinct_counts_approx(df)
+    elif mode == "hashed":
+        counts = distinct_counts_hashed(df)
+    elif mode == "exact":
+        counts = distinct_counts(value_table(df), columns=df.columns)
+    else:
+        raise ValueError("distinct must be 'exact', 'hashed', 'approx' or 'auto'")
     pos = {name: i + 1 for i, name in enumerate(df.columns)}
     sh = shape(df)
     rows = sh.select(F.lit("shape").alias("section"), F.lit("rows").alias("name"),
@@ -212,7 +233,6 @@ def profile_report(df: DataFrame, approx: bool = False) -> DataFrame:
     types = column_types(df).select(F.lit("type").alias("section"), F.col("field").alias("name"),
                                     F.col("type").alias("value"), F.col("position").alias("ord"))
     order_map = F.create_map(*[x for name, i in pos.items() for x in (F.lit(name), F.lit(i))])
-    counts = distinct_counts_approx(df) if approx else distinct_counts(value_table(df), columns=df.columns)
     dcs = counts.select(
         F.lit("distinct").alias("section"), F.col("field").alias("name"),
         F.col("distinct").cast("string").alias("value"), order_map[F.col("field")].alias("ord"))

@@ -41,7 +41,7 @@ def prepare_corpus(raw: DataFrame, out_dir: str, keys: tuple[str, ...] = ("id",)
     spark = raw.sparkSession
 
     profiled = R.with_lengths(raw)
-    IO.write_report(R.profile_report(profiled), paths["dataset_summary"])
+    IO.write_report(R.profile_report(profiled, distinct="auto"), paths["dataset_summary"])
     for c in ("category", "intent"):
         if c in raw.columns:
             R.value_counts(raw, c).coalesce(1).write.mode("overwrite").json(paths[f"{c}_counts"])

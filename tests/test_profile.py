@@ -85,3 +85,9 @@ def test_distinct_counts_hashed_equals_exact(spark, corpus_fixture):
     exact = {r["field"]: r["distinct"] for r in R.distinct_counts(R.value_table(prof)).collect()}
     hashed = {r["field"]: r["distinct"] for r in R.distinct_counts_hashed(prof).collect()}
     assert exact == hashed
+
+
+def test_profile_report_distinct_modes_agree(spark, corpus_fixture):
+    prof = R.with_lengths(corpus_fixture)
+    got = {m: sorted(map(tuple, R.profile_report(prof, distinct=m).collect())) for m in ("exact", "hashed", "auto")}
+    assert got["exact"] == got["hashed"] == got["auto"]
