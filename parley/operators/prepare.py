@@ -145,6 +145,20 @@ def label_vocabulary(df: DataFrame, columns: Sequence[str] = ("category", "inten
     return firsts.select("field", "value", F.row_number().over(w).alias("position"))
 
 
+def label_vocabulary_or_default(prepared: DataFrame | None, raw: DataFrame | None,
+                                keys: Sequence[str] = ("id",)) -> DataFrame:
+    """DST-2 with the original fall-back chain: labels of the prepared train
+    data, else of the raw data, else the fixed lists (a missing source is
+    ``None``; one without both label columns counts as empty)."""
+    from ..sources.files import default_labels, first_non_empty
+
+    present = [d for d in (prepared, raw) if d is not None]
+    if not present:
+        raise ValueError("give at least one source (or call sources.files.default_labels)")
+    cands = [label_vocabulary(d, keys=keys) for d in present]
+    return first_non_empty(cands, default_labels(present[0].sparkSession))
+
+
 # --- sampling ----------------------------------------------------------------------
 
 

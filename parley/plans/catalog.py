@@ -62,6 +62,11 @@ def q_label_vocabulary(spark, d):
     return P.label_vocabulary(C.split(spark, d).where(F.col("split") == "train"))
 
 
+def q_label_vocabulary_or_default(spark, d):
+    prepared = C.split(spark, d).where(F.col("split") == "train")
+    return P.label_vocabulary_or_default(prepared, C.corpus(spark, d))
+
+
 def q_preview(spark, d):
     return P.preview(C.corpus(spark, d)).select("id", "instruction", "category", "intent")
 
@@ -424,6 +429,7 @@ QUERIES: dict[str, Query] = {
     "dedup_pairs": q_dedup_pairs,
     "dedup_pairs_hash_first": q_dedup_pairs_hash_first,
     "label_vocabulary": q_label_vocabulary,
+    "label_vocabulary_or_default": q_label_vocabulary_or_default,
     "preview": q_preview,
     "split_train_val_test": q_split,
     "split_sizes": q_split_sizes,

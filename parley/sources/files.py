@@ -119,6 +119,27 @@ def source_or_default(source: DataFrame, defaults: DataFrame) -> DataFrame:
     return source.unionByName(fallback)
 
 
+def first_non_empty(candidates: Sequence[DataFrame | None], defaults: DataFrame) -> DataFrame:
+    """SRC-7 chain: the first candidate with rows, else ``defaults``.
+
+    ``None`` stands for a missing source (decided when the plan is built);
+    emptiness is decided inside the plan, one anti-join probe per link.
+    """
+    out = defaults
+    for cand in reversed([c for c in candidates if c is not None]):
+        out = source_or_default(cand, out)
+    return out
+
+
+def default_labels(spark: SparkSession) -> DataFrame:
+    """Fixed category and intent lists as ``(field, value, position)``."""
+    from ..functions.constants import DEFAULT_CATEGORIES, DEFAULT_INTENTS
+
+    rows = [("category", v, i + 1) for i, v in enumerate(DEFAULT_CATEGORIES)]
+    rows += [("intent", v, i + 1) for i, v in enumerate(DEFAULT_INTENTS)]
+    return spark.createDataFrame(rows, "field string, value string, position int")
+
+
 def default_questions(spark: SparkSession, col: str = "question") -> DataFrame:
     rows = [(i + 1, q) for i, q in enumerate(DEFAULT_QUESTIONS)]
     return spark.createDataFrame(rows, f"pos int, {col} string")

@@ -188,3 +188,15 @@ def test_dedup_auto_picks_by_estimated_size(spark):
     big = P.dedup_pairs(raw, method="auto", auto_threshold_bytes=0)  # forced: hash-first
     assert "LeftAnti" in big._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+
+
+def test_label_vocabulary_fallback_chain(spark, corpus_fixture):
+    from parley.functions.constants import DEFAULT_INTENTS
+    empty = corpus_fixture.limit(0)
+    got = P.label_vocabulary_or_default(empty, corpus_fixture)
+    assert got.where("field = 'intent'").count() == 6  # raw used: prepared is empty
+    no_labels = corpus_fixture.drop("intent")
+    got2 = P.label_vocabulary_or_default(no_labels, None)
+    intents = [r["value"] for r in got2.where("field = 'intent'").orderBy("position").collect()]
+    assert intents == DEFAULT_INTENTS
+    assert P.label_vocabulary_or_default(corpus_fixture, empty).where("field = 'category'").count() == 5
