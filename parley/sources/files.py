@@ -28,6 +28,15 @@ PAIRS_SCHEMA = T.StructType([
 # Nulls are written as the marker \N (Hive convention) so that empty strings
 # ("" in the file) and nulls survive a round trip; a text that is exactly \N
 # reads back as null.
+RAW_SCHEMA = T.StructType([
+    T.StructField("id", T.LongType(), True),
+    T.StructField("flags", T.StringType(), True),
+    T.StructField("instruction", T.StringType(), True),
+    T.StructField("category", T.StringType(), True),
+    T.StructField("intent", T.StringType(), True),
+    T.StructField("response", T.StringType(), True),
+])
+
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
                "nullValue": "\\N"}
