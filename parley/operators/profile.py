@@ -114,6 +114,19 @@ def top_values(values: DataFrame, k: int = TOP_VALUES, low_cardinality: int = LO
             .select("field", "rank", "value", "n"))
 
 
+def top_values_of(df: DataFrame, k: int = TOP_VALUES, low_cardinality: int = LOW_CARDINALITY,
+                  always: Sequence[str] = ("category", "intent")) -> DataFrame:
+    """AGG-4 without shuffling long texts: eligibility comes from the md5-keyed
+    distinct counts (digests only); values are then counted only for the
+    eligible columns, which by definition have few distinct values (or are
+    the label columns).  Same result as ``top_values(value_table(df))``."""
+    dc = distinct_counts_hashed(df).collect()  # one row per column: bounded
+    eligible = [r["field"] for r in dc if r["field"] in always or r["distinct"] < low_cardinality]
+    if not eligible:
+        return df.sparkSession.createDataFrame([], "field string, rank int, value string, n bigint")
+    return top_values(value_table(df, eligible), k, low_cardinality, always)
+
+
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """AGG-5: all non-null value counts of one column, most frequent first."""
     return (df.where(F.col(column).isNotNull()).groupBy(column)

@@ -132,6 +132,10 @@ def q_top_values(spark, d):
     return R.top_values(R.value_table(_profiled(spark, d)))
 
 
+def q_top_values_hashed(spark, d):
+    return R.top_values_of(_profiled(spark, d))
+
+
 def q_category_counts(spark, d):
     return R.value_counts(C.corpus(spark, d), "category")
 
@@ -443,6 +447,7 @@ QUERIES: dict[str, Query] = {
     "distinct_counts": q_distinct_counts,
     "distinct_counts_hashed": q_distinct_counts_hashed,
     "top_values": q_top_values,
+    "top_values_hashed": q_top_values_hashed,
     "category_counts": q_category_counts,
     "intent_counts": q_intent_counts,
     "length_stats": q_length_stats,

@@ -385,6 +385,7 @@ FROM (SELECT * FROM clean ORDER BY {h('id')}, id LIMIT 10)""",
     "bank_json_roundtrip": ORACLES["template_bank"],
     "dedup_pairs_hash_first": ORACLES["dedup_pairs"],
     "label_vocabulary_or_default": ORACLES["label_vocabulary"],
+    "top_values_hashed": ORACLES["top_values"],
     "encode_pairs_lookup": ORACLES["encode_pairs"],
     "metric_callback": """SELECT round(avg(CASE WHEN list_position(embedding, list_max(embedding)) - 1 <> label
                           THEN 1.0 ELSE 0.0 END), 6) AS error_rate, count(*) AS rows FROM embeddings""",

@@ -91,3 +91,10 @@ def test_profile_report_distinct_modes_agree(spark, corpus_fixture):
     prof = R.with_lengths(corpus_fixture)
     got = {m: sorted(map(tuple, R.profile_report(prof, distinct=m).collect())) for m in ("exact", "hashed", "auto")}
     assert got["exact"] == got["hashed"] == got["auto"]
+
+
+def test_top_values_of_equals_top_values(spark, corpus_fixture):
+    prof = R.with_lengths(corpus_fixture)
+    a = sorted(map(tuple, R.top_values(R.value_table(prof)).collect()))
+    b = sorted(map(tuple, R.top_values_of(prof).collect()))
+    assert a == b
