@@ -132,10 +132,17 @@ def chat_history(answered: DataFrame, key: str = "conv_id", max_turns: int | Non
 
 
 def chat_history_batch(answered: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
-    """STR-2 + STR-3 over a table: the rows ``chat_history`` emits."""
-    seg = running_count(answered, [key], order, F.col("is_clear"), "_seg")
-    pos = running_count(seg, [key, "_seg"], order, F.col("recorded"), "history_pos")
-    return pos.where(F.col("recorded")).select(
+    """STR-2 + STR-3 over a table: the rows ``chat_history`` emits.
+
+    Both running counts run on a narrow (key, turn, flags) table; the texts
+    are joined back once, so they are shuffled once rather than per count.
+    """
+    narrow = answered.select(key, order, "is_clear", "recorded")
+    seg = running_count(narrow, [key], order, F.col("is_clear"), "_seg")
+    pos = (running_count(seg, [key, "_seg"], order, F.col("recorded"), "history_pos")
+           .where(F.col("recorded")).select(key, order, "history_pos"))
+    texts = answered.where(F.col("recorded")).select(key, order, "message", "response")
+    return texts.join(pos, [key, order]).select(
         F.col(key).cast("long").alias("conv_id"), F.col(order).cast("long").alias("turn"),
         "history_pos", "message", "response")
 
