@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
+# A plan whose size estimate (file bytes scaled by the columns read, as Spark's
+# own broadcast decision uses) is at most this is broadcast without a job.
+DEFAULT_MAX_ESTIMATED_BYTES = 8 << 20
 
 
 def proven_max_rows(df: DataFrame) -> int | None:
@@ -28,12 +31,16 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame | None:
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       max_estimated_bytes: int = DEFAULT_MAX_ESTIMATED_BYTES) -> DataFrame | None:
     """Like ``checked_broadcast`` but returns None when ``df`` is too large,
     so the caller can choose a different plan."""
     bound = proven_max_rows(df)
     if bound is not None and bound <= max_rows:
         return F.broadcast(df)
+    est = estimated_bytes(df)
+    if est is not None and est <= max_estimated_bytes:
+        return F.broadcast(df)
     from ..session import scratch_root
 
     scratch_root(df.sparkSession)
@@ -41,16 +48,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     return F.broadcast(capped) if capped.count() <= max_rows else None
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      max_estimated_bytes: int = DEFAULT_MAX_ESTIMATED_BYTES) -> DataFrame:
     """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave it
     to a shuffle join (AQE may still convert it from runtime statistics).
 
-    The bound comes from the plan when Catalyst can prove one (no job runs).
-    Otherwise at most ``max_rows + 1`` rows of ``df`` are checkpointed into the
+    The bound comes from the plan when Catalyst can prove one, or from its
+    size estimate when that is at most ``DEFAULT_MAX_ESTIMATED_BYTES`` (a
+    small saved table; no job runs either way).  Otherwise at most ``max_rows + 1`` rows of ``df`` are checkpointed into the
     shared checkpoint folder and counted: when they are all of ``df``, the
     checkpointed copy is what gets broadcast, so an expensive small side (a
     bank built from the whole corpus) is computed once, not once for the
     check and again for the join.
     """
-    small = broadcast_if_small(df, max_rows)  # reads spark.checkpoint.dir; sets one only when unset
+    small = broadcast_if_small(df, max_rows, max_estimated_bytes)  # may checkpoint into spark.checkpoint.dir
     return df if small is None else small

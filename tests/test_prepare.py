@@ -155,12 +155,16 @@ def test_checked_broadcast_uses_plan_bound_or_count(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our hint may broadcast
     try:
-        # no proven bound and more rows than allowed: stays a shuffle join
-        j1 = probe.join(checked_broadcast(docs, max_rows=100), "doc_id")
+        # no proven bound, estimate not trusted, more rows than allowed: shuffle join
+        j1 = probe.join(checked_broadcast(docs, max_rows=100, max_estimated_bytes=0), "doc_id")
         assert "BroadcastHashJoin" not in j1._jdf.queryExecution().sparkPlan().toString()
         # counted and small enough: broadcast
-        j2 = probe.join(checked_broadcast(docs.where(F.col("doc_id") < 50), max_rows=100), "doc_id")
+        j2 = probe.join(checked_broadcast(docs.where(F.col("doc_id") < 50), max_rows=100,
+                                          max_estimated_bytes=0), "doc_id")
         assert "BroadcastHashJoin" in j2._jdf.queryExecution().sparkPlan().toString()
+        # a small file by Catalyst's size estimate: broadcast without a job
+        j3 = probe.join(checked_broadcast(docs, max_rows=100), "doc_id")
+        assert "BroadcastHashJoin" in j3._jdf.queryExecution().sparkPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
