@@ -58,7 +58,7 @@ def banded(a: Sequence, b: Sequence, k: int) -> int | None:
         else:
             row = 1 << (n - j + k)
             score += bool(right & row) - bool(left & row)
-        if score - max(0, min(k, m - j)) > k:  # what is left can lower the score by one a column at most
+        if score - (m - max(j, n - k)) > k:  # from here on only steps along the last row lower it, by one each
             return None
         half = diagonal >> 1
         up, down = left | (full & ~(half | right)), half & right
