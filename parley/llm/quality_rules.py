@@ -109,29 +109,33 @@ def _grow(cells, cuts, index, most):
 
 
 def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_rules: int = 12,
-          max_conditions: int = 4, min_precision: float = 0.9, min_bad: int = 3) -> list[Rule]:
+          max_conditions: int = 4, min_precision: float = 0.97, min_bad: int = 3) -> list[Rule]:
     """The ordered rules that reject; see the module's text."""
     cuts, cells = labelled_cells(documents, labels, sample_rows)
     index = {f: i for i, f in enumerate(textstats.FEATURES)}
     return cover(cells, cuts, index, max_rules, max_conditions, min_precision, min_bad)
 
 
-def cover(cells, cuts, index, max_rules=12, max_conditions=4, min_precision=0.9, min_bad=3) -> list[Rule]:
+def cover(cells, cuts, index, max_rules=12, max_conditions=4, min_precision=0.97, min_bad=3) -> list[Rule]:
     """Sequential covering over (bins, for_pruning, bad, good) cells."""
     rules: list[Rule] = []
+    tried = [c for c in cells if not c[1]]  # what rules may still grow on
     while len(rules) < max_rules:
-        grow, prune = [c for c in cells if not c[1]], [c for c in cells if c[1]]
-        conditions = _grow(grow, cuts, index, max_conditions)
+        conditions = _grow(tried, cuts, index, max_conditions)
         if not conditions:
             break
-        worth = lambda cs: (lambda b, g: (b - g) / (b + g) if b + g else -1.0)(*_counts(prune, cs, index))
-        kept = max((conditions[:n] for n in range(1, len(conditions) + 1)), key=lambda cs: (worth(cs), -len(cs)))
-        bad, good = _counts(cells, kept, index)
-        p_bad, p_good = _counts(prune, kept, index)
-        if bad < min_bad or bad < min_precision * (bad + good) or p_bad < min_precision * (p_bad + p_good):
-            break
-        rules.append(Rule(tuple(Condition(f, up, cuts[f][k]) for f, up, k in kept), bad, good))
-        cells = [c for c in cells if not all((c[0][index[f]] > k) == up for f, up, k in kept)]
+        prune, fit = [c for c in cells if c[1]], []
+        for n in range(1, len(conditions) + 1):
+            (bad, good), (p_bad, p_good) = _counts(cells, conditions[:n], index), _counts(prune, conditions[:n], index)
+            if bad >= min_bad and bad >= min_precision * (bad + good) and p_bad >= min_precision * (p_bad + p_good):
+                fit.append(((p_bad - p_good) / (p_bad + p_good) if p_bad + p_good else -1.0, -n, bad, good))
+        outside = lambda cs, rows: [c for c in rows if not all((c[0][index[f]] > k) == up for f, up, k in cs)]
+        if fit:
+            _, n, bad, good = max(fit)
+            conditions = conditions[:-n]
+            rules.append(Rule(tuple(Condition(f, up, cuts[f][k]) for f, up, k in conditions), bad, good))
+            cells = outside(conditions, cells)
+        tried = outside(conditions, tried)  # a rule that doesn't hold up isn't grown again
     return rules
 
 

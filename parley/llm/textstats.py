@@ -15,7 +15,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
 
 FEATURES = ["words_log", "word_len", "symbol_rate", "upper_rate", "bang_rate", "digit_rate",
-            "dup_line_rate", "repeat_rate", "distinct_rate"]
+            "dup_line_rate", "repeat_rate", "herdan"]
 
 
 def words_of(text: Column) -> Column:
@@ -84,6 +84,6 @@ def features(s: str = "_s") -> list[Column]:
         "words_log": F.log2(1.0 + c("n_words")), "word_len": c("word_chars") / words, "symbol_rate": c("n_symbols") / words,
         "upper_rate": c("n_upper") / chars, "bang_rate": c("n_bang") / words, "digit_rate": c("n_digits") / chars,
         "dup_line_rate": c("n_dup_lines") / F.greatest(c("n_lines"), F.lit(1.0)), "repeat_rate": c("n_repeat_words") / words,
-        "distinct_rate": c("n_distinct") / words,
+        "herdan": F.log2(1.0 + c("n_distinct")) / F.log2(1.0 + words),  # vocabulary growth, little moved by length
     }
     return [F.round(made[k], 6).alias(k) for k in FEATURES]
