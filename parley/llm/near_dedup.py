@@ -8,8 +8,9 @@
    texts are near-duplicates if 1 - distance / longer length is at least ``SIMILARITY``, distance being
    the word edit distance of a banded alignment.
 4. Connected components of these links are found by star steps.  Members of one bucket that are then
-   still in different components are paired (if their lengths allow the similarity) and
-   aligned too, so that no link between bucket mates is lost; components are taken over all links.
+   still in different components meet in tiles of bounded size, where a bag-of-words bound on the
+   distance leaves few alignments; no pairs leave a tile but links, no link between bucket mates of
+   different components is lost, and components are taken over all links.
 
 Edge cases: null text counts as empty; texts without a word are equal only to the same text; texts
 under five words are one shingle; fewer shingles than ``KEPT`` are all kept; repeated rows and equal
@@ -23,6 +24,7 @@ import hashlib
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -33,6 +35,7 @@ from parley.llm.common import tasks, written
 from parley.llm.components import components
 
 SHINGLE, SKETCHES, KEPT, SIMILARITY = 5, 16, 4, 0.8
+TILE_ROWS, TILE_WORDS, BAG = 1_000, 2_000_000, 1024
 _WORD = re.compile(r"\w+")
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _SEEDS = np.array([xxhash.xxh64_intdigest(b"order", seed=s) for s in range(64)], np.uint64)
@@ -48,7 +51,7 @@ class WordHashes(dict):
     """Word to 64-bit hash, kept for frequent words."""
 
     def __missing__(self, word):
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         return h
@@ -143,6 +146,71 @@ def _similar(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame
     return both.select("a", "b", "wa", "wb").mapInArrow(run, "u long, v long, distance int")
 
 
+def _tile_links(lo: int, hi: int, node, salt, root, words: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links that connect different components among the members of one tile.
+
+    The bag of words bounds the edit distance from below (a substitution moves two counts, any other
+    edit one), so only pairs that may reach the similarity are aligned, the likeliest first, and
+    none whose components are linked by then.
+    """
+    n, bags = np.asarray([len(w) for w in words]), np.zeros((len(words), BAG), np.int32)
+    for i, w in enumerate(words):
+        bags[i] = np.bincount(w % BAG, minlength=BAG)
+    parent, lists, out = {r: r for r in root}, {}, []
+
+    def find(r):
+        while parent[r] != r:
+            parent[r] = parent[parent[r]]
+            r = parent[r]
+        return r
+
+    def listed(i):
+        if i not in lists:
+            lists[i] = words[i].tolist()
+        return lists[i]
+
+    for i in range(1, len(words)):
+        top = np.asarray([find(r) for r in root[:i]]) if i else []
+        longer = np.maximum(n[:i], n[i])
+        most = np.floor(np.round((1 - similarity) * longer, 6)).astype(np.int64)
+        may = (top != find(root[i])) & (np.abs(n[:i] - n[i]) <= most)
+        if lo != hi:
+            may &= salt[:i] != salt[i]
+        j = np.flatnonzero(may)
+        if not len(j):
+            continue
+        apart = np.abs(bags[j] - bags[i]).sum(1)
+        near = apart <= 2 * most[j]
+        for k in j[near][np.argsort(apart[near], kind="stable")].tolist():
+            if find(root[k]) != find(root[i]) and distance_within(listed(k), listed(i), int(most[k])) is not None:
+                out.append((node[k], node[i]))
+                parent[find(root[k])] = find(root[i])
+    return out
+
+
+def _late_links(members: DataFrame, roots: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """Links between members of one bucket that the stars left in different components.
+
+    A bucket is dealt into salts of bounded size; each pair of salts is one tile, so that no task holds
+    more than two salts and all members of a bucket meet.
+    """
+    placed = members.join(roots, members["node"] == roots["node"], "left").select("bucket", members["node"], "n_words", F.coalesce("root", members["node"]).alias("root"))
+    weight = F.greatest(F.count("*") / TILE_ROWS, F.sum("n_words") / TILE_WORDS)
+    apart = (placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(weight).cast("int").alias("salts"))
+             .where("low != high").select("bucket", "salts"))
+    dealt = (placed.join(apart, "bucket").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
+             .select("bucket", "node", "root", "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("other"))
+             .select("bucket", "node", "root", "salt", F.least("salt", "other").alias("lo"), F.greatest("salt", "other").alias("hi")))
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node", kind="stable")
+        own = [np.frombuffer(w, "<u4") for w in pdf["words"]]
+        found = _tile_links(int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0]), pdf["node"].tolist(), pdf["salt"].to_numpy(), pdf["root"].tolist(), own, similarity)
+        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+
+    return dealt.join(words, "node").groupBy("bucket", "lo", "hi").applyInPandas(link, "u long, v long")
+
+
 def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, text_key, class_id (the class's least doc_id), class_size and ``kept`` of every row.
 
@@ -161,16 +229,7 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     words = written(rows.select("node_key", "words").join(wanted, "node_key").groupBy("node").agg(F.first("words").alias("words")), "words", "zstd")
     links = written(_similar(first, words, similarity).select("u", "v"), "star-links")
     roots = components(links)
-    # members of one bucket that the stars left apart
-    placed = members.join(roots, members["node"] == roots["node"], "left").select("bucket", members["node"], "n_words", F.coalesce("root", members["node"]).alias("root"))
-    apart = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket")
-    split = written(placed.join(apart, "bucket", "left_semi"), "apart")
-    x, y = split.alias("x"), split.alias("y")
-    more = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") < F.col("y.root"))
-                   & (F.least("x.n_words", "y.n_words") >= similarity * F.greatest("x.n_words", "y.n_words")))
-            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-            .join(first, ["a", "b"], "left_anti"))
-    late = written(_similar(more, words, similarity).select("u", "v"), "late-links")
+    late = written(_late_links(members, roots, words, similarity), "late-links")
     roots = components(links.unionByName(late))
     named = (nodes.join(roots, "node", "left").select("node_key", "copies", "least", F.coalesce("root", "node").alias("root")))
     named = written(named, "named")
