@@ -57,6 +57,7 @@ class Items:
         self.ids = list(by.values())
         self.vocabulary: dict[str, int] = {}
         self.words = [[self.vocabulary.setdefault(x, len(self.vocabulary) + 2) for x in w] for w in by]
+        self.sets = [frozenset(w) for w in self.words]
         rng = np.random.default_rng(11)
         self.hashes = rng.integers(1, 1 << 63, len(self.vocabulary) + 2, np.uint64) * np.uint64(2) + np.uint64(1)
         self.hashes[STOP] = 0  # the walk stays there
@@ -81,22 +82,36 @@ class Items:
             starts.append(len(flat))
             flat += self.words[i] + [STOP]
         out = {"low": low, "spare": self.allowed(high - 1), "moves": moves, "places": places, "tables": []}
-        for keys in self.keys(np.asarray(flat, np.int64), np.asarray(starts, np.int64), out):
+        flat, starts = np.asarray(flat, np.int64), np.asarray(starts, np.int64)
+        for walk in range(REPEATS):
+            first = np.zeros(len(self.hashes), bool)
+            keys, _ = self._walk(flat, starts, out, walk, first)
             order = np.argsort(keys, kind="stable")
-            out["tables"].append((keys[order], np.asarray(own)[order]))
+            out["tables"].append((keys[order], np.asarray(own)[order], first))
         return out
 
-    def keys(self, flat, starts, c):
-        """The keys of the windows at ``starts``, a walk after the other."""
-        for moves, places in zip(c["moves"], c["places"]):
-            at, key = starts.copy(), np.zeros(len(starts), np.uint64)
-            for step in range(places[-1] + 1):
-                h = self.hashes[flat[at]]
-                if step in places:
-                    key = (key ^ h) * _P
-                    key ^= key >> np.uint64(32)
-                at += ((h * moves[step]) >> np.uint64(63)).astype(np.int64)
-            yield key
+    def _walk(self, flat, starts, c, walk, first=None):
+        """(keys, starts) of one walk over the windows at ``starts``.
+
+        ``first``, if given, is told the words at the first place; else windows whose word there is
+        no item's are left out at that point, since their keys could not match.
+        """
+        moves, places = c["moves"][walk], c["places"][walk]
+        at, key = starts.copy(), np.zeros(len(starts), np.uint64)
+        for step in range(places[-1] + 1):
+            word = flat[at]
+            if step == places[0]:
+                if first is None:
+                    kept = c["tables"][walk][2][word]
+                    at, key, starts, word = at[kept], key[kept], starts[kept], word[kept]
+                else:
+                    first[word] = True
+            h = self.hashes[word]
+            if step in places:
+                key = (key ^ h) * _P
+                key ^= key >> np.uint64(32)
+            at += ((h * moves[step]) >> np.uint64(63)).astype(np.int64)
+        return key, starts
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """(text, item, first word, window words, distance): the best window of each match."""
@@ -117,16 +132,20 @@ class Items:
             windows = places[unknown[to] - unknown[places] + (places + c["low"] - to) <= c["spare"]]
             windows = windows[windows < end_of[windows]]
             pairs = set()
-            for keys, (table, item) in zip(self.keys(flat, windows, c), c["tables"]):
+            for walk, (table, item, _) in enumerate(c["tables"]):
+                keys, begin = self._walk(flat, windows, c, walk)
                 lo, hi = np.searchsorted(table, keys, "left"), np.searchsorted(table, keys, "right")
                 hit = np.flatnonzero(hi > lo)
                 for k in hit.tolist():
-                    at = int(windows[k])
+                    at = int(begin[k])
                     pairs.update((at, int(i)) for i in item[lo[k]: hi[k]])
             for at, i in sorted(pairs):
                 own = self.words[i]
                 most = self.allowed(len(own))
-                scores = distances_by_end(own, flat[at: min(at + len(own) + most, int(end_of[at]))].tolist())
+                window = flat[at: min(at + len(own) + most, int(end_of[at]))].tolist()
+                if len(self.sets[i].difference(window)) > most:  # each word that is missing costs an edit
+                    continue
+                scores = distances_by_end(own, window)
                 size = min(range(len(scores)), key=lambda j: (scores[j], abs(j - len(own))))
                 if size and scores[size] <= most:
                     text = int(np.searchsorted(ends, at))
