@@ -43,19 +43,3 @@ def lexicon_rows(lexicon: Lexicon = STOCK_LEXICON) -> list[tuple[str, int, str]]
 
 def lexicon_frame(spark: SparkSession, lexicon: Lexicon = STOCK_LEXICON) -> DataFrame:
     return spark.createDataFrame(lexicon_rows(lexicon), LEXICON_SCHEMA)
-
-
-def lexicon_from_frame(df: DataFrame, max_keywords: int) -> list[tuple[str, list[str]]]:
-    """Bring a lexicon table of at most ``max_keywords`` rows back to list form.
-
-    Raises when the table is larger: large lexicons go through the join form.
-    """
-    rows = df.select("intent", "priority", "keyword").limit(max_keywords + 1).collect()
-    if len(rows) > max_keywords:
-        raise ValueError(f"lexicon has more than {max_keywords} keywords; use the join form")
-    by_intent: dict[str, tuple[int, list[str]]] = {}
-    for r in sorted(rows, key=lambda r: (r["priority"], r["intent"])):
-        prio, kws = by_intent.setdefault(r["intent"], (r["priority"], []))
-        if r["keyword"] not in kws:
-            kws.append(r["keyword"])
-    return [(i, kws) for i, (_, kws) in sorted(by_intent.items(), key=lambda kv: kv[1][0])]

@@ -97,7 +97,12 @@ def running_count(df: DataFrame, group_cols: Sequence[str], order_col: str,
     base = (df.withColumn("_f", F.when(flag, 1).otherwise(0))
             .withColumn("_k", F.floor(F.col(order_col) / F.lit(chunk)).cast("bigint")))
     offs = bucket_offsets(base, "_k", group_cols, weight=F.col("_f")).drop("_n", "_total")
-    joined = base.join(offs, [*group_cols, "_k"])
+    names = [*group_cols, "_k"]
+    offs = offs.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(names)], "_start")
+    same = F.lit(True)
+    for i, c in enumerate(names):  # a null group is a group
+        same = same & F.col(c).eqNullSafe(F.col(f"_o{i}"))
+    joined = base.join(offs, same).drop(*[f"_o{i}" for i in range(len(names))])
     w = (Window.partitionBy(*group_cols, "_k").orderBy(order_col)
          .rowsBetween(Window.unboundedPreceding, 0))
     return (joined.withColumn(out, (F.col("_start") + F.sum("_f").over(w)).cast("bigint"))

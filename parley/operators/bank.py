@@ -8,9 +8,10 @@ first and WindowGroupLimit trims every group to ``n`` rows in each map task.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions.constants import (
     BANK_GENERAL_SIZE, BANK_PER_INTENT, DEFAULT_BANK_TEMPLATES, FALLBACK_INTENT, SEED,
 )
+from ..sources.files import path_kind
 from .prepare import sample_n, sample_per_group
 
 BANK_SCHEMA = T.StructType([
@@ -62,19 +64,21 @@ def empty_bank(spark: SparkSession) -> DataFrame:
 
 
 def load_bank(spark: SparkSession, train_path: str, on_missing: str = "empty", **kw) -> DataFrame:
-    """Bank from a saved training split (Parquet).
+    """Bank from a saved training split (Parquet), on any file system.
 
     A missing path gives the empty bank (every question goes to the model) or,
-    with ``on_missing='default'``, the default bank; an unreadable path gives
-    the default bank, as the original does on a read error.
+    with ``on_missing='default'``, the default bank; a path that is there but
+    is no Parquet table gives the default bank, as the original does on a read
+    error.  Other errors (no access, no such store) are raised.
     """
-    local = train_path.startswith("/") or train_path.startswith("file:")
-    if local and not os.path.exists(train_path.replace("file:", "")):
+    if path_kind(spark, train_path) is None:
         return default_bank(spark) if on_missing == "default" else empty_bank(spark)
     try:
         train = spark.read.parquet(train_path)
-        train.schema  # noqa: B018 - forces the footer read
-    except Exception:
+    except (PySparkException, Py4JJavaError) as e:
+        # no Parquet file below the path, or one whose footer is broken; anything else is raised
+        if not any(x in str(e) for x in ("UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file")):
+            raise
         return default_bank(spark)
     return template_bank(train, **kw)
 

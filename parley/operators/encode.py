@@ -6,22 +6,27 @@ real positions, and label ids with PAD replaced by -100.  Tokens are
 lower-cased whitespace words; ids come from a frequency-ranked vocabulary
 (ids 0-3 are BOS, PAD, EOS, UNK).
 
-Plan: tokens are exploded with their position, looked up with a broadcast
-hash join against the vocabulary (its size is capped, so the broadcast is
-bounded), and regrouped per row: one shuffle of (key, pos, id) triples.
+Plan: Spark makes the token arrays and cuts them to the length; over Arrow
+batches the flat token column is looked up in the vocabulary in one vectorised
+call and laid out by the list offsets.  Tokens never become rows: no shuffle,
+no sort.  The vocabulary's size is fixed by ``VOCAB_SIZE``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.constants import (
     BOS_ID, EOS_ID, LABEL_IGNORE_ID, MAX_INPUT_LENGTH, MAX_TARGET_LENGTH, PAD_ID, UNK_ID, VOCAB_SIZE,
 )
-from ..functions.broadcast import checked_broadcast
+from ..functions.ranking import bucket_offsets
 from ..functions.text import word_tokens
 
 N_SPECIAL = 4
@@ -31,22 +36,29 @@ def build_vocabulary(df: DataFrame, text_cols: Sequence[str], size: int = VOCAB_
     """ENC-1: ``(token, id, n)`` for the ``size - 4`` most frequent tokens
     (count desc, then token), ids from 4.
 
-    Counting is a partial aggregation; the top-k is TakeOrderedAndProject
-    (each task keeps its best k), so only k rows ever meet in one task.
+    Counting is a partial aggregation.  A table of (count, tokens with it)
+    gives the least count that still fits wholly and how many of the next
+    count are let in; those ties are cut by exact bucketed ranks, so no task
+    merges the candidates of all others.  Ids are ranks, too: offsets by
+    count, then the place among the tokens of that count.
     """
     toks = F.flatten(F.array(*[F.coalesce(word_tokens(c), F.array().cast("array<string>"))
                                for c in text_cols]))
     counts = (df.select(F.explode(toks).alias("token")).groupBy("token")
               .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
-    top = counts.orderBy(F.col("n").desc(), F.col("token")).limit(size - N_SPECIAL)
-    w = Window.orderBy(F.col("n").desc(), F.col("token"))  # over at most size-4 rows
-    return top.select("token", (F.row_number().over(w) + (N_SPECIAL - 1)).cast("int").alias("id"), "n")
-
-
-def _ids_from(sorted_pairs: F.Column, length: int) -> F.Column:
-    body = F.transform(sorted_pairs, lambda s: s["id"])
-    ids = F.concat(F.array(F.lit(BOS_ID)), body, F.array(F.lit(EOS_ID)))
-    return F.concat(ids, F.array_repeat(F.lit(PAD_ID), F.lit(length) - F.size(ids)))
+    limit = size - N_SPECIAL
+    # rows before a count, from the most frequent on: a table of distinct counts only
+    per = counts.groupBy("n").agg(F.count(F.lit(1)).alias("_m"))
+    before = Window.orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    starts = (per.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0)))
+              .where(F.col("_before") < limit).select("n", "_before"))
+    # within one count, tokens are ordered by their first characters, then whole
+    kept = counts.join(starts, "n").withColumn("_b", F.substring("token", 1, 2))
+    inner = bucket_offsets(kept, "_b", ["n"]).select("n", "_b", "_start")
+    rank = F.row_number().over(Window.partitionBy("n", "_b").orderBy("token"))
+    ranked = (kept.withColumn("_r", rank).join(inner, ["n", "_b"])
+              .withColumn("id", (F.col("_before") + F.col("_start") + F.col("_r") + (N_SPECIAL - 1)).cast("int")))
+    return ranked.where(F.col("id") < size).select("token", "id", "n")
 
 
 def attention_mask(ids: F.Column, length: int) -> F.Column:
@@ -61,95 +73,65 @@ def mask_labels(ids: F.Column) -> F.Column:
 
 
 def encode_columns(df: DataFrame, vocab: DataFrame, specs: Sequence[tuple[str, str, int]],
-                   keys: Sequence[str] = ("id",), carry: Sequence[str] = (),
-                   max_vocab_rows: int = 4 * VOCAB_SIZE, method: str = "join") -> DataFrame:
+                   keys: Sequence[str] = ("id",), carry: Sequence[str] = ()) -> DataFrame:
     """ENC-2 for several text columns at once.
 
     ``specs`` = ``[(text_col, out_ids_col, length), ...]``.  Every text gives
     exactly ``length`` ids, also when it has no tokens or is null.  ``carry``
-    columns are passed through (keys are unique per row).
-
-    ``method="join"`` (default) stays in the JVM: posexplode, broadcast hash
-    join, per-row ``collect_list``.  ``method="lookup"`` tokenizes the same
-    way in Spark, then maps token arrays to ids over Arrow batches with the
-    (bounded) vocabulary as a broadcast dictionary: no shuffle and no sort of
-    token rows, about 3x faster here, at the price of Python workers.
+    columns are passed through.  The vocabulary is sent to the workers as
+    two Arrow columns; its rows are bounded by its build (``VOCAB_SIZE``).
     """
-    if method == "lookup":
-        return _encode_lookup(df, vocab, specs, keys, carry, max_vocab_rows)
-    if method != "join":
-        raise ValueError("method must be 'join' or 'lookup'")
-    parts = []
-    for tag, (col, _, length) in enumerate(specs):
-        toks = F.slice(F.coalesce(word_tokens(col), F.array().cast("array<string>")), 1, length - 2)
-        parts.append(F.struct(F.lit(tag).alias("tag"), toks.alias("toks")))
-    exploded = (df.select(*keys, *carry, F.explode(F.array(*parts)).alias("_c"))
-                .select(*keys, *carry, F.col("_c.tag").alias("_tag"),
-                        F.posexplode_outer("_c.toks").alias("_p", "_w")))
-    # a vocabulary from build_vocabulary is capped at its size; any other
-    # vocabulary table is counted before it is broadcast
-    v = checked_broadcast(vocab.select(F.col("token").alias("_w"), F.col("id").alias("_id")),
-                          max_vocab_rows)
-    looked = exploded.join(v, "_w", "left")
-    pair = F.struct(F.col("_p").alias("p"), F.coalesce(F.col("_id"), F.lit(UNK_ID)).alias("id"))
-    aggs = [F.array_sort(F.collect_list(F.when((F.col("_tag") == tag) & F.col("_p").isNotNull(), pair)))
-            .alias(f"_s{tag}") for tag in range(len(specs))]
-    aggs += [F.first(c).alias(c) for c in carry]
-    grouped = looked.groupBy(*keys).agg(*aggs)
-    out = grouped
-    for tag, (_, out_col, length) in enumerate(specs):
-        out = out.withColumn(out_col, _ids_from(F.col(f"_s{tag}"), length))
-    return out.drop(*[f"_s{t}" for t in range(len(specs))])
-
-
-def _encode_lookup(df: DataFrame, vocab: DataFrame, specs, keys, carry, max_vocab_rows: int) -> DataFrame:
-    import pandas as pd
-    from pyspark.sql import types as T
-
-    from ..functions.broadcast import proven_max_rows
-
-    bound = proven_max_rows(vocab)
-    if bound is not None and bound > max_vocab_rows:
-        raise ValueError(f"vocabulary may exceed {max_vocab_rows} rows; use method='join'")
-    rows = vocab.select("token", "id").limit(max_vocab_rows + 1).collect()
-    if len(rows) > max_vocab_rows:
-        raise ValueError(f"vocabulary larger than {max_vocab_rows} rows; use method='join'")
-    table = df.sparkSession.sparkContext.broadcast({r["token"]: int(r["id"]) for r in rows})
-    toks = [F.slice(F.coalesce(word_tokens(col), F.array().cast("array<string>")), 1, length - 2)
-            .alias(f"_t{i}") for i, (col, _, length) in enumerate(specs)]
+    words = vocab.select("token", "id").orderBy("id").toPandas()
+    held = df.sparkSession.sparkContext.broadcast((words["token"].tolist(), words["id"].to_numpy("int32")))
+    toks = [F.slice(F.coalesce(word_tokens(col), F.array().cast("array<string>")), 1, length - 2).alias(f"_t{i}")
+            for i, (col, _, length) in enumerate(specs)]
     src = df.select(*keys, *carry, *toks)
-    schema = T.StructType([f for f in src.schema.fields if not f.name.startswith("_t")] +
-                          [T.StructField(out, T.ArrayType(T.IntegerType(), False), False) for _, out, _ in specs])
-    lengths = [(f"_t{i}", out, length) for i, (_, out, length) in enumerate(specs)]
+    plain = [f for f in src.schema.fields if not f.name.startswith("_t")]
+    schema = T.StructType(plain + [T.StructField(out, T.ArrayType(T.IntegerType(), False), False) for _, out, _ in specs])
+    layouts = [(f"_t{i}", length) for i, (_, _, length) in enumerate(specs)]
+    names = [f.name for f in plain]
 
     def run(batches):
-        ids_of = table.value
-        for pdf in batches:
-            for tcol, out, length in lengths:
-                pdf[out] = [[BOS_ID] + [ids_of.get(w, UNK_ID) for w in toks] + [EOS_ID]
-                            + [PAD_ID] * (length - 2 - len(toks)) for toks in pdf[tcol]]
-            yield pd.DataFrame({f.name: pdf[f.name] for f in schema.fields})
-
-    return src.mapInPandas(run, schema)
+        known, ids_of = pa.array(held.value[0], pa.string()), held.value[1]
+        for b in batches:
+            out = [b.column(n) for n in names]
+            for name, length in layouts:
+                out.append(_laid_out(b.column(name), known, ids_of, length))
+            yield pa.RecordBatch.from_arrays(out, names=[f.name for f in schema.fields])
+
+    return src.mapInArrow(run, schema)
+
+
+def _laid_out(tokens: pa.ListArray, known: pa.Array, ids_of: np.ndarray, length: int) -> pa.ListArray:
+    """``[BOS] ids [EOS] PAD...`` of each token list, as lists of ``length`` ids."""
+    rows, sizes = len(tokens), np.asarray(pc.list_value_length(tokens).to_numpy(zero_copy_only=False), np.int64)
+    at = pc.index_in(tokens.flatten().cast(pa.string()), value_set=known)
+    at = np.asarray(at.fill_null(-1).to_numpy(zero_copy_only=False), np.int64)
+    ids = np.where(at >= 0, ids_of[at] if len(ids_of) else UNK_ID, UNK_ID).astype(np.int32)
+    grid = np.full((rows, length), PAD_ID, np.int32)
+    grid[:, 0] = BOS_ID
+    grid[np.arange(rows), sizes + 1] = EOS_ID
+    row = np.repeat(np.arange(rows), sizes)
+    grid[row, np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1] = ids
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * length, pa.int32()), pa.array(grid.ravel()))
 
 
 def encode_fixed(df: DataFrame, vocab: DataFrame, text_col: str, length: int,
                  keys: Sequence[str] = ("id",), carry: Sequence[str] = (),
-                 ids_col: str = "input_ids", mask_col: str = "attention_mask",
-                 method: str = "join") -> DataFrame:
+                 ids_col: str = "input_ids", mask_col: str = "attention_mask") -> DataFrame:
     """ENC-2 + ENC-3 for one text column."""
-    enc = encode_columns(df, vocab, [(text_col, ids_col, length)], keys, carry, method=method)
+    enc = encode_columns(df, vocab, [(text_col, ids_col, length)], keys, carry)
     return enc.withColumn(mask_col, attention_mask(F.col(ids_col), length))
 
 
 def encode_pairs(df: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("id",),
                  input_col: str = "input_text", target_col: str = "target_text",
                  input_length: int = MAX_INPUT_LENGTH, target_length: int = MAX_TARGET_LENGTH,
-                 carry: Sequence[str] = (), method: str = "join") -> DataFrame:
+                 carry: Sequence[str] = ()) -> DataFrame:
     """ENC-5: per pair ``input_ids``, ``attention_mask`` (input) and ``labels``
-    (target ids with PAD -> -100), in one shuffle for both texts."""
+    (target ids with PAD -> -100)."""
     enc = encode_columns(df, vocab, [(input_col, "input_ids", input_length),
-                                     (target_col, "_target_ids", target_length)], keys, carry, method=method)
+                                     (target_col, "_target_ids", target_length)], keys, carry)
     return (enc.withColumn("attention_mask", attention_mask(F.col("input_ids"), input_length))
             .withColumn("labels", mask_labels(F.col("_target_ids"))).drop("_target_ids"))
 

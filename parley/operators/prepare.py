@@ -17,7 +17,7 @@ from ..functions.constants import (
     BATTERY_MODEL_PREFIX, PREVIEW_ROWS, SEED, TEST_SHARE, VAL_SHARE,
 )
 from ..functions.hashing import order_hash
-from ..functions.ranking import label_by_cut_points
+from ..functions.ranking import bucket_offsets, label_by_cut_points
 
 # --- projections -------------------------------------------------------------
 
@@ -77,54 +77,31 @@ def battery_prefix(df: DataFrame, pos_col: str = "pos", n: int = BATTERY_MODEL_P
 
 
 def dedup_pairs(df: DataFrame, subset: Sequence[str] = ("instruction", "response"),
-                keys: Sequence[str] = ("id",), method: str = "window",
-                max_dup_hashes: int = 2_000_000, auto_threshold_bytes: int = 1 << 30) -> DataFrame:
+                keys: Sequence[str] = ("id",)) -> DataFrame:
     """DST-1: one row per exact ``subset`` value, the first in key order.
 
-    ``row_number() ... = 1`` is planned as WindowGroupLimit: each input
-    partition keeps its first row per pair *before* the shuffle, so a pair
-    repeated a billion times moves one row per map task.  A 64-bit hash of
-    the pair leads the partition key so the sorts compare long texts only
-    when the hashes are equal (prefix sort on the hash).
-
-    ``method="hash_first"`` avoids shuffling the texts of unique pairs: rows
-    are counted per 64-bit pair hash (an 8-byte shuffle), the hashes seen
-    more than once are broadcast (size-checked, at most ``max_dup_hashes``),
-    rows with a unique hash pass through untouched -- they cannot have a
-    duplicate -- and only the colliding rows go through the window.  When
-    there are too many duplicated hashes it falls back to the window over all
-    rows.  Results are identical.
-
-    ``method="auto"`` picks ``hash_first`` when Catalyst estimates the input
-    above ``auto_threshold_bytes`` (its extra jobs cost more than they save on
-    small inputs) and ``window`` otherwise.
+    Rows are counted per 128-bit digest of the pair on a narrow table (map-side
+    combined, so a pair repeated a billion times is one row per task).  Only
+    rows whose digest occurs more than once meet their texts again: within
+    each such digest the texts themselves are compared by the window, so the
+    result is exact.  The losers' (key, digest) rows are then removed by an
+    anti-join; rows are identified by ``keys``, which must be unique.  Join
+    sizes are left to Spark: no hint, and skewed digests are split.
     """
-    if method not in ("window", "hash_first", "auto"):
-        raise ValueError("method must be 'window', 'hash_first' or 'auto'")
-    if method == "auto":
-        from ..functions.broadcast import estimated_bytes
-
-        size = estimated_bytes(df)
-        method = "hash_first" if size is not None and size > auto_threshold_bytes else "window"
-    if method == "window":
-        return _dedup_window(df, subset, keys)
-    from ..functions.broadcast import broadcast_if_small
-
-    hashed = df.withColumn("_ph", F.xxhash64(*subset))
-    dup = (hashed.groupBy("_ph").agg(F.count(F.lit(1)).alias("_c"))
-           .where(F.col("_c") > 1).select("_ph"))
-    dup_b = broadcast_if_small(dup, max_dup_hashes)
-    if dup_b is None:
-        return _dedup_window(df, subset, keys)
-    unique = hashed.join(dup_b, "_ph", "left_anti")
-    candidates = _dedup_window(hashed.join(dup_b, "_ph", "left_semi"), subset, keys)
-    return unique.unionByName(candidates).drop("_ph")
-
-
-def _dedup_window(df: DataFrame, subset: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    w = Window.partitionBy(F.xxhash64(*subset), *subset).orderBy(*keys)
-    return (df.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") == 1).drop("_rn"))
+    hashed = df.withColumn("_pd", F.md5(F.to_json(F.struct(*subset), {"ignoreNullFields": "false"})))
+    repeated = hashed.groupBy("_pd").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_pd")
+    # a window limit keeps one row per pair and task before its shuffle
+    rivals = hashed.join(repeated, "_pd", "left_semi").select("_pd", *subset, *keys)
+    w = Window.partitionBy("_pd", *subset).orderBy(*keys)
+    first = rivals.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys])
+    losers = (rivals.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+              .join(first, [f"_k_{k}" for k in keys], "left_anti"))
+    same = [F.col(k) == F.col(f"_k_{k}") for k in keys]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    return df.join(losers, cond, "left_anti")
 
 
 def label_vocabulary(df: DataFrame, columns: Sequence[str] = ("category", "intent"),
@@ -183,6 +160,16 @@ def shuffle_take(df: DataFrame, n: int, seed: int = SEED, keys: Sequence[str] =
     return sample_n(df, n, seed, keys, pos_col=pos_col)
 
 
+def shuffled(df: DataFrame, seed: int = SEED, keys: Sequence[str] = ("id",), pos_col: str = "shuffle_pos") -> DataFrame:
+    """SMP-2 over a whole table: every row with its 1-based place in the seeded
+    order, from counts of hash buckets and a rank within each (no global sort)."""
+    base = df.withColumn("_h", order_hash(seed, keys)).withColumn("_b", F.substring("_h", 1, 3))
+    offsets = bucket_offsets(base, "_b").select("_b", "_start")  # at most 16^3 rows
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *keys))
+    return (base.withColumn(pos_col, rank).join(F.broadcast(offsets), "_b")
+            .withColumn(pos_col, (F.col("_start") + F.col(pos_col)).cast("int")).drop("_h", "_b", "_start"))
+
+
 def sample_per_group(df: DataFrame, group: str, n: int, seed: int = SEED,
                      keys: Sequence[str] = ("id",), rank_col: str = "_rank") -> DataFrame:
     """SMP-3: up to ``n`` rows per non-null group value.

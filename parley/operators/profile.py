@@ -3,9 +3,9 @@ length statistics and length histograms.
 
 Plan shapes chosen for scale:
 
-* distinct counts and top values share ONE aggregation over an unpivoted
-  ``(column, value)`` stream (partial aggregation collapses hot values before
-  the shuffle) instead of one pass per column;
+* distinct counts and top values work on an unpivoted ``(column, value)``
+  stream instead of one pass per column; long values are shuffled only as
+  digests (partial aggregation collapses hot values before the shuffle);
 * length statistics and exact linear-interpolated quantiles come from a
   ``(column, length, count)`` histogram: the data is aggregated once, and the
   windows run over the histogram, whose size is bounded by the longest text,
@@ -40,9 +40,14 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def column_types(df: DataFrame) -> DataFrame:
-    """AGG-2: ``(position, field, type)`` from the schema (Spark type names)."""
+    """AGG-2: ``(position, field, type, non_null)``: Spark type names and how
+    many rows have a value, in one aggregation over the table."""
     rows = [(i + 1, name, dtype) for i, (name, dtype) in enumerate(df.dtypes)]
-    return df.sparkSession.createDataFrame(rows, "position int, field string, type string")
+    types = df.sparkSession.createDataFrame(rows, "position int, field string, type string")
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    one = counts.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("field"), F.col(f"`{c}`").cast("bigint").alias("non_null")) for c in df.columns])).alias("s"))
+    return types.join(one.select("s.*"), "field").select("position", "field", "type", "non_null")
 
 
 def stacked_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -59,34 +64,27 @@ def value_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
         F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def distinct_counts(values: DataFrame, approx: bool = False, columns: Sequence[str] | None = None) -> DataFrame:
-    """AGG-3: distinct non-null values per column, from ``value_table``.
-
-    With ``columns`` every listed column gets a row (0 for an empty table).
-    ``approx=True`` on a value table is only a cheaper final step; for the
-    scalable approximate path use ``distinct_counts_approx`` on the data.
-    """
-    agg = (F.approx_count_distinct("value") if approx else F.count("value")).cast("bigint")
-    counted = values.groupBy("field").agg(agg.alias("distinct"))
-    if columns is None:
-        return counted
-    return _all_fields(values.sparkSession, columns, counted)
-
-
 def _all_fields(spark, columns: Sequence[str], counted: DataFrame) -> DataFrame:
     fields = spark.createDataFrame([(c,) for c in columns], "field string")
     return fields.join(counted, "field", "left").select(
         "field", F.coalesce(F.col("distinct"), F.lit(0)).cast("bigint").alias("distinct"))
 
 
-def distinct_counts_hashed(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """AGG-3 for long text: distinct values counted on their 16-byte md5
-    instead of the text, so the shuffle moves digests, not documents (exact
-    unless two different values share an md5)."""
+def _digest_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(field, h)``: one row per distinct non-null value, as its 16-byte md5."""
     st = stacked_values(df, columns).where(F.col("value").isNotNull())
-    per_value = st.groupBy("field", F.unhex(F.md5("value")).alias("h")).agg(F.count(F.lit(1)).alias("_n"))
-    counted = per_value.groupBy("field").agg(F.count(F.lit(1)).cast("bigint").alias("distinct"))
-    return _all_fields(df.sparkSession, list(columns or df.columns), counted)
+    return st.groupBy("field", F.unhex(F.md5("value")).alias("h")).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """AGG-3: distinct non-null values of every column (0 for an empty table).
+
+    Values are told apart by their 16-byte md5, so the shuffle moves digests,
+    not documents (exact unless two different values share an md5).
+    """
+    cols = list(columns or df.columns)
+    counted = _digest_table(df, cols).groupBy("field").agg(F.count(F.lit(1)).cast("bigint").alias("distinct"))
+    return _all_fields(df.sparkSession, cols, counted)
 
 
 def distinct_counts_approx(df: DataFrame, columns: Sequence[str] | None = None, rsd: float = 0.01) -> DataFrame:
@@ -97,36 +95,26 @@ def distinct_counts_approx(df: DataFrame, columns: Sequence[str] | None = None,
         F.approx_count_distinct("value", rsd).cast("bigint").alias("distinct"))
 
 
-def top_values(values: DataFrame, k: int = TOP_VALUES, low_cardinality: int = LOW_CARDINALITY,
+def top_values(df: DataFrame, k: int = TOP_VALUES, low_cardinality: int = LOW_CARDINALITY,
                always: Sequence[str] = ("category", "intent")) -> DataFrame:
     """AGG-4: top ``k`` non-null values of each column that is in ``always`` or has
     fewer than ``low_cardinality`` distinct values; ties broken by value.
 
-    ``(field, rank, value, n)``.  The per-column window keeps at most ``k``
-    rows per column in every task before its shuffle (WindowGroupLimit).
+    ``(field, rank, value, n)``.  Which columns qualify comes from the digest
+    counts (one row per column, broadcast); values are counted only for those,
+    which by definition have few distinct values or are the label columns.
+    The per-column window keeps at most ``k`` rows per column and task before
+    its shuffle (WindowGroupLimit).
     """
-    nonnull = values.where(F.col("value").isNotNull())
-    dc = nonnull.groupBy("field").agg(F.count(F.lit(1)).alias("_d"))
-    eligible = dc.where(F.col("field").isin(*always) | (F.col("_d") < low_cardinality)).select("field")
+    eligible = distinct_counts(df).where(
+        F.col("field").isin(*always) | (F.col("distinct") < low_cardinality)).select("field")
+    cells = stacked_values(df).where(F.col("value").isNotNull()).join(F.broadcast(eligible), "field")
+    counted = cells.groupBy("field", "value").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     w = Window.partitionBy("field").orderBy(F.col("n").desc(), F.col("value"))
-    ranked = nonnull.join(F.broadcast(eligible), "field")  # <= one row per column: bounded
-    return (ranked.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (counted.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("field", "rank", "value", "n"))
 
 
-def top_values_of(df: DataFrame, k: int = TOP_VALUES, low_cardinality: int = LOW_CARDINALITY,
-                  always: Sequence[str] = ("category", "intent")) -> DataFrame:
-    """AGG-4 without shuffling long texts: eligibility comes from the md5-keyed
-    distinct counts (digests only); values are then counted only for the
-    eligible columns, which by definition have few distinct values (or are
-    the label columns).  Same result as ``top_values(value_table(df))``."""
-    dc = distinct_counts_hashed(df).collect()  # one row per column: bounded
-    eligible = [r["field"] for r in dc if r["field"] in always or r["distinct"] < low_cardinality]
-    if not eligible:
-        return df.sparkSession.createDataFrame([], "field string, rank int, value string, n bigint")
-    return top_values(value_table(df, eligible), k, low_cardinality, always)
-
-
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """AGG-5: all non-null value counts of one column, most frequent first."""
     return (df.where(F.col(column).isNotNull()).groupBy(column)
@@ -213,30 +201,12 @@ def length_histogram(df: DataFrame, columns: Sequence[str] = ("instruction", "re
                     F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
-def profile_report(df: DataFrame, approx: bool = False, distinct: str = "exact",
-                   auto_threshold_bytes: int = 1 << 30) -> DataFrame:
+def profile_report(df: DataFrame, approx: bool = False) -> DataFrame:
     """SNK-5 content: ``(section, name, value, ord)`` rows: shape, column
-    types and distinct counts (``ord`` = schema position).
-
-    ``distinct`` is ``exact`` (group by value), ``hashed`` (group by md5 of
-    the value), ``approx`` (HyperLogLog) or ``auto`` (``hashed`` when Catalyst
-    estimates the input above ``auto_threshold_bytes``, else ``exact``).
-    ``approx=True`` is shorthand for ``distinct="approx"``.
+    types and distinct counts (``ord`` = schema position); ``approx`` counts
+    distinct values with HyperLogLog sketches.
     """
-    mode = "approx" if approx else distinct
-    if mode == "auto":
-        from ..functions.broadcast import estimated_bytes
-
-        size = estimated_bytes(df)
-        mode = "hashed" if size is not None and size > auto_threshold_bytes else "exact"
-    if mode == "approx":
-        counts = distinct_counts_approx(df)
-    elif mode == "hashed":
-        counts = distinct_counts_hashed(df)
-    elif mode == "exact":
-        counts = distinct_counts(value_table(df), columns=df.columns)
-    else:
-        raise ValueError("distinct must be 'exact', 'hashed', 'approx' or 'auto'")
+    counts = distinct_counts_approx(df) if approx else distinct_counts(df)
     pos = {name: i + 1 for i, name in enumerate(df.columns)}
     sh = shape(df)
     rows = sh.select(F.lit("shape").alias("section"), F.lit("rows").alias("name"),

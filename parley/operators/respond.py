@@ -1,9 +1,9 @@
 """Classify questions by keyword lexicon and answer them from the bank.
 
-The whole answering path is native expressions plus one broadcast hash join
-against the (bounded) bank and one scalar subquery for the ``general`` entry,
-so a batch of questions is answered in a single narrow stage per partition:
-no Python worker, no shuffle of the questions.
+The whole answering path is native expressions plus one join against the bank
+(one row per intent; Spark broadcasts it while its bytes allow) and one scalar
+subquery for the ``general`` entry: no Python worker, and no shuffle of the
+questions against a bank of usual size.
 """
 
 from __future__ import annotations
@@ -16,16 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.broadcast import checked_broadcast
 from ..functions.constants import (
     EMPTY_MESSAGE_NOTICE, FALLBACK_INTENT, MODEL_PROMPT_PREFIX, NO_PLACEHOLDER_PREFIX,
     NO_PLACEHOLDER_SEPARATOR, QUERY_PLACEHOLDER, SEED, STOCK_LEXICON,
 )
 from ..functions.hashing import pick_index
-from ..functions.lexicon import Lexicon, lexicon_from_frame
-
-MAX_COMPILED_KEYWORDS = 512
-MAX_BANK_ROWS = 100_000
+from ..functions.lexicon import Lexicon
 
 
 # --- RSP-4: intent classification ----------------------------------------------------
@@ -50,16 +46,12 @@ def intent_expr(text: Column, lexicon: Lexicon = STOCK_LEXICON) -> tuple[Column,
     return F.when(score > 0, best["i"]).otherwise(F.lit(FALLBACK_INTENT)), score
 
 
-def classify_intent(df: DataFrame, text_col: str = "query", lexicon: Lexicon | DataFrame = STOCK_LEXICON,
+def classify_intent(df: DataFrame, text_col: str = "query", lexicon: Lexicon = STOCK_LEXICON,
                     out: str = "intent", score_col: str | None = None) -> DataFrame:
     """Add the predicted intent (and optionally its score) as columns.
 
-    A lexicon given as a table is brought back only after a size check (at
-    most ``MAX_COMPILED_KEYWORDS`` rows); larger lexicons use
-    ``classify_intent_join``.
+    For a lexicon in code; one that is a table goes to ``classify_intent_join``.
     """
-    if isinstance(lexicon, DataFrame):
-        lexicon = lexicon_from_frame(lexicon, MAX_COMPILED_KEYWORDS)
     intent, score = intent_expr(F.col(text_col), lexicon)
     out_df = df.withColumn(out, intent)
     return out_df.withColumn(score_col, score) if score_col else out_df
@@ -67,15 +59,26 @@ def classify_intent(df: DataFrame, text_col: str = "query", lexicon: Lexicon | D
 
 def classify_intent_join(df: DataFrame, lexicon: DataFrame, text_col: str = "query",
                          keys: Sequence[str] = ("id",), out: str = "intent",
-                         score_col: str | None = None) -> DataFrame:
-    """RSP-4, table form for large lexicons: keyword containment as a join.
-
-    The lexicon side is broadcast after a size check; hits are counted per
-    (row, intent) and the best intent is chosen by (score, -priority).
+                         score_col: str | None = None, lead: int = 3) -> DataFrame:
+    """RSP-4 for a lexicon that is a table of any size.
+
+    A text holds a keyword only if it holds the keyword's first ``lead``
+    characters, so texts (as their distinct ``lead``-grams) and keywords meet by an equi-join on
+    those, and ``contains`` decides.  Keywords shorter than that meet texts by
+    their distinct grams of that length in the same join; an empty keyword is
+    in every text.  Hits are counted per (row, intent), the best intent is
+    chosen by (score, -priority).
     """
-    lex = checked_broadcast(lexicon.select("intent", "priority", "keyword").distinct())
-    low = df.select(*keys, F.lower(F.col(text_col)).alias("_low"))
-    hits = low.join(lex, F.col("_low").contains(F.col("keyword")))
+    lex = lexicon.select("intent", "priority", "keyword").distinct().withColumn("_g", F.substring("keyword", 1, lead))
+    low = df.select(*keys, F.lower(F.col(text_col)).alias("_low")).where(F.col("_low").isNotNull())
+
+    def grams(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length("_low") - (n - 1), F.lit(1)))
+        return F.array_distinct(F.transform(starts, lambda i: F.substring(F.col("_low"), i, F.lit(n))))
+
+    every = F.concat(F.array(F.lit("")), *[grams(n) for n in range(1, lead + 1)])
+    texts = low.withColumn("_g", F.explode(F.array_distinct(every)))
+    hits = texts.join(lex, "_g").where(F.col("_low").contains(F.col("keyword")))
     scores = hits.groupBy(*keys, "intent", "priority").agg(F.count(F.lit(1)).alias("_s"))
     best = scores.groupBy(*keys).agg(
         F.max(F.struct(F.col("_s").alias("s"), (-F.col("priority")).alias("p"),
@@ -91,17 +94,15 @@ def classify_intent_join(df: DataFrame, lexicon: DataFrame, text_col: str = "que
 
 
 def bank_lookup(df: DataFrame, bank: DataFrame, intent_col: str = "intent",
-                out: str = "templates", max_bank_rows: int = MAX_BANK_ROWS) -> DataFrame:
+                out: str = "templates") -> DataFrame:
     """RSP-5: ``bank[intent]``, else ``bank['general']``, else null.
 
-    The bank has one row per intent; it is broadcast when its row count is
-    within ``max_bank_rows``.  The ``general`` entry is an uncorrelated scalar
-    subquery (evaluated once, never joined).
+    The bank has one row per intent.  Whether its side is broadcast is left to
+    Spark, which goes by the bytes it finds (at run time, too), so no size is
+    guessed here.  The ``general`` entry is an uncorrelated scalar subquery
+    (evaluated once, never joined).
     """
-    entries = checked_broadcast(bank.select(F.col("intent").alias("_bi"), F.col("templates").alias("_bt")),
-                                max_bank_rows)
-    # the scalar subquery reads the same (checked, possibly checkpointed) bank,
-    # so the bank is not rebuilt for it
+    entries = bank.select(F.col("intent").alias("_bi"), F.col("templates").alias("_bt"))
     general = entries.where(F.col("_bi") == FALLBACK_INTENT).select("_bt").limit(1).scalar()
     joined = df.join(entries, F.col(intent_col) == F.col("_bi"), "left")
     return joined.withColumn(out, F.coalesce(F.col("_bt"), general)).drop("_bi", "_bt")
@@ -130,23 +131,24 @@ def model_prompt(query: Column) -> Column:
 # --- RSP-10 / RSP-11 ------------------------------------------------------------------
 
 
-def answer_questions(df: DataFrame, bank: DataFrame, lexicon: Lexicon | DataFrame = STOCK_LEXICON,
-                     text_col: str = "query", use_templates: bool = True, seed: int = SEED,
-                     max_bank_rows: int = MAX_BANK_ROWS) -> DataFrame:
+def answer_questions(df: DataFrame, bank: DataFrame | None, lexicon: Lexicon = STOCK_LEXICON,
+                     text_col: str = "query", use_templates: bool = True, seed: int = SEED) -> DataFrame:
     """RSP-10: guard -> classify -> lookup -> pick -> render / route.
 
     Adds ``intent, route, response, prompt``.  ``route`` is ``guard`` for a null
     or empty message (answered with a notice), ``template`` when a template
     was found and templates are on, else ``model`` (``response`` null,
-    ``prompt`` set for a generator, see ``generate_batch``).
+    ``prompt`` set for a generator, see ``generate_batch``).  With templates
+    off the bank is not looked at (it may be None).
     """
     q = F.col(text_col)
     empty = q.isNull() | (q == "")
     classified = classify_intent(df, text_col, lexicon, out="_intent")
-    looked = bank_lookup(classified, bank, "_intent", "_tpl", max_bank_rows)
+    looked = (bank_lookup(classified, bank, "_intent", "_tpl") if use_templates
+              else classified.withColumn("_tpl", F.lit(None).cast("array<string>")))
     has_tpl = F.coalesce(F.size("_tpl"), F.lit(0)) > 0
     route = (F.when(empty, F.lit("guard"))
-             .when(F.lit(use_templates) & has_tpl, F.lit("template"))
+             .when(has_tpl, F.lit("template"))
              .otherwise(F.lit("model")))
     template = pick_template(F.col("_tpl"), q, seed)
     return (looked
@@ -158,7 +160,7 @@ def answer_questions(df: DataFrame, bank: DataFrame, lexicon: Lexicon | DataFram
             .drop("_intent", "_tpl"))
 
 
-def side_by_side(df: DataFrame, bank: DataFrame, lexicon: Lexicon | DataFrame = STOCK_LEXICON,
+def side_by_side(df: DataFrame, bank: DataFrame, lexicon: Lexicon = STOCK_LEXICON,
                  text_col: str = "query", seed: int = SEED) -> DataFrame:
     """RSP-11: both paths for each question in one row (no join: the model
     path is a projection of the same row)."""
@@ -173,6 +175,16 @@ def side_by_side(df: DataFrame, bank: DataFrame, lexicon: Lexicon | DataFrame =
 # --- RSP-9 / UDF-1: generator hook ---------------------------------------------------------
 
 
+def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str | T.StructType) -> DataFrame:
+    """UDF-1: a user function from a batch of rows to a batch of rows, over
+    Arrow batches of bounded size; ``schema`` is that of its result."""
+    def run(batches):
+        for pdf in batches:
+            yield fn(pdf)
+
+    return df.mapInPandas(run, schema)
+
+
 def generate_batch(df: DataFrame, generate: Callable[[pd.Series], pd.Series],
                    prompt_col: str = "prompt", out: str = "generated",
                    seconds_col: str = "generate_seconds") -> DataFrame:

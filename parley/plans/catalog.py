@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.constants import SEED, STOCK_LEXICON
+from ..functions.constants import CLASSIFIER_TRAIN_ROWS, SEED, STOCK_LEXICON
 from ..functions.hashing import order_hash
 from ..functions.lexicon import PROBE_LEXICON, lexicon_frame
 from ..operators import bank as B
@@ -23,7 +23,7 @@ from ..operators import evaluate as V
 from ..operators import prepare as P
 from ..operators import profile as R
 from ..operators import respond as A
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import files as IO
 from ..sources.tables import table
 from ..streaming import chat as S
@@ -55,7 +55,7 @@ def q_dedup_pairs(spark, d):
 
 
 def q_dedup_pairs_hash_first(spark, d):
-    return P.dedup_pairs(P.drop_missing(C.corpus(spark, d)), method="hash_first")
+    return C.cleaned(spark, d)
 
 
 def q_label_vocabulary(spark, d):
@@ -120,20 +120,19 @@ def q_column_types(spark, d):
 
 
 def q_distinct_counts(spark, d):
-    prof = _profiled(spark, d)
-    return R.distinct_counts(R.value_table(prof), columns=prof.columns)
+    return R.distinct_counts(_profiled(spark, d))
 
 
 def q_distinct_counts_hashed(spark, d):
-    return R.distinct_counts_hashed(_profiled(spark, d))
+    return R.distinct_counts(_profiled(spark, d))
 
 
 def q_top_values(spark, d):
-    return R.top_values(R.value_table(_profiled(spark, d)))
+    return R.top_values(_profiled(spark, d))
 
 
 def q_top_values_hashed(spark, d):
-    return R.top_values_of(_profiled(spark, d))
+    return R.top_values(_profiled(spark, d))
 
 
 def q_category_counts(spark, d):
@@ -191,7 +190,7 @@ def q_classify_intent_join(spark, d):
 
 
 def _answers(spark, d, lexicon, bank=None, use_templates=True):
-    b = C.bank(spark, d) if bank is None else bank
+    b = C.bank(spark, d) if bank is None and use_templates else bank
     return A.answer_questions(C.questions(spark, d), b, lexicon, "query", use_templates).select(
         "conv_id", "turn", "query", "intent", "route", "response", "prompt")
 
@@ -212,6 +211,33 @@ def q_answer_model_only(spark, d):
     return _answers(spark, d, PROBE_LEXICON, use_templates=False)
 
 
+def q_generate_batch(spark, d):
+    """RSP-9: the recorded model echoes its prompt, so the generator here does too."""
+    out = A.generate_batch(_answers(spark, d, PROBE_LEXICON, use_templates=False), lambda prompts: prompts)
+    return out.select("conv_id", "turn", "prompt", "generated")
+
+
+def q_map_batches(spark, d):
+    """UDF-1: a user function over batches of rows."""
+    def measure(pdf):
+        return pdf.assign(characters=pdf["query"].str.len())[["conv_id", "turn", "characters"]]
+
+    return A.map_batches(C.questions(spark, d), measure, "conv_id long, turn long, characters long")
+
+
+def q_load_bank(spark, d):
+    """RSP-3: a saved split, a missing one and an unreadable one, by name."""
+    good, bad = scratch_path(spark, "bank-train"), scratch_path(spark, "bank-bad")
+    C.train(spark, d).write.parquet(good)
+    table(spark, d, "region").select(F.lit("no parquet").alias("value")).coalesce(1).write.text(bad)
+    parts = [("present", good), ("missing", scratch_path(spark, "bank-none")), ("unreadable", bad)]
+    out = None
+    for name, path in parts:
+        part = B.bank_as_text(B.load_bank(spark, path)).withColumn("source", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_side_by_side(spark, d):
     return A.side_by_side(C.questions(spark, d), C.bank(spark, d), PROBE_LEXICON).select(
         "conv_id", "turn", "intent", "template_route", "template_response", "model_prompt")
@@ -240,7 +266,7 @@ def q_encode_pairs(spark, d):
 
 
 def q_encode_pairs_lookup(spark, d):
-    enc = E.encode_pairs(C.train(spark, d), _vocab(spark, d), ["id"], method="lookup")
+    enc = E.encode_pairs(C.train(spark, d), _vocab(spark, d), ["id"])
     return E.arrays_as_text(enc.select("id", "input_ids", "attention_mask", "labels"),
                             ["input_ids", "attention_mask", "labels"])
 
@@ -293,22 +319,30 @@ def q_scan_csv_dir(spark, d):
 
 def q_prepared_roundtrip(spark, d):
     path = scratch_path(spark, "prepared")
-    sp = C.split(spark, d)
+    sp = materialize(C.split(spark, d), "split")
     vocab = E.build_vocabulary(sp.where(F.col("split") == "train"), ["input_text", "target_text"])
     enc = E.encode_pairs(sp, vocab, ["id"], carry=["split"])
     IO.write_splits(P.select_features(enc, keys=["id", "split"]), path)
-    val = IO.scan_split(spark, path, "val")
-    return E.arrays_as_text(val.select("id", "input_ids", "attention_mask", "labels"),
-                            ["input_ids", "attention_mask", "labels"])
+    back = None
+    for name in ("train", "val", "test"):
+        part = IO.scan_split(spark, path, name).select("id", "split", "input_ids", "attention_mask", "labels")
+        back = part if back is None else back.unionByName(part)
+    return E.arrays_as_text(back, ["input_ids", "attention_mask", "labels"])
 
 
 def q_numbered_questions(spark, d):
     path = scratch_path(spark, "questions-txt")
-    sample = P.sample_n(C.cleaned(spark, d), 10, SEED, ["id"], pos_col="pos")
-    IO.write_numbered_text(IO.numbered_lines(sample, "instruction", "pos"), path)
+    numbered = C.cleaned(spark, d).select(F.col("id").alias("pos"), "instruction")
+    IO.write_numbered_text(IO.numbered_lines(numbered, "instruction", "pos"), path)
     return IO.read_numbered_questions(spark, path).select("value", "question")
 
 
+def q_source_or_default_empty(spark, d):
+    none = C.cleaned(spark, d).where(F.length("instruction") < 0).select(
+        F.col("id").cast("int").alias("pos"), F.col("instruction").alias("question"))
+    return IO.source_or_default(none, IO.default_questions(spark))
+
+
 def q_source_or_default(spark, d):
     sample = P.sample_n(C.cleaned(spark, d), 10, SEED, ["id"], pos_col="pos").select(
         "pos", F.col("instruction").alias("question"))
@@ -325,10 +359,10 @@ def _response_log(spark, d):
 
 def q_response_log_roundtrip(spark, d):
     path = scratch_path(spark, "results-json")
-    docs = IO.result_documents(_response_log(spark, d), "run", battery=10, order_col="_h")
-    IO.write_result_documents(docs, path)
+    IO.write_result_documents(IO.result_documents(_response_log(spark, d), "run", order_col="_h"), path)
     flat = IO.read_response_log(spark, path)
-    sums = spark.read.schema(IO.RESULT_DOC_SCHEMA).json(path).select("run", "avg_response_time", "responses_total")
+    sums = flat.groupBy("run").agg(F.sum("response_time").alias("_s"), F.count(F.lit(1)).cast("bigint").alias("responses_total"))
+    sums = sums.select("run", (F.col("_s") / F.col("responses_total")).alias("avg_response_time"), "responses_total")
     return _round(flat.join(sums, "run").drop("source_file"), ["avg_response_time", "response_time"])
 
 
@@ -360,10 +394,21 @@ def q_answer_stream(spark, d):
     return out.select("conv_id", "turn", F.col("text").alias("query"), "intent", "route", "response", "prompt")
 
 
+def _events(turns):
+    """Chat events derived from the given turns: every fifth turn clears the
+    history and some user messages (by a hash) are empty."""
+    h = F.substring(order_hash(SEED, ["conv_id", "turn"]), 1, 1)
+    clear = (F.col("turn") % 5) == 4
+    return turns.select(
+        "conv_id", "turn", F.when(clear, "system").otherwise(F.col("role")).alias("role"),
+        F.when(~clear & h.isin("0", "1", "2"), "").otherwise(F.col("text")).alias("text"))
+
+
 def q_chat_history_stream(spark, d):
-    turns = S.conversation_stream(spark, d)
-    hist = S.chat_history(S.answer_stream(turns, C.bank(spark, d), PROBE_LEXICON))
-    return S.run_available(hist, spark, "history")
+    bank = materialize(C.bank(spark, d), "bank")
+    live = S.answer_stream(S.conversation_stream(spark, d), bank, PROBE_LEXICON)
+    positions = S.run_available(S.chat_history(live), spark, "history")
+    return S.with_texts(positions, S.answer_stream(table(spark, d, "conversations"), bank, PROBE_LEXICON))
 
 
 def q_chat_history(spark, d):
@@ -371,6 +416,22 @@ def q_chat_history(spark, d):
     return S.chat_history_batch(ans)
 
 
+def q_chat_history_events(spark, d):
+    return S.chat_history_batch(S.answer_stream(_events(table(spark, d, "conversations")), C.bank(spark, d), PROBE_LEXICON))
+
+
+def q_chat_history_events_stream(spark, d):
+    """Answers are streamed; positions come from the written turns, whatever their order of arrival."""
+    live = S.answer_stream(_events(S.conversation_stream(spark, d)), materialize(C.bank(spark, d), "bank"), PROBE_LEXICON)
+    return S.chat_history_batch(S.run_available(live, spark, "answered"))
+
+
+def q_guarded_answers(spark, d):
+    turns = _events(table(spark, d, "conversations")).where(F.col("role") == "user").withColumnRenamed("text", "query")
+    return A.answer_questions(turns, C.bank(spark, d), PROBE_LEXICON).select(
+        "conv_id", "turn", "query", "intent", "route", "response", "prompt")
+
+
 # --- classification -----------------------------------------------------------------------------------
 
 
@@ -381,9 +442,8 @@ def q_prepare_labelled(spark, d):
 
 def _cls_parts(spark, d):
     sp = K.labelled_splits(C.labelled(spark, d))
-    train = P.shuffle_take(sp.where(F.col("split") == "train"), 1000, SEED, ["idx"])
-    valid = P.shuffle_take(sp.where(F.col("split") == "val"), 200, SEED, ["idx"])
-    return train, valid
+    train = P.shuffle_take(sp.where(F.col("split") == "train"), CLASSIFIER_TRAIN_ROWS, SEED, ["idx"])
+    return train, sp.where(F.col("split") == "val")
 
 
 def q_train_text_classifier(spark, d):
@@ -392,13 +452,13 @@ def q_train_text_classifier(spark, d):
 
 
 def q_select_best_by_accuracy(spark, d):
-    train, _ = _cls_parts(spark, d)
-    return K.select_best_by_accuracy(train)[1]
+    train, valid = _cls_parts(spark, d)
+    return _round(K.select_best_by_accuracy(train, valid)[1], ["smoothing", "accuracy"])
 
 
 def q_evaluate_classifier(spark, d):
     train, valid = _cls_parts(spark, d)
-    return K.evaluate_classifier(K.train_text_classifier(train), valid)
+    return _round(K.evaluate_classifier(K.train_text_classifier(train), valid), ["accuracy", "log_loss"])
 
 
 def q_save_model(spark, d):
@@ -463,6 +523,9 @@ QUERIES: dict[str, Query] = {
     "answer_questions_probe": q_answer_questions_probe,
     "answer_default_bank": q_answer_default_bank,
     "answer_model_only": q_answer_model_only,
+    "generate_batch": q_generate_batch,
+    "map_batches": q_map_batches,
+    "load_bank": q_load_bank,
     "side_by_side": q_side_by_side,
     "inference_table": q_inference_table,
     "build_vocabulary": q_build_vocabulary,
@@ -478,6 +541,7 @@ QUERIES: dict[str, Query] = {
     "prepared_roundtrip": q_prepared_roundtrip,
     "numbered_questions": q_numbered_questions,
     "source_or_default": q_source_or_default,
+    "source_or_default_empty": q_source_or_default_empty,
     "response_log_roundtrip": q_response_log_roundtrip,
     "metadata_json": q_metadata_json,
     "profile_report_text": q_profile_report_text,
@@ -485,6 +549,9 @@ QUERIES: dict[str, Query] = {
     "answer_stream": q_answer_stream,
     "chat_history_stream": q_chat_history_stream,
     "chat_history": q_chat_history,
+    "chat_history_events": q_chat_history_events,
+    "chat_history_events_stream": q_chat_history_events_stream,
+    "guarded_answers": q_guarded_answers,
     "prepare_labelled": q_prepare_labelled,
     "train_text_classifier": q_train_text_classifier,
     "select_best_by_accuracy": q_select_best_by_accuracy,

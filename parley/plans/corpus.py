@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import bank as B
 from ..operators import prepare as P
-from ..sources.tables import conversation_pairs, document_corpus, table, user_questions
+from ..sources.tables import document_corpus, table, user_questions
 
 
 def corpus(spark: SparkSession, d: str) -> DataFrame:
@@ -22,11 +22,8 @@ def corpus(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, d: str) -> DataFrame:
-    """Null-free, de-duplicated pairs.  ``auto``: hash-first de-duplication
-    on large inputs (each of the split's two reads is then a scan plus a
-    broadcast anti-join instead of a full shuffle of the texts), the plain
-    window on small ones."""
-    return P.dedup_pairs(P.drop_missing(corpus(spark, d)), method="auto")
+    """Null-free, de-duplicated pairs."""
+    return P.dedup_pairs(P.drop_missing(corpus(spark, d)))
 
 
 def split(spark: SparkSession, d: str) -> DataFrame:
@@ -47,10 +44,6 @@ def questions(spark: SparkSession, d: str) -> DataFrame:
     return user_questions(table(spark, d, "conversations"))
 
 
-def pairs(spark: SparkSession, d: str) -> DataFrame:
-    return conversation_pairs(table(spark, d, "conversations"))
-
-
 def labelled(spark: SparkSession, d: str) -> DataFrame:
     """Labelled text ``(idx, sentence, label)``: documents with a quality label."""
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("idx"), F.col("text").alias("sentence"))

@@ -37,14 +37,14 @@ def prepare_corpus(raw: DataFrame, out_dir: str, keys: tuple[str, ...] = ("id",)
     out = out_dir.rstrip("/")
     paths = {k: f"{out}/{k}" for k in (
         "dataset_summary", "category_counts", "intent_counts", "length_histogram", "length_stats",
-        "sample_questions", "processed", "processed_csv", "metadata", "sample")}
+        "sample_questions", "processed", "processed_csv", "metadata", "sample", "sample_csv")}
     spark = raw.sparkSession
 
     profiled = R.with_lengths(raw)
-    IO.write_report(R.profile_report(profiled, distinct="auto"), paths["dataset_summary"])
+    IO.write_report(R.profile_report(profiled), paths["dataset_summary"])
     for c in ("category", "intent"):
         if c in raw.columns:
-            R.value_counts(raw, c).coalesce(1).write.mode("overwrite").json(paths[f"{c}_counts"])
+            R.value_counts(raw, c).write.mode("overwrite").json(paths[f"{c}_counts"])
     text_cols = [c for c in ("instruction", "response") if c in raw.columns]
     R.length_stats(raw, text_cols).coalesce(1).write.mode("overwrite").json(paths["length_stats"])
     R.length_histogram(raw, text_cols).coalesce(1).write.mode("overwrite").json(paths["length_histogram"])
@@ -52,10 +52,9 @@ def prepare_corpus(raw: DataFrame, out_dir: str, keys: tuple[str, ...] = ("id",)
         sample = P.sample_n(raw, SAMPLE_QUESTIONS, seed, list(keys), pos_col="pos")
         IO.write_numbered_text(IO.numbered_lines(sample, "instruction", "pos"), paths["sample_questions"])
 
-    # auto = hash-first on large inputs: texts of unique pairs are never shuffled.  The split reads
-    # its input twice (bucket counts, then labels), so the cleaned pairs are
+    # The split reads its input twice (bucket counts, then labels), so the cleaned pairs are
     # written once and the split scans the files instead of de-duplicating twice.
-    cleaned = P.dedup_pairs(P.drop_missing(raw), keys=list(keys), method="auto")
+    cleaned = P.dedup_pairs(P.drop_missing(raw), keys=list(keys))
     P.format_pairs(cleaned, list(keys)).write.mode("overwrite").parquet(f"{out}/cleaned")
     formatted = spark.read.parquet(f"{out}/cleaned")
     split = P.split_train_val_test(formatted, list(keys), seed, test_size, val_size)
@@ -67,7 +66,9 @@ def prepare_corpus(raw: DataFrame, out_dir: str, keys: tuple[str, ...] = ("id",)
         "train": f"{paths['processed']}/split=train", "val": f"{paths['processed']}/split=val",
         "test": f"{paths['processed']}/split=test"}), paths["metadata"])
     train = IO.scan_split(spark, paths["processed"], "train")
-    P.sample_n(train, SAMPLE_TRAIN_ROWS, seed, list(keys)).write.mode("overwrite").parquet(paths["sample"])
+    sample = P.sample_n(train, SAMPLE_TRAIN_ROWS, seed, list(keys))
+    sample.write.mode("overwrite").parquet(paths["sample"])
+    IO.write_pairs_csv(spark.read.parquet(paths["sample"]).drop("split"), paths["sample_csv"])
     return paths
 
 

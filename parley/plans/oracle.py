@@ -9,7 +9,7 @@ statistics from a length histogram.  Tables are the pre-registered views.
 from __future__ import annotations
 
 from ..functions.constants import (
-    DEFAULT_BANK_TEMPLATES, EMPTY_MESSAGE_NOTICE, FALLBACK_INTENT, MODEL_PROMPT_PREFIX,
+    CLASSIFIER_TRAIN_ROWS, DEFAULT_BANK_TEMPLATES, DEFAULT_QUESTIONS, EMPTY_MESSAGE_NOTICE, FALLBACK_INTENT, MODEL_PROMPT_PREFIX,
     NO_PLACEHOLDER_PREFIX, NO_PLACEHOLDER_SEPARATOR, STOCK_LEXICON,
 )
 from ..functions.lexicon import PROBE_LEXICON
@@ -102,11 +102,16 @@ def answers_sql(lexicon, bank_cte: str, use_templates: bool = True) -> str:
             "SELECT conv_id, turn, query, intent, route, response, prompt FROM answered")
 
 
-def history_sql(lexicon) -> str:
+EVENTS = f"""ev AS (SELECT conv_id, turn, CASE WHEN turn % 5 = 4 THEN 'system' ELSE role END AS role,
+  CASE WHEN turn % 5 <> 4 AND substr(md5(concat_ws('|', '42', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR))), 1, 1)
+            IN ('0', '1', '2') THEN '' ELSE text END AS text FROM conversations)"""
+
+
+def history_sql(lexicon, turns: str = "conversations", extra: str = "") -> str:
     """Rows of the per-conversation history: recorded user turns with their
     1-based position since the last clear (system turn)."""
-    src = "qh AS (SELECT conv_id, turn, role, text AS query FROM conversations WHERE role IN ('user', 'system'))"
-    return f"""WITH {BANK}, {src},
+    src = "qh AS (SELECT conv_id, turn, role, text AS query FROM " + turns + " WHERE role IN ('user', 'system'))"
+    return f"""WITH {BANK}, {extra}{src},
 {answer_ctes(lexicon, True, "qh", "role,")},
 seg AS (SELECT *, sum(CASE WHEN role = 'system' THEN 1 ELSE 0 END)
                   OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS s FROM answered),
@@ -143,7 +148,7 @@ vocab AS (
     SELECT token, count(*) AS n FROM toks GROUP BY token ORDER BY n DESC, token LIMIT 50261))"""
 
 
-def encoded_sql(src: str = "train", prefix: str = "") -> str:
+def encoded_sql(src: str = "train", prefix: str = "", carry: str = "") -> str:
     def ids(col: str, length: int, name: str) -> str:
         return f"""{name}_t AS (SELECT id, list_slice({TOKENS.format(x=col)}, 1, {length - 2}) AS tl FROM {src}),
 {name}_u AS (SELECT id, unnest(tl) AS w, unnest(range(1, len(tl) + 1)) AS p FROM {name}_t),
@@ -155,12 +160,12 @@ def encoded_sql(src: str = "train", prefix: str = "") -> str:
     return f"""WITH {VOCAB},{prefix}
 {ids('input_text', 128, 'ei')},
 {ids('target_text', 512, 'et')}
-SELECT ei.id,
+SELECT ei.id,{" s.split," if carry else ""}
   array_to_string(list_concat(ei.core, list_transform(range(128 - len(ei.core)), lambda x: 1)), ',') AS input_ids,
   array_to_string(list_concat(list_transform(ei.core, lambda x: 1),
                               list_transform(range(128 - len(ei.core)), lambda x: 0)), ',') AS attention_mask,
   array_to_string(list_concat(et.core, list_transform(range(512 - len(et.core)), lambda x: -100)), ',') AS labels
-FROM ei JOIN et ON et.id = ei.id"""
+FROM ei JOIN et ON et.id = ei.id{" JOIN split s ON s.id = ei.id" if carry else ""}"""
 
 
 def _hist_sql() -> str:
@@ -194,6 +199,11 @@ def _types_sql() -> str:
             f"FROM (DESCRIBE WITH {PROFILED} SELECT * FROM prof)")
 
 
+def _typed_sql() -> str:
+    return (f"WITH {VALUES}, t AS ({_types_sql()}) SELECT t.position, t.field, t.type, count(v.value) AS non_null "
+            "FROM t JOIN vals v ON v.field = t.field GROUP BY ALL")
+
+
 ORACLES: dict[str, str] = {
     "format_pairs": f"WITH {CORPUS} SELECT id, instruction AS input_text, response AS target_text, category, intent FROM corpus",
     "drop_missing": f"WITH {CORPUS} SELECT * FROM corpus WHERE instruction IS NOT NULL AND response IS NOT NULL",
@@ -225,7 +235,7 @@ SELECT intent, id, rank FROM (
   SELECT intent, id, CAST(row_number() OVER (PARTITION BY intent ORDER BY {h('id')}, id) AS INTEGER) AS rank
   FROM train WHERE intent IS NOT NULL) WHERE rank <= 5""",
     "shape": f"WITH {PROFILED} SELECT count(*) AS rows, CAST(7 AS BIGINT) AS columns FROM prof",
-    "column_types": _types_sql(),
+    "column_types": _typed_sql(),
     "distinct_counts": f"WITH {VALUES} SELECT field, count(DISTINCT value) AS distinct FROM vals GROUP BY field",
     "top_values": f"""WITH {VALUES},
 vc AS (SELECT field, value, count(*) AS n FROM vals WHERE value IS NOT NULL GROUP BY ALL),
@@ -308,10 +318,8 @@ sp AS (SELECT idx, sentence, label,
          WHEN r <= ceil(n * 0.1::DOUBLE)
                    + ceil((0.1::DOUBLE / (1 - 0.1::DOUBLE)) * (n - ceil(n * 0.1::DOUBLE))) THEN 'val'
          ELSE 'train' END AS split FROM ranked),
-tr AS (SELECT *, row_number() OVER (ORDER BY {h('idx')}, idx) AS shuffle_pos FROM sp WHERE split = 'train'
-       ORDER BY {h('idx')}, idx LIMIT 1000),
-va AS (SELECT *, row_number() OVER (ORDER BY {h('idx')}, idx) AS shuffle_pos FROM sp WHERE split = 'val'
-       ORDER BY {h('idx')}, idx LIMIT 200),
+tr AS (SELECT *, row_number() OVER (ORDER BY {h('idx')}, idx) AS shuffle_pos FROM sp WHERE split = 'train'),
+va AS (SELECT *, row_number() OVER (ORDER BY {h('idx')}, idx) AS shuffle_pos FROM sp WHERE split = 'val'),
 sub AS (SELECT * FROM tr UNION ALL SELECT * FROM va),
 toks AS (SELECT unnest({TOKENS.format(x='sentence')}) AS token FROM tr),
 vocab AS (
@@ -344,8 +352,7 @@ FROM answered"""
 
 def _numbered_sql() -> str:
     return f"""WITH {CLEAN},
-s AS (SELECT id, instruction, row_number() OVER (ORDER BY {h('id')}, id) AS pos FROM clean
-      ORDER BY {h('id')}, id LIMIT 10),
+s AS (SELECT instruction, id AS pos FROM clean),
 l AS (SELECT CAST(pos AS VARCHAR) || '. ' || instruction AS value FROM s),
 st AS (SELECT value, regexp_replace(value, '^[ \t\n\r\f]+|[ \t\n\r\f]+$', '', 'g') AS v FROM l)
 SELECT value, CASE WHEN strpos(v, '. ') > 0 THEN substr(v, strpos(v, '. ') + 2) ELSE v END AS question FROM st"""
@@ -360,13 +367,13 @@ def _response_log_sql() -> str:
   FROM events)
 SELECT run, CAST(pos AS INTEGER) AS pos, query, response, round(response_time, 6) AS response_time,
        round(avg_response_time, 6) AS avg_response_time, responses_total
-FROM e WHERE pos <= 10"""
+FROM e"""
 
 
 ORACLES.update({
     "csv_roundtrip": f"WITH {SPLIT} SELECT id, input_text, target_text, category, intent, split FROM split",
     "scan_csv_dir": f"WITH {SPLIT} SELECT id, input_text, target_text, category, intent FROM split",
-    "prepared_roundtrip": encoded_sql("val", "\nval AS (SELECT * FROM split WHERE split = 'val'),"),
+    "prepared_roundtrip": encoded_sql("split", carry="split"),
     "numbered_questions": _numbered_sql(),
     "source_or_default": f"""WITH {CLEAN}
 SELECT CAST(row_number() OVER (ORDER BY {h('id')}, id) AS INTEGER) AS pos, instruction AS question
@@ -379,6 +386,19 @@ FROM (SELECT * FROM clean ORDER BY {h('id')}, id LIMIT 10)""",
     "answer_stream": answers_sql(PROBE_LEXICON, BANK),
     "chat_history_stream": history_sql(PROBE_LEXICON),
     "chat_history": history_sql(PROBE_LEXICON),
+    "chat_history_events": history_sql(PROBE_LEXICON, "ev", EVENTS + ","),
+    "chat_history_events_stream": history_sql(PROBE_LEXICON, "ev", EVENTS + ","),
+    "guarded_answers": (f"WITH {BANK}, {EVENTS}, q AS (SELECT conv_id, turn, text AS query FROM ev WHERE role = 'user'),\n"
+                        f"{answer_ctes(PROBE_LEXICON)}\n"
+                        "SELECT conv_id, turn, query, intent, route, response, prompt FROM answered"),
+    "generate_batch": (f"WITH {QUESTIONS} SELECT conv_id, turn, {lit(MODEL_PROMPT_PREFIX)} || query AS prompt, "
+                       f"{lit(MODEL_PROMPT_PREFIX)} || query AS generated FROM q"),
+    "map_batches": f"WITH {QUESTIONS} SELECT conv_id, turn, length(query) AS characters FROM q",
+    "load_bank": f"""WITH {BANK}
+SELECT 'present' AS source, intent, CAST(len(templates) AS BIGINT) AS n_templates, array_to_string(templates, ' || ') AS templates_text
+FROM bank UNION ALL SELECT 'unreadable', 'general', {len(DEFAULT_BANK_TEMPLATES)}, {lit(" || ".join(DEFAULT_BANK_TEMPLATES))}""",
+    "source_or_default_empty": "SELECT * FROM (VALUES " + ", ".join(
+        f"({i}, {lit(x)})" for i, x in enumerate(DEFAULT_QUESTIONS, 1)) + ") AS t(pos, question)",
     "prepare_labelled": _labelled_sql(),
     "train_or_sample": ORACLES["sample_train_rows"],
     "distinct_counts_hashed": ORACLES["distinct_counts"],
@@ -391,3 +411,51 @@ FROM (SELECT * FROM clean ORDER BY {h('id')}, id LIMIT 10)""",
                           THEN 1.0 ELSE 0.0 END), 6) AS error_rate, count(*) AS rows FROM embeddings""",
     "response_info_stream": ORACLES["response_info"],
 })
+
+
+def _classifier_ctes() -> str:
+    """Multinomial naive Bayes by counting: ``lp`` has ln P(class, tokens) of each validation row,
+    class and smoothing; tokens that no fitted row has are left out."""
+    return f"""WITH l AS (SELECT d.doc_id AS idx, d.text AS sentence, lb.quality AS label
+           FROM documents d JOIN labels lb ON lb.doc_id = d.doc_id),
+ranked AS (SELECT *, row_number() OVER (ORDER BY {h('idx')}, idx) AS r, count(*) OVER () AS n FROM l),
+sp AS (SELECT idx, sentence, label,
+    CASE WHEN r <= ceil(n * 0.1::DOUBLE) THEN 'test'
+         WHEN r <= ceil(n * 0.1::DOUBLE)
+                   + ceil((0.1::DOUBLE / (1 - 0.1::DOUBLE)) * (n - ceil(n * 0.1::DOUBLE))) THEN 'val'
+         ELSE 'train' END AS split FROM ranked),
+tr AS (SELECT * FROM sp WHERE split = 'train' ORDER BY {h('idx')}, idx LIMIT {CLASSIFIER_TRAIN_ROWS}),
+va AS (SELECT * FROM sp WHERE split = 'val'),
+lam AS (SELECT 1 AS setting, 1.0::DOUBLE AS s UNION ALL SELECT 2, 0.1::DOUBLE),
+tt AS (SELECT label AS cls, unnest({TOKENS.format(x='sentence')}) AS token FROM tr),
+cnt AS (SELECT cls, token, count(*) AS n FROM tt GROUP BY ALL),
+words AS (SELECT DISTINCT token FROM cnt),
+tot AS (SELECT cls, sum(n) AS total FROM cnt GROUP BY cls),
+cls AS (SELECT label AS cls, count(*) AS n FROM tr GROUP BY label),
+vt AS (SELECT idx, unnest({TOKENS.format(x='sentence')}) AS token FROM va),
+seen AS (SELECT idx, token, count(*) AS c FROM vt WHERE token IN (SELECT token FROM words) GROUP BY ALL),
+body AS (SELECT seen.idx, cls.cls, lam.setting,
+    sum(seen.c * (ln(coalesce(cnt.n, 0) + lam.s) - ln(tot.total + (SELECT count(*) FROM words) * lam.s))) AS b
+  FROM seen CROSS JOIN cls CROSS JOIN lam JOIN tot ON tot.cls = cls.cls
+  LEFT JOIN cnt ON cnt.cls = cls.cls AND cnt.token = seen.token GROUP BY ALL),
+lp AS (SELECT va.idx, va.label, cls.cls, lam.setting, lam.s, coalesce(body.b, 0)
+    + ln(cls.n + lam.s) - ln((SELECT count(*) FROM tr) + (SELECT count(*) FROM cls) * lam.s) AS lp
+  FROM va CROSS JOIN cls CROSS JOIN lam
+  LEFT JOIN body ON body.idx = va.idx AND body.cls = cls.cls AND body.setting = lam.setting),
+pr AS (SELECT idx, label, setting, any_value(s) AS s, CAST(arg_max(cls, lp - cls * 1e-12) AS INTEGER) AS prediction,
+    max(CASE WHEN cls = label THEN lp END) AS own, max(lp) AS top FROM lp GROUP BY idx, label, setting),
+ev AS (SELECT pr.*, greatest(exp(own - top) / (SELECT sum(exp(q.lp - pr.top)) FROM lp q WHERE q.idx = pr.idx AND q.setting = pr.setting), 1e-15) AS p
+  FROM pr)"""
+
+
+ORACLES.update({
+    "train_text_classifier": _classifier_ctes() + " SELECT idx, label, prediction FROM pr WHERE setting = 1",
+    "save_model": _classifier_ctes() + " SELECT idx, label, prediction FROM pr WHERE setting = 1",
+    "evaluate_classifier": _classifier_ctes() + """ SELECT round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+  round(avg(-ln(p)), 6) AS log_loss, count(*) AS rows FROM ev WHERE setting = 1""",
+    "select_best_by_accuracy": _classifier_ctes() + """,
+acc AS (SELECT CAST(setting AS INTEGER) AS setting, any_value(s) AS smoothing, avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END) AS a
+  FROM pr GROUP BY setting)
+SELECT setting, round(smoothing, 6) AS smoothing, round(a, 6) AS accuracy,
+  setting = (SELECT setting FROM acc ORDER BY a DESC, setting LIMIT 1) AS chosen FROM acc""",
+})

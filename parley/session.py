@@ -60,7 +60,8 @@ def scratch_root(spark: SparkSession) -> str:
 
     Reads ``spark.checkpoint.dir`` (SparkConf first, then the session's SQL
     conf, then the context's registered checkpoint dir).  Only when none is set
-    does it create a local folder and register it.
+    on a local master does it create a folder and register it; elsewhere it raises,
+    since machines would not see each other's files.
     """
     found = None
     try:
@@ -78,8 +79,9 @@ def scratch_root(spark: SparkSession) -> str:
             if opt.isDefined():
                 found = opt.get()
     if not found:
+        if sc is None or not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    if sc is not None and sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(found)
     return found
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.constants import DEFAULT_QUESTIONS
+from ..functions.ranking import bucket_offsets
 from ..functions.text import after_first, strip_ws
 
 PAIRS_SCHEMA = T.StructType([
@@ -42,6 +43,15 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true
                "nullValue": "\\N"}
 
 
+def path_kind(spark: SparkSession, path: str) -> str | None:
+    """``"file"``, ``"folder"`` or None (missing), on whatever file system the path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(where):
+        return None
+    return "folder" if store.getFileStatus(where).isDirectory() else "file"
+
+
 # --- SRC-1 / SRC-3 / SNK-1: CSV ---------------------------------------------------------
 
 
@@ -91,16 +101,10 @@ def numbered_lines(df: DataFrame, text_col: str, pos_col: str) -> DataFrame:
                      F.concat(F.col(pos_col).cast("string"), F.lit(". "), F.col(text_col)).alias("value"))
 
 
-def write_numbered_text(lines: DataFrame, path: str, max_lines: int = 10_000) -> None:
-    """Write numbered lines in order into one text file.
-
-    Only for a bounded question list (the sample shown to users): the line
-    count is checked before everything is moved to one writer task.
-    """
-    n = lines.limit(max_lines + 1).count()
-    if n > max_lines:
-        raise ValueError(f"more than {max_lines} lines; write them partitioned instead")
-    lines.repartition(1).sortWithinPartitions("pos").select("value").write.mode("overwrite").text(path)
+def write_numbered_text(lines: DataFrame, path: str) -> None:
+    """Write numbered lines as text, in order of ``pos`` over the files of the
+    folder (range partitioned and sorted, so no task holds all lines)."""
+    lines.repartitionByRange("pos").sortWithinPartitions("pos").select("value").write.mode("overwrite").text(path)
 
 
 def parse_numbered_questions(lines: DataFrame, value_col: str = "value") -> DataFrame:
@@ -156,36 +160,41 @@ def default_questions(spark: SparkSession, col: str = "question") -> DataFrame:
 
 # --- SNK-6 / SRC-5: result documents ----------------------------------------------------------------
 
-RESPONSE_SCHEMA = T.StructType([
-    T.StructField("query", T.StringType(), True),
-    T.StructField("response", T.StringType(), True),
-    T.StructField("response_time", T.DoubleType(), True),
-])
-RESULT_DOC_SCHEMA = T.StructType([
-    T.StructField("run", T.StringType(), True),
-    T.StructField("avg_response_time", T.DoubleType(), True),
-    T.StructField("responses_total", T.LongType(), True),
-    T.StructField("responses", T.ArrayType(RESPONSE_SCHEMA), True),
-])
-
-
-def result_documents(log: DataFrame, run_col: str = "run", battery: int = 10,
-                     order_col: str = "pos") -> DataFrame:
-    """SNK-6 content: one nested document per run: mean response time and
-    count over all its rows, plus its first ``battery`` responses (by
-    ``order_col``) as an array of structs.  The array is bounded by
-    ``battery``; the run's full log stays a flat table.
+# One chunk of a run's responses; a run has as many chunks as it needs.
+RESULT_DOC_SCHEMA = ("run string, first_pos bigint, "
+                     "responses array<struct<query:string, response:string, response_time:double>>")
+
+# The three published result documents, by the shape of their entries.
+VALIDATION_DOC_SCHEMA = (
+    "template_results array<struct<query:string, response:string, response_time:double>>, "
+    "model_results array<struct<query:string, response:string, response_time:double>>, "
+    "avg_template_time double, avg_model_time double, speedup_factor double")
+EVALUATION_DOC_SCHEMA = (
+    "template_avg_time double, model_avg_time double, speedup double, "
+    "responses array<struct<query:string, template_response:string, model_response:string, "
+    "template_time:double, model_time:double>>")
+INFERENCE_DOC_SCHEMA = (
+    "results array<struct<input:string, target:string, generated:string, inference_time:double>>, "
+    "avg_inference_time double")
+
+
+def result_documents(log: DataFrame, run_col: str = "run", order_col: str = "pos", chunk: int = 1000) -> DataFrame:
+    """SNK-6 content: every response of every run, in ``order_col`` order, as
+    nested documents of at most ``chunk`` responses (``first_pos`` 0-based).
+
+    Positions come from counts of (run, order bucket) and a rank within each,
+    so a run of any length is written by many tasks.
     """
-    summary = log.groupBy(run_col).agg(F.avg("response_time").alias("avg_response_time"),
-                                       F.count(F.lit(1)).cast("bigint").alias("responses_total"))
-    w = Window.partitionBy(run_col).orderBy(order_col)
-    kept = log.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= battery)
-    arrays = kept.groupBy(run_col).agg(F.array_sort(F.collect_list(F.struct(
-        F.col("_r"), F.col("query"), F.col("response"), F.col("response_time")))).alias("_rs"))
-    docs = summary.join(arrays, run_col).withColumn(
-        "responses", F.transform("_rs", lambda s: F.struct(s["query"].alias("query"), s["response"].alias("response"),
-                                                          s["response_time"].alias("response_time"))))
-    return docs.select(F.col(run_col).alias("run"), "avg_response_time", "responses_total", "responses")
+    text_order = dict(log.dtypes)[order_col] == "string"  # buckets must follow the order
+    bucketed = log.withColumn("_b", F.substring(order_col, 1, 2) if text_order else F.floor(F.col(order_col) / F.lit(chunk)))
+    offsets = bucket_offsets(bucketed, "_b", [run_col]).select(run_col, "_b", "_start")
+    rank = F.row_number().over(Window.partitionBy(run_col, "_b").orderBy(order_col)) - 1
+    placed = (bucketed.withColumn("_p", rank).join(offsets, [run_col, "_b"])
+              .withColumn("_p", F.col("_start") + F.col("_p")))
+    parts = placed.groupBy(F.col(run_col).alias("run"), (F.floor(F.col("_p") / chunk) * chunk).cast("bigint").alias("first_pos")).agg(
+        F.array_sort(F.collect_list(F.struct("_p", "query", "response", "response_time"))).alias("_rs"))
+    return parts.select("run", "first_pos", F.transform("_rs", lambda x: F.struct(
+        x["query"].alias("query"), x["response"].alias("response"), x["response_time"].alias("response_time"))).alias("responses"))
 
 
 def write_result_documents(docs: DataFrame, path: str) -> None:
@@ -197,8 +206,32 @@ def read_response_log(spark: SparkSession, path: str, multi_line: bool = False)
     ``(run, source_file, pos, query, response, response_time)``."""
     docs = (spark.read.schema(RESULT_DOC_SCHEMA).option("multiLine", str(multi_line).lower()).json(path)
             .withColumn("source_file", F.input_file_name()))
-    return docs.select("run", "source_file", F.posexplode("responses").alias("pos", "r")).select(
-        "run", "source_file", (F.col("pos") + 1).alias("pos"), "r.query", "r.response", "r.response_time")
+    return docs.select("run", "source_file", "first_pos", F.posexplode("responses").alias("pos", "r")).select(
+        "run", "source_file", (F.col("first_pos") + F.col("pos") + 1).cast("int").alias("pos"), "r.query", "r.response", "r.response_time")
+
+
+def read_published_results(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """SRC-5: a published result document (one indented JSON object a file) as
+    flat rows ``(source_file, run, pos, query, response, response_time)``.
+
+    ``kind``: ``validation`` (template and model results), ``evaluation`` (both
+    paths of each query in one entry) or ``inference`` (generated texts).
+    """
+    schema = {"validation": VALIDATION_DOC_SCHEMA, "evaluation": EVALUATION_DOC_SCHEMA, "inference": INFERENCE_DOC_SCHEMA}[kind]
+    docs = spark.read.schema(schema).option("multiLine", "true").json(path).withColumn("source_file", F.input_file_name())
+
+    def rows(array: str, run: str, query: str, response: str, seconds: str) -> DataFrame:
+        return docs.select("source_file", F.lit(run).alias("run"), F.posexplode(array).alias("pos", "r")).select(
+            "source_file", "run", (F.col("pos") + 1).alias("pos"), F.col(f"r.{query}").alias("query"),
+            F.col(f"r.{response}").alias("response"), F.col(f"r.{seconds}").alias("response_time"))
+
+    if kind == "validation":
+        return rows("template_results", "template", "query", "response", "response_time").unionByName(
+            rows("model_results", "model", "query", "response", "response_time"))
+    if kind == "evaluation":
+        return rows("responses", "template", "query", "template_response", "template_time").unionByName(
+            rows("responses", "model", "query", "model_response", "model_time"))
+    return rows("results", "model", "input", "generated", "inference_time")
 
 
 # --- SNK-3 / SNK-5: metadata and report -----------------------------------------------------------

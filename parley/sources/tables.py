@@ -8,8 +8,7 @@ parquet tables, so every plan grows with its input.
   the text, ``response`` = the whole text, ``category`` = upper-case language,
   ``intent`` = source.  Exact duplicate documents give duplicate pairs; near
   copies give equal instructions with different responses.
-* ``conversation_pairs``: a user turn and the directly following assistant
-  turn of the same conversation, as (instruction, response).
+
 * ``user_questions``: user turns as questions to answer, keyed by
   ``(conv_id, turn)``.
 """
@@ -41,19 +40,6 @@ def document_corpus(documents: DataFrame) -> DataFrame:
     )
 
 
-def conversation_pairs(conversations: DataFrame) -> DataFrame:
-    """(conv_id, turn, instruction, response) by an equi-join on (conv_id, turn+1).
-
-    Joining on the composite key spreads even a very long conversation over
-    many partitions, where a ``lead`` window would keep it in one task.
-    """
-    users = (conversations.where(F.col("role") == "user")
-             .select("conv_id", "turn", F.col("text").alias("instruction")))
-    replies = (conversations.where(F.col("role") == "assistant")
-               .select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")))
-    return users.join(replies, ["conv_id", "turn"])
-
-
 def user_questions(conversations: DataFrame) -> DataFrame:
     return (conversations.where(F.col("role") == "user")
             .select("conv_id", "turn", F.col("text").alias("query")))

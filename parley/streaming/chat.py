@@ -2,17 +2,17 @@
 history, clear it on request, and report the last response time.
 
 * ``answer_stream``: the batch answering plan applied to a streaming frame; the
-  bank is static, so this is a stream-static broadcast join and every
-  micro-batch is answered in one narrow stage.  The bank is size-checked and
-  checkpointed once when the query is built, so a running stream answers from
-  that snapshot (restart the query to pick up a new bank).  Template choice is
-  a hash of the question, so a replayed micro-batch gives the same answers.
-* ``chat_history``: ``groupBy(conv_id).applyInPandasWithState``; state is the
-  ordered history of one conversation (optionally only its last
-  ``max_turns`` entries); emits one row per recorded turn with its 1-based
-  position since the last clear.
-* ``chat_history_batch``: the same result over a table, with two-phase
-  running counts instead of one window per conversation.
+  bank is static, so this is a stream-static join.  Pass a written bank
+  (restart the query to pick up a new one).  Template choice is a hash of the
+  question, so a replayed micro-batch gives the same answers.
+* ``chat_history``: ``groupBy(conv_id).applyInPandasWithState``; the state of a
+  conversation is one counter, no texts.  It emits the position of each
+  recorded turn since the last clear **in order of arrival** (turns of one
+  micro-batch are ordered by turn).
+* ``chat_history_batch``: positions in turn order over a table, whatever the
+  order of arrival, with two-phase running counts instead of one window per
+  conversation.  Run it over the turns that ``answer_stream`` has written when
+  turns may arrive late.
 
 Checkpoints go below the shared scratch root (``spark.checkpoint.dir``), a
 new folder per run.
@@ -33,31 +33,29 @@ from ..functions.lexicon import Lexicon
 from ..functions.ranking import running_count
 from ..operators.respond import answer_questions
 from ..session import scratch_path
+from ..sources.files import path_kind
 
 HISTORY_OUT = T.StructType([
     T.StructField("conv_id", T.LongType(), True),
     T.StructField("turn", T.LongType(), True),
     T.StructField("history_pos", T.LongType(), True),
-    T.StructField("message", T.StringType(), True),
-    T.StructField("response", T.StringType(), True),
-])
-HISTORY_STATE = T.StructType([
-    T.StructField("since_clear", T.LongType(), True),
-    T.StructField("turns", T.ArrayType(T.LongType()), True),
-    T.StructField("messages", T.ArrayType(T.StringType()), True),
-    T.StructField("responses", T.ArrayType(T.StringType()), True),
 ])
+HISTORY_STATE = T.StructType([T.StructField("since_clear", T.LongType(), True)])
 
 
 def file_stream(spark: SparkSession, folder: str, glob: str, schema: T.StructType | None = None,
                 files_per_trigger: int | None = None) -> DataFrame:
-    """Rows arriving as Parquet files in ``folder`` (files matching ``glob``)."""
+    """Rows arriving as Parquet files: those in the table folder ``folder/glob``
+    if there is one, else the files of ``folder`` whose names match ``glob``."""
+    path = f"{folder.rstrip('/')}/{glob}"
     if schema is None:
-        schema = spark.read.parquet(f"{folder.rstrip('/')}/{glob}").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+        schema = spark.read.parquet(path).schema
+    reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    if not set("*?[{") & set(glob) and path_kind(spark, path) == "folder":
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", glob).parquet(folder)
 
 
 def conversation_stream(spark: SparkSession, folder: str, glob: str = "conversations.parquet",
@@ -79,72 +77,63 @@ def answer_stream(turns: DataFrame, bank: DataFrame, lexicon: Lexicon = STOCK_LE
             .withColumn("message", F.col(text_col)))
 
 
-def _history_fn(max_turns: int | None, idle_timeout_ms: int | None):
+def _history_fn(idle_timeout_ms: int | None):
     def fn(key, batches, state):
         if state.hasTimedOut:
-            # conversation idle for longer than the timeout: forget its history
+            # conversation idle for longer than the timeout: forget its counter
             state.remove()
             yield pd.DataFrame([], columns=[f.name for f in HISTORY_OUT.fields])
             return
-        if state.exists:
-            since, turns, msgs, resps = state.get
-            turns, msgs, resps = list(turns), list(msgs), list(resps)
-        else:
-            since, turns, msgs, resps = 0, [], [], []
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values("turn", kind="stable")
-        out = []
-        for turn, is_clear, recorded, message, response in zip(
-                pdf["turn"], pdf["is_clear"], pdf["recorded"], pdf["message"], pdf["response"]):
-            if is_clear:
-                since, turns, msgs, resps = 0, [], [], []
-            elif recorded:
-                since += 1
-                turns.append(int(turn))
-                msgs.append(message)
-                resps.append(response)
-                if max_turns is not None and len(turns) > max_turns:
-                    turns, msgs, resps = turns[-max_turns:], msgs[-max_turns:], resps[-max_turns:]
-                out.append((int(key[0]), int(turn), since, message, response))
-        state.update((since, turns, msgs, resps))
+        since = state.get[0] if state.exists else 0
+        turns = pd.concat(list(batches), ignore_index=True).sort_values("turn", kind="stable")
+        # positions count recorded turns since the last clear, carried over from earlier batches
+        segment = turns["is_clear"].cumsum()
+        pos = turns["recorded"].astype("int64").groupby(segment).cumsum()
+        pos = pos + (segment == 0) * since
+        state.update((int(pos.iloc[-1]),))
         if idle_timeout_ms:
             state.setTimeoutDuration(int(idle_timeout_ms))
-        yield pd.DataFrame(out, columns=[f.name for f in HISTORY_OUT.fields])
+        kept = turns["recorded"]
+        yield pd.DataFrame({"conv_id": None if key[0] is None else int(key[0]), "turn": turns["turn"][kept], "history_pos": pos[kept]})
 
     return fn
 
 
-def chat_history(answered: DataFrame, key: str = "conv_id", max_turns: int | None = None,
-                 idle_timeout_ms: int | None = None) -> DataFrame:
-    """STR-2 + STR-3 on a stream: per-conversation ordered history, reset by
-    clear events; one output row per recorded message.
+def chat_history(answered: DataFrame, key: str = "conv_id", idle_timeout_ms: int | None = None) -> DataFrame:
+    """STR-2 + STR-3 on a stream: ``(conv_id, turn, history_pos)`` of each
+    recorded message, counted in order of arrival and reset by clear events.
+    Only narrow rows reach the state; see ``with_texts`` for the messages.
 
-    ``max_turns`` keeps only the last entries in state (positions still count
-    all turns since the clear); ``idle_timeout_ms`` drops the state of a
-    conversation that received nothing for that long (processing time; for
-    continuously running queries -- a run-once ``availableNow`` query keeps
-    scheduling timeout batches and never finishes).
+    ``idle_timeout_ms`` drops the counter of a conversation that received
+    nothing for that long (processing time; for continuously running queries
+    -- a run-once ``availableNow`` query keeps scheduling timeout batches and
+    never finishes).
     """
-    cols = answered.select(F.col(key).cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-                           "is_clear", "recorded", "message", "response")
+    cols = answered.select(F.col(key).cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "is_clear", "recorded")
     timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_timeout_ms else GroupStateTimeout.NoTimeout
     return cols.groupBy("conv_id").applyInPandasWithState(
-        _history_fn(max_turns, idle_timeout_ms), HISTORY_OUT, HISTORY_STATE, "append", timeout)
+        _history_fn(idle_timeout_ms), HISTORY_OUT, HISTORY_STATE, "append", timeout)
+
+
+def with_texts(positions: DataFrame, answered: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
+    """History rows: positions joined with the recorded turns' texts."""
+    texts = answered.where(F.col("recorded")).select(F.col(key).cast("long").alias("_c"), F.col(order).cast("long").alias("_t"), "message", "response")
+    same = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("turn") == F.col("_t"))
+    return positions.join(texts, same).select("conv_id", "turn", "history_pos", "message", "response")
 
 
 def chat_history_batch(answered: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
-    """STR-2 + STR-3 over a table: the rows ``chat_history`` emits.
+    """STR-2 + STR-3 over a table: the history in turn order.
 
     Both running counts run on a narrow (key, turn, flags) table; the texts
     are joined back once, so they are shuffled once rather than per count.
+    Rows with a null key are one conversation of their own.
     """
     narrow = answered.select(key, order, "is_clear", "recorded")
     seg = running_count(narrow, [key], order, F.col("is_clear"), "_seg")
-    pos = (running_count(seg, [key, "_seg"], order, F.col("recorded"), "history_pos")
-           .where(F.col("recorded")).select(key, order, "history_pos"))
-    texts = answered.where(F.col("recorded")).select(key, order, "message", "response")
-    return texts.join(pos, [key, order]).select(
-        F.col(key).cast("long").alias("conv_id"), F.col(order).cast("long").alias("turn"),
-        "history_pos", "message", "response")
+    pos = running_count(seg, [key, "_seg"], order, F.col("recorded"), "history_pos").where(F.col("recorded"))
+    pos = pos.select(F.col(key).cast("long").alias("conv_id"), F.col(order).cast("long").alias("turn"), "history_pos")
+    return with_texts(pos, answered, key, order)
 
 
 def run_available(stream: DataFrame, spark: SparkSession, name: str, fmt: str = "parquet",
@@ -186,6 +175,6 @@ def response_info_stream(log: DataFrame, key: str, order: str, seconds: str) ->
 
 
 __all__: Sequence[str] = [
-    "file_stream", "conversation_stream", "answer_stream", "chat_history", "chat_history_batch",
+    "file_stream", "conversation_stream", "answer_stream", "chat_history", "chat_history_batch", "with_texts",
     "run_available", "run_available_complete", "response_info_stream",
 ]

@@ -1,5 +1,6 @@
 """Encoding invariants, file round trips, streaming vs batch, evaluation, classification."""
 
+import json
 import os
 import tempfile
 
@@ -89,13 +90,29 @@ def test_source_or_default(spark):
 def test_result_documents_round_trip(spark):
     log = spark.createDataFrame([("a", i, f"q{i}", f"r{i}", float(i)) for i in range(15)] + [("b", 0, "q", "r", 2.0)],
                                 "run string, pos int, query string, response string, response_time double")
-    docs = IO.result_documents(log, battery=10)
+    docs = IO.result_documents(log, chunk=10)
     path = os.path.join(_scratch(), "json")
     IO.write_result_documents(docs, path)
     flat = IO.read_response_log(spark, path)
-    assert flat.where(F.col("run") == "a").count() == 10
-    got = {r["run"]: r for r in spark.read.schema(IO.RESULT_DOC_SCHEMA).json(path).collect()}
-    assert got["a"]["responses_total"] == 15 and abs(got["a"]["avg_response_time"] - 7.0) < 1e-9
+    got = sorted((r["run"], r["pos"], r["query"], r["response_time"]) for r in flat.collect())
+    assert got == [("a", i + 1, f"q{i}", float(i)) for i in range(15)] + [("b", 1, "q", 2.0)]
+    assert spark.read.json(path).count() == 3  # two documents for run a
+
+
+def test_published_result_documents(spark):
+    one = lambda i: {"query": f"q{i}", "response": f"r{i}", "response_time": i / 2}
+    both = lambda i: {"query": f"q{i}", "template_response": "t", "model_response": "m", "template_time": 0.5, "model_time": 1.5}
+    folder = _scratch()
+    texts = {"validation": {"template_results": [one(i) for i in range(19)], "model_results": [one(i) for i in range(5)], "avg_template_time": 1.0},
+             "evaluation": {"template_avg_time": 1.0, "responses": [both(i) for i in range(5)]},
+             "inference": {"results": [{"input": "i", "target": "t", "generated": "g", "inference_time": 2.0}], "avg_inference_time": 2.0}}
+    rows = {}
+    for kind, doc in texts.items():
+        with open(os.path.join(folder, f"{kind}.json"), "w") as f:
+            json.dump(doc, f, indent=2)
+        rows[kind] = IO.read_published_results(spark, os.path.join(folder, f"{kind}.json"), kind).collect()
+    assert [len(rows[k]) for k in texts] == [24, 10, 1]
+    assert all(r["query"] and r["response"] and r["response_time"] is not None and r["run"] for v in rows.values() for r in v)
 
 
 # --- streaming ---------------------------------------------------------------------------------------
@@ -124,9 +141,10 @@ def test_stream_history_equals_batch_twin(spark, chat_folder):
     folder, schema = chat_folder
     bank = spark.createDataFrame([("track_order", ["T {query}"]), ("general", ["G"])], BANK_SCHEMA)
     stream = S.conversation_stream(spark, folder, glob="conv-*.parquet", files_per_trigger=1)
-    hist = S.run_available(S.chat_history(S.answer_stream(stream, bank)), spark, "t-history")
+    positions = S.run_available(S.chat_history(S.answer_stream(stream, bank)), spark, "t-history")
     static = spark.read.parquet(*[os.path.join(folder, f) for f in sorted(os.listdir(folder)) if f.endswith(".parquet")])
     twin = S.chat_history_batch(S.answer_stream(static, bank))
+    hist = S.with_texts(positions, S.answer_stream(static, bank))
     key = lambda r: (r["conv_id"], r["turn"])
     a = sorted(hist.collect(), key=key)
     b = sorted(twin.collect(), key=key)
@@ -188,26 +206,22 @@ def test_classifier_train_select_evaluate_save(spark):
     model = K.train_text_classifier(train)
     ev = K.evaluate_classifier(model, valid).collect()[0]
     assert 0.0 <= ev["accuracy"] <= 1.0 and ev["log_loss"] > 0 and ev["rows"] == valid.count()
-    best, table = K.select_best_by_accuracy(train)
+    best, table = K.select_best_by_accuracy(train, valid)
     rows = table.collect()
     assert len(rows) == 2 and sum(r["chosen"] for r in rows) == 1
     path = K.save_model(model, os.path.join(_scratch(), "m"))
     a = K.predict(model, valid).select("idx", "prediction").collect()
     b = K.predict(K.load_model(path), valid).select("idx", "prediction").collect()
     assert sorted(a) == sorted(b)
-    prep = K.prepare_labelled(lab).collect()
+    assert 0 <= K.evaluate_classifier(K.train_text_classifier(train, pipeline=K.logistic_pipeline(maxIter=3)), valid).first()["accuracy"] <= 1
+    prep = K.prepare_labelled(lab, n_train=1000, n_valid=200).collect()
     assert all(len(r["input_ids"]) == 128 for r in prep)
     assert {r["split"] for r in prep} == {"train", "val"}
 
 
-def test_history_cap_and_bank_config_json(spark, chat_folder):
+def test_bank_and_config_json(spark):
     from parley.operators import bank as B
-    folder, _ = chat_folder
     bank = spark.createDataFrame([("general", ["G {query}"])], BANK_SCHEMA)
-    stream = S.conversation_stream(spark, folder, glob="conv-*.parquet", files_per_trigger=1)
-    capped = S.run_available(S.chat_history(S.answer_stream(stream, bank), max_turns=1), spark, "t-cap")
-    pos = {(r["conv_id"], r["turn"]): r["history_pos"] for r in capped.collect()}
-    assert pos[(2, 1)] == 2  # positions still count every turn since the last clear
     path = os.path.join(_scratch(), "bank")
     B.save_bank(bank, path)
     assert B.read_bank(spark, path).collect()[0]["templates"] == ["G {query}"]
@@ -239,27 +253,38 @@ class _FakeState:
         self.timeout = ms
 
 
-def test_history_state_function_cap_and_timeout():
-    fn = S._history_fn(max_turns=2, idle_timeout_ms=1000)
-    batch = pd.DataFrame({"turn": [2, 1, 3], "is_clear": [False, False, False], "recorded": [True, True, True],
-                          "message": ["b", "a", "c"], "response": ["B", "A", "C"]})
+def test_history_state_is_one_counter_and_times_out():
+    fn = S._history_fn(idle_timeout_ms=1000)
+    batch = pd.DataFrame({"turn": [2, 1, 4, 3], "is_clear": [False, False, False, True], "recorded": [True, True, True, False]})
     st = _FakeState()
-    out = pd.concat(list(fn((7,), iter([batch]), st)))
-    assert list(out["turn"]) == [1, 2, 3] and list(out["history_pos"]) == [1, 2, 3]
-    assert st.value[1] == [2, 3] and st.timeout == 1000  # only the last two entries kept
+    out = pd.concat(list(fn((7,), iter([batch[:2], batch[2:]]), st)))
+    assert list(out["turn"]) == [1, 2, 4] and list(out["history_pos"]) == [1, 2, 1]
+    assert st.value == (1,) and st.timeout == 1000
+    more = pd.DataFrame({"turn": [5, 6], "is_clear": [False, False], "recorded": [False, True]})
+    assert list(pd.concat(list(fn((7,), iter([more]), st)))["history_pos"]) == [2]
     idle = _FakeState(value=st.value, timed_out=True)
     assert len(pd.concat(list(fn((7,), iter([]), idle)))) == 0 and idle.removed
 
 
-def test_encode_lookup_equals_join(spark):
-    long = " ".join(f"w{i}" for i in range(300))
-    df = spark.createDataFrame([(1, "Hello hello world", "the answer world"), (2, "", "  "), (3, None, long),
-                                (4, "unseen zzz", "x")], "id bigint, input_text string, target_text string")
-    vocab = E.build_vocabulary(df.where(F.col("id") != 4), ["input_text", "target_text"], size=20)
-    a = E.encode_pairs(df, vocab, ["id"], input_length=8, target_length=12).orderBy("id").collect()
-    b = E.encode_pairs(df, vocab, ["id"], input_length=8, target_length=12, method="lookup").orderBy("id").collect()
-    cols = ["id", "input_ids", "attention_mask", "labels"]
-    assert [[r[c] for c in cols] for r in a] == [[r[c] for c in cols] for r in b]
+def test_late_turns_get_turn_order_from_the_written_answers(spark):
+    folder, schema = _scratch(), "conv_id bigint, turn bigint, role string, text string"
+    for k, rows in enumerate(([(1, 5, "user", "b"), (1, 7, "user", "c"), (None, 1, "user", "n")], [(1, 1, "user", "a"), (1, 6, "system", "")])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/conversations.parquet")
+    bank = spark.createDataFrame([("general", ["G"])], BANK_SCHEMA)
+    stream = S.conversation_stream(spark, folder, files_per_trigger=1)  # a table of several part files
+    written = S.run_available(S.answer_stream(stream, bank), spark, "t-late")
+    pos = {(r["conv_id"], r["turn"]): r["history_pos"] for r in S.chat_history_batch(written).collect()}
+    assert pos == {(1, 1): 1, (1, 5): 2, (1, 7): 1, (None, 1): 1}
+
+
+def test_vocabulary_equals_plain_top_k(spark):
+    words = [f"{c}{i}" for c in "abé" for i in range(40)]
+    text = " ".join(w for i, w in enumerate(words) for _ in range(1 + i % 3))
+    df = spark.createDataFrame([(1, text), (2, None)], "id long, t string")
+    for size in (10, 60, 124, 500):
+        got = [(r["token"], r["id"]) for r in E.build_vocabulary(df, ["t"], size).orderBy("id").collect()]
+        ranked = sorted(words, key=lambda w: (-text.split().count(w), w.encode()))
+        assert got == [(w, i + 4) for i, w in enumerate(ranked[: size - 4])]
 
 
 def test_csv_empty_strings_and_nulls_survive(spark):

@@ -30,7 +30,21 @@ def test_scans_read_only_needed_columns(spark):
 
 
 def test_python_only_where_designed(spark):
-    for name in ("answer_questions_probe", "encode_pairs", "chat_history", "split_train_val_test"):
+    for name in ("answer_questions_probe", "chat_history", "split_train_val_test"):
         assert "Python" not in final_plan(entry.queries()[name](spark, SF_SMALL)), name
-    assert "PythonMapInArrow" in final_plan(entry.queries()["encode_pairs_lookup"](spark, SF_SMALL)) or \
-        "MapInPandas" in final_plan(entry.queries()["encode_pairs_lookup"](spark, SF_SMALL))
+
+
+def test_encoding_a_written_split_moves_no_rows(spark, tmp_path):
+    from parley.operators import encode as E
+    from parley.plans import corpus as C
+
+    C.train(spark, SF_SMALL).write.parquet(f"{tmp_path}/train")
+    train = spark.read.parquet(f"{tmp_path}/train")
+    vocab = E.build_vocabulary(train, ["input_text", "target_text"])
+    plan = final_plan(E.encode_pairs(train, vocab, ["id"]))
+    assert "MapInArrow" in plan and "Exchange" not in plan and "Sort" not in plan
+
+
+def test_lexicon_table_needs_no_nested_loop(spark):
+    plan = final_plan(entry.queries()["classify_intent_join"](spark, SF_SMALL))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -145,53 +145,23 @@ def test_train_or_sample_and_prefix(spark):
     assert P.battery_prefix(pos).count() == 5
 
 
-def test_checked_broadcast_uses_plan_bound_or_count(spark):
-    from parley.functions.broadcast import checked_broadcast, proven_max_rows
-    from tests.conftest import SF_SMALL
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    assert proven_max_rows(docs.limit(10)) == 10
-    assert proven_max_rows(docs.groupBy("source").count()) is None
-    probe = spark.range(10).withColumnRenamed("id", "doc_id")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our hint may broadcast
-    try:
-        # no proven bound, estimate not trusted, more rows than allowed: shuffle join
-        j1 = probe.join(checked_broadcast(docs, max_rows=100, max_estimated_bytes=0), "doc_id")
-        assert "BroadcastHashJoin" not in j1._jdf.queryExecution().sparkPlan().toString()
-        # counted and small enough: broadcast
-        j2 = probe.join(checked_broadcast(docs.where(F.col("doc_id") < 50), max_rows=100,
-                                          max_estimated_bytes=0), "doc_id")
-        assert "BroadcastHashJoin" in j2._jdf.queryExecution().sparkPlan().toString()
-        # a small file by Catalyst's size estimate: broadcast without a job
-        j3 = probe.join(checked_broadcast(docs, max_rows=100), "doc_id")
-        assert "BroadcastHashJoin" in j3._jdf.queryExecution().sparkPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
-def test_dedup_hash_first_equals_window(spark, corpus_fixture):
-    a = sorted(map(tuple, P.dedup_pairs(corpus_fixture).collect()))
-    b = sorted(map(tuple, P.dedup_pairs(corpus_fixture, method="hash_first").collect()))
-    c = sorted(map(tuple, P.dedup_pairs(corpus_fixture, method="hash_first", max_dup_hashes=0).collect()))
-    assert a == b == c
+def test_dedup_equals_plain_rule_and_keeps_unique_texts_unshuffled(spark, corpus_fixture):
+    pdf = corpus_fixture.toPandas().sort_values("id").drop_duplicates(["instruction", "response"])
+    assert sorted(r["id"] for r in P.dedup_pairs(corpus_fixture).collect()) == sorted(pdf["id"])
     hot = spark.range(5000).select("id", F.lit("same q").alias("instruction"),
                                    F.when(F.col("id") % 3 == 0, "same a").otherwise(
                                        F.col("id").cast("string")).alias("response"))
-    got = P.dedup_pairs(hot, method="hash_first")
+    got = P.dedup_pairs(hot)
     assert got.count() == 1 + 5000 - 1667 and got.where("response = 'same a'").collect()[0]["id"] == 0
+    nulls = spark.createDataFrame([(1, None, "x"), (2, None, "x"), (3, "x", None), (4, "null", "x")], "id long, instruction string, response string")
+    assert sorted(r["id"] for r in P.dedup_pairs(nulls).collect()) == [1, 3, 4]
 
 
-def test_dedup_auto_picks_by_estimated_size(spark):
-    from parley.functions.broadcast import estimated_bytes
-    from parley.plans.corpus import corpus
-    from tests.conftest import SF_SMALL
-    raw = P.drop_missing(corpus(spark, SF_SMALL))  # parquet scan: size estimate from the file
-    assert 0 < estimated_bytes(raw) < 1 << 30
-    small = P.dedup_pairs(raw, method="auto")  # small input: plain window
-    assert "LeftAnti" not in small._jdf.queryExecution().executedPlan().toString()
-    big = P.dedup_pairs(raw, method="auto", auto_threshold_bytes=0)  # forced: hash-first
-    assert "LeftAnti" in big._jdf.queryExecution().executedPlan().toString()
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+def test_shuffled_positions_follow_the_seeded_order(spark):
+    df = spark.range(3000).withColumnRenamed("id", "idx")
+    a = {r["idx"]: r["shuffle_pos"] for r in P.shuffled(df, keys=["idx"]).collect()}
+    b = {r["idx"]: r["shuffle_pos"] for r in P.shuffle_take(df, 3000, keys=["idx"]).collect()}
+    assert a == b
 
 
 def test_label_vocabulary_fallback_chain(spark, corpus_fixture):

@@ -73,13 +73,6 @@ def test_golden_intents_join_form(spark, golden_df):
         assert a[i] == (intent, score), GOLDEN[i]
 
 
-def test_lexicon_table_compiles_same(spark, golden_df):
-    lex = lexicon_frame(spark, STOCK_LEXICON)
-    a = A.classify_intent(golden_df, "query", lex).orderBy("id").collect()
-    b = A.classify_intent(golden_df, "query").orderBy("id").collect()
-    assert a == b
-
-
 def test_golden_routes(golden_df, recorded_bank):
     out = {r["id"]: r for r in A.answer_questions(golden_df, recorded_bank).collect()}
     for i, (q, intent, _, route) in enumerate(GOLDEN):
@@ -153,6 +146,13 @@ def test_load_bank_missing_and_unreadable(spark, tmp_path):
     bad.mkdir()
     (bad / "x.parquet").write_text("not parquet")
     assert B.load_bank(spark, str(bad)).collect()[0]["intent"] == "general"
+    text = tmp_path / "text"
+    text.mkdir()
+    (text / "x.txt").write_text("no table")
+    assert B.load_bank(spark, str(text)).collect()[0]["intent"] == "general"
+    assert B.load_bank(spark, "relative/nope").count() == 0
+    with pytest.raises(Exception):  # not a missing file: no such store
+        B.load_bank(spark, "nostore://host/path")
 
 
 def test_generate_batch_hook(spark, recorded_bank, golden_df):
