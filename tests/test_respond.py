@@ -123,9 +123,12 @@ def test_pick_is_deterministic_and_in_range(spark):
     assert a == b and {r["p"] for r in a} == {"a", "b", "c"}
 
 
-def test_answer_plan_has_no_python_worker(golden_df, recorded_bank):
-    plan = A.answer_questions(golden_df, recorded_bank)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "BroadcastHashJoin" in plan
+def test_answer_plan_over_a_saved_bank_is_one_broadcast_join(spark, golden_df, recorded_bank, tmp_path):
+    B.save_bank(recorded_bank, f"{tmp_path}/bank")
+    df = A.answer_questions(golden_df, B.read_bank(spark, f"{tmp_path}/bank"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "InPandas" not in plan and "ArrowEval" not in plan and "BatchEvalPython" not in plan
 
 
 def test_bank_bounds(spark, corpus_fixture):
