@@ -73,4 +73,25 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_warc, op2_language, op3_quality_rules, op4_sharding, op5_decontamination, op6_quality_classifier,
                                    op7_packing, op8_near_dedup, op9_chat, op10_pii)}
-ORACLES: dict[str, str] = {}
+#: bare base32 of a SHA-1, from its 160 bits
+_BASE32 = """list_reduce(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  1 + CAST(list_sum(list_transform(range(5), lambda k: CAST(substr(bits, CAST(i * 5 + k + 1 AS BIGINT), 1) AS INTEGER) * CAST(pow(2, 4 - k) AS INTEGER))) AS BIGINT), 1)),
+  lambda a, b: a || b)"""
+_BITS = """list_reduce(list_transform(range(40), lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111',
+  CAST(strpos('0123456789abcdef', substr(sha, CAST(i + 1 AS BIGINT), 1)) * 4 - 3 AS BIGINT), 4)), lambda a, b: a || b)"""
+
+#: SQL can't express the other operators (learned models, sketches, token ids, drawn surrogates, packing).
+ORACLES: dict[str, str] = {
+    "op1_warc": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+s AS (SELECT page_id, strlen(html) AS n, sha1(html) AS sha, min(page_id) OVER (PARTITION BY html) AS first FROM p),
+b AS (SELECT *, {_BITS} AS bits FROM s)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM b""",
+    "op9_chat": r"""WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss,
+  15 + length(role) + length(text) + (length(text) - length(replace(replace(text, '\', ''), '#', ''))) + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS size FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(sum(length(loss)) AS BIGINT) AS loss_chars, sha256(string_agg(loss, '' ORDER BY turn)) AS loss_sha256, CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""",
+}
