@@ -8,8 +8,9 @@ Both plain and ZIP64 directories are parsed; our writer always writes the ZIP64
 packages may pass 4 GiB.
 
 Packages lie below the folder the caller names, on any store that ``pyarrow.fs`` opens by URI (plain
-paths and ``file:`` too).  A writing task renames each finished package to a name that depends on its
-group and number alone, so a task that runs again after a lost executor leaves the same files.
+paths and ``file:`` too).  A writing task sorts its records and renames each finished package to a
+name that depends on its partition and number alone, so a task that runs again after a lost executor
+leaves the same files.
 
 Edge cases: null or empty payloads are records with an empty block; pages with a null page_id are
 records of their own kind of id and never become another's original while a page with an id exists;
@@ -190,7 +191,10 @@ def write_packages(records: DataFrame, folder: str, package_bytes: int = 16 << 2
             name, temporary = f"part-{part:05d}-{number:05d}.wacz", f"_{part}-{number}-{attempt}"
             with store.open_output_stream(f"{root}/{temporary}") as f:
                 f.write(data)
-            store.move(f"{root}/{temporary}", f"{root}/{name}")
+            if store.get_file_info(f"{root}/{name}").type.name == "NotFound":
+                store.move(f"{root}/{temporary}", f"{root}/{name}")
+            else:  # an earlier attempt of this task has left the same bytes
+                store.delete_file(f"{root}/{temporary}")
             out = pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([len(data)], pa.int64()), pa.array([len(held)], pa.int64())], ["path", "bytes", "records"])
             held, lines, size, number = [], [], 0, number + 1
             return out
@@ -207,7 +211,8 @@ def write_packages(records: DataFrame, folder: str, package_bytes: int = 16 << 2
         if held:
             yield flush()
 
-    return records.mapInArrow(run, "path string, bytes long, records long")
+    ordered = records.sortWithinPartitions("page_id", "url", F.length("payload"))  # the same bytes at every attempt
+    return ordered.mapInArrow(run, "path string, bytes long, records long")
 
 
 def locate(packages: DataFrame) -> DataFrame:
