@@ -7,6 +7,9 @@ aggregations with map-side partial aggregation.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,3 +85,17 @@ def metric_callback(df: DataFrame, metric, prediction_col: str = "prediction", l
     """
     return df.agg(metric(F.col(prediction_col), F.col(label_col)).alias(name),
                   F.count(F.lit(1)).cast("bigint").alias("rows"))
+
+
+def batch_metric(df: DataFrame, fn: Callable[[pd.Series, pd.Series], dict[str, float]], names: Sequence[str],
+                 prediction_col: str = "prediction", label_col: str = "label") -> DataFrame:
+    """UDF-3 for a user function of (predictions, references): ``fn`` maps a
+    batch to sums by name (say, hits and rows), and the batches' sums are
+    added; ratios are left to the caller, so any batch size gives one result."""
+    def run(batches):
+        for pdf in batches:
+            found = fn(pdf[prediction_col], pdf[label_col])
+            yield pd.DataFrame({n: [float(found[n])] for n in names})
+
+    parts = df.select(prediction_col, label_col).mapInPandas(run, ", ".join(f"{n} double" for n in names))
+    return parts.agg(*[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names])

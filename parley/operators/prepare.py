@@ -109,7 +109,8 @@ def label_vocabulary(df: DataFrame, columns: Sequence[str] = ("category", "inten
     """DST-2: distinct values per column in order of first appearance.
 
     Null counts as a value.  Output ``(field, value, position)``; empty when
-    any of ``columns`` is missing (the original requires all of them).
+    any of ``columns`` is missing (the original requires all of them).  The
+    first of ``keys`` is a number.
     """
     if not all(c in df.columns for c in columns):
         return df.sparkSession.createDataFrame([], "field string, value string, position int")
@@ -118,8 +119,12 @@ def label_vocabulary(df: DataFrame, columns: Sequence[str] = ("category", "inten
         F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value"), first.alias("k"))
         for c in columns])).alias("s")).select("s.*")
     firsts = stacked.groupBy("field", "value").agg(F.min("k").alias("k"))
-    w = Window.partitionBy("field").orderBy("k")
-    return firsts.select("field", "value", F.row_number().over(w).alias("position"))
+    # places by counts of key buckets and a rank within each: no task holds all values of a field
+    firsts = firsts.withColumn("_b", F.floor(F.col(f"k.{keys[0]}") / F.lit(1 << 16)))
+    offsets = bucket_offsets(firsts, "_b", ["field"]).select("field", "_b", "_start")
+    w = Window.partitionBy("field", "_b").orderBy("k")
+    return (firsts.withColumn("_r", F.row_number().over(w)).join(offsets, ["field", "_b"])
+            .select("field", "value", (F.col("_start") + F.col("_r")).cast("int").alias("position")))
 
 
 def label_vocabulary_or_default(prepared: DataFrame | None, raw: DataFrame | None,

@@ -480,6 +480,12 @@ def q_metric_callback(spark, d):
     return _round(err, ["error_rate"])
 
 
+def q_batch_metric(spark, d):
+    emb = table(spark, d, "embeddings").select(F.col("embedding").alias("logits"), "label")
+    sums = V.batch_metric(V.predictions(emb), lambda p, r: {"hits": (p == r).sum(), "rows": len(p)}, ["hits", "rows"])
+    return sums.select(F.col("hits").cast("bigint").alias("hits"), F.col("rows").cast("bigint").alias("rows"))
+
+
 def q_response_info_stream(spark, d):
     ev = S.file_stream(spark, d, "events.parquet").select(
         "event_id", "user_id", F.col("value").alias("seconds"))
@@ -559,5 +565,6 @@ QUERIES: dict[str, Query] = {
     "save_model": q_save_model,
     "train_or_sample": q_train_or_sample,
     "metric_callback": q_metric_callback,
+    "batch_metric": q_batch_metric,
     "response_info_stream": q_response_info_stream,
 }

@@ -409,6 +409,8 @@ FROM bank UNION ALL SELECT 'unreadable', 'general', {len(DEFAULT_BANK_TEMPLATES)
     "encode_pairs_lookup": ORACLES["encode_pairs"],
     "metric_callback": """SELECT round(avg(CASE WHEN list_position(embedding, list_max(embedding)) - 1 <> label
                           THEN 1.0 ELSE 0.0 END), 6) AS error_rate, count(*) AS rows FROM embeddings""",
+    "batch_metric": """SELECT CAST(sum(CASE WHEN list_position(embedding, list_max(embedding)) - 1 = label THEN 1 ELSE 0 END) AS BIGINT) AS hits,
+                       count(*) AS rows FROM embeddings""",
     "response_info_stream": ORACLES["response_info"],
 })
 
