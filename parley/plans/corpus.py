@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import bank as B
 from ..operators import prepare as P
+from ..session import materialize
 from ..sources.tables import document_corpus, table, user_questions
 
 
@@ -27,8 +28,12 @@ def cleaned(spark: SparkSession, d: str) -> DataFrame:
 
 
 def split(spark: SparkSession, d: str) -> DataFrame:
-    """(id, input_text, target_text, category, intent, split)."""
-    return P.split_train_val_test(P.format_pairs(cleaned(spark, d)))
+    """(id, input_text, target_text, category, intent, split).
+
+    The split reads its input twice (bucket counts, then labels), so the
+    cleaned pairs are written once, as ``plans.flows.prepare_corpus`` does.
+    """
+    return P.split_train_val_test(materialize(P.format_pairs(cleaned(spark, d)), "cleaned"))
 
 
 def train(spark: SparkSession, d: str) -> DataFrame:
