@@ -15,7 +15,9 @@ doc_id is kept; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -27,26 +29,25 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import written
 
-KEPT_WORDS = 300_000  # words whose ids a worker keeps; beyond that it starts anew
+KEPT_WORDS = 400_000  # words whose ids a worker keeps, twice: the newest and those before
+_TWO_SPACES, _PLAIN = re.compile(r"\s\s"), re.compile(r"( ?)([^\W\d_]+)([^\w\s]*)")
+#: Byte-level vocabularies write printable bytes as themselves and the others, in order, from code point 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
-_loaded: dict[str, object] = {}
-
-
-def _tokenizer(path: str):
-    if path not in _loaded:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
-        _loaded[path] = t
-    return _loaded[path]
+_loaded: dict[str, "WordIds"] = {}
 
 
 def _parts(text: str) -> list[str]:
-    """The text cut before single spaces between other characters; the parts join to the text."""
+    """The text cut before single spaces (and around single line breaks) between other characters;
+    the parts join to the text."""
+    if not _TWO_SPACES.search(text):  # then a line break, too, is a token of its own
+        out = []
+        for i, line in enumerate(text.split("\n")):
+            words = line.split(" ")
+            out += ["\n"] * (i > 0) + [words[0]]
+            out.extend(map(" ".__add__, words[1:]))
+        return out
     words = text.split(" ")
     out, held = [], words[0]
     for a, b in zip(words, words[1:]):
@@ -60,21 +61,51 @@ def _parts(text: str) -> list[str]:
 
 
 class WordIds:
-    """Ids of texts as little-endian unsigned 32-bit bytes, by way of kept word ids."""
+    """Ids of texts as little-endian unsigned 32-bit bytes, by way of kept word ids.
+
+    For byte-level BPE tokenizers without a normaliser.  A word of letters (with a space before) and the
+    punctuation behind it are one token each of the pre-tokenizer, so they go to the BPE model at
+    once; all else goes through the pre-tokenizer first.
+    """
 
     def __init__(self, path: str):
-        self.tokenizer, self.kept = _tokenizer(path), {}
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.kept, self.old = Tokenizer.from_file(path), {}, {}
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        if self.tokenizer.normalizer is not None or type(self.tokenizer.pre_tokenizer).__name__ != "ByteLevel":
+            raise ValueError("a byte-level tokenizer without a normaliser is needed")
+
+    @classmethod
+    def of(cls, path: str) -> "WordIds":
+        """One per worker and file."""
+        if path not in _loaded:
+            _loaded[path] = cls(path)
+        return _loaded[path]
+
+    def _model(self, token: str) -> bytes:
+        return array("I", [x.id for x in self.tokenizer.model.tokenize(token)]).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        found = self.kept.get(word) or self.old.get(word)
+        if found is None:
+            found = self.kept[word] = self._model(word.encode("utf-8").decode("latin-1").translate(_BYTES))
+        return found
+
+    def _word(self, word: str) -> bytes:
+        plain = _PLAIN.fullmatch(word)
+        if plain and plain[2].isalpha():
+            return self._letters(plain[1] + plain[2]) + (self._letters(plain[3]) if plain[3] else b"")
+        return b"".join(self._model(t) for t, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(word))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) > KEPT_WORDS:
-            self.kept = {}
+            self.kept, self.old = {}, self.kept
         parts = [_parts(t) for t in texts]
-        unseen = list(set().union(*parts).difference(self.kept)) if parts else []
-        for at in range(0, len(unseen), 2000):
-            some = unseen[at: at + 2000]
-            for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.kept[w] = np.asarray(e.ids, "<u4").tobytes()
-        get = self.kept.__getitem__
+        kept, old = self.kept, self.old
+        for w in set().union(*parts).difference(kept):
+            kept[w] = old.get(w) or (self._word(w) if w else b"")
+        get = kept.__getitem__
         return [b"".join(map(get, p)) for p in parts]
 
 
@@ -94,7 +125,7 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = 1024, end_
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches):
-        encode = WordIds(tokenizer_path)
+        encode = WordIds.of(tokenizer_path)
         for b in batches:
             for at in range(0, b.num_rows, batch):
                 part = b.slice(at, batch)
