@@ -1,9 +1,13 @@
 """Near-duplicate classes by Order MinHash, verified by banded alignment.
 
 1. Every whole text becomes its lower-cased words.  Texts of the same word sequence are one node.
-2. Order MinHash: the five-word shingles get their occurrence number as a label; for each of
+2. Order MinHash: the shingles of ``SHINGLE`` words get their occurrence number as a label; for each of
    ``SKETCHES`` hash orders the ``KEPT`` least labelled shingles are kept in text order, and their
-   sequence is one bucket key.  Texts of small edit distance agree in some bucket.
+   sequence is one bucket key.  The sizes are chosen for recall at the word edit similarity that is
+   verified: an edit spoils three shingles of three words, so a fifth of the words edited at random
+   leaves a shingle similarity of about 0.34.  Texts under ``SHORT`` words have too few of them and are
+   sketched by ``SHORT_SHINGLE`` words; those near the limit are sketched both ways, so that any two
+   texts whose lengths allow the similarity share a way.
 3. Every member of a bucket is aligned with the bucket's least member (never all pairs); two
    texts are near-duplicates if 1 - distance / longer length is at least ``SIMILARITY``, distance being
    the word edit distance of a banded alignment.
@@ -13,7 +17,7 @@
    different components is lost, and components are taken over all links.
 
 Edge cases: null text counts as empty; texts without a word are equal only to the same text; texts
-under five words are one shingle; fewer shingles than ``KEPT`` are all kept; repeated rows and equal
+of fewer words than a shingle are one shingle; fewer shingles than ``KEPT`` are all kept; repeated rows and equal
 texts share a class; null ids come last when a class's least id is chosen; an empty table gives an
 empty result; extra columns are ignored or, in :func:`drop_copies`, kept.
 """
@@ -34,7 +38,8 @@ from parley.llm.align import distance_within
 from parley.llm.common import tasks, written
 from parley.llm.components import components
 
-SHINGLE, SKETCHES, KEPT, SIMILARITY = 5, 16, 4, 0.8
+SHINGLE, SKETCHES, KEPT, SIMILARITY = 3, 40, 2, 0.8
+SHORT, SHORT_SHINGLE = 50, 2
 TILE_ROWS, TILE_WORDS, BAG = 1_000, 2_000_000, 1024
 _WORD = re.compile(r"\w+")
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -80,28 +85,39 @@ def labelled_shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return _mix(h)
 
 
-def sketches(words: np.ndarray, count: int = SKETCHES, kept: int = KEPT) -> np.ndarray:
-    """One bucket key per hash order."""
-    if not len(words):
-        return np.zeros(0, np.int64)
-    h = labelled_shingles(words)
+def _sketches(words: np.ndarray, size: int, count: int, kept: int) -> np.ndarray:
+    h = labelled_shingles(words, size)
     out, k = np.empty(count, np.uint64), min(kept, len(h))
     step = count if len(h) < 20_000 else 1
     for at in range(0, count, step):
-        seeds = _SEEDS[at: at + step]
+        seeds = _SEEDS[at: min(at + step, count)]
         v = _mix(h[None, :] * (seeds[:, None] | np.uint64(1)) ^ seeds[:, None])
-        least = np.sort(np.argpartition(v, k - 1, axis=1)[:, :k], axis=1) if k < len(h) else np.tile(np.arange(k), (len(seeds), 1))
-        key = seeds.copy()
+        least, every = np.empty((len(seeds), k), np.int64), np.arange(len(seeds))
+        for i in range(k):
+            least[:, i] = v.argmin(1)
+            v[every, least[:, i]] = np.uint64(0xFFFFFFFFFFFFFFFF)
+        least.sort(1)
+        key = seeds + np.uint64(size)
         for i in range(k):
             key = _mix((key ^ h[least[:, i]]) * _P1)
         out[at: at + step] = key
-    return out.view(np.int64)
+    return out
+
+
+def sketches(words: np.ndarray, similarity: float = SIMILARITY, count: int = SKETCHES, kept: int = KEPT) -> np.ndarray:
+    """One bucket key per hash order, for texts near ``SHORT`` words per order and shingle size."""
+    n, keys = len(words), []
+    if n and n < SHORT:
+        keys.append(_sketches(words, SHORT_SHINGLE, count, kept))
+    if n >= similarity * SHORT:
+        keys.append(_sketches(words, SHINGLE, count, kept))
+    return np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
 
 
 SKETCHED = "doc_id long, text_key binary, node_key binary, n_words int, words binary, sketches array<long>"
 
 
-def sketched(documents: DataFrame, batch: int = 1000) -> DataFrame:
+def sketched(documents: DataFrame, similarity: float = SIMILARITY, batch: int = 1000) -> DataFrame:
     """Word hashes, node key and bucket keys of every document."""
     schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("node_key", pa.binary()), ("n_words", pa.int32()), ("words", pa.binary()), ("sketches", pa.list_(pa.int64()))])
 
@@ -114,7 +130,7 @@ def sketched(documents: DataFrame, batch: int = 1000) -> DataFrame:
                 for doc_id, key, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text_key", "text"))):
                     w = hashes.of(text or "")
                     node = hashlib.blake2b(w.tobytes() if len(w) else b"no word" + key, digest_size=16).digest()
-                    rows.append((doc_id, key, node, len(w), (w & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), sketches(w)))
+                    rows.append((doc_id, key, node, len(w), (w & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), sketches(w, similarity)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return documents.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text").mapInArrow(run, SKETCHED)
@@ -124,6 +140,11 @@ def text_key():
     return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
 
 
+def _bag(words: np.ndarray) -> np.ndarray:
+    """Word counts by hash remainder: a substitution moves two of them, any other edit one."""
+    return np.bincount(words % BAG, minlength=BAG).astype(np.int32)
+
+
 def _similar(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     """The (a, b) pairs whose alignment reaches the similarity, with their distance."""
     n = tasks(pairs.sparkSession, 4)
@@ -135,9 +156,11 @@ def _similar(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame
         for batch in batches:
             rows = []
             for a, b, wa, wb in zip(*(batch.column(c) for c in ("a", "b", "wa", "wb"))):
-                x, y = (np.frombuffer(w.as_py(), "<u4").tolist() for w in (wa, wb))
-                longer = max(len(x), len(y))
-                d = distance_within(x, y, int(round((1 - similarity) * longer, 6)))
+                x, y = (np.frombuffer(w.as_py(), "<u4") for w in (wa, wb))
+                most = int(round((1 - similarity) * max(len(x), len(y)), 6))
+                if np.abs(_bag(x) - _bag(y)).sum() > 2 * most:
+                    continue
+                d = distance_within(x.tolist(), y.tolist(), most)
                 if d is not None:
                     rows.append((a.as_py(), b.as_py(), d))
             if rows:
@@ -155,14 +178,8 @@ def _tile_links(lo: int, hi: int, node, salt, root, words: list[np.ndarray], sim
     """
     n, bags = np.asarray([len(w) for w in words]), np.zeros((len(words), BAG), np.int32)
     for i, w in enumerate(words):
-        bags[i] = np.bincount(w % BAG, minlength=BAG)
-    parent, lists, out = {r: r for r in root}, {}, []
-
-    def find(r):
-        while parent[r] != r:
-            parent[r] = parent[parent[r]]
-            r = parent[r]
-        return r
+        bags[i] = _bag(w)
+    top, lists, out = np.array(root, np.int64), {}, []
 
     def listed(i):
         if i not in lists:
@@ -170,10 +187,9 @@ def _tile_links(lo: int, hi: int, node, salt, root, words: list[np.ndarray], sim
         return lists[i]
 
     for i in range(1, len(words)):
-        top = np.asarray([find(r) for r in root[:i]]) if i else []
         longer = np.maximum(n[:i], n[i])
         most = np.floor(np.round((1 - similarity) * longer, 6)).astype(np.int64)
-        may = (top != find(root[i])) & (np.abs(n[:i] - n[i]) <= most)
+        may = (top[:i] != top[i]) & (np.abs(n[:i] - n[i]) <= most)
         if lo != hi:
             may &= salt[:i] != salt[i]
         j = np.flatnonzero(may)
@@ -182,9 +198,9 @@ def _tile_links(lo: int, hi: int, node, salt, root, words: list[np.ndarray], sim
         apart = np.abs(bags[j] - bags[i]).sum(1)
         near = apart <= 2 * most[j]
         for k in j[near][np.argsort(apart[near], kind="stable")].tolist():
-            if find(root[k]) != find(root[i]) and distance_within(listed(k), listed(i), int(most[k])) is not None:
+            if top[k] != top[i] and distance_within(listed(k), listed(i), int(most[k])) is not None:
                 out.append((node[k], node[i]))
-                parent[find(root[k])] = find(root[i])
+                top[top == top[k]] = top[i]
     return out
 
 
@@ -216,15 +232,17 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     ``kept`` marks the row(s) of the least (doc_id, text) of the class.
     """
-    rows = written(sketched(documents), "sketched", "zstd")
+    rows = written(sketched(documents, similarity), "sketched", "zstd")
     nodes = written(rows.groupBy("node_key").agg(
         F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches"), F.count("*").alias("copies"),
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("least"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
     buckets = nodes.select("node", "n_words", F.explode(F.array_distinct("sketches")).alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("members")).where("members > 1").select("bucket", "a")
+    shared = buckets.groupBy("bucket").agg(F.min(F.struct("node", "n_words")).alias("least"), F.count("*").alias("members")).where("members > 1").select("bucket", "least")
     members = written(buckets.join(shared, "bucket"), "bucket-members")
-    first = written(members.where("node != a").select("a", F.col("node").alias("b")).distinct(), "star-pairs")
+    longer, apart = F.greatest("n_words", "least.n_words"), F.abs(F.col("n_words") - F.col("least.n_words"))
+    first = written(members.where(F.col("node") != F.col("least.node")).where(apart <= F.floor(F.round((1 - similarity) * longer, 6)))
+                    .select(F.col("least.node").alias("a"), F.col("node").alias("b")).distinct(), "star-pairs")
     wanted = (nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "node_key"))
     words = written(rows.select("node_key", "words").join(wanted, "node_key").groupBy("node").agg(F.first("words").alias("words")), "words", "zstd")
     links = written(_similar(first, words, similarity).select("u", "v"), "star-links")

@@ -404,6 +404,36 @@ def test_near_dedup_against_brute_force(spark):
         assert got[5000 + k] == 5000 + k
 
 
+def test_sketches_recall_by_edit_similarity():
+    from parley.llm.align import banded
+
+    hashes, r = near_dedup.WordHashes(), random.Random(12)
+    for similarity, least in ((0.95, 0.99), (0.9, 0.99), (0.85, 0.99), (0.8, 0.97)):
+        for low, high in ((10, 49), (40, 60), (60, 400)):
+            met = total = 0
+            while total < 200:
+                n = r.randint(low, high)
+                a = r.choices(VOCAB, k=n)
+                b = edited(a, int((1 - similarity) * n + 1e-9), r.random())
+                d, longer = banded(a, b, n), max(len(a), len(b))
+                if 1 - d / longer < max(0.8, similarity - 0.02):
+                    continue
+                total += 1
+                met += bool(set(near_dedup.sketches(hashes.of(" ".join(a)))) & set(near_dedup.sketches(hashes.of(" ".join(b)))))
+            assert met >= least * total, (similarity, low, met, total)
+
+
+def test_near_dedup_finds_pairs_of_low_shingle_similarity(spark):
+    rows, pairs = [], 60
+    for k in range(pairs):
+        w = prose(20 + 5 * k, 40_000 + k).split()
+        changed = random.Random(k).sample(range(len(w)), len(w) // 5)  # a fifth of the words, others in their places
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(f"new{i}" if i in set(changed) else x for i, x in enumerate(w)))]
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[2 * k] == got[2 * k + 1] for k in range(pairs)) >= 0.95 * pairs
+    assert all(got[2 * k] == 2 * k for k in range(pairs))
+
+
 def test_alignment_against_dynamic_programming():
     from parley.llm.align import banded, distance_within
 
