@@ -43,7 +43,7 @@ PATTERNS = [
 ]
 MASTER = "|".join(f"(?:{p})" for _, p in PATTERNS)
 #: Any entity holds one of these; texts without skip the costly pattern.
-HINT = r"[0-9@=:]|(?:" + _FEMALE + "|" + _MALE + r")\.? \p{Lu}"
+HINT = r"[0-9@=:]|A[KS]IA|gh[pousr]_|sk-|(?:" + _FEMALE + "|" + _MALE + r")\.? \p{Lu}"
 
 _LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _CYR, _GREEK = "абвгдежзиклмнопрстуфхцчшщыэюя", "αβγδεζηθικλμνξοπρστυφχψω"
