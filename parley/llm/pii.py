@@ -108,17 +108,21 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, x: a + x) % 10
 
 
-def _name(core: Column, digest: Column, female: Column) -> Column:
-    """As many capitalised words of drawn syllables as ``core`` has, in its script."""
-    def word(given: Column, w: Column, j: Column) -> Column:
+def _name(core: Column, digest: Column, female: Column, attempt: Column) -> Column:
+    """As many capitalised words of drawn syllables as ``core`` has, in its script.
+
+    The last word has a syllable more for each later attempt, so that no number of names uses them up.
+    """
+    def word(given: Column, last: Column, w: Column, j: Column) -> Column:
         def built(consonants, vowels, end_f, end_m):
             pair = lambda k: F.concat(F.substring(F.lit(consonants), _number(digest, j * 8 + k) % len(consonants) + 1, F.lit(1)), F.substring(F.lit(vowels), _number(digest, j * 8 + k + 1) % len(vowels) + 1, F.lit(1)))
             end = F.when(given & female, F.lit(end_f)).otherwise(F.lit(end_m))
-            return F.initcap(F.concat(pair(0), pair(2), F.substring(F.lit(consonants), _number(digest, j * 8 + 5) % len(consonants) + 1, F.lit(1)), end))
+            more = F.when(last & (attempt > 0), F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(attempt, F.lit(1))), lambda a: pair(a * 2 + 6)), "")).otherwise(F.lit(""))
+            return F.initcap(F.concat(pair(0), pair(2), more, F.substring(F.lit(consonants), _number(digest, j * 8 + 5) % len(consonants) + 1, F.lit(1)), end))
         return (F.when(w.rlike(r"\p{IsCyrillic}"), built("бвгдзклмнпрст", "аеиоу", "ина", "ин"))
                 .when(w.rlike(r"\p{IsGreek}"), built("βγδζκλμνπρστ", "αειου", "ίνα", "ινος")).otherwise(built("bdfgklmnprstv", "aeiou", "ina", "en")))
     words = F.split(core, "[ -]")
-    return F.array_join(F.transform(words, lambda w, j: word((j == 0) & (F.size(words) > 1) | (F.size(words) == 1) & female, w, j)), " ")
+    return F.array_join(F.transform(words, lambda w, j: word((j == 0) & (F.size(words) > 1) | (F.size(words) == 1) & female, j == F.size(words) - 1, w, j)), " ")
 
 
 def drawn(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
@@ -138,7 +142,7 @@ def drawn(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
                 .when(kind == "ipv6", _by_char(norm, digest, 0, hexed))
                 .when(kind == "key", F.when(norm.rlike("^A[KS]IA"), _by_char(norm, digest, 4)).when(norm.rlike("^gh"), _by_char(norm, digest, 4)).otherwise(_by_char(norm, digest, 3)))
                 .when((kind == "secret") & norm.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), _by_char(norm, digest, 0, hexed))
-                .when(kind == "name", _name(F.substring(norm, F.lit(3), F.length(norm)), digest, norm.startswith("f ")))
+                .when(kind == "name", _name(F.substring(norm, F.lit(3), F.length(norm)), digest, norm.startswith("f "), attempt))
                 .otherwise(_by_char(norm, digest)))
 
     return let(F.sha2(F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), norm), 512), made)
@@ -177,7 +181,8 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
     """(kind, norm, attempt, surrogate), distinct within a kind and from every real entity."""
     draw = lambda df: df.withColumn("surrogate", drawn(F.col("kind"), F.col("norm"), F.col("attempt"), key))
     table = written(draw(found.withColumn("attempt", F.lit(0))), "surrogates")
-    real = table.select("kind", F.col("norm").alias("surrogate"))
+    bare = F.when(F.col("kind") == "name", F.expr("substring(norm, 3)")).otherwise(F.col("norm"))  # without the gender
+    real = table.select("kind", bare.alias("surrogate")).distinct()
     while True:
         winner = table.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "norm")).alias("first"), F.count("*").alias("n")).where("n > 1")
         lost = (table.join(winner, ["kind", "surrogate"]).where(F.struct("attempt", "norm") != F.col("first")).select("kind", "norm")

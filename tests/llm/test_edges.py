@@ -569,6 +569,22 @@ def test_pii_collisions_are_drawn_again(spark, monkeypatch):
     assert len({found[0][0], found[0][1], found[1][1], *found[2]}) == 5 and not {"1.2.3.4", "1.2.3.5", "1.2.3.6", "8.8.8.8"} & {x for f in found for x in f}
 
 
+def test_pii_names_are_never_used_up_nor_real(spark, monkeypatch):
+    def names(kind, norm, attempt, key):  # the branch of names alone, for a short plan
+        digest = F.sha2(F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), norm), 512)
+        return pii._name(F.expr("substring(norm, 3)"), digest, norm.startswith("f "), attempt)
+
+    monkeypatch.setattr(pii, "drawn", names)
+    syllable = lambda by: F.substring(F.lit("bcdfghjklm"), ((F.col("id") / by).cast("int") % 10 + 1), F.lit(1))
+    many = spark.range(56_000).select(F.lit("name").alias("kind"), F.concat(F.lit("m Q"), *(syllable(10**k) for k in range(5))).alias("norm"))
+    got = pii.surrogates(many, "k")  # 13 * 5 * 13 * 5 * 13 = 54,925 names of the first attempt
+    assert got.count() == got.select("surrogate").distinct().count() == 56_000
+    name = spark.createDataFrame([("name", "m Smith")], "kind string, norm string")
+    first = pii.surrogates(name, "k").first()["surrogate"]
+    both = {r["norm"]: r["surrogate"] for r in pii.surrogates(name.unionByName(spark.createDataFrame([("name", f"f {first}")], name.schema)), "k").collect()}
+    assert len(set(both.values()) | {first, "Smith"}) == 4
+
+
 def test_pii_edges(spark, docs, odd):
     out = pii.replace(odd)
     assert out.columns == odd.columns and out.count() == len(ROWS) and pii.replace(empty(docs)).count() == 0
