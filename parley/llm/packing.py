@@ -66,13 +66,18 @@ class WordIds:
     For byte-level BPE tokenizers without a normaliser.  A word of letters (with a space before) and the
     punctuation behind it are one token each of the pre-tokenizer, so they go to the BPE model at
     once; all else goes through the pre-tokenizer first.
+
+    ``added``: texts that hold the string of an added token (such as an end-of-text mark) get the ids of
+    the tokenizer's plain call, which takes the string as that token; else it is ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kept, self.old = Tokenizer.from_file(path), {}, {}
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        own = [x.content for x in self.tokenizer.get_added_tokens_decoder().values() if x.content] if added else []
+        self.added = re.compile("|".join(map(re.escape, own))) if own else None
+        self.tokenizer.encode_special_tokens = not added
         if self.tokenizer.normalizer is not None or type(self.tokenizer.pre_tokenizer).__name__ != "ByteLevel":
             raise ValueError("a byte-level tokenizer without a normaliser is needed")
 
@@ -80,7 +85,7 @@ class WordIds:
     def of(cls, path: str) -> "WordIds":
         """One per worker and file."""
         if path not in _loaded:
-            _loaded[path] = cls(path)
+            _loaded[path] = cls(path, added=True)
         return _loaded[path]
 
     def _model(self, token: str) -> bytes:
@@ -101,12 +106,16 @@ class WordIds:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) > KEPT_WORDS:
             self.kept, self.old = {}, self.kept
-        parts = [_parts(t) for t in texts]
+        whole = {i for i, t in enumerate(texts) if self.added.search(t)} if self.added else set()
+        parts = [[] if i in whole else _parts(t) for i, t in enumerate(texts)]
         kept, old = self.kept, self.old
         for w in set().union(*parts).difference(kept):
             kept[w] = old.get(w) or (self._word(w) if w else b"")
         get = kept.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        return [self._whole(t) if i in whole else b"".join(map(get, p)) for i, (t, p) in enumerate(zip(texts, parts))]
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 def cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:

@@ -355,6 +355,17 @@ def test_word_ids_equal_whole_text_ids():
         assert np.frombuffer(got, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_added_tokens_keep_their_ids():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokenizer_path())
+    r = random.Random(14)
+    atoms = [" ", "  ", "\n", "word", "don't", "12", "é", "!?", "<|endoftext|>", "<|endof", "text|>", "日本"]
+    texts = ["one <|endoftext|> two", "<|endoftext|>", *("".join(r.choices(atoms, k=r.randint(0, 12))) for _ in range(1000))]
+    for text, got in zip(texts, packing.WordIds.of(tokenizer_path())(texts)):
+        assert np.frombuffer(got, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_hierarchical_rounds(spark):
     g = np.random.default_rng(3)
     lengths = g.integers(1, 400, 6000).tolist() + [1000] * 500
