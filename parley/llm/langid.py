@@ -6,8 +6,9 @@ into the longest phrases that occur in the sample, by walking the automaton unti
 left; the language whose sample needs the fewest phrases, normalised by log2 of its length, wins:
 ``phrases * log2(sample length) / symbols`` estimates the cross entropy in bits a symbol.
 
-Texts are lower-cased, runs of non-letters become one space, and rare letters share one symbol.
-For speed the automata are one dense table over states and symbols, texts are cut into blocks whose
+Texts are lower-cased, runs of non-letters become one space, and letters of no sample, which end a
+phrase, share one symbol.  For speed the automata are one dense table over states and the ``WIDTH`` most
+frequent symbols; the steps by all other letters, as of further scripts, are a sorted list.  Texts are cut into blocks whose
 parses start anew (``block`` symbols), and all blocks of a batch walk in step; every symbol of every
 text is read.
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 SYMBOLS, SAMPLE_DOCS, SAMPLE_CHARS = 20_000, 60, 2_000  # per language: the bound of the sample
 TABLE_SYMBOLS = 400_000  # all languages together
-WIDTH = 64  # symbols of the alphabet: 1 space, 2 rare letter, then the most frequent letters
+WIDTH = 64  # symbols of the dense table: 1 space, 2 letter of no sample, then the most frequent letters
 
 
 @dataclass(frozen=True)
@@ -60,7 +61,7 @@ def train(rows: DataFrame, symbols: int = SYMBOLS) -> Model:
         for c in v:
             counts[c] = counts.get(c, 0) + 1
     counts.pop(" ", None)
-    return Model("".join(sorted(counts, key=lambda c: (-counts[c], c))[: WIDTH - 3]), samples)
+    return Model("".join(sorted(counts, key=lambda c: (-counts[c], c))), samples)
 
 
 def automaton(codes: list[int]) -> list[dict[int, int]]:
@@ -97,7 +98,7 @@ class Parser:
 
     def __init__(self, model: Model, block: int = 512):
         self.block, self.languages = block, [k for k, _ in model.samples]
-        kind = np.zeros(sys.maxunicode + 1, np.uint8)  # 0 is no letter
+        kind = np.zeros(sys.maxunicode + 1, np.int32)  # 0 is no letter
         codes = {c: i for i, c in enumerate(model.alphabet, 3)}
         for point in range(sys.maxunicode + 1):
             c = chr(point)
@@ -105,19 +106,27 @@ class Parser:
                 kind[point] = codes.get(c.lower(), 2)
         self.kind = kind
         parts, base, self.roots = [], 0, []
+        self.many, rare, roots = len(codes) + 3, {}, []  # steps by letters beyond the table, and those of the roots
         self.bits = np.array([np.log2(max(2, len(v))) for _, v in model.samples])
         for _, v in model.samples:
             go = automaton([1 if c == " " else codes.get(c, 2) for c in v])
             t = np.full((len(go), WIDTH), -1, np.int32)
             for s, step in enumerate(go):
                 for c, to in step.items():
-                    t[s, c] = to
+                    if c < WIDTH:
+                        t[s, c] = to
+                    else:
+                        rare[(s + base) * self.many + c] = (to + base) * WIDTH
+            roots.append([(go[0].get(c, 0) + base) * WIDTH + 1 for c in range(WIDTH, self.many)])
             # a missing step ends the phrase and starts the next from the root (low bit 1)
             first = np.where(t[0] >= 0, t[0], 0)
             t = np.where(t >= 0, (t + base) * WIDTH, (first[None, :] + base) * WIDTH + 1)
             parts.append(t.astype(np.int32))
             self.roots.append(base * WIDTH)
             base += len(go)
+        self.rare = np.array(sorted(rare), np.int64)
+        self.rare_to = np.array([rare[k] for k in self.rare.tolist()], np.int32)
+        self.rare_first = np.array(roots, np.int32).reshape(len(roots), max(0, self.many - WIDTH))
         self.table = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,7 +159,13 @@ class Parser:
         count = np.ones((many, len(at)), np.int32)
         alive = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), side="left")  # blocks longer than step
         for step, m in enumerate(alive):
-            v = self.table[state[:, :m] + code[at[:m] + step]]
+            c = code[at[:m] + step]
+            far = np.flatnonzero(c >= WIDTH) if len(self.rare) else ()
+            v = self.table[state[:, :m] + (np.where(c < WIDTH, c, 2) if len(far) else c)]
+            if len(far):
+                key = (state[:, far] // WIDTH).astype(np.int64) * self.many + c[far]
+                k = np.minimum(np.searchsorted(self.rare, key), len(self.rare) - 1)
+                v[:, far] = np.where(self.rare[k] == key, self.rare_to[k], self.rare_first[:, c[far] - WIDTH])
             flag = v & 1
             count[:, :m] += flag
             state[:, :m] = v ^ flag

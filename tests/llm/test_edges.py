@@ -141,6 +141,32 @@ def test_cross_parsing_equals_brute_force():
             assert got[t, k] == sum(count(text[b: b + 7], sample) for b in range(0, len(text), 7)), (text, sample)
 
 
+def test_many_scripts_keep_their_letters(spark):
+    r = random.Random(21)
+    starts = {"ru": (0x430, 32), "el": (0x3B1, 24), "hi": (0x915, 36), "ar": (0x627, 26), "zh": (0x4E00, 500), "ja": (0x5200, 500), "ko": (0xAC00, 500), "en": (97, 26), "am": (0x1210, 60)}
+    words = {k: ["".join(chr(a + r.randrange(n)) for _ in range(3)) for _ in range(200)] for k, (a, n) in starts.items()}  # words of one length tell nothing
+    text = lambda k: " ".join(r.choices(words[k], k=40))
+    learnt = spark.createDataFrame([(i, text(k), k) for k in starts for i in range(20)], "doc_id long, text string, lang string")
+    parser = langid.Parser(model := langid.train(learnt))
+    assert len(model.alphabet) > 3 * langid.WIDTH
+    tries = [(k, text(k)) for k in starts for _ in range(10)]
+    assert parser.predict([t for _, t in tries])[0] == [k for k, _ in tries]
+
+    def count(text, sample):  # a letter of no sample ends a phrase
+        n, held = 1, ""
+        for c in text:
+            if held + c in sample:
+                held += c
+            else:
+                n, held = n + 1, c if c in sample else ""
+        return n
+
+    mixed = [langid.normalise(t) for t in (text("zh") + " " + text("el"), text("ja") + "龥" + text("ar"), text("hi"))]
+    code, n, _ = langid.Parser(model, block=10_000).symbols(mixed)
+    got = langid.Parser(model, block=10_000).phrases(code, n)
+    assert got.tolist() == [[count(t, s) for _, s in model.samples] for t in mixed]
+
+
 def test_language_held_out_accuracy(spark):
     from parley.llm.queries import op2_language
 
