@@ -130,10 +130,11 @@ def fit(columns: list[np.ndarray], label: np.ndarray, rounds: int = 60, pair_rou
 
 
 def train(documents: DataFrame, labels: DataFrame, keep: Column | None = None, sample_rows: int = SAMPLE_ROWS) -> Gam:
-    """Fits on a hash sample of labelled rows; ``keep`` restricts by doc_id which rows may be learned from."""
+    """Fits on a hash sample of labelled rows, one a doc_id; ``keep`` restricts by doc_id which rows may be learned from."""
     sample = F.broadcast(sampled_labels(labels, "quality", sample_rows, keep).select(F.col("doc_id").alias("_id"), F.col("label").alias("_label")))
     rows = documents.select("doc_id", "text").join(sample, F.col("doc_id") == F.col("_id"))
-    data = textstats.with_counts(rows).select("_label", *textstats.features()).toPandas()
+    counted = textstats.with_counts(rows).select("_id", "_label", *textstats.features())
+    data = counted.groupBy("_id").agg(F.min(F.struct("_label", *textstats.FEATURES)).alias("_row")).select("_row.*").toPandas()
     return fit([data[f].to_numpy(float) for f in textstats.FEATURES], data["_label"].to_numpy(float))
 
 

@@ -318,6 +318,14 @@ def test_gam(spark, docs, odd, labels):
     assert quality_gam.classify(empty(docs), model).count() == 0
 
 
+def test_gam_learns_one_row_of_a_repeated_id(spark, docs, labels, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_gam, "fit", lambda columns, label: seen.append(len(label)))
+    quality_gam.train(docs, labels)
+    quality_gam.train(docs.where("doc_id = 2").crossJoin(spark.range(50)).drop("id").unionByName(docs), labels)
+    assert seen == [3, 3]  # documents 1, 2 (twice there) and 11
+
+
 def test_gam_learns_steps_and_interactions():
     g = np.random.default_rng(1)
     x, y, z = g.random(4000), g.random(4000), g.random(4000)
