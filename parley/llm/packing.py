@@ -215,12 +215,12 @@ def pack(items: DataFrame, scratch: str = "packing", capacity: int = 1024, group
 
     while left > 1 and groups > 1:
         level += 1
-        groups = max(_groups(left, group_rows), -(-groups // 8)) if groups > 8 else _groups(left, group_rows)
+        groups = _groups(left, group_rows)
         merged = (residue.withColumn("_group", F.pmod(F.xxhash64("_item", F.lit(level)), F.lit(groups)))
                   .groupBy("_group").applyInPandas(merge, f"_item long, _fill long, _members {members}"))
         merged = written(merged, f"{scratch}-residue{level}")
         now = merged.count()
-        if groups == 1 or now > 0.98 * left:
+        if groups == 1 or now >= left:
             residue, left = merged, 0
         else:
             moves.append(merged.where(F.col("_fill") >= full))

@@ -412,6 +412,12 @@ def test_hierarchical_rounds(spark):
     assert check_packed(packing.pack(apart, group_rows=50).collect(), None, 1024) == 1000
 
 
+def test_residue_of_several_groups_meets(spark):
+    lengths = [1020] * 4000 + [600] * 300 + [500] * 6  # few bins to save, in groups apart
+    items = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "id long, length long").repartition(1)
+    assert packing.pack(items, group_rows=400).select("sequence_id").distinct().count() == 4303
+
+
 # 8
 def test_near_dedup_classes(spark):
     base = prose(200, 40)
