@@ -14,7 +14,8 @@ cut are ranked row by row.  The data is scanned, never globally sorted.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,6 +86,65 @@ def label_by_cut_points(df: DataFrame, hash_col: str, order_cols: Sequence[str],
     return sure.unionByName(edge).drop(*drop)
 
 
+@dataclass(frozen=True)
+class Cut:
+    """The last row of an order that belongs before a cut: its hash and its keys."""
+
+    hash: str
+    keys: tuple
+
+
+def rank_cuts(df: DataFrame, hash_: Column, keys: Sequence[str], ranks: Callable[[int], Sequence[int]],
+              hex_digits: int = 4, few: int = 1000) -> list[Cut | None]:
+    """The rows of given 1-based ranks in (hash, keys) order; None for a rank below 1.
+
+    ``ranks`` makes the ranks from the number of rows.  Distributed selection: counts per leading
+    ``hex_digits`` of the hash (a uniform hex text) find the bucket of each rank, the next digits of that
+    bucket's rows refine it, until at most ``few`` rows are left to be sorted.  Each round is one scan of
+    the keys, and at most ``16^hex_digits`` counts a rank reach the driver.
+    """
+    if not 1 <= hex_digits <= MAX_HEX_DIGITS:
+        raise ValueError(f"hex_digits must be in 1..{MAX_HEX_DIGITS}")
+    rows = df.select(hash_.alias("_h"), *keys)
+    wanted: list[tuple[int, str, int]] | None = None  # (rank within the bucket, bucket, rows of the bucket)
+    for digits in range(hex_digits, 32 + hex_digits, hex_digits):
+        open_ = rows
+        if wanted is not None:
+            if all(n <= few for _, _, n in wanted):
+                break
+            open_ = rows.where(F.col("_h").substr(1, digits - hex_digits).isin([b for _, b, _ in wanted]))
+        counts = sorted(open_.groupBy(F.col("_h").substr(1, digits).alias("_b")).agg(F.count(F.lit(1)).alias("_n")).collect())
+        if wanted is None:
+            wanted = [(r, "", 0) for r in ranks(sum(n for _, n in counts))]
+        refined = []
+        for rank, bucket, size in wanted:
+            for b, n in counts:
+                if rank > 0 and b.startswith(bucket):
+                    if rank <= n:
+                        bucket, size = b, n
+                        break
+                    rank -= n
+            refined.append((rank, bucket, size))
+        wanted = refined
+    live = sorted({b for r, b, _ in wanted if r > 0})
+    last = rows.where(F.col("_h").substr(1, len(live[0])).isin(live)).collect() if live else []
+    cuts: list[Cut | None] = []
+    for rank, bucket, _ in wanted:
+        inside = sorted((r["_h"], *r[1:]) for r in last if r["_h"].startswith(bucket)) if rank > 0 else []
+        cuts.append(Cut(inside[rank - 1][0], tuple(inside[rank - 1][1:])) if inside else None)
+    return cuts
+
+
+def within(hash_: Column, keys: Sequence[str], cut: Cut | None) -> Column:
+    """Whether a row is at or before a cut in (hash, keys) order."""
+    if cut is None:
+        return F.lit(False)
+    at = F.lit(True)
+    for k, v in reversed(list(zip(keys, cut.keys))):
+        at = (F.col(k) < F.lit(v)) | ((F.col(k) == F.lit(v)) & at)
+    return (hash_ < cut.hash) | ((hash_ == cut.hash) & at)
+
+
 def running_count(df: DataFrame, group_cols: Sequence[str], order_col: str,
                   flag: Column, out: str, chunk: int = 4096) -> DataFrame:
     """Inclusive running count of ``flag`` rows per group in ``order_col`` order.

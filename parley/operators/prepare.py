@@ -9,15 +9,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
+from ..functions.bloom import bits_for, bloom_filter, may_hold
 from ..functions.constants import (
     BATTERY_MODEL_PREFIX, PREVIEW_ROWS, SEED, TEST_SHARE, VAL_SHARE,
 )
 from ..functions.hashing import order_hash
-from ..functions.ranking import bucket_offsets, label_by_cut_points
+from ..functions.ranking import Cut, bucket_offsets, label_by_cut_points, rank_cuts, within
+from ..session import materialize
 
 # --- projections -------------------------------------------------------------
 
@@ -76,32 +80,46 @@ def battery_prefix(df: DataFrame, pos_col: str = "pos", n: int = BATTERY_MODEL_P
 # --- distinct --------------------------------------------------------------------
 
 
+def pair_digest(subset: Sequence[str]) -> Column:
+    """64 bits of a pair: equal pairs (nulls equal nulls) have equal digests."""
+    return F.xxhash64(*subset)
+
+
+def duplicate_candidates(df: DataFrame, subset: Sequence[str] = ("instruction", "response")) -> tuple[DataFrame, DataFrame]:
+    """(candidates, others): all rows whose ``subset`` occurs more than once with few besides, and the rest.
+
+    Digests are counted on a narrow table (map-side combined, so a pair repeated a billion times is one row
+    per task); the repeated ones are written and go into a Bloom filter that is tested at the scan.  Only if
+    there are too many for a filter of bounded size, rows are told by a join with the digests.  The
+    candidates carry their digest as ``_pd``.
+    """
+    repeated = materialize(df.select(pair_digest(subset).alias("_pd")).groupBy("_pd")
+                           .agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_pd"), "repeated-digests")
+    marked, bits = df.withColumn("_pd", pair_digest(subset)), bits_for(repeated.count())
+    if bits is None:
+        return marked.join(repeated, "_pd", "left_semi"), marked.join(repeated, "_pd", "left_anti")
+    maybe = may_hold(bloom_filter(repeated, "_pd", bits), F.col("_pd"), bits)
+    return marked.where(maybe), marked.where(~maybe)
+
+
 def dedup_pairs(df: DataFrame, subset: Sequence[str] = ("instruction", "response"),
                 keys: Sequence[str] = ("id",)) -> DataFrame:
-    """DST-1: one row per exact ``subset`` value, the first in key order.
-
-    Rows are counted per 128-bit digest of the pair on a narrow table (map-side
-    combined, so a pair repeated a billion times is one row per task).  Only
-    rows whose digest occurs more than once meet their texts again: within
-    each such digest the texts themselves are compared by the window, so the
-    result is exact.  The losers' (key, digest) rows are then removed by an
-    anti-join; rows are identified by ``keys``, which must be unique.  Join
-    sizes are left to Spark: no hint, and skewed digests are split.
+    """DST-1: one row per exact ``subset`` value (nulls equal nulls), the first in key order.
+
+    Rows without a key come after those with one; among rows of equal keys the least by the other columns
+    stays, so exact repeats leave one row.  Keys need not be unique.
+
+    Rows that are no candidates (see :func:`duplicate_candidates`) pass through as they are: their texts are
+    never shuffled.  Candidates are told apart by their texts in a window, so a digest that two pairs
+    share, or one that the filter lets through by chance, only costs work.  The window's limit keeps one row
+    per pair and task before its shuffle.
     """
-    hashed = df.withColumn("_pd", F.md5(F.to_json(F.struct(*subset), {"ignoreNullFields": "false"})))
-    repeated = hashed.groupBy("_pd").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_pd")
-    # a window limit keeps one row per pair and task before its shuffle
-    rivals = hashed.join(repeated, "_pd", "left_semi").select("_pd", *subset, *keys)
-    w = Window.partitionBy("_pd", *subset).orderBy(*keys)
-    first = rivals.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys])
-    losers = (rivals.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
-              .join(first, [f"_k_{k}" for k in keys], "left_anti"))
-    same = [F.col(k) == F.col(f"_k_{k}") for k in keys]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    return df.join(losers, cond, "left_anti")
+    candidates, others = duplicate_candidates(df, subset)
+    rest = [f.name for f in df.schema.fields if f.name not in (*subset, *keys) and not isinstance(f.dataType, MapType)]
+    order = [F.col(f"`{c}`").asc_nulls_last() for c in (*keys, *rest)]
+    w = Window.partitionBy("_pd", *subset).orderBy(*order)
+    first = candidates.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
+    return others.select(*df.columns).unionByName(first.select(*df.columns))
 
 
 def label_vocabulary(df: DataFrame, columns: Sequence[str] = ("category", "intent"),
@@ -110,21 +128,24 @@ def label_vocabulary(df: DataFrame, columns: Sequence[str] = ("category", "inten
 
     Null counts as a value.  Output ``(field, value, position)``; empty when
     any of ``columns`` is missing (the original requires all of them).  The
-    first of ``keys`` is a number.
+    first of ``keys`` is a number; a value that occurs only in rows without it comes after
+    all others.
     """
     if not all(c in df.columns for c in columns):
-        return df.sparkSession.createDataFrame([], "field string, value string, position int")
+        return df.sparkSession.createDataFrame([], "field string, value string, position bigint")
     first = F.struct(*[F.col(k) for k in keys])
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value"), first.alias("k"))
         for c in columns])).alias("s")).select("s.*")
-    firsts = stacked.groupBy("field", "value").agg(F.min("k").alias("k"))
+    placed = F.col(f"k.{keys[0]}").isNotNull()
+    firsts = stacked.groupBy("field", "value").agg(F.min(F.when(placed, F.col("k"))).alias("k"))
     # places by counts of key buckets and a rank within each: no task holds all values of a field
-    firsts = firsts.withColumn("_b", F.floor(F.col(f"k.{keys[0]}") / F.lit(1 << 16)))
+    last = F.lit((1 << 63) - 1)  # values without any key come last, by value
+    firsts = firsts.withColumn("_b", F.coalesce(F.floor(F.col(f"k.{keys[0]}") / F.lit(1 << 16)), last))
     offsets = bucket_offsets(firsts, "_b", ["field"]).select("field", "_b", "_start")
-    w = Window.partitionBy("field", "_b").orderBy("k")
+    w = Window.partitionBy("field", "_b").orderBy("k", F.col("value").asc_nulls_last())
     return (firsts.withColumn("_r", F.row_number().over(w)).join(offsets, ["field", "_b"])
-            .select("field", "value", (F.col("_start") + F.col("_r")).cast("int").alias("position")))
+            .select("field", "value", (F.col("_start") + F.col("_r")).alias("position")))
 
 
 def label_vocabulary_or_default(prepared: DataFrame | None, raw: DataFrame | None,
@@ -172,7 +193,7 @@ def shuffled(df: DataFrame, seed: int = SEED, keys: Sequence[str] = ("id",), pos
     offsets = bucket_offsets(base, "_b").select("_b", "_start")  # at most 16^3 rows
     rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *keys))
     return (base.withColumn(pos_col, rank).join(F.broadcast(offsets), "_b")
-            .withColumn(pos_col, (F.col("_start") + F.col(pos_col)).cast("int")).drop("_h", "_b", "_start"))
+            .withColumn(pos_col, F.col("_start") + F.col(pos_col)).drop("_h", "_b", "_start"))
 
 
 def sample_per_group(df: DataFrame, group: str, n: int, seed: int = SEED,
@@ -222,6 +243,42 @@ def split_train_val_test(df: DataFrame, keys: Sequence[str] = ("id",), seed: int
     return label_by_cut_points(hashed, "_h", list(keys), cuts, "train", hex_digits).drop("_h")
 
 
+@dataclass(frozen=True)
+class SplitCuts:
+    """Where a seeded order is cut: rows up to the first cut are test, up to the second val, the rest train."""
+
+    seed: int
+    keys: tuple[str, ...]
+    test: Cut | None
+    val: Cut | None
+
+
+def split_cuts(df: DataFrame, keys: Sequence[str] = ("id",), seed: int = SEED,
+               test_size: float = TEST_SHARE, val_size: float = VAL_SHARE, hex_digits: int = 4) -> SplitCuts:
+    """The two exact cuts of SPL-1, found by order-statistic selection over the keys alone.
+
+    Rows are counted per leading digits of ``md5(seed|key)``; only the buckets that hold a cut are refined
+    by further digits until a few rows are left (two or three narrow scans, at most ``2 * 16^hex_digits``
+    counts a round).  Keys must be unique and not null.
+    """
+    def ranks(n: int) -> list[int]:
+        _, n_val, n_test = split_counts(n, test_size, val_size)
+        return [n_test, n_test + n_val]
+
+    test, val = rank_cuts(df, order_hash(seed, keys), keys, ranks, hex_digits)
+    return SplitCuts(seed, tuple(keys), test, val)
+
+
+def with_split(df: DataFrame, cuts: SplitCuts) -> DataFrame:
+    """SPL-1 as a predicate: ``split`` from a comparison of each row with two constants.
+
+    One narrow pass without any exchange; as well for a stream or a part of the rows.
+    """
+    hash_ = order_hash(cuts.seed, cuts.keys)
+    return df.withColumn("split", F.when(within(hash_, cuts.keys, cuts.test), F.lit("test"))
+                         .when(within(hash_, cuts.keys, cuts.val), F.lit("val")).otherwise(F.lit("train")))
+
+
 def split_sizes(split_df: DataFrame, test_size: float = TEST_SHARE, val_size: float = VAL_SHARE) -> DataFrame:
     """AGG-8: rows per split, with the requested shares as text."""
     shares = f"{1 - test_size - val_size:.1f}/{val_size:.1f}/{test_size:.1f}"

@@ -1,5 +1,6 @@
 """Classify questions by keyword lexicon and answer them from the bank.
 
+A lexicon in code is compiled into expressions; one that is a table becomes a keyword automaton.
 The whole answering path is native expressions plus one join against the bank
 (one row per intent; Spark broadcasts it while its bytes allow) and one scalar
 subquery for the ``general`` entry: no Python worker, and no shuffle of the
@@ -8,20 +9,27 @@ questions against a bank of usual size.
 
 from __future__ import annotations
 
+import math
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.automaton import Automaton
 from ..functions.constants import (
     EMPTY_MESSAGE_NOTICE, FALLBACK_INTENT, MODEL_PROMPT_PREFIX, NO_PLACEHOLDER_PREFIX,
     NO_PLACEHOLDER_SEPARATOR, QUERY_PLACEHOLDER, SEED, STOCK_LEXICON,
 )
 from ..functions.hashing import pick_index
 from ..functions.lexicon import Lexicon
+from ..session import materialize
+
+#: a lexicon up to this size (keywords, intents and 32 bytes a row) is sent to the workers whole
+LEXICON_BYTES = 64 << 20
 
 
 # --- RSP-4: intent classification ----------------------------------------------------
@@ -57,37 +65,112 @@ def classify_intent(df: DataFrame, text_col: str = "query", lexicon: Lexicon = S
     return out_df.withColumn(score_col, score) if score_col else out_df
 
 
+def _matcher(rows: pd.DataFrame):
+    """``texts -> (text, group, hits)`` arrays for lexicon rows, and the groups' (intent, priority)."""
+    groups = rows[["intent", "priority"]].drop_duplicates().sort_values(["priority", "intent"], ascending=[True, False], ignore_index=True)
+    rows = rows.merge(groups.reset_index(names="group"), on=["intent", "priority"])
+    always = rows.loc[rows["keyword"] == "", "group"].to_numpy()
+    rows = rows[rows["keyword"] != ""].sort_values("keyword", kind="stable")
+    words, place = np.unique(rows["keyword"].to_numpy(object), return_inverse=True)
+    begin, group_of = np.searchsorted(place, np.arange(len(words) + 1)), rows["group"].to_numpy(np.int64)
+    automaton, n = Automaton.of(words.tolist()), len(groups)
+
+    def hits(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        text, word = automaton.found(texts)
+        many = begin[word + 1] - begin[word]
+        at = np.repeat(begin[word], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        pairs = np.concatenate([np.repeat(text, many) * n + group_of[at],
+                                (np.arange(len(texts))[:, None] * n + always).ravel()])
+        pairs, count = np.unique(pairs, return_counts=True)
+        return pairs // n, pairs % n, count
+
+    return hits, groups
+
+
+def _lexicon_part(df: DataFrame, part: DataFrame):
+    """The rows of a lexicon of checked size, sent to the workers, and a maker of their matcher."""
+    held = df.sparkSession.sparkContext.broadcast(part.toPandas())
+    made = []
+
+    def matcher():
+        if not made:
+            made.append(_matcher(held.value))
+        return made[0]
+
+    return matcher
+
+
+def _best_intent(matcher) -> Callable[[Column], Column]:
+    @F.pandas_udf("i string, s int")
+    def best(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        hits, groups = matcher()
+        names = groups["intent"].to_numpy(object)
+        for texts in batches:
+            given = np.flatnonzero(texts.notna().to_numpy())
+            text, group, count = hits(texts.iloc[given].tolist())
+            order = np.lexsort((group, -count, text))  # most hits, then the earlier group
+            lead = order[np.unique(text[order], return_index=True)[1]]
+            intent, score = np.full(len(texts), FALLBACK_INTENT, object), np.zeros(len(texts), np.int32)
+            intent[given[text[lead]]], score[given[text[lead]]] = names[group[lead]], count[lead]
+            yield pd.DataFrame({"i": intent, "s": score})
+
+    return best
+
+
+def _all_hits(matcher) -> Callable[[Column], Column]:
+    @F.pandas_udf("array<struct<i: string, p: int, s: int>>")
+    def every(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hits, groups = matcher()
+        known = list(groups.itertuples(index=False, name=None))
+        for texts in batches:
+            given = np.flatnonzero(texts.notna().to_numpy())
+            out: list[list] = [[] for _ in range(len(texts))]
+            for t, g, n in zip(*(x.tolist() for x in hits(texts.iloc[given].tolist()))):
+                out[given[t]].append({"i": known[g][0], "p": known[g][1], "s": n})
+            yield pd.Series(out)
+
+    return every
+
+
 def classify_intent_join(df: DataFrame, lexicon: DataFrame, text_col: str = "query",
                          keys: Sequence[str] = ("id",), out: str = "intent",
-                         score_col: str | None = None, lead: int = 3) -> DataFrame:
+                         score_col: str | None = None, most_bytes: int = LEXICON_BYTES) -> DataFrame:
     """RSP-4 for a lexicon that is a table of any size.
 
-    A text holds a keyword only if it holds the keyword's first ``lead``
-    characters, so texts (as their distinct ``lead``-grams) and keywords meet by an equi-join on
-    those, and ``contains`` decides.  Keywords shorter than that meet texts by
-    their distinct grams of that length in the same join; an empty keyword is
-    in every text.  Hits are counted per (row, intent), the best intent is
-    chosen by (score, -priority).
+    The keywords become an Aho-Corasick automaton that the workers run over Arrow batches: one pass
+    over each text whatever the size of the lexicon, no exchange.  The score of an intent is the number of its
+    keywords in the lower-cased text (an empty keyword is in every text); the most hits win, then
+    the lower priority, then the last intent by name.  Null keywords are left out, null texts hold none.
+
+    The lexicon's bytes are checked first, by one small aggregation.  One above ``most_bytes`` is dealt into
+    parts by keyword; each part's hits are written, and counts, not texts, are then added up by ``keys``
+    (which must tell the rows apart) and joined back.
     """
-    lex = lexicon.select("intent", "priority", "keyword").distinct().withColumn("_g", F.substring("keyword", 1, lead))
-    low = df.select(*keys, F.lower(F.col(text_col)).alias("_low")).where(F.col("_low").isNotNull())
-
-    def grams(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length("_low") - (n - 1), F.lit(1)))
-        return F.array_distinct(F.transform(starts, lambda i: F.substring(F.col("_low"), i, F.lit(n))))
-
-    every = F.concat(F.array(F.lit("")), *[grams(n) for n in range(1, lead + 1)])
-    texts = low.withColumn("_g", F.explode(F.array_distinct(every)))
-    hits = texts.join(lex, "_g").where(F.col("_low").contains(F.col("keyword")))
-    scores = hits.groupBy(*keys, "intent", "priority").agg(F.count(F.lit(1)).alias("_s"))
-    best = scores.groupBy(*keys).agg(
-        F.max(F.struct(F.col("_s").alias("s"), (-F.col("priority")).alias("p"),
-                       F.col("intent").alias("i"))).alias("_b"))
-    joined = df.join(best, list(keys), "left")
-    out_df = joined.withColumn(out, F.coalesce(F.col("_b.i"), F.lit(FALLBACK_INTENT)))
+    lex = (lexicon.where(F.col("keyword").isNotNull())
+           .select(F.col("intent").cast("string"), F.col("priority").cast("int"), F.col("keyword").cast("string")).distinct())
+    size = lex.agg(F.coalesce(F.sum(F.octet_length("keyword") + F.octet_length("intent") + 32), F.lit(0))).first()[0]
+    parts = max(1, math.ceil(size / most_bytes))
+    low = F.lower(F.col(text_col))
+    if parts == 1:
+        rows = df.withColumn("_b", _best_intent(_lexicon_part(df, lex))(low))
+        rows = rows.withColumn(out, F.col("_b.i"))
+        return (rows.withColumn(score_col, F.col("_b.s")) if score_col else rows).drop("_b")
+    found = None
+    for k in range(parts):
+        part = lex.where(F.pmod(F.xxhash64("keyword"), F.lit(parts)) == k)
+        hits = df.select(*keys, F.explode(_all_hits(_lexicon_part(df, part))(low)).alias("_h"))
+        hits = materialize(hits.select(*keys, "_h.*"), "lexicon-hits")
+        found = hits if found is None else found.unionByName(hits)
+    scores = found.groupBy(*keys, "i", "p").agg(F.sum("s").alias("s"))
+    best = scores.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.max(F.struct(F.col("s"), (-F.col("p")).alias("p"), F.col("i"))).alias("_b"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & df[k].eqNullSafe(F.col(f"_k{i}"))
+    rows = df.join(best, same, "left").withColumn(out, F.coalesce(F.col("_b.i"), F.lit(FALLBACK_INTENT)))
     if score_col:
-        out_df = out_df.withColumn(score_col, F.coalesce(F.col("_b.s"), F.lit(0)).cast("int"))
-    return out_df.drop("_b")
+        rows = rows.withColumn(score_col, F.coalesce(F.col("_b.s"), F.lit(0)).cast("int"))
+    return rows.drop("_b", *[f"_k{i}" for i in range(len(keys))])
 
 
 # --- RSP-5..8: lookup, pick, render, route ------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import CLASSIFIER_TRAIN_ROWS, SEED, STOCK_LEXICON
-from ..functions.hashing import order_hash
+from ..functions.hashing import hash_prefix_int, order_hash
 from ..functions.lexicon import PROBE_LEXICON, lexicon_frame
 from ..operators import bank as B
 from ..operators import classify as K
@@ -189,6 +189,20 @@ def q_classify_intent_join(spark, d):
                                   score_col="score").select("conv_id", "turn", "intent", "score")
 
 
+def _word_lexicon(spark, d):
+    """A lexicon of every word of four letters or more in the documents, dealt to 50 intents by a hash."""
+    word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0)))
+    words = table(spark, d, "documents").select(word.alias("keyword")).distinct()
+    place = (hash_prefix_int(F.md5("keyword"), 6) % 50).cast("int")
+    return words.select(F.concat(F.lit("topic"), place.cast("string")).alias("intent"), (place + 1).alias("priority"), "keyword")
+
+
+def q_classify_intent_lexicon(spark, d):
+    """RSP-4 with a lexicon that grows with the corpus."""
+    return A.classify_intent_join(C.questions(spark, d), materialize(_word_lexicon(spark, d), "lexicon"), "query",
+                                  ["conv_id", "turn"], score_col="score").select("conv_id", "turn", "intent", "score")
+
+
 def _answers(spark, d, lexicon, bank=None, use_templates=True):
     b = C.bank(spark, d) if bank is None and use_templates else bank
     return A.answer_questions(C.questions(spark, d), b, lexicon, "query", use_templates).select(
@@ -525,6 +539,7 @@ QUERIES: dict[str, Query] = {
     "classify_intent": q_classify_intent,
     "classify_intent_probe": q_classify_intent_probe,
     "classify_intent_join": q_classify_intent_join,
+    "classify_intent_lexicon": q_classify_intent_lexicon,
     "answer_questions": q_answer_questions,
     "answer_questions_probe": q_answer_questions_probe,
     "answer_default_bank": q_answer_default_bank,

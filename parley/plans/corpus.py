@@ -30,10 +30,11 @@ def cleaned(spark: SparkSession, d: str) -> DataFrame:
 def split(spark: SparkSession, d: str) -> DataFrame:
     """(id, input_text, target_text, category, intent, split).
 
-    The split reads its input twice (bucket counts, then labels), so the
-    cleaned pairs are written once, as ``plans.flows.prepare_corpus`` does.
+    The cuts are found before the labels, so the cleaned pairs are written
+    once, as ``plans.flows.prepare_corpus`` does.
     """
-    return P.split_train_val_test(materialize(P.format_pairs(cleaned(spark, d)), "cleaned"))
+    pairs = materialize(P.format_pairs(cleaned(spark, d)), "cleaned")
+    return P.with_split(pairs, P.split_cuts(pairs))
 
 
 def train(spark: SparkSession, d: str) -> DataFrame:

@@ -52,12 +52,12 @@ def prepare_corpus(raw: DataFrame, out_dir: str, keys: tuple[str, ...] = ("id",)
         sample = P.sample_n(raw, SAMPLE_QUESTIONS, seed, list(keys), pos_col="pos")
         IO.write_numbered_text(IO.numbered_lines(sample, "instruction", "pos"), paths["sample_questions"])
 
-    # The split reads its input twice (bucket counts, then labels), so the cleaned pairs are
-    # written once and the split scans the files instead of de-duplicating twice.
+    # The cuts of the split are found before its labels, so the cleaned pairs are written once and
+    # the split scans the files instead of de-duplicating again.
     cleaned = P.dedup_pairs(P.drop_missing(raw), keys=list(keys))
     P.format_pairs(cleaned, list(keys)).write.mode("overwrite").parquet(f"{out}/cleaned")
     formatted = spark.read.parquet(f"{out}/cleaned")
-    split = P.split_train_val_test(formatted, list(keys), seed, test_size, val_size)
+    split = P.with_split(formatted, P.split_cuts(formatted, list(keys), seed, test_size, val_size))
     IO.write_splits(split, paths["processed"])
     saved = spark.read.parquet(paths["processed"])
     IO.write_pairs_csv(saved, paths["processed_csv"])

@@ -211,7 +211,7 @@ ORACLES: dict[str, str] = {
     "label_vocabulary": f"""WITH {SPLIT},
 v AS (SELECT 'category' AS field, category AS value, min(id) AS k FROM train GROUP BY category
       UNION ALL SELECT 'intent', intent, min(id) FROM train GROUP BY intent)
-SELECT field, value, CAST(row_number() OVER (PARTITION BY field ORDER BY k) AS INTEGER) AS position FROM v""",
+SELECT field, value, CAST(row_number() OVER (PARTITION BY field ORDER BY k) AS BIGINT) AS position FROM v""",
     "preview": f"WITH {CORPUS} SELECT id, instruction, category, intent FROM corpus ORDER BY id LIMIT 5",
     "split_train_val_test": f"WITH {SPLIT} SELECT id, category, intent, split FROM split",
     "split_sizes": f"WITH {SPLIT} SELECT split, count(*) AS rows, '0.8/0.1/0.1' AS shares FROM split GROUP BY split",
@@ -270,6 +270,12 @@ FROM (SELECT id, target_text, {h('id')} AS hh FROM train ORDER BY {h('id')}, id
     "classify_intent": _classify(STOCK_LEXICON),
     "classify_intent_probe": _classify(PROBE_LEXICON),
     "classify_intent_join": _classify(PROBE_LEXICON),
+    "classify_intent_lexicon": f"""WITH {QUESTIONS},
+lex AS (SELECT keyword, CAST(('0x' || substr(md5(keyword), 1, 6))::BIGINT % 50 AS INTEGER) AS place FROM (
+  SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{4,}}')) AS keyword FROM documents)),
+hits AS (SELECT conv_id, turn, place, CAST(count(*) AS INTEGER) AS score FROM q JOIN lex ON contains(lower(query), keyword) GROUP BY ALL),
+best AS (SELECT conv_id, turn, arg_max(place, score * 100 - place) AS place, max(score) AS score FROM hits GROUP BY ALL)
+SELECT conv_id, turn, coalesce('topic' || place, 'general') AS intent, coalesce(score, 0) AS score FROM q LEFT JOIN best USING (conv_id, turn)""",
     "answer_questions": answers_sql(STOCK_LEXICON, BANK),
     "answer_questions_probe": answers_sql(PROBE_LEXICON, BANK),
     "answer_default_bank": answers_sql(STOCK_LEXICON, DEFAULT_BANK),
@@ -330,7 +336,7 @@ e_u AS (SELECT idx, unnest(tl) AS w, unnest(range(1, len(tl) + 1)) AS p FROM e_t
 e_g AS (SELECT u.idx, list(coalesce(v.id, 3) ORDER BY u.p) AS body
         FROM e_u u LEFT JOIN vocab v ON v.token = u.w GROUP BY u.idx),
 e AS (SELECT t.idx, list_concat([0], coalesce(g.body, []), [2]) AS core FROM e_t t LEFT JOIN e_g g ON g.idx = t.idx)
-SELECT sub.split, CAST(sub.shuffle_pos AS INTEGER) AS shuffle_pos,
+SELECT sub.split, CAST(sub.shuffle_pos AS BIGINT) AS shuffle_pos,
   array_to_string(list_concat(e.core, list_transform(range(128 - len(e.core)), lambda x: 1)), ',') AS input_ids,
   array_to_string(list_concat(list_transform(e.core, lambda x: 1),
                               list_transform(range(128 - len(e.core)), lambda x: 0)), ',') AS attention_mask,

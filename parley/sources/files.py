@@ -150,7 +150,7 @@ def default_labels(spark: SparkSession) -> DataFrame:
 
     rows = [("category", v, i + 1) for i, v in enumerate(DEFAULT_CATEGORIES)]
     rows += [("intent", v, i + 1) for i, v in enumerate(DEFAULT_INTENTS)]
-    return spark.createDataFrame(rows, "field string, value string, position int")
+    return spark.createDataFrame(rows, "field string, value string, position bigint")
 
 
 def default_questions(spark: SparkSession, col: str = "question") -> DataFrame:

@@ -1,11 +1,18 @@
 """Cleaning, de-duplication, sampling and the exact-size split."""
 
+import random
+
+import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from parley.functions import bloom
 from parley.functions.hashing import order_hash
-from parley.functions.ranking import running_count
+from parley.functions.ranking import rank_cuts, running_count
 from parley.operators import prepare as P
+from parley.session import materialize, scratch_path
+from parley.streaming.chat import run_available
 
 
 def test_drop_missing_and_dedup_keep_first(corpus_fixture):
@@ -157,6 +164,77 @@ def test_dedup_equals_plain_rule_and_keeps_unique_texts_unshuffled(spark, corpus
     assert sorted(r["id"] for r in P.dedup_pairs(nulls).collect()) == [1, 3, 4]
 
 
+def plain_dedup(rows):
+    """pandas: first of each (instruction, response) in key order, rows without a key last."""
+    pdf = pd.DataFrame(rows, columns=["id", "instruction", "response"])
+    return sorted(map(str, pdf.sort_values("id", kind="stable", na_position="last").drop_duplicates(["instruction", "response"]).itertuples(index=False, name=None)))
+
+
+@pytest.mark.parametrize("fewest", [4, 1 << 40])
+def test_dedup_with_repeated_and_null_keys(spark, monkeypatch, fewest):
+    monkeypatch.setattr(bloom, "FEWEST_BITS_PER_VALUE", fewest)  # the second: rows are told by a join with the digests
+    rows = [(1, "q", "a"), (1, "q", "a"), (0, "A", "x"), (7, "A", "x"), (7, "B", "y"), (None, "n", "n"), (None, "n", "n")]
+    more = rows + [(None, "q", "a"), (3, None, "x"), (2, None, "x"), (4, None, None), (5, None, None), (6, "", None), (8, "null", "x"), (9, "q", "A")]
+    r = random.Random(2)
+    wild = [(r.choice([None, *range(9)]), r.choice([None, "", "a", "b", "long " * 300]), r.choice([None, "", "a", "c"])) for _ in range(400)]
+    for given in (rows, more, wild, [], rows[:1]):
+        given = [(None if k is None else float(k), i, a) for k, i, a in given]
+        df = spark.createDataFrame(given, "id double, instruction string, response string").repartition(4)
+        got = [(x["id"], x["instruction"], x["response"]) for x in P.dedup_pairs(df).collect()]
+        plain = pd.DataFrame(got, columns=["id", "instruction", "response"])
+        assert sorted(map(str, plain.itertuples(index=False, name=None))) == plain_dedup(given)
+
+
+def test_dedup_shuffles_texts_of_candidates_only(spark):
+    n, copies = 20_000, 300
+    df = spark.range(n).select("id", F.concat(F.lit("question "), (F.col("id") % (n - copies)).cast("string")).alias("instruction"), F.lit("x" * 200).alias("response"))
+    df = materialize(df.repartition(4), "pairs")
+    candidates, others = P.duplicate_candidates(df)
+    many = candidates.count()
+    assert 2 * copies <= many <= 2 * copies + 0.02 * n and many + others.count() == n
+    out = P.dedup_pairs(df)
+    assert out.count() == n - copies
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the texts' only exchange lies below the window over candidates, and no join moves them
+    assert plan.count("Exchange hashpartitioning(_pd") == 1 and "Join" not in plan.split("Subquery")[0]
+    bits = bloom.bits_for(copies)
+    values = df.select(P.pair_digest(["instruction", "response"]).alias("_pd"))
+    some = bloom.bloom_filter(values.limit(copies), "_pd", bits)
+    assert some.count() == 1 and len(some.first()["words"]) == bits // 64
+
+
+def test_split_cuts_equal_the_global_rank(spark):
+    for n, digits, few in [(0, 2, 10), (1, 1, 0), (10, 1, 1), (997, 2, 3), (3000, 1, 1), (2000, 4, 1000)]:
+        df = spark.range(n).repartition(3)
+        ranks = lambda m: [P.split_counts(m)[2], P.split_counts(m)[2] + P.split_counts(m)[1]] if m else [0, 0]
+        a, b = rank_cuts(df, order_hash(42, ["id"]), ["id"], ranks, digits, few)
+        out = P.with_split(df, P.SplitCuts(42, ("id",), a, b))
+        assert {r["id"]: r["split"] for r in out.collect()} == (_global_rank_split(df) if n else {})
+        assert "Exchange" not in P.with_split(spark.range(n), P.SplitCuts(42, ("id",), a, b))._jdf.queryExecution().executedPlan().toString()
+    df = spark.range(500)
+    cuts = P.split_cuts(df)
+    part = {r["id"]: r["split"] for r in P.with_split(df.where("id % 7 = 3"), cuts).collect()}  # a part alone is labelled alike
+    whole = {r["id"]: r["split"] for r in P.with_split(df, cuts).collect()}
+    assert part == {i: s for i, s in whole.items() if i % 7 == 3}
+
+
+def test_split_of_a_stream(spark):
+    df = materialize(spark.range(300).repartition(3), "ids")
+    cuts = P.split_cuts(df)
+    path = scratch_path(spark, "ids-stream")
+    df.write.parquet(path)
+    live = P.with_split(spark.readStream.schema("id long").parquet(path), cuts)
+    got = {r["id"]: r["split"] for r in run_available(live, spark, "split-stream").collect()}
+    assert got == {r["id"]: r["split"] for r in P.with_split(df, cuts).collect()}
+
+
+def test_label_vocabulary_keeps_values_without_a_key(spark):
+    df = spark.createDataFrame([(1, "c", "i"), (None, "only", "i"), (None, "c", "late"), (None, None, "i")], "id long, category string, intent string")
+    got = {(r["field"], r["value"]): r["position"] for r in P.label_vocabulary(df).collect()}
+    assert got == {("category", "c"): 1, ("category", "only"): 2, ("category", None): 3, ("intent", "i"): 1, ("intent", "late"): 2}
+    assert dict(P.label_vocabulary(df).dtypes)["position"] == "bigint"
+
+
 def test_shuffled_positions_follow_the_seeded_order(spark):
     df = spark.range(3000).withColumnRenamed("id", "idx")
     a = {r["idx"]: r["shuffle_pos"] for r in P.shuffled(df, keys=["idx"]).collect()}

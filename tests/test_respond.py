@@ -1,14 +1,19 @@
 """Keyword classification, bank lookup, rendering and routing."""
 
+import random
+
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from parley.functions import automaton
 from parley.functions.constants import (
-    DEFAULT_BANK_TEMPLATES, EMPTY_MESSAGE_NOTICE, MODEL_PROMPT_PREFIX, STOCK_LEXICON,
+    DEFAULT_BANK_TEMPLATES, EMPTY_MESSAGE_NOTICE, FALLBACK_INTENT, MODEL_PROMPT_PREFIX, STOCK_LEXICON,
 )
 from parley.functions.lexicon import lexicon_frame
 from parley.operators import bank as B
 from parley.operators import respond as A
+from parley.session import materialize
 
 # Golden labels worked out for the published query batteries (FIXTURES §10):
 # (query, intent, score, route with a bank of the four order/payment/contact intents)
@@ -167,3 +172,54 @@ def test_generate_batch_hook(spark, recorded_bank, golden_df):
             assert r["generated"] == r["prompt"].upper() and r["generate_seconds"] >= 0
         else:
             assert r["generated"] is None
+
+
+def _plain_intent(text, rows):
+    """(intent, score) by looking for every keyword."""
+    if text is None:
+        return FALLBACK_INTENT, 0
+    score = {}
+    for intent, priority, keyword in set(rows):
+        if keyword is not None and keyword in text.lower():
+            score[(priority, intent)] = score.get((priority, intent), 0) + 1
+    if not score:
+        return FALLBACK_INTENT, 0
+    best = max(score, key=lambda k: (score[k], -k[0], k[1]))
+    return best[1], score[best]
+
+
+def test_automaton_equals_substring_search(monkeypatch):
+    r = random.Random(1)
+    for trial in range(200):
+        letters = "ab" if trial % 2 else "abcdé中😀"
+        words = list({"".join(r.choice(letters) for _ in range(r.randint(1, 6))) for _ in range(r.randint(1, 30))})
+        texts = ["".join(r.choice(letters + "z") for _ in range(r.choice([0, 1, 5, 50, 200]))) for _ in range(r.randint(1, 8))]
+        monkeypatch.setattr(automaton, "LANE", r.choice([1, 5, 1024]))
+        got = zip(*(x.tolist() for x in automaton.Automaton.of(words).found(texts)))
+        assert list(got) == [(i, j) for i, t in enumerate(texts) for j, w in enumerate(words) if w in t]
+
+
+@pytest.mark.parametrize("most_bytes", [A.LEXICON_BYTES, 300])
+def test_lexicon_table_equals_plain_search(spark, most_bytes):
+    r = random.Random(3)
+    rows = [(f"i{k % 5}", k % 4, "".join(r.choice("abc é") for _ in range(r.randint(0, 4)))) for k in range(40)]
+    rows += [rows[0], ("none", 1, None), ("i1", 9, "QUOTE")]
+    texts = [None, "", "ABC É"] + ["".join(r.choice("ABc éq") for _ in range(r.choice([1, 3, 8, 3000]))) for _ in range(60)]
+    lex = spark.createDataFrame(rows, "intent string, priority int, keyword string").repartition(3)
+    df = spark.createDataFrame(list(enumerate(texts)) + [(None, "abc")], "id long, query string").repartition(4)
+    for lexicon, given in ((lex, rows), (lex.where("keyword <> ''"), [x for x in rows if x[2]]), (lex.where("false"), [])):
+        out = A.classify_intent_join(df, lexicon, score_col="score", most_bytes=most_bytes).collect()
+        assert {(x["id"], x["intent"], x["score"]) for x in out} == {(i, *_plain_intent(t, given)) for i, t in enumerate(texts)} | {(None, *_plain_intent("abc", given))}
+
+
+def test_hundred_thousand_keywords_without_exchange(spark):
+    r = random.Random(8)
+    words = sorted({"".join(r.choice("abcdefghijklmnopqrst") for _ in range(r.randint(3, 10))) for _ in range(110_000)})[:100_000]
+    rows = [(f"i{k % 300}", k % 300, w) for k, w in enumerate(words)]
+    texts = ["".join(r.choice("abcdefghijklmnopqrst ") for _ in range(r.choice([40, 400]))) for _ in range(60)]
+    lex = materialize(spark.createDataFrame(pd.DataFrame(rows, columns=["intent", "priority", "keyword"])), "lexicon")
+    df = materialize(spark.createDataFrame(list(enumerate(texts)), "id long, query string"), "texts")
+    out = A.classify_intent_join(df, lex, score_col="score")
+    assert {(x["id"], x["intent"], x["score"]) for x in out.collect()} == {(i, *_plain_intent(t, rows)) for i, t in enumerate(texts)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "Exchange" not in plan
