@@ -35,12 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm.align import distance_within
-from parley.llm.common import tasks, written
+from parley.llm.common import joined, tasks, written
 from parley.llm.components import components
 
 SHINGLE, SKETCHES, KEPT, SIMILARITY = 3, 40, 2, 0.8
 SHORT, SHORT_SHINGLE = 50, 2
-TILE_ROWS, TILE_WORDS, BAG = 1_000, 2_000_000, 1024
+TILE_ROWS, TILE_WORDS, BAG = 400, 1_000_000, 1024
 _WORD = re.compile(r"\w+")
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _SEEDS = np.array([xxhash.xxh64_intdigest(b"order", seed=s) for s in range(64)], np.uint64)
@@ -145,6 +145,18 @@ def _bag(words: np.ndarray) -> np.ndarray:
     return np.bincount(words % BAG, minlength=BAG).astype(np.int32)
 
 
+def _apart(x: np.ndarray, y: np.ndarray, most: int) -> bool:
+    """Whether the halves of two texts show that more than ``most`` edits part them.
+
+    With both cut at one place, the bags of the first and of the second parts differ by at most twice the edits
+    and once the difference of the lengths: what an alignment shifts across the cut it has to insert or
+    delete on either side, but for that difference.  Unlike the whole bag this sees the order.
+    """
+    half = min(len(x), len(y)) // 2
+    bags = np.abs(_bag(x[:half]) - _bag(y[:half])).sum() + np.abs(_bag(x[half:]) - _bag(y[half:])).sum()
+    return bool(bags > 2 * most + abs(len(x) - len(y)))
+
+
 def _similar(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     """The (a, b) pairs whose alignment reaches the similarity, with their distance."""
     n = tasks(pairs.sparkSession, 4)
@@ -158,7 +170,7 @@ def _similar(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame
             for a, b, wa, wb in zip(*(batch.column(c) for c in ("a", "b", "wa", "wb"))):
                 x, y = (np.frombuffer(w.as_py(), "<u4") for w in (wa, wb))
                 most = int(round((1 - similarity) * max(len(x), len(y)), 6))
-                if np.abs(_bag(x) - _bag(y)).sum() > 2 * most:
+                if np.abs(_bag(x) - _bag(y)).sum() > 2 * most or _apart(x, y, most):
                     continue
                 d = distance_within(x.tolist(), y.tolist(), most)
                 if d is not None:
@@ -169,16 +181,17 @@ def _similar(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame
     return both.select("a", "b", "wa", "wb").mapInArrow(run, "u long, v long, distance int")
 
 
-def _tile_links(lo: int, hi: int, node, salt, root, words: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+def _tile_links(bucket: int, lo: int, hi: int, node, salt, root, words: list[np.ndarray], keys: list, similarity: float) -> list[tuple[int, int]]:
     """Links that connect different components among the members of one tile.
 
-    The bag of words bounds the edit distance from below (a substitution moves two counts, any other
-    edit one), so only pairs that may reach the similarity are aligned, the likeliest first, and
-    none whose components are linked by then.
+    A pair belongs to the tile if this bucket is the least of those that both share.  The bag of words bounds
+    the edit distance from below (a substitution moves two counts, any other edit one), so only pairs
+    that may reach the similarity are aligned, the likeliest first, and none whose components are linked by then.
     """
     n, bags = np.asarray([len(w) for w in words]), np.zeros((len(words), BAG), np.int32)
     for i, w in enumerate(words):
         bags[i] = _bag(w)
+    lower = [{k for k in own if k < bucket} for own in keys]  # their buckets before this one
     top, lists, out = np.array(root, np.int64), {}, []
 
     def listed(i):
@@ -192,13 +205,15 @@ def _tile_links(lo: int, hi: int, node, salt, root, words: list[np.ndarray], sim
         may = (top[:i] != top[i]) & (np.abs(n[:i] - n[i]) <= most)
         if lo != hi:
             may &= salt[:i] != salt[i]
-        j = np.flatnonzero(may)
+        j = np.array([k for k in np.flatnonzero(may).tolist() if lower[k].isdisjoint(lower[i])], np.int64)
         if not len(j):
             continue
         apart = np.abs(bags[j] - bags[i]).sum(1)
         near = apart <= 2 * most[j]
         for k in j[near][np.argsort(apart[near], kind="stable")].tolist():
-            if top[k] != top[i] and distance_within(listed(k), listed(i), int(most[k])) is not None:
+            if top[k] == top[i] or _apart(words[k], words[i], int(most[k])):
+                continue
+            if distance_within(listed(k), listed(i), int(most[k])) is not None:
                 out.append((node[k], node[i]))
                 top[top == top[k]] = top[i]
     return out
@@ -221,7 +236,9 @@ def _late_links(members: DataFrame, roots: DataFrame, words: DataFrame, similari
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", kind="stable")
         own = [np.frombuffer(w, "<u4") for w in pdf["words"]]
-        found = _tile_links(int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0]), pdf["node"].tolist(), pdf["salt"].to_numpy(), pdf["root"].tolist(), own, similarity)
+        first = pdf.iloc[0]
+        found = _tile_links(int(first["bucket"]), int(first["lo"]), int(first["hi"]), pdf["node"].tolist(), pdf["salt"].to_numpy(), pdf["root"].tolist(),
+                            own, [k.tolist() for k in pdf["sketches"]], similarity)
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
     return dealt.join(words, "node").groupBy("bucket", "lo", "hi").applyInPandas(link, "u long, v long")
@@ -244,7 +261,8 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     first = written(members.where(F.col("node") != F.col("least.node")).where(apart <= F.floor(F.round((1 - similarity) * longer, 6)))
                     .select(F.col("least.node").alias("a"), F.col("node").alias("b")).distinct(), "star-pairs")
     wanted = (nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "node_key"))
-    words = written(rows.select("node_key", "words").join(wanted, "node_key").groupBy("node").agg(F.first("words").alias("words")), "words", "zstd")
+    words = written(rows.select("node_key", "words", "sketches").join(wanted, "node_key").groupBy("node").agg(
+        F.first("words").alias("words"), F.first("sketches").alias("sketches")), "words", "zstd")
     links = written(_similar(first, words, similarity).select("u", "v"), "star-links")
     roots = components(links)
     late = written(_late_links(members, roots, words, similarity), "late-links")
@@ -252,7 +270,7 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     named = (nodes.join(roots, "node", "left").select("node_key", "copies", "least", F.coalesce("root", "node").alias("root")))
     named = written(named, "named")
     least = named.groupBy("root").agg(F.min("least").alias("first"), F.sum("copies").alias("class_size"))
-    by_key = named.join(least, "root").select("node_key", F.col("first.doc_id").alias("class_id"), F.col("first.text_key").alias("_key"), "class_size")
+    by_key = joined(named, written(least, "classes"), "root").select("node_key", F.col("first.doc_id").alias("class_id"), F.col("first.text_key").alias("_key"), "class_size")
     return rows.select("doc_id", "text_key", "node_key").join(by_key, "node_key").select(
         "doc_id", "text_key", "class_id", "class_size", (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_key") == F.col("_key"))).alias("kept"))
 

@@ -13,7 +13,7 @@ the rule's, and the longest wins (ties: the longer host, then block).  Rules are
 ``CASE WHEN``, at most ``MOST_RULES`` of them.
 
 All counts are aggregates over all rows, combined before each shuffle.  Verdicts go back to the rows by
-:func:`joined`, which sends keys that hold a thousandth of all rows or more (so at most 1,000 of them) to
+:func:`parley.llm.common.joined`, which sends keys that hold a thousandth of all rows or more (so at most 1,000 of them) to
 every task and shuffles only the rest, so a host with a third of all pages is no hot task.
 
 Edge cases: a null url or one without ``://`` has empty host and path, fits no rule and, having no host,
@@ -30,11 +30,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import written
+from parley.llm.common import joined, written
 
 LIMIT, Z = 0.5, 1.645
 STRENGTHS = (2.0, 1000.0, 10.0)  # least, greatest, and that of a level without two outcomes in a group
-MOST_RULES, HEAVY = 1_000, 1_000
+MOST_RULES = 1_000
 #: second-level labels that belong to the suffix below a two-letter top level
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -63,27 +63,6 @@ def suffix_of(domain: Column) -> Column:
     return F.when(domain.rlike(r"^[0-9.]*$") | ~domain.contains("."), domain).otherwise(F.regexp_extract(domain, r"^[^.]*\.(.*)$", 1))
 
 
-def joined(left: DataFrame, right: DataFrame, key: str, heavy: int = HEAVY) -> DataFrame:
-    """Left join on ``key``, unique in ``right``; keys with 1 / ``heavy`` of all rows are not shuffled.
-
-    There are at most ``heavy`` such keys, which bounds what is broadcast.
-    """
-    counts = left.groupBy(key).agg(F.count("*").alias("_u_n"))
-    share = left.agg(F.count("*")).first()[0] / heavy
-    hot = counts.where((F.col("_u_n") >= share) & F.col(key).isNotNull()).select(key).limit(heavy)
-    hot = written(hot, "hot-keys")
-    columns = [c for c in right.columns if c != key]
-    near = right.join(F.broadcast(hot), key, "left_semi").select(F.col(key).alias("_u_hot"), *[F.col(c).alias(f"_u_near_{c}") for c in columns])
-    far = right.join(F.broadcast(hot), key, "left_anti").select(F.col(key).alias("_u_far"), *[F.col(c).alias(f"_u_far_{c}") for c in columns])
-    rows = left.join(F.broadcast(hot.select(F.col(key).alias("_u_is"))), F.col(key) == F.col("_u_is"), "left")
-    rows = rows.join(F.broadcast(near), F.col("_u_is") == F.col("_u_hot"), "left")
-    # rows of hot keys meet nothing: a null key, which an outer join would gather, is spread
-    spread = F.concat(F.lit("\u0000"), F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20)).cast("string"))
-    rows = rows.withColumn("_u_key", F.when(F.col("_u_is").isNull(), F.col(key)).otherwise(spread))
-    rows = rows.join(far, F.col("_u_key") == F.col("_u_far"), "left")
-    return rows.select(*[F.col(f"`{c}`") for c in left.columns], *[F.coalesce(f"_u_near_{c}", f"_u_far_{c}").alias(c) for c in columns])
-
-
 def strength(level: DataFrame) -> float:
     """Beta-binomial precision of rows (n, bad, parent mean ``up``), by moments."""
     n, k, m = F.col("n"), F.col("bad"), F.col("up")

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parley.llm import periodic, spelling, url_reputation
+from parley.llm import common, periodic, spelling, url_reputation
 from parley.llm.queries import QUERIES, URL_RULES
 
 DOCS = "doc_id long, text string, lang string"
@@ -175,7 +175,7 @@ def test_joined_keeps_every_row(spark):
     left = spark.createDataFrame([("hot", i) for i in range(60)] + [(f"k{i % 20}", i) for i in range(40)] + [(None, i) for i in range(5)], "key string, i long").repartition(4)
     right = spark.createDataFrame([("hot", 1.0), ("other", 3.0)] + [(f"k{i}", float(i)) for i in range(15)], "key string, v double")
     for heavy in (1, 3, 1000):
-        got = collections.Counter((r["key"], r["i"], r["v"]) for r in url_reputation.joined(left, right, "key", heavy).collect())
+        got = collections.Counter((r["key"], r["i"], r["v"]) for r in common.joined(left, right, "key", heavy=heavy).collect())
         known = {r["key"]: r["v"] for r in right.collect()}
         assert got == collections.Counter((r["key"], r["i"], known.get(r["key"])) for r in left.collect())
 
