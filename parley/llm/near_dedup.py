@@ -40,7 +40,7 @@ from parley.llm.components import components
 
 SHINGLE, SKETCHES, KEPT, SIMILARITY = 3, 40, 2, 0.8
 SHORT, SHORT_SHINGLE = 50, 2
-TILE_ROWS, TILE_WORDS, BAG = 400, 1_000_000, 1024
+TILE_ROWS, TILE_WORDS, BAG = 700, 1_000_000, 1024
 _WORD = re.compile(r"\w+")
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _SEEDS = np.array([xxhash.xxh64_intdigest(b"order", seed=s) for s in range(64)], np.uint64)
@@ -222,16 +222,27 @@ def _tile_links(bucket: int, lo: int, hi: int, node, salt, root, words: list[np.
 def _late_links(members: DataFrame, roots: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     """Links between members of one bucket that the stars left in different components.
 
-    A bucket is dealt into salts of bounded size; each pair of salts is one tile, so that no task holds
-    more than two salts and all members of a bucket meet.
+    Members of a bucket's largest component need to meet the others only, so they are dealt into parts of
+    bounded size on one side and the others on the other side (negative numbers and those from 0 on); the
+    others meet among themselves, too.  Each pair of parts is one tile, so that no task holds more than
+    two parts and all members of different components meet.
     """
+    parts = lambda rows, n_words: F.ceil(F.greatest(rows / TILE_ROWS, n_words / TILE_WORDS)).cast("int")
     placed = members.join(roots, members["node"] == roots["node"], "left").select("bucket", members["node"], "n_words", F.coalesce("root", members["node"]).alias("root"))
-    weight = F.greatest(F.count("*") / TILE_ROWS, F.sum("n_words") / TILE_WORDS)
-    apart = (placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(weight).cast("int").alias("salts"))
-             .where("low != high").select("bucket", "salts"))
-    dealt = (placed.join(apart, "bucket").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
-             .select("bucket", "node", "root", "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("other"))
-             .select("bucket", "node", "root", "salt", F.least("salt", "other").alias("lo"), F.greatest("salt", "other").alias("hi")))
+    by_root = placed.groupBy("bucket", "root").agg(F.count("*").alias("rows"), F.sum("n_words").alias("size"))
+    apart = (by_root.groupBy("bucket").agg(F.sum("rows").alias("rows"), F.sum("size").alias("size"), F.max(F.struct("rows", "size", "root")).alias("top"))
+             .where("rows > top.rows").withColumn("large", F.col("top.rows") > TILE_ROWS // 2))
+    own = F.col("large").cast("int")
+    apart = apart.select("bucket", F.when(F.col("large"), F.col("top.root")).alias("large_root"), (own * parts(F.col("top.rows"), F.col("top.size"))).alias("large_parts"),
+                         F.greatest(F.lit(1), parts(F.col("rows") - own * F.col("top.rows"), F.col("size") - own * F.col("top.size"))).alias("parts"))
+    inside = F.col("root").eqNullSafe(F.col("large_root"))
+    spread = lambda n: F.pmod(F.xxhash64("node"), F.greatest(n, F.lit(1))).cast("int")
+    tile = lambda a, b: F.struct(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
+    others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: tile(F.col("salt"), o))
+    large = F.transform(F.sequence(F.lit(0), F.greatest(F.col("large_parts"), F.lit(1)) - 1), lambda o: tile(F.col("salt"), -1 - o))
+    tiles = F.when(inside | (F.col("large_parts") == 0), others).otherwise(F.concat(others, large))
+    dealt = (placed.join(apart, "bucket").withColumn("salt", F.when(inside, -1 - spread(F.col("large_parts"))).otherwise(spread(F.col("parts"))))
+             .select("bucket", "node", "root", "salt", F.explode(tiles).alias("_t")).select("bucket", "node", "root", "salt", "_t.lo", "_t.hi"))
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", kind="stable")
@@ -241,7 +252,8 @@ def _late_links(members: DataFrame, roots: DataFrame, words: DataFrame, similari
                             own, [k.tolist() for k in pdf["sketches"]], similarity)
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
-    return dealt.join(words, "node").groupBy("bucket", "lo", "hi").applyInPandas(link, "u long, v long")
+    with_words = dealt.join(words, "node").withColumn("sketches", F.filter("sketches", lambda k: k < F.col("bucket")))
+    return with_words.groupBy("bucket", "lo", "hi").applyInPandas(link, "u long, v long")
 
 
 def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
