@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..functions.constants import CLASSIFIER_TRAIN_ROWS, SEED, STOCK_LEXICON
 from ..functions.hashing import hash_prefix_int, order_hash
@@ -24,9 +25,11 @@ from ..operators import prepare as P
 from ..operators import profile as R
 from ..operators import respond as A
 from ..session import materialize, scratch_path
+from ..sources import csv_split as CS
 from ..sources import files as IO
 from ..sources.tables import table
 from ..streaming import chat as S
+from ..streaming import upsert as U
 from . import corpus as C
 from .flows import evaluate_battery
 
@@ -325,6 +328,43 @@ def q_csv_roundtrip(spark, d):
     return IO.read_pairs_csv(spark, path)
 
 
+def q_csv_split_roundtrip(spark, d):
+    """SRC-1 by blocks of the files instead of whole files."""
+    path = scratch_path(spark, "pairs-csv")
+    IO.write_pairs_csv(C.split(spark, d), path)
+    return CS.read_csv_records(spark, path, IO.PAIRS_SCHEMA, pathGlobFilter="*.csv", recursiveFileLookup="true").rows
+
+
+def _csv_field(c):
+    return F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def q_csv_quarantine(spark, d):
+    """SRC-1 with damaged records: every seventh line loses its last fields, every eleventh its number."""
+    path = scratch_path(spark, "damaged-csv")
+    pairs = C.cleaned(spark, d)
+    number = F.when(F.col("id") % 11 == 0, F.lit("n/a")).otherwise(F.col("id").cast("string"))
+    line = F.concat_ws(",", number, _csv_field("instruction"), _csv_field("response"))
+    rest = F.when(F.col("id") % 7 == 0, F.lit("")).otherwise(F.lit(",A,x"))
+    pairs.select(F.concat(line, rest).alias("value")).write.text(path)
+    found = CS.read_csv_records(spark, path, IO.PAIRS_SCHEMA, header=False)
+    return found.damaged.groupBy("reason").agg(F.count(F.lit(1)).alias("records")).unionByName(
+        found.rows.agg(F.count(F.lit(1)).alias("records")).withColumn("reason", F.lit("read")))
+
+
+def q_json_quarantine(spark, d):
+    """SRC-5 with damaged documents: every fifth document is cut, every third of the others has a text for a number."""
+    path = scratch_path(spark, "damaged-json")
+    ev = table(spark, d, "events")
+    value = F.when(F.col("event_id") % 3 == 0, F.to_json(F.struct(F.col("event_type").alias("run"), F.col("event_type").alias("seconds")))).otherwise(
+        F.to_json(F.struct(F.col("event_type").alias("run"), F.col("value").alias("seconds"))))
+    cut = F.when(F.col("event_id") % 5 == 0, F.expr("left(value, 9)")).otherwise(F.col("value"))
+    ev.select("event_id", value.alias("value")).select(cut.alias("value")).write.text(path)
+    found = CS.read_json_records(spark, path, StructType([StructField("run", StringType()), StructField("seconds", DoubleType())]))
+    return found.damaged.groupBy("reason").agg(F.count(F.lit(1)).alias("records")).unionByName(
+        found.rows.agg(F.count(F.lit(1)).alias("records")).withColumn("reason", F.lit("read")))
+
+
 def q_scan_csv_dir(spark, d):
     path = scratch_path(spark, "pairs-csv")
     IO.write_pairs_csv(C.split(spark, d), path)
@@ -408,6 +448,27 @@ def q_answer_stream(spark, d):
     return out.select("conv_id", "turn", F.col("text").alias("query"), "intent", "route", "response", "prompt")
 
 
+def _deliveries(spark, d):
+    """A folder of turns with the time they were sent, in four parts a day apart: one part arrives a day
+    late, and all arrive once more."""
+    folder = scratch_path(spark, "turn-files")
+    part = F.pmod("conv_id", F.lit(4))
+    sent = F.timestamp_seconds(F.lit(1_700_000_000) + part * 86_400 + F.pmod("turn", F.lit(3600)))
+    turns = table(spark, d, "conversations").withColumn("sent_at", sent)
+    for k in (0, 2, 1, 3, 0, 1, 2, 3):
+        turns.where(part == k).write.mode("append").parquet(folder)
+    return folder, turns.schema
+
+
+def q_answer_stream_once(spark, d):
+    """STR-1 with messages that arrive late and twice."""
+    folder, schema = _deliveries(spark, d)
+    turns = S.once(spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(folder), delay="36 hours")
+    ans = S.answer_stream(turns, materialize(C.bank(spark, d), "bank"), PROBE_LEXICON)
+    out = S.run_available(ans.where(F.col("role") == "user"), spark, "answers-once")
+    return out.select("conv_id", "turn", F.col("text").alias("query"), "intent", "route", "response", "prompt")
+
+
 def _events(turns):
     """Chat events derived from the given turns: every fifth turn clears the
     history and some user messages (by a hash) are empty."""
@@ -503,8 +564,25 @@ def q_batch_metric(spark, d):
 def q_response_info_stream(spark, d):
     ev = S.file_stream(spark, d, "events.parquet").select(
         "event_id", "user_id", F.col("value").alias("seconds"))
-    out = S.run_available_complete(S.response_info_stream(ev, "user_id", "event_id", "seconds"), spark, "info")
-    return _round(out, ["last_seconds"])
+    return _round(_upserted_info(spark, ev), ["last_seconds"])
+
+
+def _upserted_info(spark, ev):
+    info = S.response_info_stream(ev, "user_id", "event_id", "seconds")
+    path = scratch_path(spark, "info-table")
+    U.upsert_available(info, spark, path, ["user_id"])
+    return U.latest(spark, path, info.schema, ["user_id"])
+
+
+def q_response_info_upsert(spark, d):
+    """STR-4 over several micro-batches: the events arrive as files, the latest first."""
+    folder = scratch_path(spark, "event-files")
+    ev = table(spark, d, "events").select("event_id", "user_id", F.col("value").alias("seconds"))
+    for late in (False, True):
+        part = ev.where((F.col("event_id") % 3 == 0) == F.lit(late))
+        part.write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    return _round(_upserted_info(spark, stream), ["last_seconds"])
 
 
 QUERIES: dict[str, Query] = {
@@ -559,6 +637,9 @@ QUERIES: dict[str, Query] = {
     "response_info": q_response_info,
     "csv_roundtrip": q_csv_roundtrip,
     "scan_csv_dir": q_scan_csv_dir,
+    "csv_split_roundtrip": q_csv_split_roundtrip,
+    "csv_quarantine": q_csv_quarantine,
+    "json_quarantine": q_json_quarantine,
     "prepared_roundtrip": q_prepared_roundtrip,
     "numbered_questions": q_numbered_questions,
     "source_or_default": q_source_or_default,
@@ -568,6 +649,7 @@ QUERIES: dict[str, Query] = {
     "profile_report_text": q_profile_report_text,
     "validation_battery": q_validation_battery,
     "answer_stream": q_answer_stream,
+    "answer_stream_once": q_answer_stream_once,
     "chat_history_stream": q_chat_history_stream,
     "chat_history": q_chat_history,
     "chat_history_events": q_chat_history_events,
@@ -582,4 +664,5 @@ QUERIES: dict[str, Query] = {
     "metric_callback": q_metric_callback,
     "batch_metric": q_batch_metric,
     "response_info_stream": q_response_info_stream,
+    "response_info_upsert": q_response_info_upsert,
 }

@@ -378,6 +378,11 @@ FROM e"""
 
 ORACLES.update({
     "csv_roundtrip": f"WITH {SPLIT} SELECT id, input_text, target_text, category, intent, split FROM split",
+    "csv_split_roundtrip": f"WITH {SPLIT} SELECT id, input_text, target_text, category, intent FROM split",
+    "csv_quarantine": f"""WITH {CLEAN} SELECT CASE WHEN id % 7 = 0 THEN 'too few fields' WHEN id % 11 = 0 THEN 'value of another type' ELSE 'read' END AS reason,
+  count(*) AS records FROM clean GROUP BY 1""",
+    "json_quarantine": """SELECT CASE WHEN event_id % 5 = 0 THEN 'no JSON' WHEN event_id % 3 = 0 THEN 'value of another type' ELSE 'read' END AS reason,
+  count(*) AS records FROM events GROUP BY 1""",
     "scan_csv_dir": f"WITH {SPLIT} SELECT id, input_text, target_text, category, intent FROM split",
     "prepared_roundtrip": encoded_sql("split", carry="split"),
     "numbered_questions": _numbered_sql(),
@@ -390,6 +395,7 @@ FROM (SELECT * FROM clean ORDER BY {h('id')}, id LIMIT 10)""",
                             + ORACLES["profile_report"] + ")"),
     "validation_battery": _battery_sql(),
     "answer_stream": answers_sql(PROBE_LEXICON, BANK),
+    "answer_stream_once": answers_sql(PROBE_LEXICON, BANK),
     "chat_history_stream": history_sql(PROBE_LEXICON),
     "chat_history": history_sql(PROBE_LEXICON),
     "chat_history_events": history_sql(PROBE_LEXICON, "ev", EVENTS + ","),
@@ -418,6 +424,7 @@ FROM bank UNION ALL SELECT 'unreadable', 'general', {len(DEFAULT_BANK_TEMPLATES)
     "batch_metric": """SELECT CAST(sum(CASE WHEN list_position(embedding, list_max(embedding)) - 1 = label THEN 1 ELSE 0 END) AS BIGINT) AS hits,
                        count(*) AS rows FROM embeddings""",
     "response_info_stream": ORACLES["response_info"],
+    "response_info_upsert": ORACLES["response_info"],
 })
 
 

@@ -66,8 +66,9 @@ def write_pairs_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ("sp
 def read_pairs_csv(spark: SparkSession, path: str, schema: T.StructType = PAIRS_SCHEMA) -> DataFrame:
     """SRC-1: read Q/A pair CSV with an explicit schema (no inference pass).
 
-    ``multiLine`` parsing cannot split a file, so keep many files (the writer
-    makes one per task) or use Parquet between stages.
+    ``multiLine`` parsing cannot split a file: right for many files (the writer
+    makes one per task).  ``csv_split.read_csv_records`` reads large files in
+    parallel and puts malformed records aside.
     """
     return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
 

@@ -1,6 +1,8 @@
 """Chat as a stream: answer every incoming message once, keep a per-conversation
 history, clear it on request, and report the last response time.
 
+* ``once``: a message that is delivered twice, or late, goes on once; what is remembered
+  of a message is its key, until the watermark has passed it.
 * ``answer_stream``: the batch answering plan applied to a streaming frame; the
   bank is static, so this is a stream-static join.  Pass a written bank
   (restart the query to pick up a new one).  Template choice is a hash of the
@@ -64,6 +66,20 @@ def conversation_stream(spark: SparkSession, folder: str, glob: str = "conversat
     return file_stream(spark, folder, glob, schema, files_per_trigger)
 
 
+def once(turns: DataFrame, keys: Sequence[str] = ("conv_id", "turn"), event_time: str = "sent_at",
+         delay: str = "1 hour") -> DataFrame:
+    """STR-1, answered once: of the messages with equal ``keys`` the first to arrive.
+
+    ``event_time`` says when a message was sent and ``delay`` how late it, or a copy of it, may arrive.  Keys
+    are dropped from the state when the watermark has passed their time, and whatever arrives
+    later than that is dropped as late, so nothing is answered twice and the state does not grow.  A message
+    without a time is never late; a table (no stream) is de-duplicated by its keys.
+    """
+    if not turns.isStreaming:
+        return turns.dropDuplicates(list(keys))
+    return turns.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
 def answer_stream(turns: DataFrame, bank: DataFrame, lexicon: Lexicon = STOCK_LEXICON,
                   text_col: str = "text", role_col: str = "role") -> DataFrame:
     """STR-1: answer user messages; system messages pass through as clear
@@ -150,31 +166,14 @@ def run_available(stream: DataFrame, spark: SparkSession, name: str, fmt: str =
     return spark.read.format(fmt).load(out)
 
 
-def run_available_complete(stream: DataFrame, spark: SparkSession, name: str) -> DataFrame:
-    """Run a streaming aggregation in complete mode over everything available
-    now; every micro-batch overwrites one Parquet table (idempotent on replay)."""
-    out = scratch_path(spark, f"{name}-out")
-    chk = scratch_path(spark, f"{name}-chk")
-
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    q = (stream.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", chk)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(out)
-
-
 def response_info_stream(log: DataFrame, key: str, order: str, seconds: str) -> DataFrame:
     """STR-4 on a stream: latest seconds per key as text (stateful aggregation,
-    partial-aggregated per micro-batch)."""
+    partial-aggregated per micro-batch).  Run it in update mode, see ``streaming.upsert``."""
     from ..operators.evaluate import response_info
     return response_info(log, key, order, seconds)
 
 
 __all__: Sequence[str] = [
-    "file_stream", "conversation_stream", "answer_stream", "chat_history", "chat_history_batch", "with_texts",
-    "run_available", "run_available_complete", "response_info_stream",
+    "file_stream", "conversation_stream", "once", "answer_stream", "chat_history", "chat_history_batch", "with_texts",
+    "run_available", "response_info_stream",
 ]
