@@ -28,6 +28,7 @@ from ..functions.constants import (
 )
 from ..functions.ranking import bucket_offsets
 from ..functions.text import word_tokens
+from ..session import materialize
 
 N_SPECIAL = 4
 
@@ -36,25 +37,27 @@ def build_vocabulary(df: DataFrame, text_cols: Sequence[str], size: int = VOCAB_
     """ENC-1: ``(token, id, n)`` for the ``size - 4`` most frequent tokens
     (count desc, then token), ids from 4.
 
-    Counting is a partial aggregation.  A table of (count, tokens with it)
+    Counting is a partial aggregation, written once.  A table of (count, tokens with it)
     gives the least count that still fits wholly and how many of the next
-    count are let in; those ties are cut by exact bucketed ranks, so no task
-    merges the candidates of all others.  Ids are ranks, too: offsets by
-    count, then the place among the tokens of that count.
+    count are let in; rarer tokens are left out by a filter, so only the kept ones and the ties
+    at the cut are ranked.  Those are ranked exactly within buckets of (count, first characters), so no task
+    merges the candidates of all others.  (The window over the counts runs in one task: it holds
+    one row per distinct count.)
     """
     toks = F.flatten(F.array(*[F.coalesce(word_tokens(c), F.array().cast("array<string>"))
                                for c in text_cols]))
-    counts = (df.select(F.explode(toks).alias("token")).groupBy("token")
-              .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+    counts = materialize(df.select(F.explode(toks).alias("token")).groupBy("token")
+                         .agg(F.count(F.lit(1)).cast("bigint").alias("n")), "token-counts")
     limit = size - N_SPECIAL
     # rows before a count, from the most frequent on: a table of distinct counts only
     per = counts.groupBy("n").agg(F.count(F.lit(1)).alias("_m"))
     before = Window.orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (per.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0)))
-              .where(F.col("_before") < limit).select("n", "_before"))
+    starts = materialize(per.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0)))
+                         .where(F.col("_before") < limit).select("n", "_before"), "token-places")
+    rarest = starts.agg(F.min("n")).first()[0]
     # within one count, tokens are ordered by their first characters, then whole
-    kept = counts.join(starts, "n").withColumn("_b", F.substring("token", 1, 2))
-    inner = bucket_offsets(kept, "_b", ["n"]).select("n", "_b", "_start")
+    kept = counts.where(F.col("n") >= F.lit(rarest)).withColumn("_b", F.substring("token", 1, 2))
+    inner = bucket_offsets(kept, "_b", ["n"]).select("n", "_b", "_start").join(starts, "n")
     rank = F.row_number().over(Window.partitionBy("n", "_b").orderBy("token"))
     ranked = (kept.withColumn("_r", rank).join(inner, ["n", "_b"])
               .withColumn("id", (F.col("_before") + F.col("_start") + F.col("_r") + (N_SPECIAL - 1)).cast("int")))
@@ -73,15 +76,18 @@ def mask_labels(ids: F.Column) -> F.Column:
 
 
 def encode_columns(df: DataFrame, vocab: DataFrame, specs: Sequence[tuple[str, str, int]],
-                   keys: Sequence[str] = ("id",), carry: Sequence[str] = ()) -> DataFrame:
+                   keys: Sequence[str] = ("id",), carry: Sequence[str] = (), most: int = VOCAB_SIZE) -> DataFrame:
     """ENC-2 for several text columns at once.
 
     ``specs`` = ``[(text_col, out_ids_col, length), ...]``.  Every text gives
     exactly ``length`` ids, also when it has no tokens or is null.  ``carry``
-    columns are passed through.  The vocabulary is sent to the workers as
-    two Arrow columns; its rows are bounded by its build (``VOCAB_SIZE``).
+    columns are passed through.  The vocabulary (pass a written one: it is read
+    while the plan is built) is sent to the workers as two Arrow columns; one of more
+    than ``most`` rows is refused.
     """
-    words = vocab.select("token", "id").orderBy("id").toPandas()
+    words = vocab.select("token", "id").limit(most + 1).toPandas().sort_values("id")
+    if len(words) > most:
+        raise ValueError(f"the vocabulary has more than {most} tokens")
     held = df.sparkSession.sparkContext.broadcast((words["token"].tolist(), words["id"].to_numpy("int32")))
     toks = [F.slice(F.coalesce(word_tokens(col), F.array().cast("array<string>")), 1, length - 2).alias(f"_t{i}")
             for i, (col, _, length) in enumerate(specs)]

@@ -98,7 +98,7 @@ def duplicate_candidates(df: DataFrame, subset: Sequence[str] = ("instruction",
     marked, bits = df.withColumn("_pd", pair_digest(subset)), bits_for(repeated.count())
     if bits is None:
         return marked.join(repeated, "_pd", "left_semi"), marked.join(repeated, "_pd", "left_anti")
-    maybe = may_hold(bloom_filter(repeated, "_pd", bits), F.col("_pd"), bits)
+    maybe = may_hold(materialize(bloom_filter(repeated, "_pd", bits), "repeated-filter"), F.col("_pd"), bits)
     return marked.where(maybe), marked.where(~maybe)
 
 

@@ -220,6 +220,13 @@ def q_answer_questions_probe(spark, d):
     return _answers(spark, d, PROBE_LEXICON)
 
 
+def q_answer_saved_bank(spark, d):
+    """RSP-10 as deployed: the bank is saved once and only read when questions come."""
+    path = scratch_path(spark, "saved-bank")
+    B.save_bank(C.bank(spark, d), path)
+    return _answers(spark, d, PROBE_LEXICON, bank=B.read_bank(spark, path))
+
+
 def q_answer_default_bank(spark, d):
     return _answers(spark, d, STOCK_LEXICON, bank=B.default_bank(spark))
 
@@ -277,13 +284,17 @@ def q_build_vocabulary(spark, d):
 
 
 def q_encode_pairs(spark, d):
-    enc = E.encode_pairs(C.train(spark, d), _vocab(spark, d), ["id"])
+    train = materialize(C.train(spark, d), "train")
+    vocab = materialize(E.build_vocabulary(train, ["input_text", "target_text"]), "vocabulary")
+    enc = E.encode_pairs(train, vocab, ["id"])
     return E.arrays_as_text(enc.select("id", "input_ids", "attention_mask", "labels"),
                             ["input_ids", "attention_mask", "labels"])
 
 
 def q_encode_pairs_lookup(spark, d):
-    enc = E.encode_pairs(C.train(spark, d), _vocab(spark, d), ["id"])
+    train = materialize(C.train(spark, d), "train")
+    vocab = materialize(E.build_vocabulary(train, ["input_text", "target_text"]), "vocabulary")
+    enc = E.encode_pairs(train, vocab, ["id"])
     return E.arrays_as_text(enc.select("id", "input_ids", "attention_mask", "labels"),
                             ["input_ids", "attention_mask", "labels"])
 
@@ -374,7 +385,7 @@ def q_scan_csv_dir(spark, d):
 def q_prepared_roundtrip(spark, d):
     path = scratch_path(spark, "prepared")
     sp = materialize(C.split(spark, d), "split")
-    vocab = E.build_vocabulary(sp.where(F.col("split") == "train"), ["input_text", "target_text"])
+    vocab = materialize(E.build_vocabulary(sp.where(F.col("split") == "train"), ["input_text", "target_text"]), "vocabulary")
     enc = E.encode_pairs(sp, vocab, ["id"], carry=["split"])
     IO.write_splits(P.select_features(enc, keys=["id", "split"]), path)
     back = None
@@ -391,6 +402,14 @@ def q_numbered_questions(spark, d):
     return IO.read_numbered_questions(spark, path).select("value", "question")
 
 
+def q_numbered_sample(spark, d):
+    """SNK-4 / SRC-4: lines numbered from 1, written and read back."""
+    path = scratch_path(spark, "sample-txt")
+    sample = P.sample_n(C.cleaned(spark, d), 10, SEED, ["id"], pos_col="pos")
+    IO.write_numbered_text(IO.numbered_lines(sample, "instruction", "pos"), path)
+    return IO.read_numbered_questions(spark, path).select("value", "question")
+
+
 def q_source_or_default_empty(spark, d):
     none = C.cleaned(spark, d).where(F.length("instruction") < 0).select(
         F.col("id").cast("int").alias("pos"), F.col("instruction").alias("question"))
@@ -487,12 +506,13 @@ def q_chat_history_stream(spark, d):
 
 
 def q_chat_history(spark, d):
-    ans = S.answer_stream(table(spark, d, "conversations"), C.bank(spark, d), PROBE_LEXICON)
-    return S.chat_history_batch(ans)
+    turns = table(spark, d, "conversations")
+    return S.chat_history_batch(S.answer_stream(turns, C.bank(spark, d), PROBE_LEXICON), flags=S.message_flags(turns))
 
 
 def q_chat_history_events(spark, d):
-    return S.chat_history_batch(S.answer_stream(_events(table(spark, d, "conversations")), C.bank(spark, d), PROBE_LEXICON))
+    turns = _events(table(spark, d, "conversations"))
+    return S.chat_history_batch(S.answer_stream(turns, C.bank(spark, d), PROBE_LEXICON), flags=S.message_flags(turns))
 
 
 def q_chat_history_events_stream(spark, d):
@@ -548,6 +568,12 @@ def q_train_or_sample(spark, d):
     return P.train_or_sample(train, sample, use_sample=True).select("id", "intent")
 
 
+def q_train_without_sample(spark, d):
+    """FLT-3 with the switch off: all training rows."""
+    train = materialize(C.train(spark, d), "train")
+    return P.train_or_sample(train, P.sample_n(train, 100, SEED, ["id"]), use_sample=False).select("id", "intent")
+
+
 def q_metric_callback(spark, d):
     emb = table(spark, d, "embeddings").select(F.col("embedding").alias("logits"), "label")
     pred = V.predictions(emb)
@@ -620,6 +646,7 @@ QUERIES: dict[str, Query] = {
     "classify_intent_lexicon": q_classify_intent_lexicon,
     "answer_questions": q_answer_questions,
     "answer_questions_probe": q_answer_questions_probe,
+    "answer_saved_bank": q_answer_saved_bank,
     "answer_default_bank": q_answer_default_bank,
     "answer_model_only": q_answer_model_only,
     "generate_batch": q_generate_batch,
@@ -642,6 +669,7 @@ QUERIES: dict[str, Query] = {
     "json_quarantine": q_json_quarantine,
     "prepared_roundtrip": q_prepared_roundtrip,
     "numbered_questions": q_numbered_questions,
+    "numbered_sample": q_numbered_sample,
     "source_or_default": q_source_or_default,
     "source_or_default_empty": q_source_or_default_empty,
     "response_log_roundtrip": q_response_log_roundtrip,
@@ -661,6 +689,7 @@ QUERIES: dict[str, Query] = {
     "evaluate_classifier": q_evaluate_classifier,
     "save_model": q_save_model,
     "train_or_sample": q_train_or_sample,
+    "train_without_sample": q_train_without_sample,
     "metric_callback": q_metric_callback,
     "batch_metric": q_batch_metric,
     "response_info_stream": q_response_info_stream,

@@ -371,7 +371,7 @@ def _response_log_sql() -> str:
          avg(value) OVER (PARTITION BY event_type) AS avg_response_time,
          count(*) OVER (PARTITION BY event_type) AS responses_total
   FROM events)
-SELECT run, CAST(pos AS INTEGER) AS pos, query, response, round(response_time, 6) AS response_time,
+SELECT run, CAST(pos AS BIGINT) AS pos, query, response, round(response_time, 6) AS response_time,
        round(avg_response_time, 6) AS avg_response_time, responses_total
 FROM e"""
 
@@ -395,6 +395,12 @@ FROM (SELECT * FROM clean ORDER BY {h('id')}, id LIMIT 10)""",
                             + ORACLES["profile_report"] + ")"),
     "validation_battery": _battery_sql(),
     "answer_stream": answers_sql(PROBE_LEXICON, BANK),
+    "answer_saved_bank": answers_sql(PROBE_LEXICON, BANK),
+    "train_without_sample": f"WITH {SPLIT} SELECT id, intent FROM train",
+    "numbered_sample": f"""WITH {CLEAN}, s AS (SELECT instruction, row_number() OVER (ORDER BY {h('id')}, id) AS pos FROM clean),
+t AS (SELECT pos || '. ' || instruction AS value FROM s WHERE pos <= 10),
+x AS (SELECT value, regexp_replace(value, '^[ \\t\\n\\r\\f]+|[ \\t\\n\\r\\f]+$', '', 'g') AS v FROM t)
+SELECT value, substr(v, strpos(v, '. ') + 2) AS question FROM x""",
     "answer_stream_once": answers_sql(PROBE_LEXICON, BANK),
     "chat_history_stream": history_sql(PROBE_LEXICON),
     "chat_history": history_sql(PROBE_LEXICON),

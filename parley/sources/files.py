@@ -208,7 +208,7 @@ def read_response_log(spark: SparkSession, path: str, multi_line: bool = False)
     docs = (spark.read.schema(RESULT_DOC_SCHEMA).option("multiLine", str(multi_line).lower()).json(path)
             .withColumn("source_file", F.input_file_name()))
     return docs.select("run", "source_file", "first_pos", F.posexplode("responses").alias("pos", "r")).select(
-        "run", "source_file", (F.col("first_pos") + F.col("pos") + 1).cast("int").alias("pos"), "r.query", "r.response", "r.response_time")
+        "run", "source_file", (F.col("first_pos") + F.col("pos") + 1).alias("pos"), "r.query", "r.response", "r.response_time")
 
 
 def read_published_results(spark: SparkSession, path: str, kind: str) -> DataFrame:

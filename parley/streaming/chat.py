@@ -93,6 +93,13 @@ def answer_stream(turns: DataFrame, bank: DataFrame, lexicon: Lexicon = STOCK_LE
             .withColumn("message", F.col(text_col)))
 
 
+def message_flags(turns: DataFrame, text_col: str = "text", role_col: str = "role") -> DataFrame:
+    """Which messages clear the history and which are recorded, as ``answer_stream`` marks them, without answering."""
+    clear, text = F.col(role_col) == "system", F.col(text_col)
+    return (turns.where(F.col(role_col).isin("user", "system")).withColumn("is_clear", clear)
+            .withColumn("recorded", ~clear & text.isNotNull() & (text != "")))
+
+
 def _history_fn(idle_timeout_ms: int | None):
     def fn(key, batches, state):
         if state.hasTimedOut:
@@ -138,14 +145,15 @@ def with_texts(positions: DataFrame, answered: DataFrame, key: str = "conv_id",
     return positions.join(texts, same).select("conv_id", "turn", "history_pos", "message", "response")
 
 
-def chat_history_batch(answered: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
+def chat_history_batch(answered: DataFrame, key: str = "conv_id", order: str = "turn", flags: DataFrame | None = None) -> DataFrame:
     """STR-2 + STR-3 over a table: the history in turn order.
 
     Both running counts run on a narrow (key, turn, flags) table; the texts
     are joined back once, so they are shuffled once rather than per count.
+    With ``flags`` (see ``message_flags``) the counts do not wait for the answers.
     Rows with a null key are one conversation of their own.
     """
-    narrow = answered.select(key, order, "is_clear", "recorded")
+    narrow = (answered if flags is None else flags).select(key, order, "is_clear", "recorded")
     seg = running_count(narrow, [key], order, F.col("is_clear"), "_seg")
     pos = running_count(seg, [key, "_seg"], order, F.col("recorded"), "history_pos").where(F.col("recorded"))
     pos = pos.select(F.col(key).cast("long").alias("conv_id"), F.col(order).cast("long").alias("turn"), "history_pos")
