@@ -439,6 +439,33 @@ def q_response_log_roundtrip(spark, d):
     return _round(flat.join(sums, "run").drop("source_file"), ["avg_response_time", "response_time"])
 
 
+def _published(spark, log, kind):
+    path = scratch_path(spark, f"{kind}-json")
+    IO.write_result_documents(IO.published_documents(log, kind, "_h", 500), path)
+    flat = IO.read_published_results(spark, path, kind, multi_line=False)
+    return _round(flat.select("run", "query", "response", "response_time"), ["response_time"])
+
+
+def q_published_validation(spark, d):
+    """SNK-6 / SRC-5 in the shape of the validation results."""
+    run = F.when(F.col("run") == "click", "template").when(F.col("run") == "view", "model")
+    return _published(spark, _response_log(spark, d).withColumn("run", run), "validation")
+
+
+def q_published_evaluation(spark, d):
+    """SNK-6 / SRC-5 in the shape of the evaluation: both paths of a query in one entry."""
+    log = _response_log(spark, d).select("_h", "query", F.col("response").alias("template_response"), F.upper("response").alias("model_response"),
+                                         F.col("response_time").alias("template_time"), (F.col("response_time") * 2).alias("model_time"))
+    return _published(spark, log, "evaluation")
+
+
+def q_published_inference(spark, d):
+    """SNK-6 / SRC-5 in the shape of the generated texts."""
+    log = _response_log(spark, d).select("_h", F.col("query").alias("input"), F.col("run").alias("target"), F.col("response").alias("generated"),
+                                         F.col("response_time").alias("inference_time"))
+    return _published(spark, log, "inference")
+
+
 def q_metadata_json(spark, d):
     path = scratch_path(spark, "metadata-json")
     meta = q_split_metadata(spark, d)
@@ -673,6 +700,9 @@ QUERIES: dict[str, Query] = {
     "source_or_default": q_source_or_default,
     "source_or_default_empty": q_source_or_default_empty,
     "response_log_roundtrip": q_response_log_roundtrip,
+    "published_validation": q_published_validation,
+    "published_evaluation": q_published_evaluation,
+    "published_inference": q_published_inference,
     "metadata_json": q_metadata_json,
     "profile_report_text": q_profile_report_text,
     "validation_battery": q_validation_battery,

@@ -395,6 +395,11 @@ FROM (SELECT * FROM clean ORDER BY {h('id')}, id LIMIT 10)""",
                             + ORACLES["profile_report"] + ")"),
     "validation_battery": _battery_sql(),
     "answer_stream": answers_sql(PROBE_LEXICON, BANK),
+    "published_validation": """SELECT CASE event_type WHEN 'click' THEN 'template' ELSE 'model' END AS run, 'event ' || event_id AS query, props AS response,
+  round(value, 6) AS response_time FROM events WHERE event_type IN ('click', 'view')""",
+    "published_evaluation": """SELECT 'template' AS run, 'event ' || event_id AS query, props AS response, round(value, 6) AS response_time FROM events
+UNION ALL SELECT 'model', 'event ' || event_id, upper(props), round(value * 2, 6) FROM events""",
+    "published_inference": "SELECT 'model' AS run, 'event ' || event_id AS query, props AS response, round(value, 6) AS response_time FROM events",
     "answer_saved_bank": answers_sql(PROBE_LEXICON, BANK),
     "train_without_sample": f"WITH {SPLIT} SELECT id, intent FROM train",
     "numbered_sample": f"""WITH {CLEAN}, s AS (SELECT instruction, row_number() OVER (ORDER BY {h('id')}, id) AS pos FROM clean),

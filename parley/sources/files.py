@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -179,23 +179,62 @@ INFERENCE_DOC_SCHEMA = (
     "avg_inference_time double")
 
 
-def result_documents(log: DataFrame, run_col: str = "run", order_col: str = "pos", chunk: int = 1000) -> DataFrame:
-    """SNK-6 content: every response of every run, in ``order_col`` order, as
-    nested documents of at most ``chunk`` responses (``first_pos`` 0-based).
+def _placed(log: DataFrame, run_col: str, order_col: str, chunk: int) -> DataFrame:
+    """``_p``: the 0-based place of a row in its run, in order of a number or a hash text.
 
-    Positions come from counts of (run, order bucket) and a rank within each,
-    so a run of any length is written by many tasks.
+    Places come from counts of (run, order bucket) and a rank within each, so a run of any length is
+    placed by many tasks.  Texts are bucketed by a prefix, so they must be spread, as hashes are.
     """
     text_order = dict(log.dtypes)[order_col] == "string"  # buckets must follow the order
     bucketed = log.withColumn("_b", F.substring(order_col, 1, 2) if text_order else F.floor(F.col(order_col) / F.lit(chunk)))
     offsets = bucket_offsets(bucketed, "_b", [run_col]).select(run_col, "_b", "_start")
     rank = F.row_number().over(Window.partitionBy(run_col, "_b").orderBy(order_col)) - 1
-    placed = (bucketed.withColumn("_p", rank).join(offsets, [run_col, "_b"])
-              .withColumn("_p", F.col("_start") + F.col("_p")))
-    parts = placed.groupBy(F.col(run_col).alias("run"), (F.floor(F.col("_p") / chunk) * chunk).cast("bigint").alias("first_pos")).agg(
-        F.array_sort(F.collect_list(F.struct("_p", "query", "response", "response_time"))).alias("_rs"))
-    return parts.select("run", "first_pos", F.transform("_rs", lambda x: F.struct(
-        x["query"].alias("query"), x["response"].alias("response"), x["response_time"].alias("response_time"))).alias("responses"))
+    return (bucketed.withColumn("_p", rank).join(offsets, [run_col, "_b"])
+            .withColumn("_p", F.col("_start") + F.col("_p")))
+
+
+def _entries(*fields: str) -> Column:
+    """The rows of a chunk in order, as an array of structs."""
+    found = F.array_sort(F.collect_list(F.struct("_p", *fields)))
+    return F.transform(found, lambda x: F.struct(*[x[f].alias(f) for f in fields]))
+
+
+def result_documents(log: DataFrame, run_col: str = "run", order_col: str = "pos", chunk: int = 1000) -> DataFrame:
+    """SNK-6 content: every response of every run, in ``order_col`` order, as
+    nested documents of at most ``chunk`` responses (``first_pos`` 0-based)."""
+    placed = _placed(log, run_col, order_col, chunk)
+    return placed.groupBy(F.col(run_col).alias("run"), (F.floor(F.col("_p") / chunk) * chunk).cast("bigint").alias("first_pos")).agg(
+        _entries("query", "response", "response_time").alias("responses"))
+
+
+def published_documents(log: DataFrame, kind: str, order_col: str = "pos", chunk: int = 1000) -> DataFrame:
+    """SNK-6 in the three published shapes, as documents of at most ``chunk`` entries a list.
+
+    ``kind``: ``validation`` from rows (run = template or model, query, response, response_time),
+    ``evaluation`` from rows (query, template_response, model_response, template_time, model_time),
+    ``inference`` from rows (input, target, generated, inference_time).  The means and the speedup
+    (0 if the template mean is 0) are those of the whole log in every document.
+    """
+    ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.when(b.isNotNull() & a.isNotNull(), F.lit(0.0)))
+    one = lambda c: log.agg(c.alias("v")).scalar()
+    part = F.floor(F.col("_p") / chunk).alias("_part")
+    if kind == "validation":
+        placed = _placed(log.where(F.col("run").isin("template", "model")), "run", order_col, chunk)
+        lists = placed.groupBy("run", part).agg(_entries("query", "response", "response_time").alias("rs"))
+        of = lambda run: F.coalesce(F.first(F.when(F.col("run") == run, F.col("rs")), True), F.array().cast(lists.schema["rs"].dataType))
+        docs = lists.groupBy("_part").agg(of("template").alias("template_results"), of("model").alias("model_results"))
+        mean = lambda run: one(F.avg(F.when(F.col("run") == run, F.col("response_time"))))
+        docs = docs.withColumn("avg_template_time", mean("template")).withColumn("avg_model_time", mean("model"))
+        return docs.withColumn("speedup_factor", ratio(F.col("avg_model_time"), F.col("avg_template_time"))).drop("_part")
+    placed = _placed(log.withColumn("_run", F.lit(kind)), "_run", order_col, chunk).groupBy(part)
+    if kind == "evaluation":
+        docs = placed.agg(_entries("query", "template_response", "model_response", "template_time", "model_time").alias("responses"))
+        docs = docs.withColumn("template_avg_time", one(F.avg("template_time"))).withColumn("model_avg_time", one(F.avg("model_time")))
+        return docs.withColumn("speedup", ratio(F.col("model_avg_time"), F.col("template_avg_time"))).drop("_part")
+    if kind != "inference":
+        raise ValueError(f"unknown kind {kind!r}")
+    docs = placed.agg(_entries("input", "target", "generated", "inference_time").alias("results"))
+    return docs.withColumn("avg_inference_time", one(F.avg("inference_time"))).drop("_part")
 
 
 def write_result_documents(docs: DataFrame, path: str) -> None:
@@ -211,15 +250,15 @@ def read_response_log(spark: SparkSession, path: str, multi_line: bool = False)
         "run", "source_file", (F.col("first_pos") + F.col("pos") + 1).alias("pos"), "r.query", "r.response", "r.response_time")
 
 
-def read_published_results(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """SRC-5: a published result document (one indented JSON object a file) as
-    flat rows ``(source_file, run, pos, query, response, response_time)``.
+def read_published_results(spark: SparkSession, path: str, kind: str, multi_line: bool = True) -> DataFrame:
+    """SRC-5: published result documents (one indented JSON object a file, or
+    without ``multi_line`` one a line, as ``published_documents`` are written) as flat rows ``(source_file, run, pos, query, response, response_time)``.
 
     ``kind``: ``validation`` (template and model results), ``evaluation`` (both
     paths of each query in one entry) or ``inference`` (generated texts).
     """
     schema = {"validation": VALIDATION_DOC_SCHEMA, "evaluation": EVALUATION_DOC_SCHEMA, "inference": INFERENCE_DOC_SCHEMA}[kind]
-    docs = spark.read.schema(schema).option("multiLine", "true").json(path).withColumn("source_file", F.input_file_name())
+    docs = spark.read.schema(schema).option("multiLine", str(multi_line).lower()).json(path).withColumn("source_file", F.input_file_name())
 
     def rows(array: str, run: str, query: str, response: str, seconds: str) -> DataFrame:
         return docs.select("source_file", F.lit(run).alias("run"), F.posexplode(array).alias("pos", "r")).select(
