@@ -241,6 +241,12 @@ def q_generate_batch(spark, d):
     return out.select("conv_id", "turn", "prompt", "generated")
 
 
+def q_generate_distinct(spark, d):
+    """RSP-9 with one call a distinct prompt."""
+    out = A.generate_distinct(_answers(spark, d, PROBE_LEXICON, use_templates=False), lambda prompts: prompts)
+    return out.select("conv_id", "turn", "prompt", "generated")
+
+
 def q_map_batches(spark, d):
     """UDF-1: a user function over batches of rows."""
     def measure(pdf):
@@ -677,6 +683,7 @@ QUERIES: dict[str, Query] = {
     "answer_default_bank": q_answer_default_bank,
     "answer_model_only": q_answer_model_only,
     "generate_batch": q_generate_batch,
+    "generate_distinct": q_generate_distinct,
     "map_batches": q_map_batches,
     "load_bank": q_load_bank,
     "side_by_side": q_side_by_side,

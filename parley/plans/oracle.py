@@ -416,6 +416,8 @@ SELECT value, substr(v, strpos(v, '. ') + 2) AS question FROM x""",
                         "SELECT conv_id, turn, query, intent, route, response, prompt FROM answered"),
     "generate_batch": (f"WITH {QUESTIONS} SELECT conv_id, turn, {lit(MODEL_PROMPT_PREFIX)} || query AS prompt, "
                        f"{lit(MODEL_PROMPT_PREFIX)} || query AS generated FROM q"),
+    "generate_distinct": (f"WITH {QUESTIONS} SELECT conv_id, turn, {lit(MODEL_PROMPT_PREFIX)} || query AS prompt, "
+                          f"{lit(MODEL_PROMPT_PREFIX)} || query AS generated FROM q"),
     "map_batches": f"WITH {QUESTIONS} SELECT conv_id, turn, length(query) AS characters FROM q",
     "load_bank": f"""WITH {BANK}
 SELECT 'present' AS source, intent, CAST(len(templates) AS BIGINT) AS n_templates, array_to_string(templates, ' || ') AS templates_text

@@ -223,3 +223,22 @@ def test_hundred_thousand_keywords_without_exchange(spark):
     assert {(x["id"], x["intent"], x["score"]) for x in out.collect()} == {(i, *_plain_intent(t, rows)) for i, t in enumerate(texts)}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("frequent", [1, 1000])
+def test_each_distinct_prompt_is_generated_once(spark, frequent):
+    prompts = ["hot"] * 40 + [f"p{i % 7}" for i in range(30)] + [None] * 5 + ["", "é"]
+    df = spark.createDataFrame(list(enumerate(prompts)), "id long, prompt string").repartition(4)
+
+    def generate(texts):  # another result at every call
+        import uuid
+
+        return texts.map(lambda t: f"{t}|{uuid.uuid4().hex}")
+
+    rows = A.generate_distinct(df, generate, frequent=frequent).collect()
+    assert sorted((r["id"], r["prompt"] or "") for r in rows) == sorted((i, p or "") for i, p in enumerate(prompts))
+    by_prompt = {}
+    for r in rows:
+        by_prompt.setdefault(r["prompt"], set()).add(r["generated"])
+    assert by_prompt.pop(None) == {None}
+    assert all(len(v) == 1 and next(iter(v)).startswith(f"{k}|") for k, v in by_prompt.items())
