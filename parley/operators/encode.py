@@ -29,11 +29,17 @@ from ..functions.constants import (
 from ..functions.ranking import bucket_offsets
 from ..functions.text import word_tokens
 from ..session import materialize
+from .heavy import frequent_counts
 
 N_SPECIAL = 4
 
 
-def build_vocabulary(df: DataFrame, text_cols: Sequence[str], size: int = VOCAB_SIZE) -> DataFrame:
+def tokens_of(text_cols: Sequence[str]) -> F.Column:
+    """The tokens of several text columns as one array."""
+    return F.flatten(F.array(*[F.coalesce(word_tokens(c), F.array().cast("array<string>")) for c in text_cols]))
+
+
+def build_vocabulary(df: DataFrame, text_cols: Sequence[str], size: int = VOCAB_SIZE, heavy_first: bool = False) -> DataFrame:
     """ENC-1: ``(token, id, n)`` for the ``size - 4`` most frequent tokens
     (count desc, then token), ids from 4.
 
@@ -42,13 +48,15 @@ def build_vocabulary(df: DataFrame, text_cols: Sequence[str], size: int = VOCAB_
     count are let in; rarer tokens are left out by a filter, so only the kept ones and the ties
     at the cut are ranked.  Those are ranked exactly within buckets of (count, first characters), so no task
     merges the candidates of all others.  (The window over the counts runs in one task: it holds
-    one row per distinct count.)
+    one row per distinct count.)  With ``heavy_first`` only tokens that can be among the kept ones are
+    counted (``operators.heavy``): for corpora whose distinct tokens outnumber ``size`` by far.
     """
-    toks = F.flatten(F.array(*[F.coalesce(word_tokens(c), F.array().cast("array<string>"))
-                               for c in text_cols]))
-    counts = materialize(df.select(F.explode(toks).alias("token")).groupBy("token")
-                         .agg(F.count(F.lit(1)).cast("bigint").alias("n")), "token-counts")
     limit = size - N_SPECIAL
+    if heavy_first:
+        counts = frequent_counts(df, tokens_of(text_cols), limit)
+    else:
+        counts = materialize(df.select(F.explode(tokens_of(text_cols)).alias("token")).groupBy("token")
+                             .agg(F.count(F.lit(1)).cast("bigint").alias("n")), "token-counts")
     # rows before a count, from the most frequent on: a table of distinct counts only
     per = counts.groupBy("n").agg(F.count(F.lit(1)).alias("_m"))
     before = Window.orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, -1)

@@ -133,7 +133,11 @@ def length_histogram_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def length_stats(df: DataFrame, columns: Sequence[str] = ("instruction", "response")) -> DataFrame:
     """AGG-6: per text column: count, mean, sample std, min, 25/50/75 % (linear
     interpolation, as NumPy/pandas), max of the character length."""
-    hist = length_histogram_table(df, columns)
+    return stats_of_lengths(length_histogram_table(df, columns))
+
+
+def stats_of_lengths(hist: DataFrame) -> DataFrame:
+    """AGG-6 from a ``(field, len, cnt)`` table, however it came about."""
     per = Window.partitionBy("field")
     run = per.orderBy("len").rowsBetween(Window.unboundedPreceding, 0)
     h = (hist.withColumn("_n", F.sum("cnt").over(per))
@@ -171,7 +175,11 @@ def length_histogram(df: DataFrame, columns: Sequence[str] = ("instruction", "re
     when floating division put it on the wrong side, as NumPy does.  A column
     whose min equals max is widened to ``[x-0.5, x+0.5]``.
     """
-    hist = length_histogram_table(df, columns)
+    return bins_of_lengths(length_histogram_table(df, columns), bins)
+
+
+def bins_of_lengths(hist: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
+    """AGG-7 from a ``(field, len, cnt)`` table."""
     rng = (hist.groupBy("field").agg(F.min("len").alias("_lo0"), F.max("len").alias("_hi0"))
            .withColumn("_lo", F.when(F.col("_lo0") == F.col("_hi0"), F.col("_lo0") - 0.5)
                        .otherwise(F.col("_lo0").cast("double")))

@@ -21,10 +21,14 @@ from ..operators import bank as B
 from ..operators import classify as K
 from ..operators import encode as E
 from ..operators import evaluate as V
+from ..operators import heavy as H
 from ..operators import prepare as P
 from ..operators import profile as R
+from ..operators import profile_state as PS
 from ..operators import respond as A
 from ..session import materialize, scratch_path
+from ..functions.text import word_tokens
+from ..sources import bucketed as BT
 from ..sources import csv_split as CS
 from ..sources import files as IO
 from ..sources.tables import table
@@ -159,6 +163,43 @@ def q_profile_report(spark, d):
     return R.profile_report(_profiled(spark, d))
 
 
+def _profile_state(spark, d):
+    """The corpus as deliveries by source, each profiled when it comes; the profile is read from their states."""
+    path = scratch_path(spark, "profile-state")
+    given = materialize(_profiled(spark, d), "profiled")
+    names = [r[0] for r in given.select("intent").distinct().collect()]  # deliveries, not rows
+    parts = {str(n): given.where(F.col("intent").eqNullSafe(F.lit(n))) for n in names}
+    first = dict(list(parts.items())[: len(parts) // 2])
+    PS.update(spark, path, first)
+    PS.update(spark, path, parts)  # scans what is new only
+    return PS.read_state(spark, path)
+
+
+def q_profile_state_counts(spark, d):
+    """AGG-1 / AGG-3 from states: exact rows and values, and whether the estimate of the distinct ones is within three
+    standard errors (half a value more for rounding)."""
+    merged = PS.merged_counts(_profile_state(spark, d))
+    exact = R.distinct_counts(_profiled(spark, d)).withColumnRenamed("distinct", "exact")
+    off = F.abs(F.col("distinct") - F.col("exact"))
+    return merged.join(exact, "field").select("field", "rows", "non_null", F.col("exact").alias("distinct"),
+                                              (off <= F.col("exact") * (3 * PS.SKETCH_ERROR) + 0.5).alias("estimate_holds"))
+
+
+def q_profile_state_lengths(spark, d):
+    """AGG-6 from states."""
+    return _round(R.stats_of_lengths(PS.merged_lengths(_profile_state(spark, d))), ["mean", "std", "min", "p25", "p50", "p75", "max"])
+
+
+def q_profile_state_histogram(spark, d):
+    """AGG-7 from states."""
+    return _round(R.bins_of_lengths(PS.merged_lengths(_profile_state(spark, d))), ["lo_edge", "hi_edge"])
+
+
+def q_top_tokens(spark, d):
+    """AGG-4 over the words of all answers: the 1,000 most frequent ones, by summaries of 8,192 counters a task."""
+    return H.most_frequent(C.corpus(spark, d), word_tokens("response"), 1000, 8192)
+
+
 # --- bank and answers ---------------------------------------------------------------------
 
 
@@ -289,6 +330,11 @@ def q_build_vocabulary(spark, d):
     return _vocab(spark, d)
 
 
+def q_build_vocabulary_heavy(spark, d):
+    """ENC-1 by summaries first: only tokens that can be kept are counted."""
+    return E.build_vocabulary(materialize(C.train(spark, d), "train"), ["input_text", "target_text"], heavy_first=True)
+
+
 def q_encode_pairs(spark, d):
     train = materialize(C.train(spark, d), "train")
     vocab = materialize(E.build_vocabulary(train, ["input_text", "target_text"]), "vocabulary")
@@ -401,6 +447,24 @@ def q_prepared_roundtrip(spark, d):
     return E.arrays_as_text(back, ["input_ids", "attention_mask", "labels"])
 
 
+def q_prepared_bucketed(spark, d):
+    """SNK-2 / SRC-6 as two bucketed tables, pairs and their ids, joined by key where they lie."""
+    pairs = BT.write_bucketed(C.split(spark, d), scratch_path(spark, "pairs-bucketed"), ["id"])
+    vocab = materialize(E.build_vocabulary(pairs.where(F.col("split") == "train"), ["input_text", "target_text"]), "vocabulary")
+    path = scratch_path(spark, "ids-bucketed")
+    BT.write_bucketed(P.select_features(E.encode_pairs(pairs, vocab, ["id"]), keys=["id"]), path, ["id"])
+    both = pairs.select("id", "split").join(BT.open_bucketed(spark, path), "id")
+    return E.arrays_as_text(both.select("id", "split", "input_ids", "attention_mask", "labels"), ["input_ids", "attention_mask", "labels"])
+
+
+def q_dedup_against_index(spark, d):
+    """DST-1 against what was seen: the corpus without the pairs of the saved training split."""
+    sp = materialize(C.split(spark, d), "split").withColumnsRenamed({"input_text": "instruction", "target_text": "response"})
+    path = scratch_path(spark, "seen")
+    BT.save_seen(sp.where(F.col("split") == "train"), path)
+    return BT.drop_seen(P.drop_missing(C.corpus(spark, d)), BT.open_bucketed(spark, path))
+
+
 def q_numbered_questions(spark, d):
     path = scratch_path(spark, "questions-txt")
     numbered = C.cleaned(spark, d).select(F.col("id").alias("pos"), "instruction")
@@ -543,6 +607,15 @@ def q_chat_history(spark, d):
     return S.chat_history_batch(S.answer_stream(turns, C.bank(spark, d), PROBE_LEXICON), flags=S.message_flags(turns))
 
 
+def q_chat_history_bucketed(spark, d):
+    """STR-2 / STR-3 over recorded answers that lie bucketed by conversation and turn."""
+    turns = table(spark, d, "conversations")
+    answered = S.answer_stream(turns, C.bank(spark, d), PROBE_LEXICON).where(F.col("recorded")).select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "message", "response")
+    saved = BT.write_bucketed(answered, scratch_path(spark, "answered-bucketed"), ["conv_id", "turn"])
+    return S.with_saved_texts(S.history_positions(S.message_flags(turns)), saved)
+
+
 def q_chat_history_events(spark, d):
     turns = _events(table(spark, d, "conversations"))
     return S.chat_history_batch(S.answer_stream(turns, C.bank(spark, d), PROBE_LEXICON), flags=S.message_flags(turns))
@@ -670,6 +743,10 @@ QUERIES: dict[str, Query] = {
     "length_stats": q_length_stats,
     "length_histogram": q_length_histogram,
     "profile_report": q_profile_report,
+    "profile_state_counts": q_profile_state_counts,
+    "profile_state_lengths": q_profile_state_lengths,
+    "profile_state_histogram": q_profile_state_histogram,
+    "top_tokens": q_top_tokens,
     "template_bank": q_template_bank,
     "general_bank": q_general_bank,
     "bank_json_roundtrip": q_bank_json_roundtrip,
@@ -689,6 +766,7 @@ QUERIES: dict[str, Query] = {
     "side_by_side": q_side_by_side,
     "inference_table": q_inference_table,
     "build_vocabulary": q_build_vocabulary,
+    "build_vocabulary_heavy": q_build_vocabulary_heavy,
     "encode_pairs": q_encode_pairs,
     "encode_pairs_lookup": q_encode_pairs_lookup,
     "latency_summary": q_latency_summary,
@@ -702,6 +780,8 @@ QUERIES: dict[str, Query] = {
     "csv_quarantine": q_csv_quarantine,
     "json_quarantine": q_json_quarantine,
     "prepared_roundtrip": q_prepared_roundtrip,
+    "prepared_bucketed": q_prepared_bucketed,
+    "dedup_against_index": q_dedup_against_index,
     "numbered_questions": q_numbered_questions,
     "numbered_sample": q_numbered_sample,
     "source_or_default": q_source_or_default,
@@ -717,6 +797,7 @@ QUERIES: dict[str, Query] = {
     "answer_stream_once": q_answer_stream_once,
     "chat_history_stream": q_chat_history_stream,
     "chat_history": q_chat_history,
+    "chat_history_bucketed": q_chat_history_bucketed,
     "chat_history_events": q_chat_history_events,
     "chat_history_events_stream": q_chat_history_events_stream,
     "guarded_answers": q_guarded_answers,

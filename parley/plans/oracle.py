@@ -487,3 +487,21 @@ acc AS (SELECT CAST(setting AS INTEGER) AS setting, any_value(s) AS smoothing, a
 SELECT setting, round(smoothing, 6) AS smoothing, round(a, 6) AS accuracy,
   setting = (SELECT setting FROM acc ORDER BY a DESC, setting LIMIT 1) AS chosen FROM acc""",
 })
+
+ORACLES.update({
+    "profile_state_lengths": ORACLES["length_stats"],
+    "profile_state_histogram": ORACLES["length_histogram"],
+    "profile_state_counts": f"""WITH {VALUES}
+SELECT field, count(*) AS rows, count(value) AS non_null, count(DISTINCT value) AS distinct, true AS estimate_holds
+FROM vals GROUP BY field""",
+    "top_tokens": f"""WITH {CORPUS},
+toks AS (SELECT unnest({TOKENS.format(x='response')}) AS token FROM corpus)
+SELECT token, count(*) AS n FROM toks GROUP BY token ORDER BY n DESC, token LIMIT 1000""",
+    "build_vocabulary_heavy": ORACLES["build_vocabulary"],
+    "prepared_bucketed": ORACLES["prepared_roundtrip"],
+    "dedup_against_index": f"""WITH {SPLIT}
+SELECT id, instruction, response, category, intent FROM corpus
+WHERE instruction IS NOT NULL AND response IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM train t WHERE t.input_text = corpus.instruction AND t.target_text = corpus.response)""",
+    "chat_history_bucketed": ORACLES["chat_history"],
+})

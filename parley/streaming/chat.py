@@ -145,6 +145,19 @@ def with_texts(positions: DataFrame, answered: DataFrame, key: str = "conv_id",
     return positions.join(texts, same).select("conv_id", "turn", "history_pos", "message", "response")
 
 
+def with_saved_texts(positions: DataFrame, saved: DataFrame) -> DataFrame:
+    """History rows from recorded turns that were written bucketed by ``(conv_id, turn)`` (see ``sources.bucketed``).
+
+    Positions go to the buckets; the texts are read where they lie.  Rows without a conversation are one of
+    their own.
+    """
+    cols = ["conv_id", "turn", "history_pos", "message", "response"]
+    texts, alone = saved.select("conv_id", "turn", "message", "response"), F.col("conv_id").isNull()
+    keyed = positions.where(~alone).join(texts.where(~alone), ["conv_id", "turn"]).select(*cols)
+    rest = positions.where(alone).join(texts.where(alone).drop("conv_id"), "turn").select(*cols)
+    return keyed.unionByName(rest)
+
+
 def chat_history_batch(answered: DataFrame, key: str = "conv_id", order: str = "turn", flags: DataFrame | None = None) -> DataFrame:
     """STR-2 + STR-3 over a table: the history in turn order.
 
@@ -153,11 +166,15 @@ def chat_history_batch(answered: DataFrame, key: str = "conv_id", order: str = "
     With ``flags`` (see ``message_flags``) the counts do not wait for the answers.
     Rows with a null key are one conversation of their own.
     """
-    narrow = (answered if flags is None else flags).select(key, order, "is_clear", "recorded")
+    return with_texts(history_positions(answered if flags is None else flags, key, order), answered, key, order)
+
+
+def history_positions(flags: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
+    """``(conv_id, turn, history_pos)`` of each recorded turn of a table, in turn order."""
+    narrow = flags.select(key, order, "is_clear", "recorded")
     seg = running_count(narrow, [key], order, F.col("is_clear"), "_seg")
     pos = running_count(seg, [key, "_seg"], order, F.col("recorded"), "history_pos").where(F.col("recorded"))
-    pos = pos.select(F.col(key).cast("long").alias("conv_id"), F.col(order).cast("long").alias("turn"), "history_pos")
-    return with_texts(pos, answered, key, order)
+    return pos.select(F.col(key).cast("long").alias("conv_id"), F.col(order).cast("long").alias("turn"), "history_pos")
 
 
 def run_available(stream: DataFrame, spark: SparkSession, name: str, fmt: str = "parquet",
@@ -182,6 +199,7 @@ def response_info_stream(log: DataFrame, key: str, order: str, seconds: str) ->
 
 
 __all__: Sequence[str] = [
-    "file_stream", "conversation_stream", "once", "answer_stream", "chat_history", "chat_history_batch", "with_texts",
+    "file_stream", "conversation_stream", "once", "answer_stream", "chat_history", "chat_history_batch", "history_positions",
+    "with_texts", "with_saved_texts",
     "run_available", "response_info_stream",
 ]
