@@ -15,7 +15,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SKETCH_LG_K = 14  # 2**14 registers: 16 KiB for a column and part
@@ -23,23 +23,27 @@ SKETCH_ERROR = 1.04 / (1 << (SKETCH_LG_K // 2))
 STATE = "kind string, field string, len bigint, rows bigint, present bigint, sketch binary"
 
 
-def part_state(df: DataFrame, text_columns: Sequence[str] = ("instruction", "response")) -> DataFrame:
-    """State of one part, in one scan: a row per column (``kind`` cells) and per text column and length (``kind`` length).
+def _counted(df: DataFrame, text_columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """A row per column (``kind`` cells) and per text column and length (``kind`` length), for each value of ``by``.
 
     Values enter the sketches as 64-bit hashes, so what is aggregated (within tasks first) is narrow.
-    A part without rows has a row per column, too.
     """
     none = F.lit(None).cast("bigint")
     cells = [F.struct(F.lit("cells").alias("kind"), F.lit(c).alias("field"), none.alias("len"),
-                      F.when(F.col(f"`{c}`").isNotNull(), F.xxhash64(F.col(f"`{c}`").cast("string"))).alias("value")) for c in df.columns]
+                      F.when(F.col(f"`{c}`").isNotNull(), F.xxhash64(F.col(f"`{c}`").cast("string"))).alias("value")) for c in df.columns if c not in by]
     lengths = [F.struct(F.lit("length").alias("kind"), F.lit(c).alias("field"), F.char_length(F.col(f"`{c}`")).cast("bigint").alias("len"),
                         none.alias("value")) for c in text_columns if c in df.columns]
-    counted = (df.select(F.explode(F.array(*cells, *lengths)).alias("s")).select("s.*")
-               .where((F.col("kind") == "cells") | F.col("len").isNotNull())
-               .groupBy("kind", "field", "len")
-               .agg(F.count(F.lit(1)).alias("rows"), F.count("value").alias("present"),
-                    F.hll_sketch_agg("value", SKETCH_LG_K).alias("sketch"))
-               .withColumn("sketch", F.when(F.col("kind") == "cells", F.col("sketch"))))
+    return (df.select(*by, F.explode(F.array(*cells, *lengths)).alias("s")).select(*by, "s.*")
+            .where((F.col("kind") == "cells") | F.col("len").isNotNull())
+            .groupBy(*by, "kind", "field", "len")
+            .agg(F.count(F.lit(1)).alias("rows"), F.count("value").alias("present"),
+                 F.hll_sketch_agg("value", SKETCH_LG_K).alias("sketch"))
+            .withColumn("sketch", F.when(F.col("kind") == "cells", F.col("sketch"))))
+
+
+def part_state(df: DataFrame, text_columns: Sequence[str] = ("instruction", "response")) -> DataFrame:
+    """State of one part, in one scan.  A part without rows has a row per column, too."""
+    counted = _counted(df, text_columns)
     columns = df.sparkSession.createDataFrame([("cells", c, None, 0, 0, None) for c in df.columns], STATE)
     return counted.unionByName(columns)
 
@@ -49,6 +53,15 @@ def save_part(df: DataFrame, part: str, path: str, text_columns: Sequence[str] =
     part_state(df, text_columns).write.mode("overwrite").parquet(f"{path.rstrip('/')}/part={quote(part, safe='')}")
 
 
+def save_parts(df: DataFrame, by: Column, path: str, text_columns: Sequence[str] = ("instruction", "response")) -> None:
+    """Writes the states of all parts that a delivery holds in one scan; ``by`` names each row's part.
+
+    States of the same parts are overwritten, those of others stay.  ``df`` has no column ``part`` of its own.
+    """
+    states = _counted(df.withColumn("part", by.cast("string")), text_columns, ["part"])
+    (states.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path))
+
+
 def read_state(spark: SparkSession, path: str, only: Iterable[str] | None = None) -> DataFrame:
     """The saved states with their ``part`` (all, or those of the parts in ``only``); none if nothing was saved yet."""
     try:

@@ -56,6 +56,20 @@ def test_a_changed_part_overwrites_its_state(spark, corpus_fixture):
     assert {r["field"]: r["rows"] for r in PS.merged_counts(state).collect()}["extra"] == 7
 
 
+def test_one_scan_of_many_parts(spark, corpus_fixture):
+    path = scratch_path(spark, "state")
+    whole = R.with_lengths(corpus_fixture)
+    PS.save_parts(whole.where("id < 9"), F.concat_ws("/", "category", "intent"), path)  # a null intent, too
+    PS.save_parts(whole.where("category = 'ACCOUNT'"), F.concat_ws("/", "category", "intent"), path)  # one known, one new
+    state = PS.read_state(spark, path)
+    want = whole.where("id < 9 or category = 'ACCOUNT'")
+    assert rows_of(R.stats_of_lengths(PS.merged_lengths(state))) == rows_of(R.length_stats(want))
+    assert PS.merged_shape(state).first().asDict() == R.shape(want).first().asDict()
+    assert PS.merged_shape(PS.read_state(spark, path, ["ORDER/cancel_order"])).first()["rows"] == 3
+    got = {r["field"]: r["distinct"] for r in PS.merged_counts(state).collect()}
+    assert got == {r["field"]: r["distinct"] for r in R.distinct_counts(want).collect()}
+
+
 def test_no_state_yet(spark):
     state = PS.read_state(spark, scratch_path(spark, "state"))
     assert PS.merged_shape(state).first().asDict() == {"rows": 0, "columns": 0}
