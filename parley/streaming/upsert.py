@@ -25,8 +25,12 @@ def bucket_of(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
 
 
 def write_version(batch: DataFrame, version: int, path: str, keys: Sequence[str], buckets: int = BUCKETS) -> None:
-    """The rows of one micro-batch (unique in ``keys``) as one version; the same version is overwritten."""
-    rows = batch.withColumn("bucket", bucket_of(keys, buckets))
+    """The rows of one micro-batch (unique in ``keys``) as one version; the same version is overwritten.
+
+    The rows of a bucket go to one task first, so a version has a file a bucket and not one for each
+    bucket in each task of the batch.
+    """
+    rows = batch.withColumn("bucket", bucket_of(keys, buckets)).repartition(buckets, "bucket")
     rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={version}")
 
 

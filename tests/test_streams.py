@@ -92,6 +92,15 @@ def test_versions_hold_changed_keys_and_the_latest_wins(spark):
     assert os.path.isdir(f"{out}/version=3")
 
 
+def test_a_version_has_a_file_a_bucket(spark):
+    path = scratch_path(spark, "table")
+    batch = spark.range(2000, numPartitions=20).selectExpr("id AS key", "1L AS at")
+    U.write_version(batch, 0, path, ["key"], 4)
+    assert sum(f.endswith(".parquet") for _, _, files in os.walk(path) for f in files) == 4
+    rows = U.versions(spark, path, batch.schema)
+    assert rows.count() == 2000 and rows.where(U.bucket_of(["key"], 4) != rows["bucket"]).isEmpty()
+
+
 def test_empty_feed(spark):
     folder = scratch_path(spark, "log")
     logged(spark, folder, [])
