@@ -15,6 +15,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +30,9 @@ from ..functions.hashing import pick_index
 from ..functions.lexicon import Lexicon
 from ..session import materialize
 
-#: a lexicon up to this size (keywords, intents and 32 bytes a row) is sent to the workers whole
+#: a lexicon up to this size (six times its keywords, intents and 8 bytes a row) is sent to the workers whole
 LEXICON_BYTES = 64 << 20
+TEXTS = 1000  # texts whose hits become rows at once
 
 
 # --- RSP-4: intent classification ----------------------------------------------------
@@ -65,49 +68,73 @@ def classify_intent(df: DataFrame, text_col: str = "query", lexicon: Lexicon = S
     return out_df.withColumn(score_col, score) if score_col else out_df
 
 
-def _matcher(rows: pd.DataFrame):
-    """``texts -> (text, group, hits)`` arrays for lexicon rows, and the groups' (intent, priority)."""
-    groups = rows[["intent", "priority"]].drop_duplicates().sort_values(["priority", "intent"], ascending=[True, False], ignore_index=True)
-    rows = rows.merge(groups.reset_index(names="group"), on=["intent", "priority"])
-    always = rows.loc[rows["keyword"] == "", "group"].to_numpy()
-    rows = rows[rows["keyword"] != ""].sort_values("keyword", kind="stable")
-    words, place = np.unique(rows["keyword"].to_numpy(object), return_inverse=True)
-    begin, group_of = np.searchsorted(place, np.arange(len(words) + 1)), rows["group"].to_numpy(np.int64)
-    automaton, n = Automaton.of(words.tolist()), len(groups)
-
-    def hits(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        text, word = automaton.found(texts)
-        many = begin[word + 1] - begin[word]
-        at = np.repeat(begin[word], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        pairs = np.concatenate([np.repeat(text, many) * n + group_of[at],
-                                (np.arange(len(texts))[:, None] * n + always).ravel()])
+class _Matcher:
+    """Lexicon rows as flat arrays, sent to the workers; each makes the automaton once, where it first matches.
+
+    ``groups`` are the (intent, priority) pairs in the order in which they win ties.
+    """
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.combine_chunks()
+        one = lambda c: c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
+        names, prio = one(rows["intent"]).dictionary_encode(), one(rows["priority"])
+        code = names.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        low = np.where(prio.is_null().to_numpy(zero_copy_only=False), 1 << 32,
+                       prio.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) + (1 << 31))
+        pairs, group = np.unique((code + 1 << 33) + low, return_inverse=True)
+        known, low = names.dictionary.to_pylist() + [None], pairs & (1 << 33) - 1
+        groups = pd.DataFrame({"intent": pd.Series([known[k - 1] for k in (pairs >> 33).tolist()], dtype=object),
+                               "priority": pd.Series([None if k == 1 << 32 else k - (1 << 31) for k in low.tolist()], dtype="Int64")})
+        order = groups.sort_values(["priority", "intent"], ascending=[True, False], kind="stable").index.to_numpy()
+        groups = groups.iloc[order]
+        self.intents = pa.array(groups["intent"].tolist(), pa.string())
+        self.priorities = pa.array(groups["priority"].astype(object).where(groups["priority"].notna(), None).tolist(), pa.int32())
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order))
+        words, group = one(rows["keyword"]), rank[group]
+        empty = pc.equal(words, "").to_numpy(zero_copy_only=False)
+        self.always = group[empty].astype(np.int64)
+        kept = np.flatnonzero(~empty)
+        words = words.take(pa.array(kept))
+        by_word = pc.sort_indices(words)  # by bytes, which is by code points
+        words = words.take(by_word).dictionary_encode()
+        self.words, self.group_of = words.dictionary, group[kept[by_word.to_numpy()]]
+        self.begin = np.searchsorted(words.indices.to_numpy(), np.arange(len(self.words) + 1)).astype(np.int32)
+        self.automaton = None
+
+    def _made(self) -> Automaton:
+        if self.automaton is None:
+            n = len(self.words)
+            at = np.concatenate([[0], np.cumsum(pc.utf8_length(self.words).to_numpy(), dtype=np.int64)])
+            whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), self.words), "")[0].as_py() if n else ""
+            self.words = None
+            self.automaton = Automaton.of_sorted(np.frombuffer(whole.encode("utf-32-le"), np.uint32), at, np.arange(n, dtype=np.int32))
+        return self.automaton
+
+    def hits(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, group, keywords of the group in the text), by text and group."""
+        text, word = self._made().found(texts)
+        n, many = len(self.intents), self.begin[word + 1] - self.begin[word]
+        at = np.repeat(self.begin[word], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        pairs = np.concatenate([np.repeat(text, many) * n + self.group_of[at],
+                                (np.arange(len(texts))[:, None] * n + self.always).ravel()])
         pairs, count = np.unique(pairs, return_counts=True)
         return pairs // n, pairs % n, count
 
-    return hits, groups
-
 
 def _lexicon_part(df: DataFrame, part: DataFrame):
-    """The rows of a lexicon of checked size, sent to the workers, and a maker of their matcher."""
-    held = df.sparkSession.sparkContext.broadcast(part.toPandas())
-    made = []
-
-    def matcher():
-        if not made:
-            made.append(_matcher(held.value))
-        return made[0]
+    """The rows of a lexicon of checked size, sent to the workers."""
+    return df.sparkSession.sparkContext.broadcast(_Matcher(part.select("intent", "priority", "keyword").toArrow()))
 
-    return matcher
 
-
-def _best_intent(matcher) -> Callable[[Column], Column]:
+def _best_intent(held) -> Callable[[Column], Column]:
     @F.pandas_udf("i string, s int")
     def best(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        hits, groups = matcher()
-        names = groups["intent"].to_numpy(object)
+        matcher = held.value
+        names = np.asarray(matcher.intents.to_pylist(), object)
         for texts in batches:
             given = np.flatnonzero(texts.notna().to_numpy())
-            text, group, count = hits(texts.iloc[given].tolist())
+            text, group, count = matcher.hits(texts.iloc[given].tolist())
             order = np.lexsort((group, -count, text))  # most hits, then the earlier group
             lead = order[np.unique(text[order], return_index=True)[1]]
             intent, score = np.full(len(texts), FALLBACK_INTENT, object), np.zeros(len(texts), np.int32)
@@ -117,19 +144,26 @@ def _best_intent(matcher) -> Callable[[Column], Column]:
     return best
 
 
-def _all_hits(matcher) -> Callable[[Column], Column]:
-    @F.pandas_udf("array<struct<i: string, p: int, s: int>>")
-    def every(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        hits, groups = matcher()
-        known = list(groups.itertuples(index=False, name=None))
-        for texts in batches:
-            given = np.flatnonzero(texts.notna().to_numpy())
-            out: list[list] = [[] for _ in range(len(texts))]
-            for t, g, n in zip(*(x.tolist() for x in hits(texts.iloc[given].tolist()))):
-                out[given[t]].append({"i": known[g][0], "p": known[g][1], "s": n})
-            yield pd.Series(out)
+def _all_hits(df: DataFrame, low: Column, keys: Sequence[str], held) -> DataFrame:
+    """A row (keys, intent ``i``, priority ``p``, hits ``s``) for each intent that a text has hits of."""
+    src = df.select(*keys, low.alias("_low"))
+    schema = T.StructType([*src.schema.fields[:-1], T.StructField("i", T.StringType()), T.StructField("p", T.IntegerType()),
+                           T.StructField("s", T.IntegerType())])
+
+    def run(batches):
+        matcher = held.value
+        for b in batches:
+            for at in range(0, b.num_rows, TEXTS):
+                part = b.slice(at, TEXTS)
+                texts = part.column(part.num_columns - 1)
+                given = np.flatnonzero(texts.is_valid().to_numpy(zero_copy_only=False))
+                text, group, count = matcher.hits(texts.drop_null().to_pylist())
+                row, group = pa.array(given[text]), pa.array(group)
+                yield pa.RecordBatch.from_arrays(
+                    [c.take(row) for c in part.columns[:-1]] + [matcher.intents.take(group), matcher.priorities.take(group),
+                                                                pa.array(count, pa.int32())], names=schema.names)
 
-    return every
+    return src.mapInArrow(run, schema)
 
 
 def classify_intent_join(df: DataFrame, lexicon: DataFrame, text_col: str = "query",
@@ -142,24 +176,23 @@ def classify_intent_join(df: DataFrame, lexicon: DataFrame, text_col: str = "que
     keywords in the lower-cased text (an empty keyword is in every text); the most hits win, then
     the lower priority, then the last intent by name.  Null keywords are left out, null texts hold none.
 
-    The lexicon's bytes are checked first, by one small aggregation.  One above ``most_bytes`` is dealt into
-    parts by keyword; each part's hits are written, and counts, not texts, are then added up by ``keys``
+    The lexicon's bytes are checked first, by one small aggregation; they count the letters of its keywords
+    sixfold, since these are what an automaton grows with.  One above ``most_bytes`` is dealt into parts by keyword; each part's hits are written, and counts, not texts, are then added up by ``keys``
     (which must tell the rows apart) and joined back.
     """
     lex = (lexicon.where(F.col("keyword").isNotNull())
            .select(F.col("intent").cast("string"), F.col("priority").cast("int"), F.col("keyword").cast("string")).distinct())
-    size = lex.agg(F.coalesce(F.sum(F.octet_length("keyword") + F.octet_length("intent") + 32), F.lit(0))).first()[0]
+    size = lex.agg(F.coalesce(F.sum(6 * F.octet_length("keyword") + F.coalesce(F.octet_length("intent"), F.lit(0)) + 8), F.lit(0))).first()[0]
     parts = max(1, math.ceil(size / most_bytes))
     low = F.lower(F.col(text_col))
     if parts == 1:
         rows = df.withColumn("_b", _best_intent(_lexicon_part(df, lex))(low))
         rows = rows.withColumn(out, F.col("_b.i"))
         return (rows.withColumn(score_col, F.col("_b.s")) if score_col else rows).drop("_b")
-    found = None
+    found, lex = None, materialize(lex, "lexicon-rows")
     for k in range(parts):
         part = lex.where(F.pmod(F.xxhash64("keyword"), F.lit(parts)) == k)
-        hits = df.select(*keys, F.explode(_all_hits(_lexicon_part(df, part))(low)).alias("_h"))
-        hits = materialize(hits.select(*keys, "_h.*"), "lexicon-hits")
+        hits = materialize(_all_hits(df, low, keys, _lexicon_part(df, part)), "lexicon-hits")
         found = hits if found is None else found.unionByName(hits)
     scores = found.groupBy(*keys, "i", "p").agg(F.sum("s").alias("s"))
     best = scores.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(

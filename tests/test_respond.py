@@ -1,6 +1,7 @@
 """Keyword classification, bank lookup, rendering and routing."""
 
 import random
+import tracemalloc
 
 import pandas as pd
 import pytest
@@ -199,6 +200,32 @@ def test_automaton_equals_substring_search(monkeypatch):
         assert list(got) == [(i, j) for i, t in enumerate(texts) for j, w in enumerate(words) if w in t]
 
 
+def _traced(make):
+    tracemalloc.start()
+    made = make()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return made, peak
+
+
+def test_automaton_memory_follows_its_states_and_not_the_texts():
+    r = random.Random(5)
+    words = list({"".join(r.choice("abcdefgh") for _ in range(9)) for _ in range(40_000)})
+    made, peak = _traced(lambda: automaton.Automaton.of(words))
+    assert peak < 70 * len(made.fail)  # bytes a state while it is made
+    one = automaton.Automaton.of(["ab"])
+    (text, word), peak = _traced(lambda: one.found(["ab" * 500] * 4000))  # 4,000,000 letters
+    assert text.tolist() == list(range(4000)) and not word.any() and peak < 20_000_000
+
+
+def test_texts_in_runs_of_a_few_letters(monkeypatch):
+    monkeypatch.setattr(automaton, "PIECE", 3)
+    texts = ["", "abab", "x", "", "b", "aé" * 9, ""]
+    words = ["é", "ab", "b", "aéa"]
+    got = zip(*(x.tolist() for x in automaton.Automaton.of(words).found(texts)))
+    assert list(got) == [(i, j) for i, t in enumerate(texts) for j, w in enumerate(words) if w in t]
+
+
 @pytest.mark.parametrize("most_bytes", [A.LEXICON_BYTES, 300])
 def test_lexicon_table_equals_plain_search(spark, most_bytes):
     r = random.Random(3)
