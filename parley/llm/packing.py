@@ -30,10 +30,11 @@ from pyspark.sql import functions as F
 from parley.llm.common import written
 
 KEPT_WORDS = 400_000  # words whose ids a worker keeps, twice: the newest and those before
-_TWO_SPACES, _PLAIN = re.compile(r"\s\s"), re.compile(r"( ?)([^\W\d_]+)([^\w\s]*)")
+_TWO_SPACES, _PLAIN = re.compile(r"\s\s"), re.compile(r"( ?([^\W\d_]+))([^\w\s]*)")
 #: Byte-level vocabularies write printable bytes as themselves and the others, in order, from code point 256 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_WRITTEN = np.asarray([ord(_BYTES.get(b, chr(b))) for b in range(256)], "<u4")  # byte -> code point
 
 _loaded: dict[str, "WordIds"] = {}
 
@@ -80,6 +81,7 @@ class WordIds:
         self.tokenizer.encode_special_tokens = not added
         if self.tokenizer.normalizer is not None or type(self.tokenizer.pre_tokenizer).__name__ != "ByteLevel":
             raise ValueError("a byte-level tokenizer without a normaliser is needed")
+        self.tokenize = self.tokenizer.model.tokenize
 
     @classmethod
     def of(cls, path: str) -> "WordIds":
@@ -89,19 +91,34 @@ class WordIds:
         return _loaded[path]
 
     def _model(self, token: str) -> bytes:
-        return array("I", [x.id for x in self.tokenizer.model.tokenize(token)]).tobytes()
-
-    def _letters(self, word: str) -> bytes:
-        found = self.kept.get(word) or self.old.get(word)
-        if found is None:
-            found = self.kept[word] = self._model(word.encode("utf-8").decode("latin-1").translate(_BYTES))
-        return found
-
-    def _word(self, word: str) -> bytes:
-        plain = _PLAIN.fullmatch(word)
-        if plain and plain[2].isalpha():
-            return self._letters(plain[1] + plain[2]) + (self._letters(plain[3]) if plain[3] else b"")
-        return b"".join(self._model(t) for t, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(word))
+        return array("I", [x.id for x in self.tokenize(token)]).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        """Keeps the ids of new words; letters and punctuation are written as byte-level tokens all at once."""
+        kept, old, model, new, split = self.kept, self.old, self._model, set(), ([], [], [])
+        for w in words:
+            plain = _PLAIN.fullmatch(w)
+            if plain and plain[2].isalpha():
+                head, tail = plain[1], plain[3]
+                new.add(head)
+                if tail:
+                    new.add(tail)
+                    for at, x in zip(split, (w, head, tail)):
+                        at.append(x)
+            else:
+                kept[w] = b"".join([model(t) for t, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(w)])
+        letters = []
+        for w in new.difference(kept):
+            if w in old:
+                kept[w] = old[w]
+            else:
+                letters.append(w)
+        if letters:  # they hold no line break
+            points = _WRITTEN[np.frombuffer("\n".join(letters).encode("utf-8"), np.uint8)]
+            for w, token in zip(letters, points.tobytes().decode("utf-32-le").split(_BYTES[10])):
+                kept[w] = model(token)
+        for w, head, tail in zip(*split):
+            kept[w] = kept[head] + kept[tail]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) > KEPT_WORDS:
@@ -109,8 +126,13 @@ class WordIds:
         whole = {i for i, t in enumerate(texts) if self.added.search(t)} if self.added else set()
         parts = [[] if i in whole else _parts(t) for i, t in enumerate(texts)]
         kept, old = self.kept, self.old
+        new = []
         for w in set().union(*parts).difference(kept):
-            kept[w] = old.get(w) or (self._word(w) if w else b"")
+            if w and w not in old:
+                new.append(w)
+            else:
+                kept[w] = old[w] if w else b""
+        self._learn(new)
         get = kept.__getitem__
         return [self._whole(t) if i in whole else b"".join(map(get, p)) for i, (t, p) in enumerate(zip(texts, parts))]
 

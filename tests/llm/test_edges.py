@@ -357,6 +357,24 @@ def check_packed(rows, docs_rows, capacity):
     return len(by)
 
 
+def test_new_words_are_written_as_bytes_in_one_go():
+    class Model:
+        def tokenize(self, token):
+            self.seen.append(token)
+            return self.inner.tokenize(token)
+
+    words = packing.WordIds(tokenizer_path())
+    model = Model()
+    model.inner, model.seen = words.tokenizer.model, []
+    words.tokenize = model.tokenize
+    text = "Größe größe, größe! größe... a\x01 b\x7f été, 中文。 x² ½ " + "größe, " * 50
+    want = np.asarray(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert words([text]) == [want] and words([text]) == [want]
+    assert len(model.seen) == len(set(model.seen)) and "ĠgrÃ¶ÃŁe" in model.seen  # each letter run once
+    words.kept, words.old = {}, words.kept
+    assert words([text]) == [want]
+
+
 def test_packing_round_trip(spark, docs, odd):
     from tokenizers import Tokenizer
 
