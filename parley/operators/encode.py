@@ -32,6 +32,7 @@ from ..session import materialize
 from .heavy import frequent_counts
 
 N_SPECIAL = 4
+GRID = 1 << 18  # ids laid out at once
 
 
 def tokens_of(text_cols: Sequence[str]) -> F.Column:
@@ -91,7 +92,8 @@ def encode_columns(df: DataFrame, vocab: DataFrame, specs: Sequence[tuple[str, s
     exactly ``length`` ids, also when it has no tokens or is null.  ``carry``
     columns are passed through.  The vocabulary (pass a written one: it is read
     while the plan is built) is sent to the workers as two Arrow columns; one of more
-    than ``most`` rows is refused.
+    than ``most`` rows is refused.  Batches are laid out in slices of at most ``GRID`` ids, so what a
+    worker holds beside a batch does not grow with its rows.
     """
     words = vocab.select("token", "id").limit(most + 1).toPandas().sort_values("id")
     if len(words) > most:
@@ -104,14 +106,17 @@ def encode_columns(df: DataFrame, vocab: DataFrame, specs: Sequence[tuple[str, s
     schema = T.StructType(plain + [T.StructField(out, T.ArrayType(T.IntegerType(), False), False) for _, out, _ in specs])
     layouts = [(f"_t{i}", length) for i, (_, _, length) in enumerate(specs)]
     names = [f.name for f in plain]
+    rows = max(1, GRID // max((length for _, length in layouts), default=1))
 
     def run(batches):
         known, ids_of = pa.array(held.value[0], pa.string()), held.value[1]
-        for b in batches:
-            out = [b.column(n) for n in names]
-            for name, length in layouts:
-                out.append(_laid_out(b.column(name), known, ids_of, length))
-            yield pa.RecordBatch.from_arrays(out, names=[f.name for f in schema.fields])
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows):
+                b = whole.slice(at, rows)
+                out = [b.column(n) for n in names]
+                for name, length in layouts:
+                    out.append(_laid_out(b.column(name), known, ids_of, length))
+                yield pa.RecordBatch.from_arrays(out, names=[f.name for f in schema.fields])
 
     return src.mapInArrow(run, schema)
 

@@ -3,8 +3,10 @@
 import json
 import os
 import tempfile
+import tracemalloc
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -294,3 +296,24 @@ def test_csv_empty_strings_and_nulls_survive(spark):
     path = os.path.join(_scratch(), "csv-empty")
     IO.write_pairs_csv(df, path)
     assert sorted(map(tuple, IO.read_pairs_csv(spark, path).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_a_large_batch_is_laid_out_in_slices(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a b")], "id long, text string")
+    vocab = spark.createDataFrame([("a", 4, 2), ("b", 5, 1)], "token string, id int, n long")
+    taken = []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: taken.append(run))
+    E.encode_columns(df, vocab, [("text", "ids", 512)])
+    rows = 8000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(rows)), pa.array([["a", "x", "b"] * 100 if k % 2 else ["b"] for k in range(rows)])], names=["id", "_t0"])
+    tracemalloc.start()
+    seen, peak = 0, 0
+    for out in taken[0](iter([batch])):
+        for key, ids in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
+            want = [4, E.UNK_ID, 5] * 100 if key % 2 else [5]
+            assert key == seen and ids == [E.BOS_ID, *want, E.EOS_ID] + [E.PAD_ID] * (510 - len(want))
+            seen += 1
+        del out
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == rows and peak < 40_000_000
